@@ -34,3 +34,17 @@ def safe_corr(sxy: Column, sxx: Column, syy: Column) -> Column:
     """Pearson r from centred sums; NULL when either side is constant, clamped to [-1, 1]."""
     r = F.try_divide(sxy, F.sqrt(sxx * syy))
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+
+
+def q(name: str) -> str:
+    """Backtick-quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def lit_double(v: float) -> str:
+    """A double literal in SQL text (a bare ``1.5`` would parse as DECIMAL)."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def lit_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -27,11 +27,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linfold.functions.exprs import safe_corr
+from linfold.functions.exprs import lit_double, lit_str, q
 from linfold.session import max_codegen_fields
 
 _PAIR_SCHEMA = "col_a string, col_b string, n bigint, corr double"
 
+# Expressions are built as SQL text and handed over in one ``selectExpr`` call:
+# composing hundreds of Column objects costs one JVM round trip each.
+
 
 def estimate_shifts(df: DataFrame, cols, sample_rows: int = 2048) -> dict[str, float]:
     """Per-column shift close to the mean, from a bounded number of leading rows.
@@ -40,7 +43,7 @@ def estimate_shifts(df: DataFrame, cols, sample_rows: int = 2048) -> dict[str, f
     cancellation; any value within a few standard deviations is enough, so a small
     sample (``take`` reads only the partitions it needs) replaces a full pass.
     """
-    rows = df.select(*[F.col(c).cast("double") for c in cols]).take(sample_rows)
+    rows = df.selectExpr(*[f"CAST({q(c)} AS DOUBLE)" for c in cols]).take(sample_rows)
     shifts = {}
     for i, c in enumerate(cols):
         vals = [r[i] for r in rows if r[i] is not None and not math.isnan(r[i])]
@@ -49,54 +52,41 @@ def estimate_shifts(df: DataFrame, cols, sample_rows: int = 2048) -> dict[str, f
 
 
 def _finish(moments: DataFrame) -> DataFrame:
-    """(col_a, col_b, n, sxy, sxx, syy) -> (col_a, col_b, n, corr)."""
-    return moments.select(
-        "col_a", "col_b", F.col("n").cast("bigint").alias("n"),
-        F.when(F.col("n") > 1, safe_corr(F.col("sxy"), F.col("sxx"), F.col("syy"))).alias("corr"))
+    """(col_a, col_b, n, sxy, sxx, syy) -> (col_a, col_b, n, corr); NULL for n < 2 or a constant side."""
+    return moments.selectExpr(
+        "col_a", "col_b", "CAST(n AS BIGINT) AS n",
+        "CASE WHEN n > 1 THEN greatest(CAST(-1 AS DOUBLE), least(CAST(1 AS DOUBLE), "
+        "try_divide(sxy, sqrt(sxx * syy)))) END AS corr")
 
 
-def _centred(n, sa, sb, saa, sbb, sab):
-    """Centred co-moments from shifted raw sums; NULL for an empty pair."""
-    return (
-        (sab - F.try_divide(sa * sb, n)).alias("sxy"),
-        (saa - F.try_divide(sa * sa, n)).alias("sxx"),
-        (sbb - F.try_divide(sb * sb, n)).alias("syy"),
-    )
+_CENTRED = ("sab - try_divide(sa * sb, n) AS sxy", "saa - try_divide(sa * sa, n) AS sxx",
+            "sbb - try_divide(sb * sb, n) AS syy")
 
 
 def _pairs_aggregate(df: DataFrame, pairs, shifts) -> DataFrame:
-    aggs = []
+    aggs, structs = [], []
     for i, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x = F.when(both, F.col(a).cast("double") - F.lit(shifts[a]))
-        y = F.when(both, F.col(b).cast("double") - F.lit(shifts[b]))
-        aggs += [F.count(x).alias(f"n{i}"), F.sum(x).alias(f"sa{i}"), F.sum(y).alias(f"sb{i}"),
-                 F.sum(x * x).alias(f"saa{i}"), F.sum(y * y).alias(f"sbb{i}"),
-                 F.sum(x * y).alias(f"sab{i}")]
-    wide = df.agg(*aggs)
-    per_pair = F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                 F.col(f"n{i}").cast("double").alias("n"), F.col(f"sa{i}").alias("sa"),
-                 F.col(f"sb{i}").alias("sb"), F.col(f"saa{i}").alias("saa"),
-                 F.col(f"sbb{i}").alias("sbb"), F.col(f"sab{i}").alias("sab"))
-        for i, (a, b) in enumerate(pairs)])
-    long = wide.select(F.inline(per_pair)).na.fill(0.0, ["sa", "sb", "saa", "sbb", "sab"])
-    n = F.col("n")
-    return long.select("col_a", "col_b", "n", *_centred(n, F.col("sa"), F.col("sb"), F.col("saa"),
-                                                       F.col("sbb"), F.col("sab")))
+        both = f"{q(a)} IS NOT NULL AND {q(b)} IS NOT NULL"
+        x = f"CASE WHEN {both} THEN CAST({q(a)} AS DOUBLE) - {lit_double(shifts[a])} END"
+        y = f"CASE WHEN {both} THEN CAST({q(b)} AS DOUBLE) - {lit_double(shifts[b])} END"
+        aggs += [f"count({x}) AS n{i}", f"sum({x}) AS sa{i}", f"sum({y}) AS sb{i}",
+                 f"sum(({x}) * ({x})) AS saa{i}", f"sum(({y}) * ({y})) AS sbb{i}", f"sum(({x}) * ({y})) AS sab{i}"]
+        fields = ", ".join(f"'{f}', coalesce({f}{i}, CAST(0 AS DOUBLE))" for f in ("sa", "sb", "saa", "sbb", "sab"))
+        structs.append(f"named_struct('col_a', {lit_str(a)}, 'col_b', {lit_str(b)}, "
+                       f"'n', CAST(n{i} AS DOUBLE), {fields})")
+    wide = df.selectExpr(*aggs)  # a global aggregate: one row, partial sums per task
+    long = wide.selectExpr(f"inline(array({', '.join(structs)}))")
+    return long.selectExpr("col_a", "col_b", "n", *_CENTRED)
 
 
 def _pairs_long(df: DataFrame, pairs) -> DataFrame:
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in pairs])
-    long = df.select(F.inline(rows))
+    structs = ", ".join(
+        f"named_struct('col_a', {lit_str(a)}, 'col_b', {lit_str(b)}, "
+        f"'x', CAST({q(a)} AS DOUBLE), 'y', CAST({q(b)} AS DOUBLE))" for a, b in pairs)
+    long = df.selectExpr(f"inline(array({structs}))")
     return long.groupBy("col_a", "col_b").agg(
-        F.regr_count("y", "x").cast("double").alias("n"),
-        F.regr_sxy("y", "x").alias("sxy"),
-        F.regr_sxx("y", "x").alias("sxx"),
-        F.regr_syy("y", "x").alias("syy"))
+        F.expr("CAST(regr_count(y, x) AS DOUBLE) AS n"), F.expr("regr_sxy(y, x) AS sxy"),
+        F.expr("regr_sxx(y, x) AS sxx"), F.expr("regr_syy(y, x) AS syy"))
 
 
 def _gram_moments(cols, shift):
@@ -126,30 +116,28 @@ def _gram_moments(cols, shift):
 
 def _pairs_gram(df: DataFrame, cols, pairs, shifts) -> DataFrame:
     cols = list(cols)
+    k = len(cols)
     shift = np.array([shifts[c] for c in cols], dtype="float64")
     schema = "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double"
-    parts = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]) \
+    parts = df.selectExpr(*[f"CAST({q(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(cols)]) \
         .mapInPandas(_gram_moments(cols, shift), schema)
-    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-    names = F.array(*[F.lit(c) for c in cols])
-    k = len(cols)
+    sums = parts.groupBy("i", "j").agg(*[F.expr(f"sum({c}) AS {c}") for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
     pos = {c: i for i, c in enumerate(cols)}
-    wanted = {min(pos[a], pos[b]) * k + max(pos[a], pos[b]) for a, b in pairs}
+    wanted = sorted({min(pos[a], pos[b]) * k + max(pos[a], pos[b]) for a, b in pairs})
     flipped = [pos[b] * k + pos[a] for a, b in pairs if pos[a] > pos[b]]
-    pid = F.col("i") * k + F.col("j")
+    pid = f"(i * {k} + j)"
     if len(wanted) < k * (k + 1) // 2:
-        sums = sums.filter(pid.isin(sorted(wanted)))
+        sums = sums.where(f"{pid} IN ({', '.join(map(str, wanted))})")
+    names = f"array({', '.join(lit_str(c) for c in cols)})"
+    a_name, b_name = f"element_at({names}, i + 1)", f"element_at({names}, j + 1)"
     # r is symmetric: a requested (a, b) with a after b only swaps the labels.
-    flip = pid.isin(flipped) if flipped else F.lit(False)
-    a_name = F.element_at(names, F.col("i") + 1)
-    b_name = F.element_at(names, F.col("j") + 1)
-    return sums.select(
-        F.when(flip, b_name).otherwise(a_name).alias("col_a"),
-        F.when(flip, a_name).otherwise(b_name).alias("col_b"),
-        "n", *_centred(F.col("n"), F.col("sa"), F.col("sb"), F.col("saa"), F.col("sbb"), F.col("sab")))
+    flip = f"{pid} IN ({', '.join(map(str, flipped))})" if flipped else "false"
+    return sums.selectExpr(f"CASE WHEN {flip} THEN {b_name} ELSE {a_name} END AS col_a",
+                           f"CASE WHEN {flip} THEN {a_name} ELSE {b_name} END AS col_b", "n", *_CENTRED)
 
 
 def choose_method(spark, n_pairs: int) -> str:
+    """``aggregate`` while its six sums per pair fit in one codegen'd stage, else ``gram``."""
     return "aggregate" if 6 * n_pairs <= max_codegen_fields(spark) else "gram"
 
 
@@ -187,9 +175,9 @@ def corr_with_label(df: DataFrame, label: str, cols, method: str = "auto",
     others = [c for c in cols if c != label]
     pairs = [(label, c) for c in others] + [(label, label)]
     r = pair_correlations(df, pairs, method=method, shifts=shifts)
-    return r.select(F.col("col_b").alias("column_name"), "n",
-                    F.when(F.col("col_a") == F.col("col_b"),
-                           F.when(F.col("corr").isNotNull(), F.lit(1.0))).otherwise(F.col("corr")).alias("corr"))
+    return r.selectExpr("col_b AS column_name", "n",
+                        "CASE WHEN col_a = col_b THEN CASE WHEN corr IS NOT NULL THEN CAST(1 AS DOUBLE) END "
+                        "ELSE corr END AS corr")
 
 
 def corr_matrix(df: DataFrame, cols, method: str = "auto", shifts: dict | None = None) -> DataFrame:
@@ -199,11 +187,10 @@ def corr_matrix(df: DataFrame, cols, method: str = "auto", shifts: dict | None =
     """
     cols = list(cols)
     pairs = list(itertools.combinations(cols, 2)) + [(c, c) for c in cols]
-    r = pair_correlations(df, pairs, method=method, shifts=shifts)
-    diag = F.col("col_a") == F.col("col_b")
-    r = r.select("col_a", "col_b", "n",
-                 F.when(diag, F.when(F.col("corr").isNotNull(), F.lit(1.0))).otherwise(F.col("corr")).alias("corr"))
-    mirrored = r.filter(~diag).select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "n", "corr")
+    r = pair_correlations(df, pairs, method=method, shifts=shifts).selectExpr(
+        "col_a", "col_b", "n",
+        "CASE WHEN col_a = col_b THEN CASE WHEN corr IS NOT NULL THEN CAST(1 AS DOUBLE) END ELSE corr END AS corr")
+    mirrored = r.where("col_a <> col_b").selectExpr("col_b AS col_a", "col_a AS col_b", "n", "corr")
     return r.unionByName(mirrored)
 
 

@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linfold.functions.exprs import lit_str, q
+
 
 def index_name(c: str) -> str:
     return f"{c}_index"
@@ -31,8 +33,9 @@ def category_frequencies(df: DataFrame, cols) -> DataFrame:
     ranked, per column.
     """
     cols = list(cols)
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category")) for c in cols])))
+    structs = ", ".join(f"named_struct('column_name', {lit_str(c)}, 'category', CAST({q(c)} AS STRING))"
+                        for c in cols)
+    long = df.selectExpr(f"inline(array({structs}))")
     counts = long.filter(F.col("category").isNotNull()).groupBy("column_name", "category") \
         .agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("category"))

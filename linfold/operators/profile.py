@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linfold.functions.exprs import lit_str, q
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -24,9 +26,11 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def _long(df: DataFrame, cols, value) -> DataFrame:
-    return df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), value(c).alias("value")) for c in cols])))
+def _long(df: DataFrame, cols, sql_type: str) -> DataFrame:
+    """One (column_name, value) row per input row and column, built in one JVM call."""
+    structs = ", ".join(f"named_struct('column_name', {lit_str(c)}, 'value', CAST({q(c)} AS {sql_type}))"
+                        for c in cols)
+    return df.selectExpr(f"inline(array({structs}))")
 
 
 def profile_numeric(df: DataFrame, cols=None) -> DataFrame:
@@ -36,7 +40,7 @@ def profile_numeric(df: DataFrame, cols=None) -> DataFrame:
     statistics double, counts bigint.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
-    long = _long(df, cols, lambda c: F.col(c).cast("double"))
+    long = _long(df, cols, "DOUBLE")
     return long.groupBy("column_name").agg(
         F.count("value").alias("n"),
         (F.count(F.lit(1)) - F.count("value")).alias("n_null"),
@@ -49,7 +53,7 @@ def profile_numeric(df: DataFrame, cols=None) -> DataFrame:
 def profile_string(df: DataFrame, cols=None) -> DataFrame:
     """count, nulls, min, max and longest length per string column."""
     cols = list(cols) if cols is not None else string_columns(df)
-    long = _long(df, cols, lambda c: F.col(c).cast("string"))
+    long = _long(df, cols, "STRING")
     return long.groupBy("column_name").agg(
         F.count("value").alias("n"),
         (F.count(F.lit(1)) - F.count("value")).alias("n_null"),
@@ -69,10 +73,10 @@ def profile_cardinality(df: DataFrame, cols=None, exact: bool = True, rsd: float
     """
     cols = list(cols) if cols is not None else df.columns
     numeric = set(numeric_columns(df))
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
-                 (F.col(c) == 0 if c in numeric else F.lit(None).cast("boolean")).alias("is_zero"))
-        for c in cols])))
+    structs = ", ".join(
+        f"named_struct('column_name', {lit_str(c)}, 'value', CAST({q(c)} AS STRING), "
+        f"'is_zero', {f'{q(c)} = 0' if c in numeric else 'CAST(NULL AS BOOLEAN)'})" for c in cols)
+    long = df.selectExpr(f"inline(array({structs}))")
     distinct = F.count_distinct("value") if exact else F.approx_count_distinct("value", rsd)
     total = F.count(F.lit(1))
     out = long.groupBy("column_name").agg(
