@@ -22,7 +22,7 @@ from linfold.plans import regression_job, stand_in
 from linfold.plans.stand_in import SPEC
 from linfold.session import fresh_name, shared_dir
 from linfold.sources import catalog, csv, tables
-from linfold.sources.preview import preview as preview_rows
+from linfold.sources.preview import ordered_preview
 from linfold.sources.models import load_model, save_model
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -114,7 +114,7 @@ def q_table_scan(spark, sf_dir):
 
 
 def q_preview_topk(spark, sf_dir):
-    return preview_rows(_no_time(stand_in.prepared(spark, sf_dir)), "row_key", 20)
+    return ordered_preview(_no_time(stand_in.prepared(spark, sf_dir)), "row_key", 20)
 
 
 def q_label_rename(spark, sf_dir):

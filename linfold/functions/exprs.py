@@ -20,12 +20,19 @@ def row_key(*cols) -> Column:
     return F.concat_ws("-", *[col(c).cast("string") for c in cols])
 
 
-def hash_bucket(key, buckets: int = 100) -> Column:
-    """Bucket ``0..buckets-1`` from the first 32 bits of md5(key).
-
-    Depends only on the key's text, so a row lands on the same side whatever the
-    partitioning, executor count or engine (DuckDB's md5 gives the same bucket).
+def hash_bucket(key, buckets: int = 100, hash_fn: str = "md5") -> Column:
+    """Bucket ``0..buckets-1`` of a row key.
+
+    ``md5`` (default): the first 32 bits of md5 of the key's text; portable, so any
+    engine can reproduce the split (DuckDB's md5 gives the same bucket).
+    ``xxhash64``: Spark's own 64-bit hash, several times cheaper per row, for splits
+    only Spark has to reproduce. Either way a row's side depends on its key alone,
+    not on partitioning or executor count.
     """
+    if hash_fn == "xxhash64":
+        return F.pmod(F.xxhash64(col(key)), F.lit(buckets))
+    if hash_fn != "md5":
+        raise ValueError(f"unknown hash {hash_fn!r}")
     digest32 = F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
     return F.pmod(digest32, F.lit(buckets))
 
@@ -33,7 +40,8 @@ def hash_bucket(key, buckets: int = 100) -> Column:
 def safe_corr(sxy: Column, sxx: Column, syy: Column) -> Column:
     """Pearson r from centred sums; NULL when either side is constant, clamped to [-1, 1]."""
     r = F.try_divide(sxy, F.sqrt(sxx * syy))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    # least/greatest skip NULLs: clamp only a defined r.
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def q(name: str) -> str:

@@ -53,10 +53,12 @@ def estimate_shifts(df: DataFrame, cols, sample_rows: int = 2048) -> dict[str, f
 
 def _finish(moments: DataFrame) -> DataFrame:
     """(col_a, col_b, n, sxy, sxx, syy) -> (col_a, col_b, n, corr); NULL for n < 2 or a constant side."""
+    # least/greatest skip NULLs, so the clamp must not see the NULL of a constant side.
+    r = "try_divide(sxy, sqrt(sxx * syy))"
     return moments.selectExpr(
         "col_a", "col_b", "CAST(n AS BIGINT) AS n",
-        "CASE WHEN n > 1 THEN greatest(CAST(-1 AS DOUBLE), least(CAST(1 AS DOUBLE), "
-        "try_divide(sxy, sqrt(sxx * syy)))) END AS corr")
+        f"CASE WHEN n > 1 AND {r} IS NOT NULL THEN greatest(CAST(-1 AS DOUBLE), least(CAST(1 AS DOUBLE), {r})) "
+        "END AS corr")
 
 
 _CENTRED = ("sab - try_divide(sa * sb, n) AS sxy", "saa - try_divide(sa * sa, n) AS sxx",

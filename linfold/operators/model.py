@@ -96,11 +96,26 @@ def tuning_pipeline(numeric, binary, categorical, label: str = "label", seed: in
     return Pipeline(stages=stages)
 
 
+def spread_for_iterations(df: DataFrame) -> DataFrame:
+    """Give an iterative fit at least one partition per core.
+
+    Every optimiser iteration is one job over the persisted frame, so a frame with
+    fewer partitions than cores leaves cores idle on every iteration (a small input
+    stored as a single row group arrives as one partition). Only then is it
+    repartitioned - one shuffle of the pruned columns, paid once. Large inputs
+    already have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def fit_persisted(pipeline: Pipeline, train: DataFrame, columns=None) -> PipelineModel:
     """Fit with the (pruned) training frame persisted: the indexer pass, the grid and
     the refit all read it. Memory-and-disk, so lost blocks are recomputed, not fatal."""
     data = train.select(*columns) if columns else train
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = spread_for_iterations(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(data)
     finally:

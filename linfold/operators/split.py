@@ -27,9 +27,9 @@ def _bounds(weights, buckets: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:]))
 
 
-def side_of(key, weights=(0.7, 0.3), buckets: int = 100) -> Column:
+def side_of(key, weights=(0.7, 0.3), buckets: int = 100, hash_fn: str = "md5") -> Column:
     """Index of the side a row falls on, from its key alone."""
-    b = hash_bucket(key, buckets)
+    b = hash_bucket(key, buckets, hash_fn)
     bounds = _bounds(weights, buckets)
     expr = F.lit(len(bounds) - 1)
     for i in range(len(bounds) - 2, -1, -1):
@@ -37,9 +37,10 @@ def side_of(key, weights=(0.7, 0.3), buckets: int = 100) -> Column:
     return expr.cast("int")
 
 
-def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), buckets: int = 100) -> list[DataFrame]:
-    """Split by ``md5(key)`` buckets into ``len(weights)`` disjoint, complete frames."""
-    b = hash_bucket(key, buckets)
+def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), buckets: int = 100,
+               hash_fn: str = "md5") -> list[DataFrame]:
+    """Split by key-hash buckets into ``len(weights)`` disjoint, complete frames."""
+    b = hash_bucket(key, buckets, hash_fn)
     return [df.filter((b >= lo) & (b < hi)) for lo, hi in _bounds(weights, buckets)]
 
 
@@ -55,9 +56,10 @@ def split(df: DataFrame, key: str | None = None, weights=(0.7, 0.3), seed: int =
     raise ValueError(f"unknown split method {method!r}")
 
 
-def split_summary(df: DataFrame, key: str, label: str | None = None, weights=(0.7, 0.3)) -> DataFrame:
+def split_summary(df: DataFrame, key: str, label: str | None = None, weights=(0.7, 0.3),
+                  hash_fn: str = "md5") -> DataFrame:
     """Rows (and mean label) per side in one pass: (side, n[, mean_label])."""
     aggs = [F.count(F.lit(1)).alias("n")]
     if label is not None:
         aggs.append(F.avg(label).alias("mean_label"))
-    return df.groupBy(side_of(key, weights).alias("side")).agg(*aggs)
+    return df.groupBy(side_of(key, weights, hash_fn=hash_fn).alias("side")).agg(*aggs)

@@ -49,11 +49,12 @@ class JobResult:
 def select_features(df: DataFrame, spec: FeatureSpec, weak: float = 0.1, redundant: float = 0.9) -> Selection:
     """Label screen then redundancy pruning; two one-pass aggregates over ``df``."""
     cands = [c for c in spec.correlation_candidates()]
-    label_corr = correlate.corr_with_label(df, spec.label, cands)
+    shifts = correlate.estimate_shifts(df, [spec.label] + cands)  # one bounded sample for both passes
+    label_corr = correlate.corr_with_label(df, spec.label, cands, shifts=shifts)
     rows = [(r["column_name"], r["corr"]) for r in label_corr.collect() if r["column_name"] != spec.label]
     screened = [c for c, r in rows if (r is not None and abs(r) >= weak) or c in spec.keep]
     if len(screened) > 1:
-        matrix = correlate.corr_matrix(df, screened)
+        matrix = correlate.corr_matrix(df, screened, shifts=shifts)
         mrows = [(r["col_a"], r["col_b"], r["corr"]) for r in matrix.collect()]
     else:
         matrix = df.sparkSession.createDataFrame([], "col_a string, col_b string, n bigint, corr double")

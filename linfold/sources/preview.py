@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def preview(df: DataFrame, order_by, n: int = 20) -> DataFrame:
+def ordered_preview(df: DataFrame, order_by, n: int = 20) -> DataFrame:
     """Top ``n`` rows by ``order_by``: each task keeps its own top ``n``, one task merges
     them (TakeOrderedAndProject), so nothing but ``n`` rows per task moves."""
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
