@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from linfold.operators import correlate, encode, metrics, model as mdl, profile, split
 from linfold.operators.project import drop_columns, project_roles
-from linfold.operators.runs import best_run, log_run
+from linfold.operators.runs import best_run, log_runs
 from linfold.plans import regression_job, stand_in
 from linfold.plans.stand_in import SPEC
 from linfold.session import fresh_name, shared_dir
@@ -277,7 +277,7 @@ def _tuned(spark, sf_dir) -> regression_job.JobResult:
     with _TUNED_LOCK:
         if key not in _TUNED:
             _TUNED[key] = regression_job.run(stand_in.prepared(spark, sf_dir), SPEC, weak=WEAK_CORR,
-                                             redundant=REDUNDANT_CORR, seed=100, parallelism=4)
+                                             redundant=REDUNDANT_CORR, seed=100)
         return _TUNED[key]
 
 
@@ -318,9 +318,8 @@ def q_best_run(spark, sf_dir):
     runs = _table_name(sf_dir, "model_runs")
     experiment = fresh_name("grid")
     grid = mdl.grid_metrics(job.model).collect()  # one row per grid point (9)
-    for g in grid:
-        log_run(spark, runs, experiment, {"regParam": g["regParam"], "elasticNetParam": g["elasticNetParam"]},
-                {g["metric"]: g["value"]}, job.model_uri, db)
+    log_runs(spark, runs, [(experiment, {"regParam": g["regParam"], "elasticNetParam": g["elasticNetParam"]},
+                            {g["metric"]: g["value"]}, job.model_uri) for g in grid], db)
     return best_run(tables.read_table(spark, runs, db), "rmse", experiment)
 
 

@@ -42,6 +42,29 @@ def category_frequencies(df: DataFrame, cols) -> DataFrame:
     return counts.withColumn("category_index", (F.row_number().over(w) - 1).cast("double"))
 
 
+# Ours: a fitted indexer ships its whole vocabulary to every task, so it must be bounded.
+MAX_CATEGORIES = 1_000_000
+
+
+def check_category_bounds(df: DataFrame, cols, max_categories: int = MAX_CATEGORIES, rsd: float = 0.05) -> dict:
+    """One HyperLogLog pass (fixed-size state per task) over the categorical columns.
+
+    Raises before any vocabulary is collected when a column has far more distinct
+    values than a categorical can have (an id column given the wrong role); the
+    returned estimates are the proven bound on what the indexer will ship.
+    """
+    cols = list(cols)
+    if not cols:
+        return {}
+    row = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols]).first()
+    est = {c: int(row[c]) for c in cols}
+    wide = {c: n for c, n in est.items() if n > max_categories}
+    if wide:
+        raise ValueError(f"too many distinct values for a categorical column: {wide}; "
+                         f"treat it as numeric or hash it (limit {max_categories})")
+    return est
+
+
 def category_indexer(cols, handle_invalid: str = "keep", order: str = "frequencyDesc") -> StringIndexer:
     """One estimator for all categorical columns. ``keep`` maps unseen and NULL values to
     one extra index (the source job's default ``error`` failed on a rare holdout value)."""

@@ -14,7 +14,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfold.operators.encode import (category_indexer, feature_assembler, index_name,
+from linfold.operators.encode import (category_indexer, check_category_bounds, feature_assembler, index_name,
                                       one_hot_encoder, vector_name, vector_size, vector_slot_names)
 from linfold.operators.metrics import regression_metrics
 
@@ -77,7 +77,7 @@ def model_inputs(numeric, binary, categorical) -> list[str]:
 
 
 def tuning_pipeline(numeric, binary, categorical, label: str = "label", seed: int = 100,
-                    parallelism: int = 4, train_ratio: float = TRAIN_RATIO,
+                    parallelism: int | None = None, train_ratio: float = TRAIN_RATIO,
                     reg_params=REG_PARAMS, elastic_net_params=ELASTIC_NET_PARAMS,
                     metric: str = "rmse", handle_invalid: str = "keep") -> Pipeline:
     """indexer (all categoricals) -> one-hot -> assembler -> train/validation grid search.
@@ -86,7 +86,12 @@ def tuning_pipeline(numeric, binary, categorical, label: str = "label", seed: in
     rows and validation rows never meet an unseen value.
     """
     lr = linear_regression(label)
-    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=param_grid(lr, reg_params, elastic_net_params),
+    grid = param_grid(lr, reg_params, elastic_net_params)
+    if parallelism is None:
+        # Each optimiser iteration is a short job; fitting grid points side by side
+        # hides the per-job latency (the source job fitted them one at a time).
+        parallelism = min(len(grid), 10)
+    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid,
                                evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
                                trainRatio=train_ratio, seed=seed, parallelism=parallelism)
     stages = []
@@ -111,12 +116,14 @@ def spread_for_iterations(df: DataFrame) -> DataFrame:
     return df
 
 
-def fit_persisted(pipeline: Pipeline, train: DataFrame, columns=None) -> PipelineModel:
+def fit_persisted(pipeline: Pipeline, train: DataFrame, columns=None, categorical=()) -> PipelineModel:
     """Fit with the (pruned) training frame persisted: the indexer pass, the grid and
-    the refit all read it. Memory-and-disk, so lost blocks are recomputed, not fatal."""
+    the refit all read it. Memory-and-disk, so lost blocks are recomputed, not fatal.
+    The categorical bound check is the pass that fills the cache."""
     data = train.select(*columns) if columns else train
     data = spread_for_iterations(data).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        check_category_bounds(data, categorical)
         return pipeline.fit(data)
     finally:
         data.unpersist()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linfold.functions.exprs import lit_str, q
+from linfold.session import max_codegen_fields
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -33,21 +34,56 @@ def _long(df: DataFrame, cols, sql_type: str) -> DataFrame:
     return df.selectExpr(f"inline(array({structs}))")
 
 
-def profile_numeric(df: DataFrame, cols=None) -> DataFrame:
-    """count, nulls, mean, sample stddev, min, max per numeric column.
+_NUMERIC_STATS = ("n", "n_null", "mean", "stddev", "min_value", "max_value")
+_FIELDS_PER_COLUMN = 8  # count 1, avg 2, stddev 3, min 1, max 1 buffer fields
 
-    Output: (column_name, n, n_null, mean, stddev, min_value, max_value); all
-    statistics double, counts bigint.
-    """
-    cols = list(cols) if cols is not None else numeric_columns(df)
+
+def _profile_wide(df: DataFrame, cols) -> DataFrame:
+    """One global aggregate, then one row per column: no row replication."""
+    aggs = ["count(1) AS _rows"]
+    for i, c in enumerate(cols):
+        v = f"CAST({q(c)} AS DOUBLE)"
+        aggs += [f"count({v}) AS n{i}", f"avg({v}) AS mean{i}", f"stddev_samp({v}) AS sd{i}",
+                 f"min({v}) AS lo{i}", f"max({v}) AS hi{i}"]
+    structs = ", ".join(
+        f"named_struct('column_name', {lit_str(c)}, 'n', n{i}, 'n_null', _rows - n{i}, 'mean', mean{i}, "
+        f"'stddev', sd{i}, 'min_value', lo{i}, 'max_value', hi{i})" for i, c in enumerate(cols))
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({structs}))")
+
+
+def _profile_long(df: DataFrame, cols) -> DataFrame:
     long = _long(df, cols, "DOUBLE")
-    return long.groupBy("column_name").agg(
+    stats = long.groupBy("column_name").agg(
         F.count("value").alias("n"),
         (F.count(F.lit(1)) - F.count("value")).alias("n_null"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("stddev"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"))
+    # One row per column even for an empty input, as the wide form gives: a k-row
+    # name list (k = number of columns, not data) left-joined to the statistics.
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    return names.join(stats, "column_name", "left").selectExpr(
+        "column_name", "coalesce(n, CAST(0 AS BIGINT)) AS n", "coalesce(n_null, CAST(0 AS BIGINT)) AS n_null",
+        "mean", "stddev", "min_value", "max_value")
+
+
+def profile_numeric(df: DataFrame, cols=None, method: str = "auto") -> DataFrame:
+    """count, nulls, mean, sample stddev, min, max per numeric column.
+
+    Output: (column_name, n, n_null, mean, stddev, min_value, max_value); all
+    statistics double, counts bigint. ``wide`` is one global aggregate (chosen
+    while its buffer fits in one codegen'd stage), ``long`` unpacks columns into
+    rows and groups by column name (any width).
+    """
+    cols = list(cols) if cols is not None else numeric_columns(df)
+    if method == "auto":
+        method = "wide" if _FIELDS_PER_COLUMN * len(cols) + 1 <= max_codegen_fields(df.sparkSession) else "long"
+    if method == "wide" and cols:
+        return _profile_wide(df, cols)
+    if method in ("wide", "long"):
+        return _profile_long(df, cols)
+    raise ValueError(f"unknown profile method {method!r}")
 
 
 def profile_string(df: DataFrame, cols=None) -> DataFrame:

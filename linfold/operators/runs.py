@@ -18,15 +18,26 @@ RUN_SCHEMA = ("experiment string, run_id string, started timestamp, params map<s
               "metrics map<string,double>, model_uri string")
 
 
+def _row(experiment: str, params: dict, metrics: dict, model_uri: str | None, run_id: str | None = None):
+    return (experiment, run_id or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+            {str(k): str(v) for k, v in params.items()},
+            {str(k): float(v) for k, v in metrics.items() if v is not None}, model_uri)
+
+
+def log_runs(spark: SparkSession, table: str, runs, database: str | None = None) -> list[str]:
+    """Append several runs ``(experiment, params, metrics, model_uri)`` in one write."""
+    rows = [_row(*r) for r in runs]
+    spark.createDataFrame(rows, RUN_SCHEMA).write.mode("append").format("parquet") \
+        .saveAsTable(qualified(table, database))
+    return [r[1] for r in rows]
+
+
 def log_run(spark: SparkSession, table: str, experiment: str, params: dict, metrics: dict,
             model_uri: str | None, database: str | None = None, run_id: str | None = None) -> str:
-    run_id = run_id or uuid.uuid4().hex
-    row = (experiment, run_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-           {str(k): str(v) for k, v in params.items()},
-           {str(k): float(v) for k, v in metrics.items()}, model_uri)
+    row = _row(experiment, params, metrics, model_uri, run_id)
     spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").format("parquet") \
         .saveAsTable(qualified(table, database))
-    return run_id
+    return row[1]
 
 
 def runs_frame(runs: DataFrame, experiment: str | None = None) -> DataFrame:

@@ -63,18 +63,18 @@ def select_features(df: DataFrame, spec: FeatureSpec, weak: float = 0.1, redunda
     return Selection(label_corr, matrix, screened, kept)
 
 
-def fit(df: DataFrame, spec: FeatureSpec, numeric, seed: int = 100, parallelism: int = 4,
+def fit(df: DataFrame, spec: FeatureSpec, numeric, seed: int = 100, parallelism: int | None = None,
         weights=(0.7, 0.3), split_method: str = "hash", **tuning) -> tuple[PipelineModel, DataFrame, DataFrame]:
     train, holdout = split.split(df, spec.key, weights, seed=seed, method=split_method)
     pipeline = mdl.tuning_pipeline(numeric, spec.binary, spec.categorical, label=spec.label, seed=seed,
                                    parallelism=parallelism, **tuning)
     cols = [c for c in [spec.label, *numeric, *spec.binary, *spec.categorical]]
-    model = mdl.fit_persisted(pipeline, train, cols)
+    model = mdl.fit_persisted(pipeline, train, cols, categorical=spec.categorical)
     return model, train, holdout
 
 
 def run(df: DataFrame, spec: FeatureSpec, *, weak: float = 0.1, redundant: float = 0.9, seed: int = 100,
-        parallelism: int = 4, experiment: str | None = None, runs_table: str | None = None,
+        parallelism: int | None = None, experiment: str | None = None, runs_table: str | None = None,
         database: str | None = None, model_uri: str | None = None, **tuning) -> JobResult:
     """Run every step; ``df`` must already hold the ratios (see ``prepare``)."""
     spark = df.sparkSession

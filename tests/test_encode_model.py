@@ -174,3 +174,18 @@ def test_batch_score_rebuilds_ratio(spark, tuned):
     scored = regression_job.score(tuned.model_uri, unlabelled, SPEC)
     assert scored.count() == unlabelled.count()
     assert scored.filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_category_bound_check(spark):
+    df = spark.range(500).withColumn("k", F.col("id") % 3)
+    est = encode.check_category_bounds(df, ["k"])
+    assert est["k"] == 3
+    with pytest.raises(ValueError):
+        encode.check_category_bounds(df, ["id"], max_categories=100)
+
+
+def test_spread_for_iterations_only_raises_partition_count(spark):
+    one = spark.range(1000).coalesce(1)
+    assert mdl.spread_for_iterations(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism * 2)
+    assert mdl.spread_for_iterations(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2

@@ -26,7 +26,10 @@ def test_profile_nulls_one_row_empty(spark):
     got = {r["column_name"]: r for r in profile.profile_numeric(df).collect()}
     assert got["b"]["n"] == 1 and got["b"]["n_null"] == 1 and got["b"]["stddev"] is None
     assert got["a"]["mean"] == 2.0
-    assert profile.profile_numeric(df.limit(0)).count() == 0
+    for method in ("wide", "long"):
+        empty = profile.profile_numeric(df.limit(0), method=method).collect()
+        assert sorted(r["column_name"] for r in empty) == ["a", "b"]
+        assert all(r["n"] == 0 and r["n_null"] == 0 and r["mean"] is None for r in empty)
 
 
 def test_cardinality_exact_and_approx(spark):
@@ -82,3 +85,16 @@ def test_random_split_parity_form(spark):
     df = stand_in.prepared(spark, SF)
     a, b = split.split(df, method="random", seed=100)
     assert a.count() + b.count() == df.count()
+
+
+def test_profile_wide_and_long_agree(spark):
+    df = stand_in.prepared(spark, SF)
+    cols = ["l_quantity", "l_extendedprice", "label", "is_open", "unit_price"]
+    wide = {r["column_name"]: r for r in profile.profile_numeric(df, cols, method="wide").collect()}
+    long = {r["column_name"]: r for r in profile.profile_numeric(df, cols, method="long").collect()}
+    assert set(wide) == set(long) == set(cols)
+    for c in cols:
+        for k in ("n", "n_null", "min_value", "max_value"):
+            assert wide[c][k] == long[c][k]
+        assert wide[c]["mean"] == pytest.approx(long[c]["mean"], rel=1e-12)
+        assert wide[c]["stddev"] == pytest.approx(long[c]["stddev"], rel=1e-10)

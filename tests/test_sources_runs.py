@@ -70,3 +70,12 @@ def test_run_log_best_and_delete(spark):
     left = tables.read_table(spark, t, db).collect()
     assert [r["experiment"] for r in left] == ["exp2"]
     catalog.drop_namespace(spark, db)
+
+
+def test_log_runs_batch(spark):
+    db = catalog.create_namespace(spark, "t_runs2", location=shared_dir(spark, "ns", "t_runs2"))
+    t = fresh_name("runs")
+    ids = runs.log_runs(spark, t, [("e", {"p": 1}, {"rmse": 2.0}, "u1"), ("e", {"p": 2}, {"rmse": 1.5}, "u2")], db)
+    assert len(set(ids)) == 2
+    assert runs.best_run(tables.read_table(spark, t, db), "rmse", "e").first()["model_uri"] == "u2"
+    catalog.drop_namespace(spark, db)
