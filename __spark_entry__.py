@@ -418,8 +418,8 @@ def _sql_profile_cardinality() -> str:
 
 def _sql_corr(a: str, b: str) -> str:
     if a == b:
-        return f"CASE WHEN var_pop({a}) > 0 THEN 1.0 END"
-    return f"greatest(-1.0, least(1.0, corr({a}, {b})))"
+        return f"CASE WHEN var_pop({a}) > 0 THEN CAST(1 AS DOUBLE) END"
+    return f"greatest(CAST(-1 AS DOUBLE), least(CAST(1 AS DOUBLE), corr({a}, {b})))"
 
 
 def _sql_corr_with_label() -> str:
@@ -493,7 +493,7 @@ def _sql_one_hot_cols() -> list[str]:
     out = []
     for c in ONE_HOT_COLUMNS:
         for i in range(ONE_HOT_SIZES[c] - 1):
-            out.append(f"CASE WHEN i_{c}.idx = {i} THEN 1.0 ELSE 0.0 END AS {c}_vector_{i}")
+            out.append(f"CASE WHEN i_{c}.idx = {i} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS {c}_vector_{i}")
     return out
 
 
@@ -508,7 +508,7 @@ def _sql_one_hot() -> str:
 
 def _sql_assembled() -> str:
     base = [f"CAST({c} AS DOUBLE)" for c in ASSEMBLED]
-    hot = [e.split(" AS ")[0] for e in _sql_one_hot_cols()]
+    hot = [e.rsplit(" AS ", 1)[0] for e in _sql_one_hot_cols()]
     cols = ", ".join(f"{e} AS f_{i}" for i, e in enumerate(base + hot))
     return _with(f", {_sql_index_ctes(ONE_HOT_COLUMNS)}\nSELECT prepared.row_key, {cols} FROM {_sql_one_hot_from()}")
 

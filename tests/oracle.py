@@ -32,15 +32,25 @@ def _key(row):
     return tuple((x is None, str(x)) for x in row)
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean"}
+
+
 def compare(spark, con, key: str, query, sql: str, sf_dir: str) -> dict:
     sdf = query(spark, sf_dir)
     s_cols = list(sdf.columns)
+    s_types = dict(sdf.dtypes)
     s_rows = [tuple(r) for r in sdf.collect()]
-    rel = con.execute(sql)
-    d_cols = [d[0] for d in rel.description]
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {n: DUCK_TO_SPARK.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
     d_rows = [tuple(r) for r in rel.fetchall()]
     out = {"key": key, "spark_rows": len(s_rows), "duck_rows": len(d_rows),
-           "cols_match": sorted(s_cols) == sorted(d_cols)}
+           "cols_match": sorted(s_cols) == sorted(d_cols),
+           "types_match": s_types == d_types}
+    if not out["types_match"]:
+        out["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                            if s_types.get(c) != d_types.get(c)}
     if not out["cols_match"]:
         out["spark_cols"], out["duck_cols"] = sorted(s_cols), sorted(d_cols)
         return out

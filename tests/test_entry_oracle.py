@@ -29,6 +29,7 @@ def con():
 def test_query_matches_sql_twin(spark, con, key):
     r = compare(spark, con, key, E.queries()[key], E.oracle_sql()[key], SF)
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["ok"], r
 
 
