@@ -112,7 +112,10 @@ def spread_for_iterations(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        # Hash on a per-row id: even spread, and (unlike round-robin, which first
+        # sorts every input partition to stay deterministic on retry) no sort; the id
+        # depends only on the input split and row position, so a retry reproduces it.
+        return df.repartition(cores, F.monotonically_increasing_id())
     return df
 
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 
+# ORACLE_EXACT=1 compares doubles bit for bit (no rounding in the harness).
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -22,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 9)
+        return v if EXACT else round(v, 9)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
