@@ -259,7 +259,7 @@ def q_onehot_group_mean(spark, sf_dir):
 
 def q_regression_metrics(spark, sf_dir):
     train, holdout = split.hash_split(stand_in.prepared(spark, sf_dir), "row_key")
-    fitted, _ = mdl._fit_one_feature(train, OLS_FEATURE, "label")
+    fitted, _ = mdl.fit_one_feature(train, OLS_FEATURE, "label")
     scored = fitted.transform(encode.feature_assembler([OLS_FEATURE], output="_x").transform(holdout))
     m = metrics.regression_metrics(scored)
     return m.select("n", _r("mse", 2), _r("rmse", 4), _r("mae", 4), _r("r2", 6))

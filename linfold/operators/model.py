@@ -34,7 +34,7 @@ def param_grid(lr: LinearRegression, reg_params=REG_PARAMS, elastic_net_params=E
         .addGrid(lr.elasticNetParam, list(elastic_net_params)).build()
 
 
-def _fit_one_feature(df: DataFrame, x: str, label: str):
+def fit_one_feature(df: DataFrame, x: str, label: str):
     data = feature_assembler([x], output="_x").transform(df.select(x, label).dropna())
     return linear_regression(label, "_x", regParam=0.0, solver="normal").fit(data), data
 
@@ -45,7 +45,7 @@ def simple_ols(df: DataFrame, x: str, label: str = "label") -> DataFrame:
     Equals SQL ``regr_slope / regr_intercept / regr_r2``; r2 and n are computed by
     one aggregate over the model's predictions.
     """
-    model, data = _fit_one_feature(df, x, label)
+    model, data = fit_one_feature(df, x, label)
     m = regression_metrics(model.transform(data), label=label)
     return m.select(F.lit(x).alias("feature"), F.lit(float(model.coefficients[0])).alias("slope"),
                     F.lit(float(model.intercept)).alias("intercept"), "r2", "n")
@@ -53,7 +53,7 @@ def simple_ols(df: DataFrame, x: str, label: str = "label") -> DataFrame:
 
 def ols_predict(df: DataFrame, x: str, label: str = "label", keep=()) -> DataFrame:
     """Predictions of the one-feature model fitted on ``df``, with a residual column."""
-    model, _ = _fit_one_feature(df, x, label)
+    model, _ = fit_one_feature(df, x, label)
     scored = model.transform(feature_assembler([x], output="_x", handle_invalid="keep").transform(df))
     return scored.select(*keep, label, "prediction", (F.col(label) - F.col("prediction")).alias("residual"))
 
