@@ -83,8 +83,14 @@ def feature_assembler(cols, output: str = "features", handle_invalid: str = "err
     return VectorAssembler(inputCols=list(cols), outputCol=output, handleInvalid=handle_invalid)
 
 
-def index_categories(df: DataFrame, cols, handle_invalid: str = "keep"):
-    """Fit one indexer over ``cols`` and apply it: returns (model, indexed frame)."""
+def index_categories(df: DataFrame, cols, handle_invalid: str = "keep", max_categories: int | None = MAX_CATEGORIES):
+    """Fit one indexer over ``cols`` and apply it: returns (model, indexed frame).
+
+    The vocabulary is bounded first (one HyperLogLog pass), since the fit collects it
+    and the model ships it to every task; ``max_categories=None`` skips the check.
+    """
+    if max_categories is not None:
+        check_category_bounds(df, cols, max_categories)
     model = category_indexer(cols, handle_invalid).fit(df)
     return model, model.transform(df)
 
