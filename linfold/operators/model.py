@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from linfold.operators.encode import (category_indexer, check_category_bounds, feature_assembler, index_name,
                                       one_hot_encoder, vector_name, vector_size, vector_slot_names)
 from linfold.operators.metrics import regression_metrics
+from linfold.session import shared_dir
 
 # The source job's search grid and inner split.
 REG_PARAMS = (0.01, 0.1, 0.5)
@@ -119,12 +120,26 @@ def spread_for_iterations(df: DataFrame) -> DataFrame:
     return df
 
 
-def fit_persisted(pipeline: Pipeline, train: DataFrame, columns=None, categorical=()) -> PipelineModel:
-    """Fit with the (pruned) training frame persisted: the indexer pass, the grid and
-    the refit all read it. Memory-and-disk, so lost blocks are recomputed, not fatal.
-    The categorical bound check is the pass that fills the cache."""
+def stage_training_frame(df: DataFrame, reliable: bool = True) -> DataFrame:
+    """Materialise the frame every fit iteration reads.
+
+    ``reliable``: first write it to the shared checkpoint folder (``checkpoint()``,
+    which also cuts the lineage back to the source scan), then cache it. A lost
+    executor's cached blocks are then re-read from those files instead of being
+    recomputed from the whole input. Otherwise cache only (memory and disk).
+    """
+    if reliable:
+        shared_dir(df.sparkSession)  # the cluster's spark.checkpoint.dir; set locally only when unset
+        df = df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fit_persisted(pipeline: Pipeline, train: DataFrame, columns=None, categorical=(),
+                  reliable: bool = True) -> PipelineModel:
+    """Fit with the (pruned) training frame staged once: the indexer pass, the grid and
+    the refit all read it. The categorical bound check runs on the staged frame."""
     data = train.select(*columns) if columns else train
-    data = spread_for_iterations(data).persist(StorageLevel.MEMORY_AND_DISK)
+    data = stage_training_frame(spread_for_iterations(data), reliable)
     try:
         check_category_bounds(data, categorical)
         return pipeline.fit(data)
