@@ -33,6 +33,9 @@ def category_frequencies(df: DataFrame, cols) -> DataFrame:
     ranked, per column.
     """
     cols = list(cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, category string, n bigint, "
+                                                   "category_index double")
     structs = ", ".join(f"named_struct('column_name', {lit_str(c)}, 'category', CAST({q(c)} AS STRING))"
                         for c in cols)
     long = df.selectExpr(f"inline(array({structs}))")

@@ -27,6 +27,18 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+NUMERIC_PROFILE_SCHEMA = ("column_name string, n bigint, n_null bigint, mean double, stddev double, "
+                          "min_value double, max_value double")
+STRING_PROFILE_SCHEMA = ("column_name string, n bigint, n_null bigint, min_value string, max_value string, "
+                         "max_length bigint")
+CARDINALITY_SCHEMA = ("column_name string, n bigint, n_distinct bigint, n_null bigint, n_zero bigint, "
+                      "null_share double, zero_share double")
+
+
+def _empty(df: DataFrame, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def _long(df: DataFrame, cols, sql_type: str) -> DataFrame:
     """One (column_name, value) row per input row and column, built in one JVM call."""
     structs = ", ".join(f"named_struct('column_name', {lit_str(c)}, 'value', CAST({q(c)} AS {sql_type}))"
@@ -77,9 +89,11 @@ def profile_numeric(df: DataFrame, cols=None, method: str = "auto") -> DataFrame
     rows and groups by column name (any width).
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
+    if not cols:
+        return _empty(df, NUMERIC_PROFILE_SCHEMA)
     if method == "auto":
         method = "wide" if _FIELDS_PER_COLUMN * len(cols) + 1 <= max_codegen_fields(df.sparkSession) else "long"
-    if method == "wide" and cols:
+    if method == "wide":
         return _profile_wide(df, cols)
     if method in ("wide", "long"):
         return _profile_long(df, cols)
@@ -89,6 +103,8 @@ def profile_numeric(df: DataFrame, cols=None, method: str = "auto") -> DataFrame
 def profile_string(df: DataFrame, cols=None) -> DataFrame:
     """count, nulls, min, max and longest length per string column."""
     cols = list(cols) if cols is not None else string_columns(df)
+    if not cols:
+        return _empty(df, STRING_PROFILE_SCHEMA)
     long = _long(df, cols, "STRING")
     return long.groupBy("column_name").agg(
         F.count("value").alias("n"),
@@ -108,6 +124,8 @@ def profile_cardinality(df: DataFrame, cols=None, exact: bool = True, rsd: float
     Output: (column_name, n, n_distinct, n_null, n_zero, null_share, zero_share).
     """
     cols = list(cols) if cols is not None else df.columns
+    if not cols:
+        return _empty(df, CARDINALITY_SCHEMA)
     numeric = set(numeric_columns(df))
     structs = ", ".join(
         f"named_struct('column_name', {lit_str(c)}, 'value', CAST({q(c)} AS STRING), "

@@ -98,3 +98,16 @@ def test_profile_wide_and_long_agree(spark):
             assert wide[c][k] == long[c][k]
         assert wide[c]["mean"] == pytest.approx(long[c]["mean"], rel=1e-12)
         assert wide[c]["stddev"] == pytest.approx(long[c]["stddev"], rel=1e-10)
+
+
+def test_profiles_of_no_columns_are_empty_with_schema(spark):
+    from linfold.operators import encode
+
+    df = spark.createDataFrame([("x",)], "s string")
+    assert profile.profile_numeric(df).count() == 0
+    assert profile.profile_numeric(df).columns == ["column_name", "n", "n_null", "mean", "stddev",
+                                                   "min_value", "max_value"]
+    assert profile.profile_string(df.select()).count() == 0
+    assert profile.profile_cardinality(df, []).count() == 0
+    assert encode.category_frequencies(df, []).count() == 0
+    assert profile.profile_string(df).first()["max_length"] == 1
