@@ -81,3 +81,31 @@ def run(spark: SparkSession, csv_path: str, user: str, experiment: str = "house-
         # Results above are lazy; materialise what is wanted before dropping the tables.
         catalog.drop_namespace(spark, db)
     return result
+
+
+def main(argv=None) -> int:
+    """``python -m linfold.plans.house_prices --csv PATH --user NAME [--cleanup]`` on any cluster."""
+    import argparse
+
+    from linfold.sources.preview import ordered_preview
+
+    parser = argparse.ArgumentParser(description="Tune, evaluate, save and apply a house-price model.")
+    parser.add_argument("--csv", required=True, help="headered CSV file or folder (any Hadoop URI)")
+    parser.add_argument("--user", required=True, help="user name; the database is derived from it")
+    parser.add_argument("--experiment", default="house-prices")
+    parser.add_argument("--cleanup", action="store_true", help="drop the user's database at the end")
+    args = parser.parse_args(argv)
+
+    spark = SparkSession.builder.getOrCreate()
+    out = run(spark, args.csv, args.user, experiment=args.experiment)
+    out.report.show(truncate=False)
+    out.holdout_metrics.show(truncate=False)
+    out.coefficients.show(100, truncate=False)
+    ordered_preview(out.scored, HOUSE_SPEC.key, 20).show(truncate=False)
+    if args.cleanup:
+        catalog.drop_namespace(spark, out.database)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -50,3 +50,12 @@ def test_house_workflow_end_to_end(spark):
     assert len(runs) == 1 and runs[0]["model_uri"] == out.job.model_uri
     catalog.drop_namespace(spark, out.database)
     assert not catalog.namespace_exists(spark, out.database)
+
+
+def test_house_cli_runs_and_cleans_up(spark, capsys):
+    path = shared_dir(spark, "house", fresh_name("csv")).replace("file:", "")
+    _write_house_csv(path, n=250, seed=9)
+    user = "cli-" + fresh_name("u")
+    assert house_prices.main(["--csv", path, "--user", user, "--cleanup"]) == 0
+    assert not catalog.namespace_exists(spark, catalog.namespace_for(user))
+    assert "train_r2" in capsys.readouterr().out
