@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import lit_str, q
+from linfold.session import shared_dir
 
 
 def index_name(c: str) -> str:
@@ -23,26 +24,60 @@ def vector_name(c: str) -> str:
     return f"{c}_vector"
 
 
-def category_frequencies(df: DataFrame, cols) -> DataFrame:
+_FREQ_SCHEMA = "column_name string, category string, n bigint, category_index double"
+def _order():
+    return F.col("column_name"), F.desc("n"), F.asc("category")
+
+
+def _rank_distributed(vocab: DataFrame) -> DataFrame:
+    """Frequency rank of every category with no per-column task: one global range sort.
+
+    The sorted vocabulary is checkpointed so partition contents are fixed; a row's
+    global position is its partition's start (a running sum over one row per
+    partition) plus its position inside the partition (low 33 bits of
+    ``monotonically_increasing_id``). A column's first position is subtracted.
+    Both broadcast sides are size-proven: one row per partition, one per column.
+    """
+    ordered = vocab.orderBy(*_order()).checkpoint(eager=True)
+    tagged = ordered.withColumn("_part", F.spark_partition_id()) \
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    placed = tagged.join(F.broadcast(starts), "_part").withColumn("_g", F.col("_start") + F.col("_pos"))
+    first = placed.groupBy("column_name").agg(F.min("_g").alias("_first"))
+    return placed.join(F.broadcast(first), "column_name").select(
+        "column_name", "category", "n", (F.col("_g") - F.col("_first")).cast("double").alias("category_index"))
+
+
+def category_frequencies(df: DataFrame, cols, max_window: int | None = None) -> DataFrame:
     """Frequency table and the index a frequency-ordered indexer assigns.
 
     Output: (column_name, category, n, category_index). Order: count desc, then the
     category's text asc (numbers compare as text, as ``StringIndexer`` does);
     NULLs are not categories. Counting is a map-side-combined group-by on
-    (column, value); only the vocabulary - one row per distinct category - is
-    ranked, per column.
+    (column, value), so hot values cost nothing extra. Ranking sees only the
+    vocabulary: it is checkpointed (one pass over the data), its largest column
+    is measured, and a per-column window is used only while that column has at
+    most ``max_window`` categories (``MAX_CATEGORIES`` by default); beyond that the
+    ranking is a distributed global sort.
     """
     cols = list(cols)
     if not cols:
-        return df.sparkSession.createDataFrame([], "column_name string, category string, n bigint, "
-                                                   "category_index double")
+        return df.sparkSession.createDataFrame([], _FREQ_SCHEMA)
     structs = ", ".join(f"named_struct('column_name', {lit_str(c)}, 'category', CAST({q(c)} AS STRING))"
                         for c in cols)
     long = df.selectExpr(f"inline(array({structs}))")
     counts = long.filter(F.col("category").isNotNull()).groupBy("column_name", "category") \
         .agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("category"))
-    return counts.withColumn("category_index", (F.row_number().over(w) - 1).cast("double"))
+    shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or set locally only when unset
+    vocab = counts.checkpoint(eager=True)
+    largest = vocab.groupBy("column_name").count().agg(F.max("count")).first()[0] or 0
+    limit = MAX_CATEGORIES if max_window is None else max_window
+    if largest > limit:
+        return _rank_distributed(vocab)
+    w = Window.partitionBy("column_name").orderBy(*_order()[1:])
+    return vocab.withColumn("category_index", (F.row_number().over(w) - 1).cast("double"))
 
 
 # Ours: a fitted indexer ships its whole vocabulary to every task, so it must be bounded.

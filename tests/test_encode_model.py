@@ -189,3 +189,17 @@ def test_spread_for_iterations_only_raises_partition_count(spark):
     assert mdl.spread_for_iterations(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism * 2)
     assert mdl.spread_for_iterations(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+
+
+def test_distributed_ranking_equals_window_ranking(spark):
+    df = stand_in.prepared(spark, SF).repartition(4)
+    cols = ["l_returnflag", "l_linenumber", "l_quantity", "row_key"]
+    win = encode.category_frequencies(df, cols)
+    dist = encode.category_frequencies(df, cols, max_window=0)
+    key = lambda r: (r["column_name"], r["category"])
+    a = sorted((tuple(r) for r in win.collect()), key=lambda t: (t[0], t[1]))
+    b = sorted((tuple(r) for r in dist.collect()), key=lambda t: (t[0], t[1]))
+    assert a == b
+    idx = {c: sorted(r["category_index"] for r in dist.collect() if r["column_name"] == c) for c in cols}
+    for c, values in idx.items():
+        assert values == [float(i) for i in range(len(values))]
