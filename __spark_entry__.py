@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from linfold.operators import correlate, encode, metrics, model as mdl, profile, split
 from linfold.operators.project import drop_columns, project_roles
-from linfold.operators.runs import best_run, log_runs
+from linfold.operators.runs import best_run, delete_runs, log_runs
 from linfold.plans import regression_job, stand_in
 from linfold.plans.stand_in import SPEC
 from linfold.session import fresh_name, shared_dir
@@ -323,6 +323,22 @@ def q_best_run(spark, sf_dir):
     return best_run(tables.read_table(spark, runs, db), "rmse", experiment)
 
 
+def q_runs_after_delete(spark, sf_dir):
+    """Log the grid as runs of two experiments, delete every run of the first: the rest remains."""
+    job = _tuned(spark, sf_dir)
+    db = _work_db(spark)
+    runs = _table_name(sf_dir, "model_runs")
+    gone, kept = fresh_name("grid"), fresh_name("grid")
+    grid = mdl.grid_metrics(job.model).collect()
+    log_runs(spark, runs, [(e, {"regParam": g["regParam"], "elasticNetParam": g["elasticNetParam"]},
+                            {g["metric"]: g["value"]}, job.model_uri) for e in (gone, kept) for g in grid], db)
+    delete_runs(spark, runs, gone, db)
+    log = tables.read_table(spark, runs, db)
+    return log.filter(F.col("experiment").isin(gone, kept)).select(
+        "experiment", F.col("params")["regParam"].alias("regParam"),
+        F.col("params")["elasticNetParam"].alias("elasticNetParam"), F.col("metrics")["rmse"].alias("rmse"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "csv_scan": q_csv_scan,
@@ -360,6 +376,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scored_after_reload": q_scored_after_reload,
         "batch_score": q_batch_score,
         "best_run": q_best_run,
+        "runs_after_delete": q_runs_after_delete,
     }
 
 
