@@ -23,7 +23,7 @@ from linfold.plans.stand_in import SPEC
 from linfold.session import fresh_name, shared_dir
 from linfold.sources import catalog, csv, tables
 from linfold.sources.preview import ordered_preview
-from linfold.sources.models import load_model, save_model
+from linfold.sources.models import load_model
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -498,8 +498,8 @@ def _sql_category_index_apply() -> str:
 
 def _sql_index_ctes(cols) -> str:
     return ", ".join(
-        f"i_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS idx, "
-        f"count(*) OVER () AS k FROM prepared GROUP BY {c})" for c in cols)
+        f"i_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS idx "
+        f"FROM prepared GROUP BY {c})" for c in cols)
 
 
 # Category counts of the one-hot columns in the driver's lineitem table.

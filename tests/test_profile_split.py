@@ -1,6 +1,4 @@
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from linfold.functions.exprs import hash_bucket, safe_ratio
 from linfold.operators import profile, split
