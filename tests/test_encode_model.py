@@ -203,3 +203,19 @@ def test_distributed_ranking_equals_window_ranking(spark):
     idx = {c: sorted(r["category_index"] for r in dist.collect() if r["column_name"] == c) for c in cols}
     for c, values in idx.items():
         assert values == [float(i) for i in range(len(values))]
+
+
+def test_pipeline_scores_a_category_unseen_in_training(spark):
+    """The source job's default indexer fails when holdout holds a category training lacked."""
+    from linfold.plans.stand_in import SPEC
+
+    df = stand_in.prepared(spark, SF)
+    train = df.filter(F.col("l_linenumber") != 7)
+    unseen = df.filter(F.col("l_linenumber") == 7)
+    pipe = mdl.tuning_pipeline(["l_extendedprice"], SPEC.binary, SPEC.categorical, parallelism=2,
+                               reg_params=(0.1,), elastic_net_params=(0.0,))
+    model = mdl.fit_persisted(pipe, train, ["label", "l_extendedprice", *SPEC.binary, *SPEC.categorical],
+                              categorical=SPEC.categorical)
+    scored = model.transform(unseen)
+    assert scored.count() == unseen.count() > 0
+    assert scored.filter(F.col("prediction").isNull()).count() == 0
