@@ -13,6 +13,9 @@ NULL result (not an error) for a constant column. Three physical forms:
   numerically stable ``regr_sxy/sxx/syy``. Pure JVM, no shift needed; the data
   is replicated once per pair, so it is meant for few pairs.
 
+NaN counts as missing, like NULL, in every form (the gram form cannot tell them
+apart, and a NaN kept as a value would poison the whole pair).
+
 Partial sums are combined map-side in every form; only one small row per pair
 and task crosses the shuffle, so hot keys or skewed partitions do not matter.
 """
@@ -51,6 +54,11 @@ def estimate_shifts(df: DataFrame, cols, sample_rows: int = 2048) -> dict[str, f
     return shifts
 
 
+def _val(c: str) -> str:
+    """The column as double, NaN turned into NULL."""
+    return f"nanvl(CAST({q(c)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
 def _finish(moments: DataFrame) -> DataFrame:
     """(col_a, col_b, n, sxy, sxx, syy) -> (col_a, col_b, n, corr); NULL for n < 2 or a constant side."""
     # least/greatest skip NULLs, so the clamp must not see the NULL of a constant side.
@@ -68,9 +76,9 @@ _CENTRED = ("sab - try_divide(sa * sb, n) AS sxy", "saa - try_divide(sa * sa, n)
 def _pairs_aggregate(df: DataFrame, pairs, shifts) -> DataFrame:
     aggs, structs = [], []
     for i, (a, b) in enumerate(pairs):
-        both = f"{q(a)} IS NOT NULL AND {q(b)} IS NOT NULL"
-        x = f"CASE WHEN {both} THEN CAST({q(a)} AS DOUBLE) - {lit_double(shifts[a])} END"
-        y = f"CASE WHEN {both} THEN CAST({q(b)} AS DOUBLE) - {lit_double(shifts[b])} END"
+        both = f"{_val(a)} IS NOT NULL AND {_val(b)} IS NOT NULL"
+        x = f"CASE WHEN {both} THEN {_val(a)} - {lit_double(shifts[a])} END"
+        y = f"CASE WHEN {both} THEN {_val(b)} - {lit_double(shifts[b])} END"
         aggs += [f"count({x}) AS n{i}", f"sum({x}) AS sa{i}", f"sum({y}) AS sb{i}",
                  f"sum(({x}) * ({x})) AS saa{i}", f"sum(({y}) * ({y})) AS sbb{i}", f"sum(({x}) * ({y})) AS sab{i}"]
         fields = ", ".join(f"'{f}', coalesce({f}{i}, CAST(0 AS DOUBLE))" for f in ("sa", "sb", "saa", "sbb", "sab"))
@@ -84,7 +92,7 @@ def _pairs_aggregate(df: DataFrame, pairs, shifts) -> DataFrame:
 def _pairs_long(df: DataFrame, pairs) -> DataFrame:
     structs = ", ".join(
         f"named_struct('col_a', {lit_str(a)}, 'col_b', {lit_str(b)}, "
-        f"'x', CAST({q(a)} AS DOUBLE), 'y', CAST({q(b)} AS DOUBLE))" for a, b in pairs)
+        f"'x', {_val(a)}, 'y', {_val(b)})" for a, b in pairs)
     long = df.selectExpr(f"inline(array({structs}))")
     return long.groupBy("col_a", "col_b").agg(
         F.expr("CAST(regr_count(y, x) AS DOUBLE) AS n"), F.expr("regr_sxy(y, x) AS sxy"),

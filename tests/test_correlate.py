@@ -147,3 +147,15 @@ def test_wide_frame_uses_gram_and_matches_numpy(spark):
     assert len(got) == k * k
     for i, j in [(0, 1), (3, 17), (24, 5), (10, 11)]:
         assert got[(names[i], names[j])] == pytest.approx(_pairwise_numpy(X[:, i], X[:, j]), abs=1e-10)
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_nan_counts_as_missing(spark, method):
+    rows = [(float(i), 2.0 * i + (i % 3), None) for i in range(20)]
+    rows[4] = (float("nan"), 9.0, None)
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    clean = df.filter(~F.isnan("x"))
+    got = correlate.pair_correlations(df, [("x", "y")], method=method).first()
+    exp = correlate.pair_correlations(clean, [("x", "y")], method="long").first()
+    assert got["n"] == 19
+    assert got["corr"] == pytest.approx(exp["corr"], abs=1e-12)
