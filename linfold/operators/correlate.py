@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import lit_double, lit_str, q
+from linfold.operators.profile import numeric_columns
 from linfold.session import max_codegen_fields
 
 _PAIR_SCHEMA = "col_a string, col_b string, n bigint, corr double"
@@ -160,6 +161,10 @@ def pair_correlations(df: DataFrame, pairs, method: str = "auto", shifts: dict |
     pairs = [(a, b) for a, b in pairs]
     if not pairs:
         return df.sparkSession.createDataFrame([], _PAIR_SCHEMA)
+    numeric = set(numeric_columns(df))
+    wrong = sorted({c for p in pairs for c in p if c not in numeric})
+    if wrong:
+        raise ValueError(f"correlation needs numeric columns; not numeric: {wrong}")
     if method == "auto":
         method = choose_method(df.sparkSession, len(pairs))
     cols = list(dict.fromkeys(c for p in pairs for c in p))

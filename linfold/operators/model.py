@@ -80,7 +80,8 @@ def model_inputs(numeric, binary, categorical) -> list[str]:
 def tuning_pipeline(numeric, binary, categorical, label: str = "label", seed: int = 100,
                     parallelism: int | None = None, train_ratio: float = TRAIN_RATIO,
                     reg_params=REG_PARAMS, elastic_net_params=ELASTIC_NET_PARAMS,
-                    metric: str = "rmse", handle_invalid: str = "keep") -> Pipeline:
+                    metric: str = "rmse", handle_invalid: str = "keep",
+                    assembler_invalid: str = "error") -> Pipeline:
     """indexer (all categoricals) -> one-hot -> assembler -> train/validation grid search.
 
     Indexing sits before the tuner, so categories are learned once on all training
@@ -98,7 +99,9 @@ def tuning_pipeline(numeric, binary, categorical, label: str = "label", seed: in
     stages = []
     if categorical:
         stages += [category_indexer(categorical, handle_invalid), one_hot_encoder(categorical)]
-    stages += [feature_assembler(model_inputs(numeric, binary, categorical)), tvs]
+    # A NULL feature (e.g. a ratio over a zero divisor) fails by default; "skip" drops
+    # such rows, "keep" passes NaN on to the model.
+    stages += [feature_assembler(model_inputs(numeric, binary, categorical), handle_invalid=assembler_invalid), tvs]
     return Pipeline(stages=stages)
 
 
@@ -179,10 +182,11 @@ def grid_metrics(model: PipelineModel) -> DataFrame:
 def model_report(model: PipelineModel) -> DataFrame:
     """The winner's training R2/RMSE, its parameters, intercept and width: one row."""
     best = tuner(model).bestModel
-    s = best.summary
-    return _session().createDataFrame([(float(s.r2), float(s.rootMeanSquaredError), float(best.getRegParam()),
-                                float(best.getElasticNetParam()), float(best.intercept), int(best.numFeatures),
-                                int(s.numInstances))],
+    # A reloaded model has no training summary (metrics are kept in the run log).
+    s = best.summary if best.hasSummary else None
+    return _session().createDataFrame([(float(s.r2) if s else None, float(s.rootMeanSquaredError) if s else None,
+                                float(best.getRegParam()), float(best.getElasticNetParam()), float(best.intercept),
+                                int(best.numFeatures), int(s.numInstances) if s else None)],
                               "train_r2 double, train_rmse double, regParam double, elasticNetParam double, "
                               "intercept double, n_features int, n_train bigint")
 

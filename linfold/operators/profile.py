@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from linfold.functions.exprs import lit_str, q
 from linfold.session import max_codegen_fields
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
+            T.BooleanType)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -126,7 +127,8 @@ def profile_cardinality(df: DataFrame, cols=None, exact: bool = True, rsd: float
     cols = list(cols) if cols is not None else df.columns
     if not cols:
         return _empty(df, CARDINALITY_SCHEMA)
-    numeric = set(numeric_columns(df))
+    numeric = {f.name for f in df.schema.fields
+               if isinstance(f.dataType, _NUMERIC) and not isinstance(f.dataType, T.BooleanType)}
     structs = ", ".join(
         f"named_struct('column_name', {lit_str(c)}, 'value', CAST({q(c)} AS STRING), "
         f"'is_zero', {f'{q(c)} = 0' if c in numeric else 'CAST(NULL AS BOOLEAN)'})" for c in cols)

@@ -159,3 +159,9 @@ def test_nan_counts_as_missing(spark, method):
     exp = correlate.pair_correlations(clean, [("x", "y")], method="long").first()
     assert got["n"] == 19
     assert got["corr"] == pytest.approx(exp["corr"], abs=1e-12)
+
+
+def test_non_numeric_column_is_rejected(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "s string, x double")
+    with pytest.raises(ValueError):
+        correlate.pair_correlations(df, [("s", "x")])

@@ -155,8 +155,11 @@ def test_save_reload_predicts_identically(tuned):
     from linfold.sources.models import load_model
 
     a = tuned.model.transform(tuned.holdout).agg(F.sum("prediction")).first()[0]
-    b = load_model(tuned.model_uri).transform(tuned.holdout).agg(F.sum("prediction")).first()[0]
+    reloaded = load_model(tuned.model_uri)
+    b = reloaded.transform(tuned.holdout).agg(F.sum("prediction")).first()[0]
     assert a == b
+    rep = mdl.model_report(reloaded).first()  # no training summary after a reload
+    assert rep["train_r2"] is None and rep["regParam"] == mdl.model_report(tuned.model).first()["regParam"]
 
 
 def test_coefficient_names_from_metadata(tuned):

@@ -109,3 +109,11 @@ def test_profiles_of_no_columns_are_empty_with_schema(spark):
     assert profile.profile_cardinality(df, []).count() == 0
     assert encode.category_frequencies(df, []).count() == 0
     assert profile.profile_string(df).first()["max_length"] == 1
+
+
+def test_boolean_columns_profile_without_zero_share(spark):
+    df = spark.createDataFrame([(True, 0), (False, 2), (None, 0)], "b boolean, k int")
+    card = {r["column_name"]: r for r in profile.profile_cardinality(df).collect()}
+    assert card["b"]["n_zero"] is None and card["k"]["n_zero"] == 2
+    prof = {r["column_name"]: r for r in profile.profile_numeric(df).collect()}
+    assert prof["b"]["mean"] == 0.5 and prof["b"]["n_null"] == 1
