@@ -111,6 +111,8 @@ def explore(df: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:
     num = [c for c in profile.numeric_columns(df)]
     return {
         "profile": profile.profile_numeric(df, num),
-        "cardinality": profile.profile_cardinality(df, [c for c in df.columns if c in num or c in spec.categorical]),
+        # A screen, so HyperLogLog: one pass, fixed state, no shuffle of distinct values.
+        "cardinality": profile.profile_cardinality(
+            df, [c for c in df.columns if c in num or c in spec.categorical], exact=False),
         "label_corr": correlate.corr_with_label(df, spec.label, spec.correlation_candidates()),
     }

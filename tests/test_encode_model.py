@@ -222,3 +222,13 @@ def test_pipeline_scores_a_category_unseen_in_training(spark):
     scored = model.transform(unseen)
     assert scored.count() == unseen.count() > 0
     assert scored.filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_explore_outputs(spark):
+    from linfold.plans import regression_job
+    from linfold.plans.stand_in import SPEC
+
+    out = regression_job.explore(stand_in.prepared(spark, SF), SPEC)
+    assert {"profile", "cardinality", "label_corr"} == set(out)
+    assert out["label_corr"].count() == len(SPEC.correlation_candidates()) + 1
+    assert out["cardinality"].filter("column_name = 'l_returnflag'").first()["n_distinct"] == 3
