@@ -92,7 +92,8 @@ def run(df: DataFrame, spec: FeatureSpec, *, weak: float = 0.1, redundant: float
                          {"regParam": best.getRegParam(), "elasticNetParam": best.getElasticNetParam(),
                           "features": ",".join(numeric + list(spec.binary) + list(spec.categorical))},
                          {f"holdout_{k}": v for k, v in metrics.items() if v is not None}, uri, database)
-    return JobResult(spec, sel, numeric, train, holdout, model, uri, run_id)
+    extras = {"profile": profile.profile_numeric(df, [c for c in profile.numeric_columns(df)])}  # lazy
+    return JobResult(spec, sel, numeric, train, holdout, model, uri, run_id, extras)
 
 
 def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
