@@ -183,16 +183,21 @@ def q_redundant_features(spark, sf_dir):
 
 # --- splits -------------------------------------------------------------------------------
 
+# The split queries use the portable md5 hash: it is the form another engine (the
+# DuckDB twin) can reproduce; the library's default hash is Spark's xxhash64.
+PORTABLE = "md5"
+
+
 def q_split_train(spark, sf_dir):
-    return _no_time(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key")[0])
+    return _no_time(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[0])
 
 
 def q_split_holdout(spark, sf_dir):
-    return _no_time(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key")[1])
+    return _no_time(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[1])
 
 
 def q_split_summary(spark, sf_dir):
-    s = split.split_summary(stand_in.prepared(spark, sf_dir), "row_key", "label")
+    s = split.split_summary(stand_in.prepared(spark, sf_dir), "row_key", "label", hash_fn=PORTABLE)
     return s.select("side", "n", _r("mean_label", 6))
 
 
@@ -258,7 +263,7 @@ def q_onehot_group_mean(spark, sf_dir):
 
 
 def q_regression_metrics(spark, sf_dir):
-    train, holdout = split.hash_split(stand_in.prepared(spark, sf_dir), "row_key")
+    train, holdout = split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)
     fitted, _ = mdl.fit_one_feature(train, OLS_FEATURE, "label")
     scored = fitted.transform(encode.feature_assembler([OLS_FEATURE], output="_x").transform(holdout))
     m = metrics.regression_metrics(scored)

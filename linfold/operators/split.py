@@ -5,6 +5,8 @@ partition on all columns and Bernoulli-samples, so the sides move when the input
 is re-partitioned (a different executor count, a retried stage with a different
 layout). The default here is a predicate on a hash of a row key: no sort, no
 shuffle, pushed into the scan stage, and a key always lands on the same side.
+``xxhash64`` is the default hash; ``md5`` is the portable one other engines can
+reproduce.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ def _bounds(weights, buckets: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:]))
 
 
-def side_of(key, weights=(0.7, 0.3), buckets: int = 100, hash_fn: str = "md5") -> Column:
+def side_of(key, weights=(0.7, 0.3), buckets: int = 100, hash_fn: str = "xxhash64") -> Column:
     """Index of the side a row falls on, from its key alone."""
     b = hash_bucket(key, buckets, hash_fn)
     bounds = _bounds(weights, buckets)
@@ -38,26 +40,26 @@ def side_of(key, weights=(0.7, 0.3), buckets: int = 100, hash_fn: str = "md5") -
 
 
 def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), buckets: int = 100,
-               hash_fn: str = "md5") -> list[DataFrame]:
+               hash_fn: str = "xxhash64") -> list[DataFrame]:
     """Split by key-hash buckets into ``len(weights)`` disjoint, complete frames."""
     b = hash_bucket(key, buckets, hash_fn)
     return [df.filter((b >= lo) & (b < hi)) for lo, hi in _bounds(weights, buckets)]
 
 
 def split(df: DataFrame, key: str | None = None, weights=(0.7, 0.3), seed: int = 100,
-          method: str = "hash") -> list[DataFrame]:
+          method: str = "hash", hash_fn: str = "xxhash64") -> list[DataFrame]:
     """``hash`` (default, needs a key) or ``random`` (``randomSplit`` parity form)."""
     if method == "hash":
         if key is None:
             raise ValueError("hash split needs a row key")
-        return hash_split(df, key, weights)
+        return hash_split(df, key, weights, hash_fn=hash_fn)
     if method == "random":
         return df.randomSplit(list(weights), seed=seed)
     raise ValueError(f"unknown split method {method!r}")
 
 
 def split_summary(df: DataFrame, key: str, label: str | None = None, weights=(0.7, 0.3),
-                  hash_fn: str = "md5") -> DataFrame:
+                  hash_fn: str = "xxhash64") -> DataFrame:
     """Rows (and mean label) per side in one pass: (side, n[, mean_label])."""
     aggs = [F.count(F.lit(1)).alias("n")]
     if label is not None:

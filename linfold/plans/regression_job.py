@@ -64,9 +64,9 @@ def select_features(df: DataFrame, spec: FeatureSpec, weak: float = 0.1, redunda
 
 
 def fit(df: DataFrame, spec: FeatureSpec, numeric, seed: int = 100, parallelism: int | None = None,
-        weights=(0.7, 0.3), split_method: str = "hash", reliable: bool = True,
+        weights=(0.7, 0.3), split_method: str = "hash", split_hash: str = "xxhash64", reliable: bool = True,
         **tuning) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    train, holdout = split.split(df, spec.key, weights, seed=seed, method=split_method)
+    train, holdout = split.split(df, spec.key, weights, seed=seed, method=split_method, hash_fn=split_hash)
     pipeline = mdl.tuning_pipeline(numeric, spec.binary, spec.categorical, label=spec.label, seed=seed,
                                    parallelism=parallelism, **tuning)
     cols = [c for c in [spec.label, *numeric, *spec.binary, *spec.categorical]]

@@ -65,7 +65,7 @@ def test_hash_bucket_matches_md5_rule(spark):
     import hashlib
 
     df = spark.createDataFrame([("a",), ("1-2-3-4",), ("zz",)], "k string")
-    got = [r[0] for r in df.select(hash_bucket("k")).collect()]
+    got = [r[0] for r in df.select(hash_bucket("k", hash_fn="md5")).collect()]
     exp = [int(hashlib.md5(k.encode()).hexdigest()[:8], 16) % 100 for k in ["a", "1-2-3-4", "zz"]]
     assert got == exp
 
@@ -117,3 +117,13 @@ def test_boolean_columns_profile_without_zero_share(spark):
     assert card["b"]["n_zero"] is None and card["k"]["n_zero"] == 2
     prof = {r["column_name"]: r for r in profile.profile_numeric(df).collect()}
     assert prof["b"]["mean"] == 0.5 and prof["b"]["n_null"] == 1
+
+
+@pytest.mark.parametrize("hash_fn", ["xxhash64", "md5"])
+def test_both_hashes_split_stably(spark, hash_fn):
+    df = stand_in.prepared(spark, SF)
+    a = split.hash_split(df, "row_key", hash_fn=hash_fn)
+    b = split.hash_split(df.repartition(7), "row_key", hash_fn=hash_fn)
+    ka = {r[0] for r in a[1].select("row_key").collect()}
+    kb = {r[0] for r in b[1].select("row_key").collect()}
+    assert ka == kb and 0.25 < len(ka) / df.count() < 0.35
