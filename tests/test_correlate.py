@@ -165,3 +165,17 @@ def test_non_numeric_column_is_rejected(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "s string, x double")
     with pytest.raises(ValueError):
         correlate.pair_correlations(df, [("s", "x")])
+
+
+@pytest.mark.parametrize("method", ["aggregate", "gram"])
+def test_shift_from_unrepresentative_leading_rows(spark, method):
+    """Sorted input with a huge offset: the leading rows sit far below the mean, the result stays exact."""
+    n = 20000
+    rng = np.random.default_rng(2)
+    x = 1e9 + np.sort(rng.uniform(0, 1e6, n))
+    y = 3.0 * (x - 1e9) + rng.normal(0, 2e5, n) - 7e8
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double").coalesce(1)
+    shifts = correlate.estimate_shifts(df, ["x", "y"], sample_rows=100)
+    assert shifts["x"] < x.mean() - 0.9 * x.std()  # the sample is far from the mean
+    got = correlate.pair_correlations(df, [("x", "y")], method=method, shifts=shifts).first()["corr"]
+    assert got == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-10)
