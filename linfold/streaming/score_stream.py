@@ -30,11 +30,15 @@ def scored_stream(spark: SparkSession, source_dir: str, schema: StructType, mode
 
 
 def score_available(spark: SparkSession, source_dir: str, schema: StructType, model_uri: str, spec: FeatureSpec,
-                    sink_dir: str, checkpoint_dir: str, fmt: str = "parquet"):
-    """Score everything not yet scored, append it to ``sink_dir`` as parquet, stop."""
-    q = (scored_stream(spark, source_dir, schema, model_uri, spec, fmt)
-         .writeStream.format("parquet").outputMode("append")
-         .option("path", sink_dir).option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True).start())
+                    sink_dir: str | None, checkpoint_dir: str, fmt: str = "parquet", table: str | None = None):
+    """Score everything not yet scored, append it (to ``sink_dir`` as parquet, or to the
+    catalog table ``table``), then stop."""
+    writer = (scored_stream(spark, source_dir, schema, model_uri, spec, fmt)
+              .writeStream.outputMode("append").option("checkpointLocation", checkpoint_dir)
+              .trigger(availableNow=True))
+    if table is not None:
+        q = writer.format("parquet").toTable(table)
+    else:
+        q = writer.format("parquet").option("path", sink_dir).start()
     q.awaitTermination()
     return q

@@ -26,3 +26,19 @@ def test_stream_scores_each_arriving_batch_once(spark):
     a = out.agg(F.sum("prediction")).first()[0]
     b = batch.agg(F.sum("prediction")).first()[0]
     assert abs(a - b) <= 1e-6 * abs(b)
+
+
+def test_stream_appends_to_a_catalog_table(spark):
+    from linfold.sources import catalog
+
+    df = stand_in.prepared(spark, SF)
+    model, _, _ = regression_job.fit(df, SPEC, ["l_extendedprice"], parallelism=2)
+    uri = shared_dir(spark, "models", fresh_name("m"))
+    model.write().overwrite().save(uri)
+    unlabelled = stand_in.charges(spark, SF).drop("charge", "l_shipdate")
+    src, ckpt = (shared_dir(spark, "stream", fresh_name(p)) for p in ("src", "ckpt"))
+    unlabelled.write.parquet(src)
+    db = catalog.create_namespace(spark, "t_stream", location=shared_dir(spark, "ns", "t_stream"))
+    score_available(spark, src, unlabelled.schema, uri, SPEC, None, ckpt, table=f"{db}.scored")
+    assert spark.table(f"{db}.scored").count() == unlabelled.count()
+    catalog.drop_namespace(spark, db)
