@@ -25,6 +25,14 @@ from linfold.sources import catalog, csv, tables
 from linfold.sources.preview import ordered_preview
 from linfold.sources.models import load_model
 
+# The text operators are optional: without their subpackage, all other queries still work.
+try:
+    from linfold.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("linfold.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # Analysis settings (ours; the source job chose by eye).
@@ -382,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_score": q_batch_score,
         "best_run": q_best_run,
         "runs_after_delete": q_runs_after_delete,
+        **(llm_queries.QUERIES if llm_queries else {}),
     }
 
 
@@ -607,4 +616,5 @@ def oracle_sql() -> dict[str, str]:
         "residuals": _sql_ols_predict(True),
         "onehot_group_mean": _sql_onehot_group_mean(),
         "regression_metrics": _sql_regression_metrics(),
+        **(llm_queries.ORACLE_SQL if llm_queries else {}),
     }
