@@ -32,7 +32,7 @@ MOST = 3.0
 #: Steps between 0 and 1 that an offset can have (all are odd multiples of half a step).
 STEPS = 1 << 20
 #: Places of the offset that are compared, evenly spread from the drawn one; all their sums come from one aggregate.
-OFFSETS = 32
+OFFSETS = 16
 
 
 def size_of(text: str) -> Column:
@@ -94,7 +94,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per.withColumn("shift", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")) \
         .select(_key("source").alias("key"), "part", "shift")
-    goal = targets(rows.select("source", "size"), most, weights, seed)
+    goal = settled(targets(rows.select("source", "size"), most, weights, seed), "targets")  # a row for each source
     ranked = rows.withColumn("key", _key("source")).join(starts.join(goal, "key"), ["key", "part"])
     rank = (F.col("place") + F.col("shift")).cast("double")  # 0-based, within the source
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(0.0))
