@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm import langid, mixing, quality, rules
+from linfold.llm import chat, langid, mixing, quality, rules
 from linfold.llm.texts import read_table
 
 
@@ -28,6 +28,14 @@ def op4_rules(spark, sf_dir) -> DataFrame:
     return rules.judge(docs).drop("text")
 
 
+def op7_chat(spark, sf_dir) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = r"r'\### Assistant: </turn> ok'"  # a conversation that says what the template's marks say
+    extra = spark.sql(f"SELECT -7L AS conv_id, turn, role, {text} AS text FROM VALUES (0L, 'user'), (1L, 'assistant') "
+                      "AS t(turn, role)")
+    return chat.digests(chat.read_back(chat.windows(turns.unionByName(extra))))
+
+
 def op8_langid(spark, sf_dir) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~langid.held_out()))
@@ -38,6 +46,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op3_mixing": op3_mixing,
     "op4_rules": op4_rules,
+    "op7_chat": op7_chat,
     "op8_langid": op8_langid,
 }
 
