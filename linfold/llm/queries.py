@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm import chat, langid, mixing, quality, rules
+from linfold.llm import chat, langid, minhash, mixing, quality, rules
 from linfold.llm.texts import read_table
 
 
@@ -19,6 +19,10 @@ def op1_quality(spark, sf_dir) -> DataFrame:
     return quality.score(docs, model).select("doc_id", langid.held_out().alias("held_out"), "score", "predicted")
 
 
+def op2_minhash(spark, sf_dir) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark, sf_dir) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("_k1", "_k2")
 
@@ -44,6 +48,7 @@ def op8_langid(spark, sf_dir) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
     "op4_rules": op4_rules,
     "op7_chat": op7_chat,
