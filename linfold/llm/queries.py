@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm import chat, langid, minhash, mixing, quality, rules
+from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring
 from linfold.llm.texts import read_table
 
 
@@ -32,6 +32,10 @@ def op4_rules(spark, sf_dir) -> DataFrame:
     return rules.judge(docs).drop("text")
 
 
+def op6_substring(spark, sf_dir) -> DataFrame:
+    return substring.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark, sf_dir) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = r"r'\### Assistant: </turn> ok'"  # a conversation that says what the template's marks say
@@ -51,6 +55,7 @@ QUERIES = {
     "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
     "op4_rules": op4_rules,
+    "op6_substring": op6_substring,
     "op7_chat": op7_chat,
     "op8_langid": op8_langid,
 }
