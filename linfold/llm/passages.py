@@ -62,7 +62,8 @@ def places_of(part: pa.RecordBatch, one: np.ndarray, two: np.ndarray, begins: np
 def decide(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeated, open): runs of windows known to be repeated, and representatives that a finer test must tell apart.
 
-    Both are (_k1, _k2, first, last); ``open`` also says which are asked about.
+    Both are (_k1, _k2, first, last); ``open`` also says which are asked about, and the piece ``p`` with its
+    number of distinct segments, ``kinds``.
     """
     places = settled(places, "places")
     twice = places.groupBy("p").agg(F.count("*").alias("m")).where("m > 1").select("p")
@@ -73,8 +74,8 @@ def decide(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     copied = contents.where("n > 1").select("p", "s")
     repeated = settled(some.where("ask").join(copied, ["p", "s"]).select("_k1", "_k2", "first", "last"), "repeated")
     mixed = contents.groupBy("p").agg(F.count("*").alias("kinds"), F.bool_or(F.expr("n = 1 AND asked")).alias("alone")) \
-        .where("kinds > 1 AND alone").select("p")
-    unsure = contents.join(mixed, "p").select("rep.*", F.expr("n = 1 AND asked").alias("ask"))
+        .where("kinds > 1 AND alone").select("p", "kinds")
+    unsure = contents.join(mixed, "p").select("rep.*", F.expr("n = 1 AND asked").alias("ask"), "p", "kinds")
     return repeated, unsure
 
 

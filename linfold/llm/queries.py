@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring
+from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring, suffix
 from linfold.llm.texts import read_table
 
 
@@ -50,6 +50,10 @@ def op8_langid(spark, sf_dir) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_suffix(spark, sf_dir) -> DataFrame:
+    return suffix.digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_minhash": op2_minhash,
@@ -58,6 +62,7 @@ QUERIES = {
     "op6_substring": op6_substring,
     "op7_chat": op7_chat,
     "op8_langid": op8_langid,
+    "op9_suffix": op9_suffix,
 }
 
 ORACLE_SQL: dict[str, str] = {}
