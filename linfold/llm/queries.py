@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring, suffix
+from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring, suffix, tiling, warczip
 from linfold.llm.texts import read_table
+from linfold.session import fresh_name, shared_dir
 
 
 def op1_quality(spark, sf_dir) -> DataFrame:
@@ -32,6 +33,13 @@ def op4_rules(spark, sf_dir) -> DataFrame:
     return rules.judge(docs).drop("text")
 
 
+def op5_warc(spark, sf_dir) -> DataFrame:
+    packages = warczip.write(read_table(spark, sf_dir, "pages"), shared_dir(spark, "llm", fresh_name("warc")))
+    return warczip.read(spark, packages).select(
+        warczip.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warczip.page_of("refers_to").alias("refers_to"))
+
+
 def op6_substring(spark, sf_dir) -> DataFrame:
     return substring.digests(read_table(spark, sf_dir, "documents"))
 
@@ -54,15 +62,21 @@ def op9_suffix(spark, sf_dir) -> DataFrame:
     return suffix.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op10_tiling(spark, sf_dir) -> DataFrame:
+    return tiling.tiled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_minhash": op2_minhash,
     "op3_mixing": op3_mixing,
     "op4_rules": op4_rules,
+    "op5_warc": op5_warc,
     "op6_substring": op6_substring,
     "op7_chat": op7_chat,
     "op8_langid": op8_langid,
     "op9_suffix": op9_suffix,
+    "op10_tiling": op10_tiling,
 }
 
 ORACLE_SQL: dict[str, str] = {}
