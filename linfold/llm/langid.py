@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm.texts import batch_of, byte_values, mix, pieces, signed, windows_hash
+from linfold.llm.texts import batch_of, byte_values, free_name, mix, pieces, signed, windows_hash
 
 GRAM = 4
 SLOTS = 1 << 20
@@ -134,37 +134,45 @@ def _place(planes: int):
     return run
 
 
+def _judge(part: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray, model: LanguageModel, table: np.ndarray,
+           letter: str) -> tuple[np.ndarray, np.ndarray]:
+    """Language (its number; one past the last: none) and score of each row of a piece."""
+    has_letter = part.column(part.schema.get_field_index(letter)).to_numpy(zero_copy_only=False)
+    rows, size = len(has_letter), len(model.languages)
+    if not size:
+        return np.zeros(rows, dtype=np.int64), np.zeros(rows)
+    hashes, first = _grams(raw, offsets)
+    n = np.diff(first)
+    masks = None
+    for slot in _slots(hashes):
+        got = table[slot]
+        masks = got if masks is None else masks & got
+    shares = np.zeros((rows, size))
+    for i in range(size):
+        total = np.concatenate(([0], np.cumsum((masks[:, i // 63] >> (i % 63)) & 1, dtype=np.int64)))
+        hits = total[first[1:]] - total[first[:-1]]
+        rate = model.false_positive[i]
+        shares[:, i] = np.clip((hits / np.maximum(n, 1) - rate) / max(1 - rate, 1e-9), 0, 1)
+    sums = shares.sum(axis=1)
+    best = np.where(sums > 0, shares.argmax(axis=1), model.languages.index(model.fallback))
+    score = np.where(sums > 0, shares.max(axis=1) / np.where(sums > 0, sums, 1), 0.0)
+    return np.where(has_letter, best, size), np.where(has_letter, score, 0.0)
+
+
+def _table(model: LanguageModel) -> np.ndarray:
+    """A filter of few languages in one byte for each slot stays in the CPU's cache."""
+    return model.filter.astype(np.uint8) if model.filter.shape[1] == 1 and len(model.languages) <= 7 else model.filter
+
+
 _PREDICTED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
 def _predict(shared):
     def run(batches):
         model = shared.value
-        table = model.filter
-        if table.shape[1] == 1 and len(model.languages) <= 8:
-            table = table.astype(np.uint8)
-        names = [*model.languages, UNKNOWN]
+        table, names = _table(model), [*model.languages, UNKNOWN]
         for part, raw, offsets in pieces(batches):
-            letter = part.column(part.schema.get_field_index("_letter")).to_numpy(zero_copy_only=False)
-            rows, size = len(letter), len(model.languages)
-            best, score = np.full(rows, size), np.zeros(rows)
-            if size:
-                hashes, first = _grams(raw, offsets)
-                n = np.diff(first)
-                masks = None
-                for slot in _slots(hashes):
-                    got = table[slot]
-                    masks = got if masks is None else masks & got
-                shares = np.zeros((rows, size))
-                for i in range(size):
-                    total = np.concatenate(([0], np.cumsum((masks[:, i // 63] >> (i % 63)) & 1, dtype=np.int64)))
-                    hits = total[first[1:]] - total[first[:-1]]
-                    rate = model.false_positive[i]
-                    shares[:, i] = np.clip((hits / np.maximum(n, 1) - rate) / max(1 - rate, 1e-9), 0, 1)
-                sums = shares.sum(axis=1)
-                best = np.where(sums > 0, shares.argmax(axis=1), names.index(model.fallback))
-                score = np.where(sums > 0, shares.max(axis=1) / np.where(sums > 0, sums, 1), 0.0)
-                best, score = np.where(letter, best, size), np.where(letter, score, 0.0)
+            best, score = _judge(part, raw, offsets, model, table, "_letter")
             yield batch_of(_PREDICTED, part.column(part.schema.get_field_index("doc_id")),
                            [names[i] for i in best], score)
     return run
@@ -179,6 +187,22 @@ def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text:
     return rows.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have a language: a letter, and an n-gram that some language has. No shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    body, letter = free_name(docs, "_text"), free_name(docs, "_letter")
+    plain = F.col(text).cast("string")
+    rows = docs.withColumns({body: _spaced(plain), letter: F.coalesce(plain.rlike(r"\p{L}"), F.lit(False))})
+    names = docs.columns
+
+    def run(batches):
+        table = _table(shared.value)
+        for part, raw, offsets in pieces(batches, body):
+            _, score = _judge(part, raw, offsets, shared.value, table, letter)
+            yield part.select(names).filter(pa.array(score > 0))
+    return rows.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text leaves 1 when divided by 3 (false for a null id)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))

@@ -35,11 +35,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.llm.components import components
-from linfold.llm.texts import Words, batch_of, mix, pieces, settled, signed, spans_hash, windows_hash
+from linfold.llm.texts import Words, batch_of, free_name, mix, pieces, settled, signed, spans_hash, windows_hash
 
 SHINGLE = 5
 PERCENT = 75
@@ -230,3 +230,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()))
+
+
+def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: one for each component, the one with its smallest id.
+
+    Rows without an id stay. Of rows that repeat an id, one stays (the first by its text's hash).
+    """
+    found = near_duplicates(docs, doc_id, text).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    found = settled(found.where("NOT kept OR n > 1"), "gone")
+    apart = found.select(F.col("doc_id").alias("_gone"))
+    alone = docs.join(apart, docs[doc_id].cast("long") == apart["_gone"], "left_anti")
+    again = found.where("kept").select(F.col("doc_id").alias("_again"))
+    if not again.limit(1).count():
+        return alone
+    order = free_name(docs, "_order")
+    first = docs.join(again, docs[doc_id].cast("long") == again["_again"], "left_semi").withColumn(
+        order, F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)))
+    return alone.unionByName(first.where(F.col(order) == 1).drop(order))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring, suffix, tiling, warczip
 from linfold.llm.texts import read_table
 from linfold.session import fresh_name, shared_dir
@@ -63,7 +64,7 @@ def op9_suffix(spark, sf_dir) -> DataFrame:
 
 
 def op10_tiling(spark, sf_dir) -> DataFrame:
-    return tiling.tiled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return tiling.tiled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("_k1", "_k2")
 
 
 QUERIES = {
@@ -77,6 +78,9 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_suffix": op9_suffix,
     "op10_tiling": op10_tiling,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

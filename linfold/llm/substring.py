@@ -114,29 +114,24 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
         _digest(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-_CUT = pa.schema([("_k1", pa.int64()), ("_k2", pa.int64()), ("_kept", pa.string())])
-
-
-def _cut(window: int):
-    def run(batches):
-        for part, raw, offsets in pieces(batches):
-            rows = [x[2].decode() for x in _cut_texts(part, raw, offsets, window)]
-            yield batch_of(_CUT, part.column(part.schema.get_field_index("_k1")),
-                           part.column(part.schema.get_field_index("_k2")), rows)
-    return run
-
-
 def cut(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` with repeated passages cut out of the text; rows without any keep theirs byte for byte.
+    """``docs`` with repeated passages cut out of the text, kept words joined by one space.
 
-    Only rows with something to cut take part in the second join, so most texts are shuffled once.
+    Texts without a repeated passage stay byte for byte (null ones too). All columns are carried.
     """
-    k1, k2, new = (free_name(docs, c) for c in ("_k1", "_k2", "_kept"))
-    rows = keyed(docs, doc_id, text)
-    runs = repeated_runs(rows, window)
-    changed = rows.join(runs, ["_k1", "_k2"]).select("_k1", "_k2", "_text", "firsts", "lasts").mapInArrow(
-        _cut(window), "_k1 long, _k2 long, _kept string").groupBy("_k1", "_k2").agg(F.first("_kept").alias("_kept"))
+    k1, k2, body, starts, ends = (free_name(docs, c) for c in ("_k1", "_k2", "_text", "_firsts", "_lasts"))
     keys = row_key(doc_id, text)
-    named = changed.select(F.col("_k1").alias(k1), F.col("_k2").alias(k2), F.col("_kept").alias(new))
-    both = docs.withColumns({k1: keys[0], k2: keys[1]}).join(named, [k1, k2], "left")
-    return both.withColumn(text, F.coalesce(new, text)).select(*docs.columns)
+    runs = repeated_runs(keyed(docs, doc_id, text), window).select(
+        F.col("_k1").alias(k1), F.col("_k2").alias(k2), F.col("firsts").alias(starts), F.col("lasts").alias(ends))
+    rows = docs.withColumns({k1: keys[0], k2: keys[1], body: F.col(text).cast("string")}).join(runs, [k1, k2], "left")
+    names, at = docs.columns, docs.columns.index(text)
+
+    def run(batches):
+        for part, raw, offsets in pieces(batches, body):
+            told = part.select([body, starts, ends]).rename_columns(["_text", "firsts", "lasts"])
+            n, _ = lists(told, "firsts")
+            kept = [x[2].decode() for x in _cut_texts(told, raw, offsets, window)]
+            old = part.column(part.schema.get_field_index(body))
+            new = pa.array([k if c else o.as_py() for k, c, o in zip(kept, n.tolist(), old)], type=pa.string())
+            yield part.select(names).set_column(at, text, new)
+    return rows.mapInArrow(run, docs.schema)

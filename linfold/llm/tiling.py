@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm.texts import Words, batch_of, keyed, pieces, settled, signed, windows_hash
+from linfold.llm.texts import Words, batch_of, free_name, keyed, pieces, row_key, settled, signed, windows_hash
 
 LEAST = 4
 COVERAGE = 0.5
@@ -110,8 +110,8 @@ def _union(places: np.ndarray, least: int) -> int:
 
 
 _HITS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_items", pa.int64()),
-                   ("item_id", pa.int64()), ("coverage", pa.float64())])
-_HITS_DDL = "doc_id long, n_tokens long, n_items long, item_id long, coverage double"
+                   ("item_id", pa.int64()), ("coverage", pa.float64()), ("_k1", pa.int64()), ("_k2", pa.int64())])
+_HITS_DDL = "doc_id long, n_tokens long, n_items long, item_id long, coverage double, _k1 long, _k2 long"
 
 
 def _scan(shared, least: int, threshold: float):
@@ -140,7 +140,8 @@ def _scan(shared, least: int, threshold: float):
                         found[doc[a]].append((-share, int(seeds.ids[item[a]])))
             best = [min(x) if x else (0.0, None) for x in found]
             yield batch_of(_HITS, part.column(part.schema.get_field_index("_id")), words.counts.astype(np.int64),
-                           [len({i for _, i in x}) for x in found], [i for _, i in best], [-s for s, _ in best])
+                           [len({i for _, i in x}) for x in found], [i for _, i in best], [-s for s, _ in best],
+                           *(part.column(part.schema.get_field_index(k)) for k in ("_k1", "_k2")))
     return run
 
 
@@ -196,7 +197,7 @@ def _plain(rows: DataFrame) -> DataFrame:
 def tiled(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
           item_text: str = "text", least: int = LEAST, threshold: float = COVERAGE,
           broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
-    """(doc_id, n_tokens, n_items, item_id, coverage, contaminated) of every row of ``docs``."""
+    """(doc_id, n_tokens, n_items, item_id, coverage, contaminated) of every row, with its row key (_k1, _k2)."""
     rows = _plain(keyed(docs, doc_id, text)).withColumn("_id", F.col("_id").cast("long"))
     items = _plain(benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("_text"))) \
         .where("item_id IS NOT NULL").distinct()
@@ -204,7 +205,7 @@ def tiled(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     if words <= broadcast_seeds:
         index = Seeds.of([(r["item_id"], r["_text"]) for r in items.orderBy("item_id", "_text").collect()], least)
         shared = docs.sparkSession.sparkContext.broadcast(index)  # at most broadcast_seeds entries
-        hits = rows.select("_id", "_text").mapInArrow(_scan(shared, least, threshold), _HITS_DDL)
+        hits = rows.mapInArrow(_scan(shared, least, threshold), _HITS_DDL)
     else:
         hits = _joined(rows, items, least, threshold)
     return hits.withColumn("contaminated", F.col("n_items") > 0)
@@ -230,7 +231,8 @@ def _joined(rows: DataFrame, items: DataFrame, least: int, threshold: float) ->
         "_text", F.lit(TOKEN)).cast("long").alias("n_tokens"))
     return counted.join(best, ["_k1", "_k2"], "left").select(
         F.col("_id").alias("doc_id"), "n_tokens", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        (-F.col("top")["col2"]).alias("item_id"), F.coalesce(F.col("top")["coverage"], F.lit(0.0)).alias("coverage"))
+        (-F.col("top")["col2"]).alias("item_id"), F.coalesce(F.col("top")["coverage"], F.lit(0.0)).alias("coverage"),
+        "_k1", "_k2")
 
 
 _ITEM_SEEDS = pa.schema([("item", pa.int64()), ("seed", pa.int64()), ("place", pa.int32()), ("size", pa.int32())])
@@ -246,3 +248,11 @@ def _item_seeds(least: int):
                 yield batch_of(_ITEM_SEEDS, part.column(0).take(pa.array(row)), signed(windows_hash(hashes, least)[at]),
                                (at - words.first[row]).astype(np.int32), words.counts[row].astype(np.int32))
     return run
+
+
+def clean(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``found`` (of ``tiled``) does not call contaminated."""
+    k1, k2 = free_name(docs, "_k1"), free_name(docs, "_k2")
+    keys = row_key(doc_id, text)
+    gone = found.where("contaminated").select(F.col("_k1").alias(k1), F.col("_k2").alias(k2)).distinct()
+    return docs.withColumns({k1: keys[0], k2: keys[1]}).join(gone, [k1, k2], "left_anti").select(*docs.columns)
