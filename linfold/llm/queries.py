@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring, suffix, tiling, warczip
+from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring, suffix, tiling, twins, warczip
 from linfold.llm.texts import read_table
 from linfold.session import fresh_name, shared_dir
 
@@ -81,6 +81,6 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = dict(twins.ORACLE_SQL)
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
