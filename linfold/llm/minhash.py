@@ -12,21 +12,22 @@ shingle; no word, no set). Documents are linked if their sets' Jaccard similarit
 2. *Equal sets* collapse to one representative (its smallest id); copies never make pairs.
 3. *Banding.* ``ROWS`` coordinates make a band; sets that share a band meet in its bucket. A pair at
    the threshold shares none of the bands with a probability of about 2.4e-8.
-4. *Exact verification* on the full sets, in rounds that never list a bucket's pairs:
+4. *Exact verification* on the full sets, without listing a bucket's pairs:
    a) each set against one hub (the smallest id of a bucket it is in; the hub it shares most bands
    with); links give components; b) only buckets that still hold several components are looked at
-   again: their members outside the largest component are compared, sketch by sketch, with all
-   members of other components, in blocks of at most ``BLOCK`` x ``BLOCK`` (a bucket of any size is
-   many such tasks); each then has its best partner of each component verified; c) what is still
-   apart has all its remaining partners verified whose sketches agree in ``LEAST_EQUAL`` coordinates
-   (a pair at the threshold has fewer with a probability of about 1e-6). Links inside a component
+   again: their members outside the largest component meet all members of other components, in
+   tasks of at most ``BLOCK`` x ``BLOCK``, so a bucket of any size is many such tasks. A pair goes on
+   if its sizes allow the threshold, its sketches agree in ``LEAST_EQUAL`` coordinates (a pair at the
+   threshold has fewer with a probability of about 1e-7) and this is the first bucket that it
+   shares; the task fetches the texts of such members and tests their pairs, best first, until the
+   components are joined. Only links that join components leave the task. Links inside a component
    need no test, as they change nothing.
 
-Texts are shuffled once, to fetch those of sets that share a bucket with another.
+Texts are shuffled once, to fetch those of sets that share a bucket with another; the tests read them from there.
 
 Defined results: null and empty texts have no set: n_shingles 0, a component of their own. Repeated
 rows share their set and so their component; both then carry the same id, so both are ``kept`` if
-it is the smallest. Null ids take part in no link unless their set equals one with an id; their
+it is the smallest. An id with several texts is judged by one of them beyond equal sets. Null ids take part in no link unless their set equals one with an id; their
 component is that set's, or null, and they are ``kept`` if it is null. Other columns are not read.
 """
 
@@ -149,48 +150,95 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return settled(both.mapInArrow(_verify, "a long, b long, linked boolean"), "verified")
 
 
-def _compare(best_only: bool):
-    """Candidate pairs of one task: ``minor`` members against ``home`` members of another component."""
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        minor, home = group[group["minor"]], group[~group["minor"]]
-        if not len(minor) or not len(home):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+def _compare(group: pd.DataFrame) -> pd.DataFrame:
+    """Candidate pairs of one task, as two lists, best first: ``minor`` members against ``home`` members."""
+    minor, home = group[group["minor"]], group[~group["minor"]].sort_values(["n", "doc_id"])
+    a, b, best = [], [], []
+    if len(minor) and len(home):
         x = np.frombuffer(b"".join(minor["coords"]), dtype=np.uint16).reshape(len(minor), COORDINATES)
         y = np.frombuffer(b"".join(home["coords"]), dtype=np.uint16).reshape(len(home), COORDINATES)
-        xi, yi = minor["doc_id"].to_numpy(), home["doc_id"].to_numpy()
-        xc, yc = minor["comp"].to_numpy(), home["comp"].to_numpy()
-        found = []
+        xi, xc, xn = (minor[c].to_numpy() for c in ("doc_id", "comp", "n"))
+        yi, yc, yn, ym = (home[c].to_numpy() for c in ("doc_id", "comp", "n", "major"))
+        band = int(group["band"].iloc[0])
+        low = np.searchsorted(yn * 100, xn * PERCENT, side="left")
+        high = np.searchsorted(yn * PERCENT, xn * 100, side="right")
         for k in range(len(xi)):
-            equal = (y == x[k]).sum(axis=1)
-            fit = np.flatnonzero((equal >= LEAST_EQUAL) & (yc != xc[k]))
-            if best_only and len(fit):
-                fit = fit[np.lexsort((yi[fit], -equal[fit], yc[fit]))]
-                fit = fit[np.concatenate(([True], yc[fit][1:] != yc[fit][:-1]))]
-            found.append(np.stack((np.minimum(xi[k], yi[fit]), np.maximum(xi[k], yi[fit])), axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-    return run
-
-
-def _open_pairs(members: DataFrame, comps: DataFrame, coords: DataFrame, best_only: bool) -> DataFrame:
-    """Distinct candidate pairs (a, b) of different components from the buckets that hold several."""
+            at = slice(low[k], high[k])
+            equal = y[at] == x[k]
+            count = np.count_nonzero(equal, axis=1)
+            # both outside the largest component: they meet twice, one of the two counts
+            fit = np.flatnonzero((count >= LEAST_EQUAL) & (yc[at] != xc[k]) & ((yc[at] == ym[at]) | (yi[at] > xi[k])))
+            if band and len(fit):
+                fit = fit[~equal[fit, :band * ROWS].reshape(len(fit), band, ROWS).all(axis=2).any(axis=1)]
+            a.append(np.full(len(fit), xi[k]))
+            b.append(yi[at][fit])
+            best.append(count[fit])
+    if not a or not sum(map(len, a)):
+        return pd.DataFrame({c: pd.Series([], dtype=t) for c, t in (
+            ("key", "int64"), ("i", "int32"), ("j", "int32"), ("a", object), ("b", object))})
+    order = np.argsort(-np.concatenate(best), kind="stable")
+    first = group.iloc[0]
+    return pd.DataFrame({"key": [first["key"]], "i": [first["i"]], "j": [first["j"]],
+                         "a": [np.concatenate(a)[order].tolist()], "b": [np.concatenate(b)[order].tolist()]})
+
+
+def _test(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    """Links of one task that join components, from its pairs (best first) and its members' texts."""
+    at, sets, up = {}, [], {}
+    batch = pa.RecordBatch.from_pandas(members[["_text"]].reset_index(drop=True), preserve_index=False)
+    for i, (doc, comp) in enumerate(zip(members["doc_id"].tolist(), members["comp"].tolist(), strict=True)):
+        at[doc] = i
+        up[comp] = comp
+    for part, raw, offsets in pieces([batch]):
+        row, value = shingles(raw, offsets)
+        cut = np.searchsorted(row, np.arange(part.num_rows + 1))
+        sets += [value[x:y] for x, y in zip(cut, cut[1:])]
+    comps = members["comp"].tolist()
+
+    def root(c):
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+    found = []
+    for a, b in zip(np.concatenate(pairs["a"].tolist()).tolist(), np.concatenate(pairs["b"].tolist()).tolist()):
+        x, y = root(comps[at[a]]), root(comps[at[b]])
+        if x != y:
+            p, q = sets[at[a]], sets[at[b]]
+            common = len(np.intersect1d(p, q, assume_unique=True))
+            if common and 100 * common >= PERCENT * (len(p) + len(q) - common):
+                up[x] = y
+                found.append((a, b))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def _open_links(members: DataFrame, comps: DataFrame, coords: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join components, from the buckets that hold several."""
     known = comps.select(F.col("node").alias("doc_id"), F.col("component").alias("c"))
-    rows = members.join(known, "doc_id", "left").select("key", "doc_id", F.coalesce("c", "doc_id").alias("comp"))
-    per = rows.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    sums = per.groupBy("key").agg(F.count("*").alias("comps"), F.sum("n").alias("m"),
-                                  F.max(F.struct("n", "comp")).alias("top")).where("comps > 1") \
-        .select("key", "m", F.col("top")["comp"].alias("major"), F.col("top")["n"].alias("majors"))
+    rows = settled(members.join(known, "doc_id", "left").select(
+        "key", "band", "doc_id", F.coalesce("c", "doc_id").alias("comp")), "placed")
+    per = rows.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    sums = per.groupBy("key").agg(F.count("*").alias("comps"), F.sum("m").alias("m"),
+                                  F.max(F.struct("m", "comp")).alias("top")).where("comps > 1") \
+        .select("key", "m", F.col("top")["comp"].alias("major"), F.col("top")["m"].alias("majors"))
     got = rows.join(sums, "key").join(coords, "doc_id")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     minor_blocks = F.ceil((F.col("m") - F.col("majors")) / BLOCK).cast("int")
     place = F.pmod(F.xxhash64("doc_id"), blocks.cast("long")).cast("int")
     minor_place = F.pmod(F.xxhash64("doc_id", F.lit(1)), minor_blocks.cast("long")).cast("int")
-    home = got.select("key", "doc_id", "comp", "coords", F.lit(False).alias("minor"), place.alias("j"),
+    columns = ("key", "band", "doc_id", "comp", "major", "n", "coords")
+    home = got.select(*columns, F.lit(False).alias("minor"), place.alias("j"),
                       F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"))
-    minor = got.where("comp <> major").select("key", "doc_id", "comp", "coords", F.lit(True).alias("minor"),
-                                              minor_place.alias("i"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    return home.unionByName(minor).groupBy("key", "i", "j").applyInPandas(
-        _compare(best_only), "a long, b long").distinct()
+    minor = got.where("comp <> major").select(*columns, F.lit(True).alias("minor"), minor_place.alias("i"),
+                                              F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
+    found = settled(home.unionByName(minor.select(home.columns)).groupBy("key", "i", "j").applyInPandas(
+        _compare, "key long, i int, j int, a array<long>, b array<long>"), "candidates")
+    wanted = found.select("key", "i", "j", F.explode(F.array_distinct(F.concat("a", "b"))).alias("doc_id"))
+    fetched = wanted.join(texts.select("doc_id", F.col("text").alias("_text")), "doc_id").join(known, "doc_id", "left") \
+        .select(F.col("key").alias("k"), F.col("i").alias("x"), F.col("j").alias("y"), "doc_id",
+                F.coalesce("c", "doc_id").alias("comp"), "_text")
+    return settled(found.groupBy("key", "i", "j").cogroup(fetched.groupBy("k", "x", "y")).applyInPandas(
+        lambda p, m: _test(p, m), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,27 +251,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # The representative's own row has the sketch.
     reps = sets.where("rep IS NOT NULL").join(
         sketched.select(F.col("doc_id").alias("rep"), "h1", "h2", "n", "bands", "coords"), ["h1", "h2", "n", "rep"])
-    banded = reps.select(F.col("rep").alias("doc_id"), F.explode("bands").alias("key"))
+    banded = reps.select(F.col("rep").alias("doc_id"), F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("hub")).where("m > 1")
     members = settled(banded.join(buckets.select("key", "hub"), "key").distinct(), "members")
     nodes = members.select("doc_id").distinct()
-    texts = settled(rows.select("doc_id", F.col("_text").alias("text")).join(nodes, "doc_id", "left_semi"), "texts")
-    coords = settled(reps.select(F.col("rep").alias("doc_id"), "coords").join(nodes, "doc_id", "left_semi"), "coords")
+    texts = settled(rows.select("doc_id", F.col("_text").alias("text")).join(nodes, "doc_id", "left_semi")
+                    .dropDuplicates(["doc_id"]), "texts")
+    coords = settled(reps.select(F.col("rep").alias("doc_id"), "n", "coords").dropDuplicates(["doc_id"]).join(nodes, "doc_id", "left_semi"), "coords")
     # a) one hub for each member
     shared = members.where("doc_id <> hub").groupBy("doc_id", "hub").agg(F.count("*").alias("n"))
     first = shared.groupBy("doc_id").agg(F.max(F.struct("n", -F.col("hub"))).alias("top")).select(
         (-F.col("top")["col2"]).alias("a"), F.col("doc_id").alias("b"))
-    tested = _verified(first, texts)
-    links = tested.where("linked").select("a", "b")
+    links = _verified(first, texts).where("linked").select("a", "b")
     comps = components(links)
-    # b) the best partner of each component, c) all partners, of what is still apart
-    for best_only in (True, False):
-        pairs = _open_pairs(members, comps, coords, best_only).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        more = _verified(pairs, texts)
-        tested = tested.unionByName(more)
-        if more.where("linked").limit(1).count():
-            links = links.unionByName(more.where("linked").select("a", "b"))
-            comps = components(links)
+    more = _open_links(members, comps, coords, texts)
+    if more.limit(1).count():
+        comps = components(links.unionByName(more))
     found = sets.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
     out = sketched.select("doc_id", "n", "h1", "h2").join(found, ["h1", "h2", "n"], "left")
