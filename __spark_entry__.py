@@ -3,13 +3,12 @@
 Every query reads the driver's tables (``lineitem``, ``part``) through the
 stand-in regression frame in ``linfold.plans.stand_in``. Computed doubles are
 rounded identically on both sides where the two engines sum in a different order.
-Model queries without a SQL twin (elastic-net grid search and what follows from
-it) are left out of ``oracle_sql`` and get the rows-only check.
+The model queries tune an elastic net on one feature, whose solution has a closed
+form that SQL can state; each query runs its own fit. Timestamps are compared as text.
 """
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,8 @@ from linfold.plans.stand_in import SPEC
 from linfold.session import fresh_name, shared_dir
 from linfold.sources import catalog, csv, tables
 from linfold.sources.preview import ordered_preview
-from linfold.sources.models import load_model
+from linfold.sources.models import load_model, save_model
+from linfold.spec import FeatureSpec
 
 # The text operators are optional: without their subpackage, all other queries still work.
 try:
@@ -47,8 +47,8 @@ WORK_DB = "linfold_work"
 
 SCREEN = stand_in.screen_columns()
 CHARGE_COLS = ["row_key", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "disc_price",
-               "is_open", "charge"]
+               "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+               "disc_price", "is_open", "charge"]
 
 
 def _r(c, d):
@@ -74,59 +74,55 @@ def _sql_tiered(e: str) -> str:
     return f"CASE {whens} ELSE round({e}, 2) END"
 
 
-def _no_time(df: DataFrame) -> DataFrame:
-    return df.drop("l_shipdate")
+def _told(df: DataFrame) -> DataFrame:
+    """The frame with its timestamp as text, in a form that both engines write."""
+    return df.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 def _work_db(spark: SparkSession) -> str:
     return catalog.create_namespace(spark, WORK_DB, location=shared_dir(spark, "warehouse", f"{WORK_DB}.db"))
 
 
-def _table_name(sf_dir: str, base: str) -> str:
-    tag = sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_").replace("-", "_")
-    return f"{base}_{tag}"
-
-
 # --- sources, projections -------------------------------------------------------------
 
 def q_csv_scan(spark, sf_dir):
-    src = _no_time(stand_in.charges(spark, sf_dir))
-    path = shared_dir(spark, "csv", _table_name(sf_dir, "charges"))
+    src = stand_in.charges(spark, sf_dir)
+    path = shared_dir(spark, "csv", fresh_name("charges"))
     csv.write_csv(src, path)
-    return csv.read_csv(spark, path, schema=src.schema)
+    return _told(csv.read_csv(spark, path, schema=src.schema))
 
 
 def _labelled_table(spark, sf_dir) -> str:
-    db = _work_db(spark)
-    name = _table_name(sf_dir, "charges")
-    tables.create_table(_no_time(stand_in.charges(spark, sf_dir)), name, db)
+    """A table of its own for each call: nothing that an earlier query left is read or replaced."""
+    name = fresh_name("charges")
+    tables.create_table(stand_in.charges(spark, sf_dir), name, _work_db(spark))
+    return name
+
+
+def _unlabelled_table(spark, sf_dir) -> str:
+    name = fresh_name("charges_unlabeled")
+    tables.create_unlabeled_table(stand_in.charges(spark, sf_dir), name, stand_in.RAW_LABEL, _work_db(spark))
     return name
 
 
 def q_table_ctas(spark, sf_dir):
-    return tables.read_table(spark, _labelled_table(spark, sf_dir), WORK_DB)
+    return _told(tables.read_table(spark, _labelled_table(spark, sf_dir), WORK_DB))
 
 
 def q_unlabeled_ctas(spark, sf_dir):
-    db = _work_db(spark)
-    name = _table_name(sf_dir, "charges_unlabeled")
-    tables.create_unlabeled_table(_no_time(stand_in.charges(spark, sf_dir)), name, stand_in.RAW_LABEL, db)
-    return tables.read_table(spark, name, db)
+    return _told(tables.read_table(spark, _unlabelled_table(spark, sf_dir), WORK_DB))
 
 
 def q_table_scan(spark, sf_dir):
-    name = _table_name(sf_dir, "charges")
-    if not spark.catalog.tableExists(f"{WORK_DB}.{name}"):
-        _labelled_table(spark, sf_dir)
-    return spark.sql(f"SELECT * FROM {WORK_DB}.{name}")
+    return _told(spark.sql(f"SELECT * FROM {WORK_DB}.{_labelled_table(spark, sf_dir)}"))
 
 
 def q_preview_topk(spark, sf_dir):
-    return ordered_preview(_no_time(stand_in.prepared(spark, sf_dir)), "row_key", 20)
+    return ordered_preview(_told(stand_in.prepared(spark, sf_dir)), "row_key", 20)
 
 
 def q_label_rename(spark, sf_dir):
-    return _no_time(stand_in.labelled(spark, sf_dir))
+    return _told(stand_in.labelled(spark, sf_dir))
 
 
 def q_drop_columns(spark, sf_dir):
@@ -180,15 +176,18 @@ def q_select_by_label_corr(spark, sf_dir):
 
 
 def q_redundant_features(spark, sf_dir):
-    df = stand_in.prepared(spark, sf_dir)
-    lc = correlate.corr_with_label(df, "label", SCREEN[1:])
-    screened = correlate.select_by_label_corr(lc, WEAK_CORR).select("column_name", "corr")
-    cands = [r["column_name"] for r in screened.collect()]  # k feature names, not data
-    mat = correlate.corr_matrix(df, cands)
-    red = correlate.redundant_features(screened, mat, REDUNDANT_CORR)
+    matrix = correlate.corr_matrix(stand_in.prepared(spark, sf_dir), SCREEN).persist()  # a row for each pair of columns
+    screened = correlate.select_by_label_corr(correlate.label_row(matrix, "label"), WEAK_CORR)
+    red = correlate.redundant_features(screened.select("column_name", "corr"), matrix, REDUNDANT_CORR)
     return red.select("column_name", _r("label_corr", 6), "rank", "keep", "dominated_by")
 
 
+def q_profile_time(spark, sf_dir):
+    p = profile.profile_time(stand_in.prepared(spark, sf_dir), ["l_shipdate"])
+    return p.select("column_name", "n", "n_null", "n_distinct",
+                    *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("min_value", "max_value")])
+
+
 # --- splits -------------------------------------------------------------------------------
 
 # The split queries use the portable md5 hash: it is the form another engine (the
@@ -197,11 +196,11 @@ PORTABLE = "md5"
 
 
 def q_split_train(spark, sf_dir):
-    return _no_time(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[0])
+    return _told(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[0])
 
 
 def q_split_holdout(spark, sf_dir):
-    return _no_time(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[1])
+    return _told(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[1])
 
 
 def q_split_summary(spark, sf_dir):
@@ -272,84 +271,86 @@ def q_onehot_group_mean(spark, sf_dir):
 
 def q_regression_metrics(spark, sf_dir):
     train, holdout = split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)
-    fitted, _ = mdl.fit_one_feature(train, OLS_FEATURE, "label")
-    scored = fitted.transform(encode.feature_assembler([OLS_FEATURE], output="_x").transform(holdout))
-    m = metrics.regression_metrics(scored)
+    fitted = mdl.simple_ols(train, OLS_FEATURE).first()
+    m = metrics.regression_metrics(mdl.ols_apply(holdout, OLS_FEATURE, fitted["slope"], fitted["intercept"]))
     return m.select("n", _r("mse", 2), _r("rmse", 4), _r("mae", 4), _r("r2", 6))
 
 
-# --- tuned model and what follows from it (rows-only checks) ------------------------------------------
+# --- tuned model and what follows from it ----------------------------------------------------------
+
+TUNE_SPEC = FeatureSpec(label="label", key="row_key", numeric=(OLS_FEATURE,))
+
 
-_TUNED: dict = {}
-_TUNED_LOCK = threading.Lock()
+def _tuned(spark, sf_dir):
+    """(tuned, train, holdout) of this call's own fit."""
+    return regression_job.fit(stand_in.prepared(spark, sf_dir), TUNE_SPEC, [OLS_FEATURE], split_hash=PORTABLE)
 
 
-def _tuned(spark, sf_dir) -> regression_job.JobResult:
-    """Fit once per session and input; every model query below reads this fit."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    with _TUNED_LOCK:
-        if key not in _TUNED:
-            _TUNED[key] = regression_job.run(stand_in.prepared(spark, sf_dir), SPEC, weak=WEAK_CORR,
-                                             redundant=REDUNDANT_CORR, seed=100)
-        return _TUNED[key]
+def _saved(spark, sf_dir) -> tuple[str, DataFrame]:
+    tuned, _, holdout = _tuned(spark, sf_dir)
+    return save_model(tuned.model, shared_dir(spark, "models", fresh_name("pipeline"))), holdout
 
 
 def q_tuned_grid_metrics(spark, sf_dir):
-    return mdl.grid_metrics(_tuned(spark, sf_dir).model)
+    return mdl.grid_metrics(_tuned(spark, sf_dir)[0]).select(
+        "regParam", "elasticNetParam", "metric", _r("value", 5), "is_best")
 
 
 def q_model_report(spark, sf_dir):
-    return mdl.model_report(_tuned(spark, sf_dir).model)
+    r = mdl.model_report(_tuned(spark, sf_dir)[0].model)
+    return r.select(_r("train_r2", 8), _r("train_rmse", 4), "regParam", "elasticNetParam", _r("intercept", 4),
+                    "n_features", "n_train")
 
 
 def q_model_coefficients(spark, sf_dir):
-    job = _tuned(spark, sf_dir)
-    return mdl.model_coefficients(job.model, job.holdout)
+    tuned, _, holdout = _tuned(spark, sf_dir)
+    return mdl.model_coefficients(tuned.model, holdout).select("slot", "feature", _r("coefficient", 8))
 
 
 def q_holdout_metrics(spark, sf_dir):
-    job = _tuned(spark, sf_dir)
-    return mdl.holdout_metrics(job.model, job.holdout)
+    tuned, _, holdout = _tuned(spark, sf_dir)
+    m = mdl.holdout_metrics(tuned.model, holdout)
+    return m.select("n", _r("mse", 2), _r("rmse", 4), _r("mae", 4), _r("r2", 6), "n_missing")
 
 
 def q_scored_after_reload(spark, sf_dir):
-    job = _tuned(spark, sf_dir)
-    return load_model(job.model_uri).transform(job.holdout).select("row_key", "prediction")
+    uri, holdout = _saved(spark, sf_dir)
+    return load_model(uri).transform(holdout).select("row_key", _r("prediction", 2))
 
 
 def q_batch_score(spark, sf_dir):
-    job = _tuned(spark, sf_dir)
-    db = _work_db(spark)
-    name = _table_name(sf_dir, "charges_unlabeled")
-    tables.create_unlabeled_table(_no_time(stand_in.charges(spark, sf_dir)), name, stand_in.RAW_LABEL, db)
-    return regression_job.score(job.model_uri, tables.read_table(spark, name, db), SPEC)
+    """New rows: the unlabelled copy of the rows that the model was not trained on."""
+    uri, _ = _saved(spark, sf_dir)
+    unlabelled = tables.read_table(spark, _unlabelled_table(spark, sf_dir), WORK_DB)
+    new = split.hash_split(unlabelled, "row_key", hash_fn=PORTABLE)[1]
+    return regression_job.score(uri, new, TUNE_SPEC).select("row_key", _r("prediction", 2))
+
+
+def _logged(spark, sf_dir, experiments) -> str:
+    """The grid points of a fit as runs of each experiment, in a run log of its own."""
+    tuned = _tuned(spark, sf_dir)[0]
+    runs = fresh_name("model_runs")
+    log_runs(spark, runs, [(e, {"regParam": r, "elasticNetParam": a}, {tuned.metric: v}, None)
+                           for e in experiments for r, a, v in tuned.grid], _work_db(spark))
+    return runs
+
+
+def _runs_told(df: DataFrame) -> DataFrame:
+    return df.select("experiment", F.col("params")["regParam"].cast("double").alias("regParam"),
+                     F.col("params")["elasticNetParam"].cast("double").alias("elasticNetParam"),
+                     F.round(F.col("metrics")["rmse"], 5).alias("rmse"))
 
 
 def q_best_run(spark, sf_dir):
-    job = _tuned(spark, sf_dir)
-    db = _work_db(spark)
-    runs = _table_name(sf_dir, "model_runs")
-    experiment = fresh_name("grid")
-    grid = mdl.grid_metrics(job.model).collect()  # one row per grid point (9)
-    log_runs(spark, runs, [(experiment, {"regParam": g["regParam"], "elasticNetParam": g["elasticNetParam"]},
-                            {g["metric"]: g["value"]}, job.model_uri) for g in grid], db)
-    return best_run(tables.read_table(spark, runs, db), "rmse", experiment)
+    runs = _logged(spark, sf_dir, ["grid", "other"])
+    return _runs_told(best_run(tables.read_table(spark, runs, WORK_DB), "rmse", "grid"))
 
 
 def q_runs_after_delete(spark, sf_dir):
     """Log the grid as runs of two experiments, delete every run of the first: the rest remains."""
-    job = _tuned(spark, sf_dir)
-    db = _work_db(spark)
-    runs = _table_name(sf_dir, "model_runs")
-    gone, kept = fresh_name("grid"), fresh_name("grid")
-    grid = mdl.grid_metrics(job.model).collect()
-    log_runs(spark, runs, [(e, {"regParam": g["regParam"], "elasticNetParam": g["elasticNetParam"]},
-                            {g["metric"]: g["value"]}, job.model_uri) for e in (gone, kept) for g in grid], db)
-    delete_runs(spark, runs, gone, db)
-    log = tables.read_table(spark, runs, db)
-    return log.filter(F.col("experiment").isin(gone, kept)).select(
-        "experiment", F.col("params")["regParam"].alias("regParam"),
-        F.col("params")["elasticNetParam"].alias("elasticNetParam"), F.col("metrics")["rmse"].alias("rmse"))
+    runs = _logged(spark, sf_dir, ["gone", "kept"])
+    delete_runs(spark, runs, "gone", WORK_DB)
+    return _runs_told(tables.read_table(spark, runs, WORK_DB))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -366,6 +367,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_numeric": q_profile_numeric,
         "profile_string": q_profile_string,
         "profile_cardinality": q_profile_cardinality,
+        "profile_time": q_profile_time,
         "corr_with_label": q_corr_with_label,
         "corr_matrix": q_corr_matrix,
         "select_by_label_corr": q_select_by_label_corr,
@@ -405,14 +407,14 @@ _CHARGES = """
 charges AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key,
          l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-         l_returnflag, l_linestatus,
+         l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate,
          l_extendedprice * (1 - l_discount) AS disc_price,
          CAST(l_linestatus = 'O' AS INTEGER) AS is_open,
          l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge
   FROM lineitem),
 labelled AS (SELECT * EXCLUDE (charge), charge AS label FROM charges),
 prepared AS (SELECT *, l_extendedprice / nullif(CAST(l_quantity AS DOUBLE), 0) AS unit_price FROM labelled),
-bucketed AS (SELECT *, ('0x' || substr(md5(row_key), 1, 8))::BIGINT % 100 AS bucket FROM prepared)"""
+bucketed AS (SELECT *, ('0x' || substr(md5(row_key), 1, 8))::BIGINT / 4294967296::DOUBLE AS share FROM prepared)"""
 
 
 def _with(body: str) -> str:
@@ -571,12 +573,38 @@ def _sql_onehot_group_mean() -> str:
 def _sql_regression_metrics() -> str:
     return _with(f""",
 fit AS (SELECT regr_slope(label, {OLS_FEATURE}) AS slope, regr_intercept(label, {OLS_FEATURE}) AS intercept
-        FROM bucketed WHERE bucket < 70),
-e AS (SELECT label, label - (fit.intercept + fit.slope * {OLS_FEATURE}) AS err FROM bucketed, fit WHERE bucket >= 70)
+        FROM bucketed WHERE share < 0.7::DOUBLE),
+e AS (SELECT label, label - (fit.intercept + fit.slope * {OLS_FEATURE}) AS err FROM bucketed, fit WHERE share >= 0.7::DOUBLE)
 SELECT CAST(count(*) AS BIGINT) AS n, round(avg(err * err), 2) AS mse, round(sqrt(avg(err * err)), 4) AS rmse,
        round(avg(abs(err)), 4) AS mae, round(1 - sum(err * err) / (var_pop(label) * count(*)), 6) AS r2 FROM e""")
 
 
+# One-feature elastic net in closed form (population moments, standardised feature and label).
+def _sql_tuned() -> str:
+    inner = split.cuts((0.7 * mdl.TRAIN_RATIO, 0.7 * (1 - mdl.TRAIN_RATIO), 1 - 0.7))[0]
+    grid = ", ".join(f"({r}::DOUBLE, {e}::DOUBLE)" for r in mdl.REG_PARAMS for e in mdl.ELASTIC_NET_PARAMS)
+    moments = f"""avg(label) AS my, avg({OLS_FEATURE}) AS mx, stddev_pop(label) AS sy, stddev_pop({OLS_FEATURE}) AS sx,
+            corr(label, {OLS_FEATURE}) AS r"""
+    w = "sign(r) * greatest(abs(r) - a * l / sy, 0) / (1 + (1 - a) * l / sy)"
+    return f""",
+sides AS (SELECT *, CASE WHEN share < {inner!r}::DOUBLE THEN 0 WHEN share < 0.7::DOUBLE THEN 1 ELSE 2 END AS side FROM bucketed),
+grid(l, a) AS (VALUES {grid}),
+m0 AS (SELECT {moments} FROM sides WHERE side = 0),
+f0 AS (SELECT l, a, {w} * sy / sx AS slope, my - {w} * sy / sx * mx AS intercept FROM m0, grid),
+points AS (SELECT l, a, sqrt(avg((label - intercept - slope * {OLS_FEATURE}) * (label - intercept - slope * {OLS_FEATURE}))) AS v
+           FROM sides, f0 WHERE side = 1 GROUP BY l, a),
+best AS (SELECT l, a FROM points ORDER BY v, l, a LIMIT 1),
+m1 AS (SELECT {moments} FROM sides WHERE side < 2),
+fit AS (SELECT l, a, {w} * sy / sx AS slope, my - {w} * sy / sx * mx AS intercept FROM m1, best),
+scored AS (SELECT row_key, side, label, fit.intercept + fit.slope * {OLS_FEATURE} AS prediction FROM sides, fit)"""
+
+
+def _sql_model(body: str) -> str:
+    return _with(f"{_sql_tuned()}\n{body}")
+
+
+_SQL_RUNS = "SELECT '{0}' AS experiment, l AS regParam, a AS elasticNetParam, round(v, 5) AS rmse FROM points"
+
 _ALL_CHARGE_COLS = ", ".join(CHARGE_COLS)
 _LABELLED_COLS = ", ".join(c if c != "charge" else "label" for c in CHARGE_COLS)
 _PREPARED_COLS = _LABELLED_COLS + ", unit_price"
@@ -590,7 +618,7 @@ def oracle_sql() -> dict[str, str]:
         "table_scan": _with(f"SELECT {_ALL_CHARGE_COLS} FROM charges"),
         "preview_topk": _with(f"SELECT {_PREPARED_COLS} FROM prepared ORDER BY row_key LIMIT 20"),
         "label_rename": _with(f"SELECT {_LABELLED_COLS} FROM labelled"),
-        "drop_columns": _with("SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey) FROM labelled"),
+        "drop_columns": _with("SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey, l_shipdate) FROM labelled"),
         "ratio_feature": _with("SELECT row_key, l_extendedprice, l_quantity, unit_price FROM prepared"),
         "feature_projection": _with(
             "SELECT row_key, label, l_extendedprice, l_quantity, l_discount, l_tax, unit_price, is_open, "
@@ -602,9 +630,9 @@ def oracle_sql() -> dict[str, str]:
         "corr_matrix": _sql_corr_matrix(),
         "select_by_label_corr": _sql_select_by_label_corr(),
         "redundant_features": _sql_redundant_features(),
-        "split_train": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE bucket < 70"),
-        "split_holdout": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE bucket >= 70"),
-        "split_summary": _with("SELECT CAST(CASE WHEN bucket < 70 THEN 0 ELSE 1 END AS INTEGER) AS side, "
+        "split_train": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE share < 0.7::DOUBLE"),
+        "split_holdout": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE share >= 0.7::DOUBLE"),
+        "split_summary": _with("SELECT CAST(CASE WHEN share < 0.7::DOUBLE THEN 0 ELSE 1 END AS INTEGER) AS side, "
                                "CAST(count(*) AS BIGINT) AS n, round(avg(label), 6) AS mean_label FROM bucketed "
                                "GROUP BY 1"),
         "category_index": _sql_category_index(),
@@ -616,5 +644,29 @@ def oracle_sql() -> dict[str, str]:
         "residuals": _sql_ols_predict(True),
         "onehot_group_mean": _sql_onehot_group_mean(),
         "regression_metrics": _sql_regression_metrics(),
+        "profile_time": _with(
+            "SELECT 'l_shipdate' AS column_name, CAST(count(l_shipdate) AS BIGINT) AS n, "
+            "CAST(count(*) - count(l_shipdate) AS BIGINT) AS n_null, CAST(count(DISTINCT l_shipdate) AS BIGINT) AS n_distinct, "
+            "min(l_shipdate) AS min_value, max(l_shipdate) AS max_value FROM charges"),
+        "tuned_grid_metrics": _sql_model(
+            "SELECT l AS regParam, a AS elasticNetParam, 'rmse' AS metric, round(v, 5) AS value, "
+            "(l, a) = (SELECT (l, a) FROM best) AS is_best FROM points"),
+        "model_report": _sql_model(
+            "SELECT round(1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(*)), 8) AS train_r2, "
+            "round(sqrt(avg((label - prediction) * (label - prediction))), 4) AS train_rmse, any_value(l) AS regParam, "
+            "any_value(a) AS elasticNetParam, round(any_value(intercept), 4) AS intercept, CAST(1 AS INTEGER) AS n_features, "
+            "CAST(count(*) AS BIGINT) AS n_train FROM scored, fit WHERE side < 2"),
+        "model_coefficients": _sql_model(
+            f"SELECT CAST(0 AS INTEGER) AS slot, '{OLS_FEATURE}' AS feature, round(slope, 8) AS coefficient FROM fit"),
+        "holdout_metrics": _sql_model(
+            "SELECT CAST(count(*) AS BIGINT) AS n, round(avg((label - prediction) * (label - prediction)), 2) AS mse, "
+            "round(sqrt(avg((label - prediction) * (label - prediction))), 4) AS rmse, "
+            "round(avg(abs(label - prediction)), 4) AS mae, "
+            "round(1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(*)), 6) AS r2, "
+            "CAST(0 AS BIGINT) AS n_missing FROM scored WHERE side = 2"),
+        "scored_after_reload": _sql_model("SELECT row_key, round(prediction, 2) AS prediction FROM scored WHERE side = 2"),
+        "batch_score": _sql_model("SELECT row_key, round(prediction, 2) AS prediction FROM scored WHERE side = 2"),
+        "best_run": _sql_model(_SQL_RUNS.format("grid") + " ORDER BY v, l, a LIMIT 1"),
+        "runs_after_delete": _sql_model(_SQL_RUNS.format("kept")),
         **(llm_queries.ORACLE_SQL if llm_queries else {}),
     }

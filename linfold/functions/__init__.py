@@ -1,3 +1,3 @@
-from linfold.functions.exprs import hash_bucket, row_key, safe_corr, safe_ratio
+from linfold.functions.exprs import key_hash, row_key, safe_ratio
 
-__all__ = ["hash_bucket", "row_key", "safe_corr", "safe_ratio"]
+__all__ = ["key_hash", "row_key", "safe_ratio"]

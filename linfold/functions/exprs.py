@@ -20,29 +20,22 @@ def row_key(*cols) -> Column:
     return F.concat_ws("-", *[col(c).cast("string") for c in cols])
 
 
-def hash_bucket(key, buckets: int = 100, hash_fn: str = "xxhash64") -> Column:
-    """Bucket ``0..buckets-1`` of a row key.
-
-    ``xxhash64`` (default): Spark's own 64-bit hash of the key, a few nanoseconds a
-    row; reproducible by any Spark.
-    ``md5``: the first 32 bits of md5 of the key's text, several times dearer but
-    portable - other engines (DuckDB: ``('0x' || substr(md5(k), 1, 8))::BIGINT``)
-    reproduce the same buckets. Either way a row's side depends on its key alone,
-    not on partitioning or executor count.
+def key_hash(key, hash_fn: str = "xxhash64") -> Column:
+    """A row key's hash as a share of the whole, from 0 up to (not including) 1; never NULL.
+
+    ``xxhash64`` (default): Spark's own hash of the key, a few nanoseconds a row.
+    ``md5``: the first 32 bits of md5 of the key's text, dearer but portable - other
+    engines (DuckDB: ``('0x' || substr(md5(k), 1, 8))::BIGINT / 4294967296``) get the same
+    share. A NULL key hashes like an empty text. Either way a row's side depends on its
+    key alone, not on partitioning or executor count.
     """
     if hash_fn == "xxhash64":
-        return F.pmod(F.xxhash64(col(key)), F.lit(buckets))
+        # 53 bits, so that the share is exact in a double
+        return F.shiftrightunsigned(F.xxhash64(F.coalesce(col(key).cast("string"), F.lit(""))), 11) / F.lit(2.0 ** 53)
     if hash_fn != "md5":
         raise ValueError(f"unknown hash {hash_fn!r}")
-    digest32 = F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(digest32, F.lit(buckets))
-
-
-def safe_corr(sxy: Column, sxx: Column, syy: Column) -> Column:
-    """Pearson r from centred sums; NULL when either side is constant, clamped to [-1, 1]."""
-    r = F.try_divide(sxy, F.sqrt(sxx * syy))
-    # least/greatest skip NULLs: clamp only a defined r.
-    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    digest32 = F.conv(F.substring(F.md5(F.coalesce(col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("bigint")
+    return digest32 / F.lit(2.0 ** 32)
 
 
 def q(name: str) -> str:
@@ -50,9 +43,9 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def lit_double(v: float) -> str:
-    """A double literal in SQL text (a bare ``1.5`` would parse as DECIMAL)."""
-    return f"CAST({float(v)!r} AS DOUBLE)"
+def present(value: str) -> str:
+    """SQL text of a double value with NaN as NULL: the one rule for missing numbers."""
+    return f"nanvl({value}, CAST(NULL AS DOUBLE))"
 
 
 def lit_str(v: str) -> str:

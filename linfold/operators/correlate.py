@@ -1,162 +1,55 @@
 """Correlation operators (label screen, all-pairs matrix, weak and redundant feature pruning).
 
-The source job ran one ``stat.corr`` job per pair (11 + 49 jobs). Here every pair
-is computed in a single pass over the data, with pairwise deletion of NULLs and a
-NULL result (not an error) for a constant column. Three physical forms:
-
-* ``aggregate`` - one global aggregate of mean-shifted sums, six per pair. Fastest
-  while the aggregate buffer stays within ``spark.sql.codegen.maxFields``; beyond
-  that Spark drops whole-stage codegen and it slows several-fold.
-* ``gram`` - ``mapInPandas`` builds masked Gram matrices per Arrow batch (four
-  matrix products), each task emits one row per pair, Spark sums them. Any width.
-* ``long`` - ``inline`` one row per pair and ``groupBy(pair)`` with the built-in,
-  numerically stable ``regr_sxy/sxx/syy``. Pure JVM, no shift needed; the data
-  is replicated once per pair, so it is meant for few pairs.
-
-NaN counts as missing, like NULL, in every form (the gram form cannot tell them
-apart, and a NaN kept as a value would poison the whole pair).
-
-Partial sums are combined map-side in every form; only one small row per pair
-and task crosses the shuffle, so hot keys or skewed partitions do not matter.
+The source job ran one ``stat.corr`` job per pair (11 + 49 jobs). Here all pairs come
+from one scan: each row is unpacked into one row for every ``PAIRS`` pairs, and those
+are summed up by group with the built-in, numerically stable ``regr_sxy``, ``regr_sxx``
+and ``regr_syy`` (running means, merged pairwise), so neither offsets nor missing
+leading rows cost precision. ``PAIRS`` keeps the aggregate's buffer inside whole-stage
+codegen; the number of pairs changes nothing but the number of groups. Partial sums are
+combined map-side: one row per group and task crosses the shuffle.
+
+Missing values: NULL and NaN are missing and are deleted pairwise. An infinite value
+counts, but has no finite mean, so the pair's correlation is NULL. It is NULL too for a
+constant side or fewer than two rows.
 """
 
 from __future__ import annotations
 
 import itertools
-import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linfold.functions.exprs import lit_double, lit_str, q
+from linfold.functions.exprs import lit_str, present, q
 from linfold.operators.profile import numeric_columns
-from linfold.session import max_codegen_fields
 
 _PAIR_SCHEMA = "col_a string, col_b string, n bigint, corr double"
 
+#: Pairs in one aggregate: 11 buffer fields each, below ``spark.sql.codegen.maxFields`` (100).
+PAIRS = 8
+
 # Expressions are built as SQL text and handed over in one ``selectExpr`` call:
 # composing hundreds of Column objects costs one JVM round trip each.
 
 
-def estimate_shifts(df: DataFrame, cols, sample_rows: int = 2048) -> dict[str, float]:
-    """Per-column shift close to the mean, from a bounded number of leading rows.
+def _value(name: str | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if name is None else present(f"CAST({q(name)} AS DOUBLE)")
 
-    Shifting by a value near the mean keeps the one-pass sums free of
-    cancellation; any value within a few standard deviations is enough, so a small
-    sample (``take`` reads only the partitions it needs) replaces a full pass.
-    """
-    rows = df.selectExpr(*[f"CAST({q(c)} AS DOUBLE)" for c in cols]).take(sample_rows)
-    shifts = {}
-    for i, c in enumerate(cols):
-        vals = [r[i] for r in rows if r[i] is not None and not math.isnan(r[i])]
-        shifts[c] = float(sum(vals) / len(vals)) if vals else 0.0
-    return shifts
-
-
-def _val(c: str) -> str:
-    """The column as double, NaN turned into NULL."""
-    return f"nanvl(CAST({q(c)} AS DOUBLE), CAST(NULL AS DOUBLE))"
-
-
-def _finish(moments: DataFrame) -> DataFrame:
-    """(col_a, col_b, n, sxy, sxx, syy) -> (col_a, col_b, n, corr); NULL for n < 2 or a constant side."""
-    # least/greatest skip NULLs, so the clamp must not see the NULL of a constant side.
-    r = "try_divide(sxy, sqrt(sxx * syy))"
-    return moments.selectExpr(
-        "col_a", "col_b", "CAST(n AS BIGINT) AS n",
-        f"CASE WHEN n > 1 AND {r} IS NOT NULL THEN greatest(CAST(-1 AS DOUBLE), least(CAST(1 AS DOUBLE), {r})) "
-        "END AS corr")
-
-
-_CENTRED = ("sab - try_divide(sa * sb, n) AS sxy", "saa - try_divide(sa * sa, n) AS sxx",
-            "sbb - try_divide(sb * sb, n) AS syy")
-
-
-def _pairs_aggregate(df: DataFrame, pairs, shifts) -> DataFrame:
-    aggs, structs = [], []
-    for i, (a, b) in enumerate(pairs):
-        both = f"{_val(a)} IS NOT NULL AND {_val(b)} IS NOT NULL"
-        x = f"CASE WHEN {both} THEN {_val(a)} - {lit_double(shifts[a])} END"
-        y = f"CASE WHEN {both} THEN {_val(b)} - {lit_double(shifts[b])} END"
-        aggs += [f"count({x}) AS n{i}", f"sum({x}) AS sa{i}", f"sum({y}) AS sb{i}",
-                 f"sum(({x}) * ({x})) AS saa{i}", f"sum(({y}) * ({y})) AS sbb{i}", f"sum(({x}) * ({y})) AS sab{i}"]
-        fields = ", ".join(f"'{f}', coalesce({f}{i}, CAST(0 AS DOUBLE))" for f in ("sa", "sb", "saa", "sbb", "sab"))
-        structs.append(f"named_struct('col_a', {lit_str(a)}, 'col_b', {lit_str(b)}, "
-                       f"'n', CAST(n{i} AS DOUBLE), {fields})")
-    wide = df.selectExpr(*aggs)  # a global aggregate: one row, partial sums per task
-    long = wide.selectExpr(f"inline(array({', '.join(structs)}))")
-    return long.selectExpr("col_a", "col_b", "n", *_CENTRED)
-
-
-def _pairs_long(df: DataFrame, pairs) -> DataFrame:
-    structs = ", ".join(
-        f"named_struct('col_a', {lit_str(a)}, 'col_b', {lit_str(b)}, "
-        f"'x', {_val(a)}, 'y', {_val(b)})" for a, b in pairs)
-    long = df.selectExpr(f"inline(array({structs}))")
-    return long.groupBy("col_a", "col_b").agg(
-        F.expr("CAST(regr_count(y, x) AS DOUBLE) AS n"), F.expr("regr_sxy(y, x) AS sxy"),
-        F.expr("regr_sxx(y, x) AS sxx"), F.expr("regr_syy(y, x) AS syy"))
-
-
-def _gram_moments(cols, shift):
-    """Per-task masked moment matrices, emitted as one row per pair (i <= j)."""
-    k = len(cols)
-    iu, ju = np.triu_indices(k)
-
-    def per_partition(batches):
-        N = np.zeros((k, k)); S = np.zeros((k, k)); Q = np.zeros((k, k)); G = np.zeros((k, k))
-        seen = False
-        for pdf in batches:
-            seen = True
-            X = pdf.to_numpy(dtype="float64", na_value=np.nan) - shift
-            present = ~np.isnan(X)
-            X0 = np.where(present, X, 0.0)
-            M = present.astype("float64")
-            N += M.T @ M          # rows where both i and j are present
-            S += X0.T @ M         # S[i, j]: sum of x_i where x_j is present
-            Q += (X0 * X0).T @ M  # Q[i, j]: sum of x_i^2 where x_j is present
-            G += X0.T @ X0        # sum of x_i * x_j
-        if seen:
-            yield pd.DataFrame({"i": iu, "j": ju, "n": N[iu, ju], "sa": S[iu, ju], "sb": S[ju, iu],
-                                "saa": Q[iu, ju], "sbb": Q[ju, iu], "sab": G[iu, ju]})
-
-    return per_partition
-
-
-def _pairs_gram(df: DataFrame, cols, pairs, shifts) -> DataFrame:
-    cols = list(cols)
-    k = len(cols)
-    shift = np.array([shifts[c] for c in cols], dtype="float64")
-    schema = "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double"
-    parts = df.selectExpr(*[f"CAST({q(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(cols)]) \
-        .mapInPandas(_gram_moments(cols, shift), schema)
-    sums = parts.groupBy("i", "j").agg(*[F.expr(f"sum({c}) AS {c}") for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-    pos = {c: i for i, c in enumerate(cols)}
-    wanted = sorted({min(pos[a], pos[b]) * k + max(pos[a], pos[b]) for a, b in pairs})
-    flipped = [pos[b] * k + pos[a] for a, b in pairs if pos[a] > pos[b]]
-    pid = f"(i * {k} + j)"
-    if len(wanted) < k * (k + 1) // 2:
-        sums = sums.where(f"{pid} IN ({', '.join(map(str, wanted))})")
-    names = f"array({', '.join(lit_str(c) for c in cols)})"
-    a_name, b_name = f"element_at({names}, i + 1)", f"element_at({names}, j + 1)"
-    # r is symmetric: a requested (a, b) with a after b only swaps the labels.
-    flip = f"{pid} IN ({', '.join(map(str, flipped))})" if flipped else "false"
-    return sums.selectExpr(f"CASE WHEN {flip} THEN {b_name} ELSE {a_name} END AS col_a",
-                           f"CASE WHEN {flip} THEN {a_name} ELSE {b_name} END AS col_b", "n", *_CENTRED)
-
-
-def choose_method(spark, n_pairs: int) -> str:
-    """``aggregate`` while its six sums per pair fit in one codegen'd stage, else ``gram``."""
-    return "aggregate" if 6 * n_pairs <= max_codegen_fields(spark) else "gram"
-
-
-def pair_correlations(df: DataFrame, pairs, method: str = "auto", shifts: dict | None = None) -> DataFrame:
-    """Pearson r for each (a, b) in ``pairs`` in one pass: (col_a, col_b, n, corr).
-
-    ``n`` counts rows where both sides are non-NULL (pairwise deletion). ``corr`` is
-    NULL for fewer than two such rows or a constant side.
+
+def _result(a: str, b: str, i: int) -> str:
+    """(col_a, col_b, n, corr) of a pair: from -1 to 1, or NULL where it is not defined."""
+    r = f"try_divide(xy{i}, sqrt(xx{i}) * sqrt(yy{i}))"
+    if a == b:
+        r = f"IF(xx{i} > 0, {r}, NULL)"
+    return (f"named_struct('col_a', {lit_str(a)}, 'col_b', {lit_str(b)}, 'n', n{i}, 'corr', "
+            f"IF(isnan({r}) OR {r} IS NULL OR n{i} < 2, NULL, greatest(-1D, least(1D, {r}))))")
+
+
+def pair_correlations(df: DataFrame, pairs, mirrored: bool = False) -> DataFrame:
+    """Pearson r for each (a, b) in ``pairs`` from one scan: (col_a, col_b, n, corr).
+
+    ``n`` counts rows where both sides are present. ``mirrored`` also gives (b, a) for
+    each pair of different columns.
     """
     pairs = [(a, b) for a, b in pairs]
     if not pairs:
@@ -165,48 +58,54 @@ def pair_correlations(df: DataFrame, pairs, method: str = "auto", shifts: dict |
     wrong = sorted({c for p in pairs for c in p if c not in numeric})
     if wrong:
         raise ValueError(f"correlation needs numeric columns; not numeric: {wrong}")
-    if method == "auto":
-        method = choose_method(df.sparkSession, len(pairs))
-    cols = list(dict.fromkeys(c for p in pairs for c in p))
-    if method in ("aggregate", "gram") and shifts is None:
-        shifts = estimate_shifts(df, cols)
-    if method == "aggregate":
-        moments = _pairs_aggregate(df, pairs, shifts)
-    elif method == "gram":
-        moments = _pairs_gram(df, cols, pairs, shifts)
-    elif method == "long":
-        moments = _pairs_long(df, pairs)
-    else:
-        raise ValueError(f"unknown correlation method {method!r}")
-    return _finish(moments)
-
-
-def corr_with_label(df: DataFrame, label: str, cols, method: str = "auto",
-                    shifts: dict | None = None) -> DataFrame:
+    groups = [pairs[i:i + PAIRS] for i in range(0, len(pairs), PAIRS)]
+    unpacked, cases = [], []
+    for g, members in enumerate(groups):
+        sides = [*members, *[(None, None)] * (PAIRS - len(members))]
+        unpacked.append(f"named_struct('g', {g}, " + ", ".join(
+            f"'x{i}', {_value(a)}, 'y{i}', {_value(b)}" for i, (a, b) in enumerate(sides)) + ")")
+        rows = []
+        for i, (a, b) in enumerate(members):
+            rows.append(_result(a, b, i))
+            if mirrored and a != b:
+                rows.append(_result(b, a, i))
+        cases.append(f"WHEN {g} THEN array({', '.join(rows)})")
+    sums = [f"{f}(y{i}, x{i}) AS {name}{i}" for i in range(PAIRS)
+            for f, name in (("regr_count", "n"), ("regr_sxy", "xy"), ("regr_sxx", "xx"), ("regr_syy", "yy"))]
+    per = df.selectExpr(f"inline(array({', '.join(unpacked)}))").groupBy("g").agg(*[F.expr(x) for x in sums])
+    # One row for each group even for an empty input: as many as there are groups of pairs, not of data.
+    every = df.sparkSession.range(len(groups), numPartitions=1).selectExpr("CAST(id AS INT) AS g").join(per, "g", "left")
+    filled = every.selectExpr("g", *[f"coalesce(n{i}, 0L) AS n{i}" for i in range(PAIRS)],
+                              *[f"{c}{i}" for i in range(PAIRS) for c in ("xy", "xx", "yy")])
+    return filled.selectExpr(f"inline(CASE g {' '.join(cases)} END)")
+
+
+def corr_with_label(df: DataFrame, label: str, cols) -> DataFrame:
     """Correlation of each column with the label: (column_name, n, corr).
 
     The label's own row (r = 1) is kept, as in the source job's loop.
     """
-    others = [c for c in cols if c != label]
-    pairs = [(label, c) for c in others] + [(label, label)]
-    r = pair_correlations(df, pairs, method=method, shifts=shifts)
-    return r.selectExpr("col_b AS column_name", "n",
-                        "CASE WHEN col_a = col_b THEN CASE WHEN corr IS NOT NULL THEN CAST(1 AS DOUBLE) END "
-                        "ELSE corr END AS corr")
+    pairs = [(label, c) for c in cols if c != label] + [(label, label)]
+    return pair_correlations(df, pairs).selectExpr("col_b AS column_name", "n", _unit_diagonal("col_a = col_b"))
+
+
+def _unit_diagonal(same: str) -> str:
+    return f"IF({same} AND corr IS NOT NULL, 1D, corr) AS corr"
 
 
-def corr_matrix(df: DataFrame, cols, method: str = "auto", shifts: dict | None = None) -> DataFrame:
+def corr_matrix(df: DataFrame, cols) -> DataFrame:
     """Full k x k correlation matrix in long form: (col_a, col_b, n, corr).
 
-    Only the k(k+1)/2 distinct pairs are computed; the rest is mirrored.
+    Only the k(k+1)/2 distinct pairs are computed; both directions come from the same sums.
     """
     cols = list(cols)
     pairs = list(itertools.combinations(cols, 2)) + [(c, c) for c in cols]
-    r = pair_correlations(df, pairs, method=method, shifts=shifts).selectExpr(
-        "col_a", "col_b", "n",
-        "CASE WHEN col_a = col_b THEN CASE WHEN corr IS NOT NULL THEN CAST(1 AS DOUBLE) END ELSE corr END AS corr")
-    mirrored = r.where("col_a <> col_b").selectExpr("col_b AS col_a", "col_a AS col_b", "n", "corr")
-    return r.unionByName(mirrored)
+    return pair_correlations(df, pairs, mirrored=True).selectExpr("col_a", "col_b", "n", _unit_diagonal("col_a = col_b"))
+
+
+def label_row(matrix: DataFrame, label: str) -> DataFrame:
+    """The label's row of a matrix in the form of ``corr_with_label``."""
+    return matrix.filter(F.col("col_a") == label).select(F.col("col_b").alias("column_name"), "n", "corr")
 
 
 def select_by_label_corr(label_corr: DataFrame, threshold: float, label: str = "label",

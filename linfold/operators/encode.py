@@ -50,17 +50,14 @@ def _rank_distributed(vocab: DataFrame) -> DataFrame:
         "column_name", "category", "n", (F.col("_g") - F.col("_first")).cast("double").alias("category_index"))
 
 
-def category_frequencies(df: DataFrame, cols, max_window: int | None = None) -> DataFrame:
+def category_frequencies(df: DataFrame, cols) -> DataFrame:
     """Frequency table and the index a frequency-ordered indexer assigns.
 
     Output: (column_name, category, n, category_index). Order: count desc, then the
     category's text asc (numbers compare as text, as ``StringIndexer`` does);
     NULLs are not categories. Counting is a map-side-combined group-by on
-    (column, value), so hot values cost nothing extra. Ranking sees only the
-    vocabulary: it is checkpointed (one pass over the data), its largest column
-    is measured, and a per-column window is used only while that column has at
-    most ``max_window`` categories (``MAX_CATEGORIES`` by default); beyond that the
-    ranking is a distributed global sort.
+    (column, value), so hot values cost nothing extra; the vocabulary is then ranked
+    by a distributed sort, whatever its size.
     """
     cols = list(cols)
     if not cols:
@@ -71,36 +68,22 @@ def category_frequencies(df: DataFrame, cols, max_window: int | None = None) ->
     counts = long.filter(F.col("category").isNotNull()).groupBy("column_name", "category") \
         .agg(F.count(F.lit(1)).alias("n"))
     shared_dir(df.sparkSession)  # checkpoint folder: the cluster's, or set locally only when unset
-    vocab = counts.checkpoint(eager=True)
-    largest = vocab.groupBy("column_name").count().agg(F.max("count")).first()[0] or 0
-    limit = MAX_CATEGORIES if max_window is None else max_window
-    if largest > limit:
-        return _rank_distributed(vocab)
-    w = Window.partitionBy("column_name").orderBy(*_order()[1:])
-    return vocab.withColumn("category_index", (F.row_number().over(w) - 1).cast("double"))
+    return _rank_distributed(counts)
 
 
-# Ours: a fitted indexer ships its whole vocabulary to every task, so it must be bounded.
-MAX_CATEGORIES = 1_000_000
-
-
-def check_category_bounds(df: DataFrame, cols, max_categories: int = MAX_CATEGORIES, rsd: float = 0.05) -> dict:
-    """One HyperLogLog pass (fixed-size state per task) over the categorical columns.
-
-    Raises before any vocabulary is collected when a column has far more distinct
-    values than a categorical can have (an id column given the wrong role); the
-    returned estimates are the proven bound on what the indexer will ship.
-    """
+def check_category_bounds(df: DataFrame, cols, max_categories: int) -> dict:
+    """Raises if a column has more distinct values than the caller allows (an id column
+    given the wrong role). Exact counts; asked for by the caller only: no limit is assumed."""
     cols = list(cols)
     if not cols:
         return {}
-    row = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols]).first()
-    est = {c: int(row[c]) for c in cols}
-    wide = {c: n for c, n in est.items() if n > max_categories}
+    row = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
+    counts = {c: int(row[c]) for c in cols}
+    wide = {c: n for c, n in counts.items() if n > max_categories}
     if wide:
         raise ValueError(f"too many distinct values for a categorical column: {wide}; "
                          f"treat it as numeric or hash it (limit {max_categories})")
-    return est
+    return counts
 
 
 def category_indexer(cols, handle_invalid: str = "keep", order: str = "frequencyDesc") -> StringIndexer:
@@ -121,11 +104,11 @@ def feature_assembler(cols, output: str = "features", handle_invalid: str = "err
     return VectorAssembler(inputCols=list(cols), outputCol=output, handleInvalid=handle_invalid)
 
 
-def index_categories(df: DataFrame, cols, handle_invalid: str = "keep", max_categories: int | None = MAX_CATEGORIES):
+def index_categories(df: DataFrame, cols, handle_invalid: str = "keep", max_categories: int | None = None):
     """Fit one indexer over ``cols`` and apply it: returns (model, indexed frame).
 
-    The vocabulary is bounded first (one HyperLogLog pass), since the fit collects it
-    and the model ships it to every task; ``max_categories=None`` skips the check.
+    The fit collects the vocabulary and the model ships it to every task; a caller who wants
+    a bound gives ``max_categories`` (checked on exact counts).
     """
     if max_categories is not None:
         check_category_bounds(df, cols, max_categories)

@@ -6,18 +6,23 @@ the executors, only a features x features matrix reaches the driver.
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import Imputer
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfold.operators.encode import (category_indexer, check_category_bounds, feature_assembler, index_name,
-                                      one_hot_encoder, vector_name, vector_size, vector_slot_names)
+from linfold.functions.exprs import present, q
+from linfold.operators.encode import (category_indexer, feature_assembler, index_name, one_hot_encoder, vector_name,
+                                      vector_size, vector_slot_names)
 from linfold.operators.metrics import regression_metrics
-from linfold.session import shared_dir
+from linfold.operators.split import side_of
 
 # The source job's search grid and inner split.
 REG_PARAMS = (0.01, 0.1, 0.5)
@@ -35,28 +40,32 @@ def param_grid(lr: LinearRegression, reg_params=REG_PARAMS, elastic_net_params=E
         .addGrid(lr.elasticNetParam, list(elastic_net_params)).build()
 
 
-def fit_one_feature(df: DataFrame, x: str, label: str):
-    data = feature_assembler([x], output="_x").transform(df.select(x, label).dropna())
-    return linear_regression(label, "_x", regParam=0.0, solver="normal").fit(data), data
-
-
 def simple_ols(df: DataFrame, x: str, label: str = "label") -> DataFrame:
-    """One-feature least squares: (feature, slope, intercept, r2, n).
+    """One-feature least squares: (feature, slope, intercept, r2, n) from one aggregate.
 
-    Equals SQL ``regr_slope / regr_intercept / regr_r2``; r2 and n are computed by
-    one aggregate over the model's predictions.
+    Rows without a value or a label (NULL or NaN) are left out.
     """
-    model, data = fit_one_feature(df, x, label)
-    m = regression_metrics(model.transform(data), label=label)
-    return m.select(F.lit(x).alias("feature"), F.lit(float(model.coefficients[0])).alias("slope"),
-                    F.lit(float(model.intercept)).alias("intercept"), "r2", "n")
+    xv, yv = present(f"CAST({q(x)} AS DOUBLE)"), present(f"CAST({q(label)} AS DOUBLE)")
+    pairs = df.selectExpr(f"{xv} AS x", f"{yv} AS y")
+    return pairs.agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
+                     F.regr_r2("y", "x").alias("r2"), F.regr_count("y", "x").alias("n")).select(
+        F.lit(x).alias("feature"), "slope", "intercept", "r2", "n")
+
+
+def ols_apply(df: DataFrame, x: str, slope: float, intercept: float, label: str | None = "label",
+              keep=()) -> DataFrame:
+    """Predictions of a fitted line; NULL for a missing value. With a label, residuals too."""
+    prediction = F.expr(present(f"CAST({q(x)} AS DOUBLE)")) * F.lit(slope) + F.lit(intercept)
+    scored = df.withColumn("prediction", prediction)
+    if label is None:
+        return scored.select(*keep, "prediction")
+    return scored.select(*keep, label, "prediction", (F.col(label) - F.col("prediction")).alias("residual"))
 
 
 def ols_predict(df: DataFrame, x: str, label: str = "label", keep=()) -> DataFrame:
-    """Predictions of the one-feature model fitted on ``df``, with a residual column."""
-    model, _ = fit_one_feature(df, x, label)
-    scored = model.transform(feature_assembler([x], output="_x", handle_invalid="keep").transform(df))
-    return scored.select(*keep, label, "prediction", (F.col(label) - F.col("prediction")).alias("residual"))
+    """Predictions of the one-feature model fitted on ``df`` (two numbers are read back), with a residual column."""
+    fitted = simple_ols(df, x, label).first()
+    return ols_apply(df, x, fitted["slope"], fitted["intercept"], label, keep)
 
 
 def onehot_group_mean(df: DataFrame, category: str, label: str = "label") -> DataFrame:
@@ -77,75 +86,96 @@ def model_inputs(numeric, binary, categorical) -> list[str]:
     return list(numeric) + list(binary) + [vector_name(c) for c in categorical]
 
 
-def tuning_pipeline(numeric, binary, categorical, label: str = "label", seed: int = 100,
-                    parallelism: int | None = None, train_ratio: float = TRAIN_RATIO,
-                    reg_params=REG_PARAMS, elastic_net_params=ELASTIC_NET_PARAMS,
-                    metric: str = "rmse", handle_invalid: str = "keep",
-                    assembler_invalid: str = "error") -> Pipeline:
-    """indexer (all categoricals) -> one-hot -> assembler -> train/validation grid search.
+#: What to do with a missing numeric value: fail, leave the row out, or put the training mean in its place.
+MISSING = ("error", "skip", "mean")
+
+#: Above this many features MLlib's automatic solver changes from normal equations to iterations.
+NORMAL_SOLVER_FEATURES = 4096
+
+
+def preparation(numeric, binary, categorical, missing: str = "error") -> Pipeline:
+    """Every step before the regression: impute (if asked), index, one-hot, assemble.
 
-    Indexing sits before the tuner, so categories are learned once on all training
-    rows and validation rows never meet an unseen value.
+    The same fitted steps serve training, batch scoring and streams, so a missing value is
+    treated alike everywhere. A category unseen in training gets a slot of its own.
     """
-    lr = linear_regression(label)
-    grid = param_grid(lr, reg_params, elastic_net_params)
-    if parallelism is None:
-        # Each optimiser iteration is a short job; fitting grid points side by side
-        # hides the per-job latency (the source job fitted them one at a time).
-        parallelism = min(len(grid), 10)
-    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid,
-                               evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
-                               trainRatio=train_ratio, seed=seed, parallelism=parallelism)
-    stages = []
+    if missing not in MISSING:
+        raise ValueError(f"missing must be one of {MISSING}")
+    numeric, stages = list(numeric), []
+    if missing == "mean" and numeric:
+        filled = [f"{c}_filled" for c in numeric]
+        stages.append(Imputer(inputCols=numeric, outputCols=filled, strategy="mean"))
+        numeric = filled
     if categorical:
-        stages += [category_indexer(categorical, handle_invalid), one_hot_encoder(categorical)]
-    # A NULL feature (e.g. a ratio over a zero divisor) fails by default; "skip" drops
-    # such rows, "keep" passes NaN on to the model.
-    stages += [feature_assembler(model_inputs(numeric, binary, categorical), handle_invalid=assembler_invalid), tvs]
+        stages += [category_indexer(categorical, "keep"), one_hot_encoder(categorical)]
+    stages.append(feature_assembler(model_inputs(numeric, binary, categorical),
+                                    handle_invalid="skip" if missing == "skip" else "error"))
     return Pipeline(stages=stages)
 
 
-def spread_for_iterations(df: DataFrame) -> DataFrame:
-    """Give an iterative fit at least one partition per core.
-
-    Every optimiser iteration is one job over the persisted frame, so a frame with
-    fewer partitions than cores leaves cores idle on every iteration (a small input
-    stored as a single row group arrives as one partition). Only then is it
-    repartitioned - one shuffle of the pruned columns, paid once. Large inputs
-    already have more splits than cores and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        # Hash on a per-row id: even spread, and (unlike round-robin, which first
-        # sorts every input partition to stay deterministic on retry) no sort; the id
-        # depends only on the input split and row position, so a retry reproduces it.
-        return df.repartition(cores, F.monotonically_increasing_id())
-    return df
-
-
-def stage_training_frame(df: DataFrame, reliable: bool = True) -> DataFrame:
-    """Materialise the frame every fit iteration reads.
-
-    ``reliable``: first write it to the shared checkpoint folder (``checkpoint()``,
-    which also cuts the lineage back to the source scan), then cache it. A lost
-    executor's cached blocks are then re-read from those files instead of being
-    recomputed from the whole input. Otherwise cache only (memory and disk).
+@dataclass
+class Tuned:
+    """A tuned model: ``model`` scores raw rows; ``grid`` has (regParam, elasticNetParam, value) in grid order."""
+
+    model: PipelineModel
+    grid: list[tuple[float, float, float]]
+    metric: str
+
+    @property
+    def best(self) -> int:
+        values = [v for *_, v in self.grid]
+        return values.index(max(values) if self.metric == "r2" else min(values))
+
+
+def _validate(models, valid: DataFrame, label: str, metric: str) -> list[float]:
+    """The metric of every model from one scan of the validation rows and one aggregate."""
+    y = F.col(label).cast("double")
+    for i, m in enumerate(models):
+        valid = m.setPredictionCol(f"_p{i}").transform(valid)
+    sums = [F.var_pop(y).alias("var")]
+    for i in range(len(models)):
+        err = y - F.col(f"_p{i}")
+        sums += [F.avg(err * err).alias(f"s{i}"), F.avg(F.abs(err)).alias(f"a{i}")]
+    row = valid.agg(*sums).first()
+    if row["s0"] is None:
+        raise ValueError("no validation rows: the training side is too small to tune on")
+    value = {"mse": lambda i: row[f"s{i}"], "rmse": lambda i: row[f"s{i}"] ** 0.5, "mae": lambda i: row[f"a{i}"],
+             "r2": lambda i: 1 - row[f"s{i}"] / row["var"] if row["var"] else float("-inf")}[metric]
+    return [value(i) for i in range(len(models))]
+
+
+def tune(train: DataFrame, key: str, numeric, binary=(), categorical=(), label: str = "label",
+         outer: float = 0.7, train_ratio: float = TRAIN_RATIO, hash_fn: str = "xxhash64", reg_params=REG_PARAMS,
+         elastic_net_params=ELASTIC_NET_PARAMS, metric: str = "rmse", missing: str = "error",
+         parallelism: int = 3) -> Tuned:
+    """Grid search on an inner split by key hash, then a refit of the winner on all of ``train``.
+
+    ``train`` is the side of a key-hash split below ``outer``; its rows below ``outer * train_ratio``
+    fit the grid points, the others validate them. A row's part depends on its key alone, so
+    partitions, cores and executors do not change the result (but for summation order).
+    Categories and means are learned once on all of ``train``, so validation rows meet none unseen.
+    The pruned, assembled rows are persisted while the fits read them; if an executor is lost they
+    are computed again from the source, with the same result.
     """
-    if reliable:
-        shared_dir(df.sparkSession)  # the cluster's spark.checkpoint.dir; set locally only when unset
-        df = df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def fit_persisted(pipeline: Pipeline, train: DataFrame, columns=None, categorical=(),
-                  reliable: bool = True) -> PipelineModel:
-    """Fit with the (pruned) training frame staged once: the indexer pass, the grid and
-    the refit all read it. The categorical bound check runs on the staged frame."""
-    data = train.select(*columns) if columns else train
-    data = stage_training_frame(spread_for_iterations(data), reliable)
+    inner = side_of(key, (outer * train_ratio, outer * (1 - train_ratio), 1 - outer), hash_fn)
+    columns = dict.fromkeys([label, *numeric, *binary, *categorical])
+    raw = train.select(*columns, inner.alias("_side"))
+    steps = preparation(numeric, binary, categorical, missing).fit(raw)
+    data = steps.transform(raw).select(label, "features", "_side").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_category_bounds(data, categorical)
-        return pipeline.fit(data)
+        width = vector_size(data, "features")
+        if width > NORMAL_SOLVER_FEATURES:
+            warnings.warn(f"{width} features: the solver iterates instead of solving normal equations", stacklevel=2)
+        lr = linear_regression(label)
+        grid = param_grid(lr, reg_params, elastic_net_params)
+        fit_side = data.filter("_side = 0")
+        with ThreadPool(max(1, parallelism)) as pool:
+            models = pool.map(lambda pm: lr.fit(fit_side, pm), grid)
+        values = _validate(models, data.filter("_side = 1"), label, metric)
+        points = [(float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(v)) for pm, v in zip(grid, values)]
+        tuned = Tuned(steps, points, metric)
+        winner = lr.fit(data, grid[tuned.best])
+        return Tuned(PipelineModel(stages=[*steps.stages, winner]), points, metric)
     finally:
         data.unpersist()
 
@@ -154,34 +184,21 @@ def _session() -> SparkSession:
     return SparkSession.getActiveSession()
 
 
-def tuner(model: PipelineModel):
+def regression(model: PipelineModel):
+    """The fitted regression, the last stage."""
     return model.stages[-1]
 
 
-def preparation(model: PipelineModel) -> PipelineModel:
-    """Every stage but the tuner (index, encode, assemble)."""
-    return PipelineModel(stages=list(model.stages[:-1]))
-
-
-def grid_metrics(model: PipelineModel) -> DataFrame:
+def grid_metrics(tuned: Tuned) -> DataFrame:
     """(regParam, elasticNetParam, metric, value, is_best): one row per grid point."""
-    tvs = tuner(model)
-    maps = tvs.getEstimatorParamMaps()
-    metric = tvs.getEvaluator().getMetricName()
-    larger = tvs.getEvaluator().isLargerBetter()
-    vals = list(tvs.validationMetrics)
-    best = max(vals) if larger else min(vals)
-    rows = []
-    for pm, v in zip(maps, vals):
-        named = {p.name: float(x) for p, x in pm.items()}
-        rows.append((named.get("regParam"), named.get("elasticNetParam"), metric, float(v), v == best))
+    rows = [(r, e, tuned.metric, v, i == tuned.best) for i, (r, e, v) in enumerate(tuned.grid)]
     return _session().createDataFrame(rows, "regParam double, elasticNetParam double, metric string, value double, "
                                     "is_best boolean")
 
 
 def model_report(model: PipelineModel) -> DataFrame:
     """The winner's training R2/RMSE, its parameters, intercept and width: one row."""
-    best = tuner(model).bestModel
+    best = regression(model)
     # A reloaded model has no training summary (metrics are kept in the run log).
     s = best.summary if best.hasSummary else None
     return _session().createDataFrame([(float(s.r2) if s else None, float(s.rootMeanSquaredError) if s else None,
@@ -196,8 +213,8 @@ def model_coefficients(model: PipelineModel, sample: DataFrame) -> DataFrame:
 
     ``sample`` only supplies the input schema; no job runs on it.
     """
-    best = tuner(model).bestModel
-    prepared = preparation(model).transform(sample)
+    best = regression(model)
+    prepared = PipelineModel(stages=list(model.stages[:-1])).transform(sample)
     names = vector_slot_names(prepared, best.getFeaturesCol())
     coef = best.coefficients.toArray()
     if len(names) != len(coef):
@@ -206,19 +223,11 @@ def model_coefficients(model: PipelineModel, sample: DataFrame) -> DataFrame:
     return sample.sparkSession.createDataFrame(rows, "slot int, feature string, coefficient double")
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df)
-
-
 def holdout_metrics(model: PipelineModel, holdout: DataFrame, label: str = "label") -> DataFrame:
     """Score the holdout once and compute every metric in one aggregate."""
     return regression_metrics(model.transform(holdout), label=label)
 
 
-def one_hot_width(model: PipelineModel, df: DataFrame, category: str) -> int:
-    return vector_size(preparation(model).transform(df), vector_name(category))
-
-
-__all__ = ["REG_PARAMS", "ELASTIC_NET_PARAMS", "TRAIN_RATIO", "linear_regression", "param_grid", "simple_ols",
-           "ols_predict", "onehot_group_mean", "tuning_pipeline", "fit_persisted", "grid_metrics",
-           "model_report", "model_coefficients", "holdout_metrics", "predict", "preparation", "index_name"]
+__all__ = ["REG_PARAMS", "ELASTIC_NET_PARAMS", "TRAIN_RATIO", "MISSING", "Tuned", "linear_regression", "param_grid",
+           "simple_ols", "ols_apply", "ols_predict", "onehot_group_mean", "preparation", "tune", "grid_metrics",
+           "model_report", "model_coefficients", "holdout_metrics", "regression", "index_name"]

@@ -1,10 +1,8 @@
 """Column profiles (the source job's ``describe()`` and its by-eye range/cardinality check).
 
-Each profile is one pass in long form: every row is unpacked into one
-(column_name, value) row per profiled column with ``inline``, then grouped by
-column. The aggregate buffer therefore has a handful of fields whatever the width
-of the frame (so it stays in whole-stage codegen), partial aggregation leaves one
-row per column and task before the shuffle, and statistics are typed, not text.
+Each profile is one global aggregate (no key, so no sort and no replicated rows; one
+partial row per task crosses the shuffle), then one output row per column. Statistics
+are typed. NaN is missing, like NULL, in every numeric statistic.
 """
 
 from __future__ import annotations
@@ -13,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linfold.functions.exprs import lit_str, q
-from linfold.session import max_codegen_fields
+from linfold.functions.exprs import lit_str, present, q
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
             T.BooleanType)
@@ -40,65 +37,30 @@ def _empty(df: DataFrame, schema: str) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
 
 
-def _long(df: DataFrame, cols, sql_type: str) -> DataFrame:
-    """One (column_name, value) row per input row and column, built in one JVM call."""
-    structs = ", ".join(f"named_struct('column_name', {lit_str(c)}, 'value', CAST({q(c)} AS {sql_type}))"
-                        for c in cols)
-    return df.selectExpr(f"inline(array({structs}))")
+def _rows(df: DataFrame, aggregates: list[str], fields: list[str], cols) -> DataFrame:
+    """One global aggregate, then a row for each column; ``fields`` are 'name: expression', {i} is the column's number."""
+    structs = ", ".join(f"named_struct('column_name', {lit_str(c)}, " + ", ".join(
+        f"'{name}', {expr.format(i=i)}" for name, expr in (x.split(": ", 1) for x in fields)) + ")"
+        for i, c in enumerate(cols))
+    return df.selectExpr("count(1) AS n_rows", *aggregates).selectExpr(f"inline(array({structs}))")
 
 
-_NUMERIC_STATS = ("n", "n_null", "mean", "stddev", "min_value", "max_value")
-_FIELDS_PER_COLUMN = 8  # count 1, avg 2, stddev 3, min 1, max 1 buffer fields
-
-
-def _profile_wide(df: DataFrame, cols) -> DataFrame:
-    """One global aggregate, then one row per column: no row replication."""
-    aggs = ["count(1) AS _rows"]
-    for i, c in enumerate(cols):
-        v = f"CAST({q(c)} AS DOUBLE)"
-        aggs += [f"count({v}) AS n{i}", f"avg({v}) AS mean{i}", f"stddev_samp({v}) AS sd{i}",
-                 f"min({v}) AS lo{i}", f"max({v}) AS hi{i}"]
-    structs = ", ".join(
-        f"named_struct('column_name', {lit_str(c)}, 'n', n{i}, 'n_null', _rows - n{i}, 'mean', mean{i}, "
-        f"'stddev', sd{i}, 'min_value', lo{i}, 'max_value', hi{i})" for i, c in enumerate(cols))
-    return df.selectExpr(*aggs).selectExpr(f"inline(array({structs}))")
-
-
-def _profile_long(df: DataFrame, cols) -> DataFrame:
-    long = _long(df, cols, "DOUBLE")
-    stats = long.groupBy("column_name").agg(
-        F.count("value").alias("n"),
-        (F.count(F.lit(1)) - F.count("value")).alias("n_null"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"))
-    # One row per column even for an empty input, as the wide form gives: a k-row
-    # name list (k = number of columns, not data) left-joined to the statistics.
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    return names.join(stats, "column_name", "left").selectExpr(
-        "column_name", "coalesce(n, CAST(0 AS BIGINT)) AS n", "coalesce(n_null, CAST(0 AS BIGINT)) AS n_null",
-        "mean", "stddev", "min_value", "max_value")
-
-
-def profile_numeric(df: DataFrame, cols=None, method: str = "auto") -> DataFrame:
-    """count, nulls, mean, sample stddev, min, max per numeric column.
+def profile_numeric(df: DataFrame, cols=None) -> DataFrame:
+    """count, missing, mean, sample stddev, min, max per numeric column.
 
     Output: (column_name, n, n_null, mean, stddev, min_value, max_value); all
-    statistics double, counts bigint. ``wide`` is one global aggregate (chosen
-    while its buffer fits in one codegen'd stage), ``long`` unpacks columns into
-    rows and groups by column name (any width).
+    statistics double, counts bigint; NaN counts as missing.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
     if not cols:
         return _empty(df, NUMERIC_PROFILE_SCHEMA)
-    if method == "auto":
-        method = "wide" if _FIELDS_PER_COLUMN * len(cols) + 1 <= max_codegen_fields(df.sparkSession) else "long"
-    if method == "wide":
-        return _profile_wide(df, cols)
-    if method in ("wide", "long"):
-        return _profile_long(df, cols)
-    raise ValueError(f"unknown profile method {method!r}")
+    aggregates = []
+    for i, c in enumerate(cols):
+        v = present(f"CAST({q(c)} AS DOUBLE)")
+        aggregates += [f"count({v}) AS n{i}", f"avg({v}) AS mean{i}", f"stddev_samp({v}) AS sd{i}",
+                       f"min({v}) AS lo{i}", f"max({v}) AS hi{i}"]
+    return _rows(df, aggregates, ["n: n{i}", "n_null: n_rows - n{i}", "mean: mean{i}", "stddev: sd{i}",
+                                  "min_value: lo{i}", "max_value: hi{i}"], cols)
 
 
 def profile_string(df: DataFrame, cols=None) -> DataFrame:
@@ -106,41 +68,57 @@ def profile_string(df: DataFrame, cols=None) -> DataFrame:
     cols = list(cols) if cols is not None else string_columns(df)
     if not cols:
         return _empty(df, STRING_PROFILE_SCHEMA)
-    long = _long(df, cols, "STRING")
-    return long.groupBy("column_name").agg(
-        F.count("value").alias("n"),
-        (F.count(F.lit(1)) - F.count("value")).alias("n_null"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        F.max(F.length("value")).cast("bigint").alias("max_length"))
+    aggregates = []
+    for i, c in enumerate(cols):
+        aggregates += [f"count({q(c)}) AS n{i}", f"min({q(c)}) AS lo{i}", f"max({q(c)}) AS hi{i}",
+                       f"CAST(max(length({q(c)})) AS BIGINT) AS len{i}"]
+    return _rows(df, aggregates, ["n: n{i}", "n_null: n_rows - n{i}", "min_value: lo{i}", "max_value: hi{i}",
+                                  "max_length: len{i}"], cols)
+
+
+TIME_PROFILE_SCHEMA = ("column_name string, n bigint, n_null bigint, n_distinct bigint, min_value timestamp, "
+                       "max_value timestamp")
+
+
+def time_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+
+
+def profile_time(df: DataFrame, cols=None) -> DataFrame:
+    """count, nulls, distinct values and range per date or timestamp column (values as timestamps)."""
+    cols = list(cols) if cols is not None else time_columns(df)
+    if not cols:
+        return _empty(df, TIME_PROFILE_SCHEMA)
+    aggregates = []
+    for i, c in enumerate(cols):
+        v = f"CAST({q(c)} AS TIMESTAMP)"
+        aggregates += [f"count({v}) AS n{i}", f"count(DISTINCT {v}) AS d{i}", f"min({v}) AS lo{i}", f"max({v}) AS hi{i}"]
+    return _rows(df, aggregates, ["n: n{i}", "n_null: n_rows - n{i}", "n_distinct: d{i}", "min_value: lo{i}",
+                                  "max_value: hi{i}"], cols)
 
 
 def profile_cardinality(df: DataFrame, cols=None, exact: bool = True, rsd: float = 0.02) -> DataFrame:
-    """Distinct values, NULL share and zero share per column (range/cardinality screen).
+    """Distinct values, missing share and zero share per column (range/cardinality screen).
 
-    ``exact`` counts distinct values after a map-side de-duplication and a shuffle
-    on (column, value), so one dominant value or column does not pile up in one
+    ``exact`` counts distinct typed values (-0.0 is 0.0), de-duplicated map-side before a
+    shuffle on (column, value), so one dominant value or column does not pile up in one
     task. ``exact=False`` uses HyperLogLog++ (``approx_count_distinct``): one pass,
-    fixed-size state, the form to use on very wide or very large tables.
+    fixed-size state, the form to use on very wide or very large tables. NaN is missing.
     Output: (column_name, n, n_distinct, n_null, n_zero, null_share, zero_share).
     """
     cols = list(cols) if cols is not None else df.columns
     if not cols:
         return _empty(df, CARDINALITY_SCHEMA)
-    numeric = {f.name for f in df.schema.fields
-               if isinstance(f.dataType, _NUMERIC) and not isinstance(f.dataType, T.BooleanType)}
-    structs = ", ".join(
-        f"named_struct('column_name', {lit_str(c)}, 'value', CAST({q(c)} AS STRING), "
-        f"'is_zero', {f'{q(c)} = 0' if c in numeric else 'CAST(NULL AS BOOLEAN)'})" for c in cols)
-    long = df.selectExpr(f"inline(array({structs}))")
-    distinct = F.count_distinct("value") if exact else F.approx_count_distinct("value", rsd)
-    total = F.count(F.lit(1))
-    out = long.groupBy("column_name").agg(
-        total.alias("rows"),
-        F.count("value").alias("n"),
-        distinct.cast("bigint").alias("n_distinct"),
-        F.sum(F.col("is_zero").cast("long")).alias("n_zero"))
-    return out.select(
-        "column_name", "n", "n_distinct", (F.col("rows") - F.col("n")).alias("n_null"), "n_zero",
-        F.try_divide(F.col("rows") - F.col("n"), F.col("rows")).alias("null_share"),
-        F.try_divide(F.col("n_zero"), F.col("rows")).alias("zero_share"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    aggregates = []
+    for i, c in enumerate(cols):
+        v = q(c)
+        if isinstance(types[c], (T.FloatType, T.DoubleType)):
+            v = present(f"CAST({v} AS DOUBLE)")
+        distinct = f"count(DISTINCT {v})" if exact else f"approx_count_distinct({v}, {rsd})"
+        zero = isinstance(types[c], _NUMERIC) and not isinstance(types[c], T.BooleanType)
+        aggregates += [f"count({v}) AS n{i}", f"{distinct} AS d{i}",
+                       (f"count_if({v} = 0)" if zero else "CAST(NULL AS BIGINT)") + f" AS z{i}"]
+    return _rows(df, aggregates, ["n: n{i}", "n_distinct: d{i}", "n_null: n_rows - n{i}", "n_zero: z{i}",
+                                  "null_share: try_divide(n_rows - n{i}, n_rows)",
+                                  "zero_share: try_divide(z{i}, n_rows)"], cols)

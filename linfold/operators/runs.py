@@ -1,7 +1,8 @@
 """Experiment run log kept as a table (replaces the tracking-server client).
 
 One row per run: (experiment, run_id, started, params, metrics, model_uri). Rows
-are appended by a one-row write; lookups are filters on the table.
+are appended by a one-row write to the experiment's partition; lookups are filters on
+the table. An experiment is a name, never NULL.
 """
 
 from __future__ import annotations
@@ -12,13 +13,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linfold.functions.exprs import lit_str
 from linfold.sources.tables import qualified
 
 RUN_SCHEMA = ("experiment string, run_id string, started timestamp, params map<string,string>, "
               "metrics map<string,double>, model_uri string")
 
 
+def _append(spark: SparkSession, rows, table: str, database: str | None) -> None:
+    frame = spark.createDataFrame(rows, RUN_SCHEMA)
+    # The partition column goes last, as Spark stores it.
+    frame.select(*[c for c in frame.columns if c != "experiment"], "experiment").write.mode("append") \
+        .format("parquet").partitionBy("experiment").saveAsTable(qualified(table, database))
+
+
 def _row(experiment: str, params: dict, metrics: dict, model_uri: str | None, run_id: str | None = None):
+    if not experiment:
+        raise ValueError("a run needs the name of an experiment")
     return (experiment, run_id or uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
             {str(k): str(v) for k, v in params.items()},
             {str(k): float(v) for k, v in metrics.items() if v is not None}, model_uri)
@@ -27,16 +38,14 @@ def _row(experiment: str, params: dict, metrics: dict, model_uri: str | None, ru
 def log_runs(spark: SparkSession, table: str, runs, database: str | None = None) -> list[str]:
     """Append several runs ``(experiment, params, metrics, model_uri)`` in one write."""
     rows = [_row(*r) for r in runs]
-    spark.createDataFrame(rows, RUN_SCHEMA).write.mode("append").format("parquet") \
-        .saveAsTable(qualified(table, database))
+    _append(spark, rows, table, database)
     return [r[1] for r in rows]
 
 
 def log_run(spark: SparkSession, table: str, experiment: str, params: dict, metrics: dict,
             model_uri: str | None, database: str | None = None, run_id: str | None = None) -> str:
     row = _row(experiment, params, metrics, model_uri, run_id)
-    spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").format("parquet") \
-        .saveAsTable(qualified(table, database))
+    _append(spark, [row], table, database)
     return row[1]
 
 
@@ -53,14 +62,10 @@ def best_run(runs: DataFrame, metric: str = "rmse", experiment: str | None = Non
 
 
 def delete_runs(spark: SparkSession, table: str, experiment: str, database: str | None = None) -> int:
-    """Remove every run of ``experiment``. Parquet has no row delete: the rest is written
-    to a staging table that then replaces the log. Returns the rows removed."""
+    """Remove every run of ``experiment`` by dropping its partition; no other row is read or
+    rewritten, and runs that are appended meanwhile stay. Returns the rows removed."""
     full = qualified(table, database)
-    current = spark.table(full)
-    removed = current.filter(F.col("experiment") == experiment).count()
-    staging = f"{table}_staging_{uuid.uuid4().hex[:8]}"
-    current.filter(F.col("experiment") != experiment).write.mode("overwrite").format("parquet") \
-        .saveAsTable(qualified(staging, database))
-    spark.sql(f"DROP TABLE {full}")
-    spark.sql(f"ALTER TABLE {qualified(staging, database)} RENAME TO {full}")
+    removed = spark.table(full).filter(F.col("experiment") == experiment).count()
+    if removed:
+        spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION (experiment = {lit_str(experiment)})")
     return removed

@@ -14,36 +14,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linfold.functions.exprs import hash_bucket
+from linfold.functions.exprs import key_hash
 
 
-def _bounds(weights, buckets: int) -> list[tuple[int, int]]:
+def cuts(weights) -> list[float]:
+    """Upper bounds of the sides as shares; the last is open."""
     total = float(sum(weights))
     if total <= 0 or any(w < 0 for w in weights):
         raise ValueError("weights must be non-negative with a positive sum")
-    cuts, acc = [0], 0.0
-    for w in weights:
+    cuts, acc = [], 0.0
+    for w in weights[:-1]:
         acc += w
-        cuts.append(int(round(acc / total * buckets)))
-    cuts[-1] = buckets
-    return list(zip(cuts[:-1], cuts[1:]))
+        cuts.append(acc / total)
+    return cuts
 
 
-def side_of(key, weights=(0.7, 0.3), buckets: int = 100, hash_fn: str = "xxhash64") -> Column:
-    """Index of the side a row falls on, from its key alone."""
-    b = hash_bucket(key, buckets, hash_fn)
-    bounds = _bounds(weights, buckets)
-    expr = F.lit(len(bounds) - 1)
-    for i in range(len(bounds) - 2, -1, -1):
-        expr = F.when(b < bounds[i][1], F.lit(i)).otherwise(expr)
+def side_of(key, weights=(0.7, 0.3), hash_fn: str = "xxhash64") -> Column:
+    """Index of the side a row falls on, from its key alone; NULL keys share a side (that of an empty text)."""
+    share = key_hash(key, hash_fn)
+    expr = F.lit(0)
+    for cut in cuts(list(weights)):
+        expr = expr + (share >= F.lit(cut)).cast("int")
     return expr.cast("int")
 
 
-def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), buckets: int = 100,
-               hash_fn: str = "xxhash64") -> list[DataFrame]:
-    """Split by key-hash buckets into ``len(weights)`` disjoint, complete frames."""
-    b = hash_bucket(key, buckets, hash_fn)
-    return [df.filter((b >= lo) & (b < hi)) for lo, hi in _bounds(weights, buckets)]
+def hash_split(df: DataFrame, key: str, weights=(0.7, 0.3), hash_fn: str = "xxhash64") -> list[DataFrame]:
+    """Split by key hash into ``len(weights)`` disjoint, complete frames (the sides of ``side_of``)."""
+    side = side_of(key, weights, hash_fn)
+    return [df.filter(side == i) for i in range(len(weights))]
 
 
 def split(df: DataFrame, key: str | None = None, weights=(0.7, 0.3), seed: int = 100,

@@ -2,9 +2,9 @@
 
 CSV -> a database per user with a labelled and an unlabelled table -> explore ->
 select -> split -> tune -> report -> holdout -> save -> run log -> score the
-unlabelled table with the reloaded model -> (optional) drop the database.
-The column roles below are the source job's; selection of the numeric inputs is
-done by the correlation rules instead of by hand, with the analyst's keep-list.
+unlabelled table with the reloaded model. ``clean_up`` drops the database.
+The column roles below are the source job's, its analyst's choices (``explored``, ``keep``)
+included; correlations of all of them are computed and shown.
 """
 
 from __future__ import annotations
@@ -30,17 +30,18 @@ HOUSE_SCHEMA = (
 HOUSE_SPEC = FeatureSpec(
     label="label",
     key="id",
-    numeric=("bedrooms", "bathrooms", "sqft_living", "sqft_lot", "floors", "sqft_basement", "yr_built",
-             "sqft_living15", "sqft_lot15"),
+    numeric=("bedrooms", "bathrooms", "sqft_living", "floors"),
     categorical=("condition", "grade", "zipcode"),
     binary=("waterfront",),
     ratios=(Ratio("sqft_above_percentage", "sqft_above", "sqft_living"),),
-    ignored=("id", "date", "view", "yr_renovated", "lat", "long", "sqft_above"),
-    keep=("bedrooms", "bathrooms"),
+    ignored=("id", "date", "view", "yr_renovated", "lat", "long"),
+    # The source job looked at these and left them out: weak, or told by other columns.
+    explored=("sqft_above", "sqft_basement", "sqft_lot", "sqft_lot15", "sqft_living15", "yr_built"),
+    keep=("bedrooms", "bathrooms", "floors", "sqft_living", "sqft_above_percentage"),
 )
 RAW_LABEL = "price"
-LABELLED_TABLE = "house_data"
-UNLABELLED_TABLE = "house_data_unlabeled"
+LABELLED_TABLE = "houses_labelled"
+UNLABELLED_TABLE = "houses_to_score"
 RUNS_TABLE = "model_runs"
 
 
@@ -70,17 +71,19 @@ def prepared(spark: SparkSession, db: str) -> DataFrame:
 
 
 def run(spark: SparkSession, csv_path: str, user: str, experiment: str = "house-prices",
-        cleanup: bool = False, **job_options) -> HouseRun:
+        **job_options) -> HouseRun:
+    """The whole job; its results are lazy frames over the user's tables, so drop those (``clean_up``) after reading them."""
     db = ingest(spark, csv_path, user)
     job = regression_job.run(prepared(spark, db), HOUSE_SPEC, experiment=experiment, runs_table=RUNS_TABLE,
                              database=db, **job_options)
     scored = regression_job.score(job.model_uri, tables.read_table(spark, UNLABELLED_TABLE, db), HOUSE_SPEC)
-    result = HouseRun(db, job, mdl.model_report(job.model), mdl.model_coefficients(job.model, job.holdout),
+    return HouseRun(db, job, mdl.model_report(job.model), mdl.model_coefficients(job.model, job.holdout),
                       mdl.holdout_metrics(job.model, job.holdout), scored)
-    if cleanup:
-        # Results above are lazy; materialise what is wanted before dropping the tables.
-        catalog.drop_namespace(spark, db)
-    return result
+
+
+def clean_up(spark: SparkSession, out: HouseRun) -> None:
+    """Drops the user's database with its tables."""
+    catalog.drop_namespace(spark, out.database)
 
 
 def main(argv=None) -> int:
@@ -100,10 +103,11 @@ def main(argv=None) -> int:
     out = run(spark, args.csv, args.user, experiment=args.experiment)
     out.report.show(truncate=False)
     out.holdout_metrics.show(truncate=False)
-    out.coefficients.show(100, truncate=False)
+    tables.create_table(out.coefficients, "model_coefficients", out.database)  # many zip codes: a table, not a print
+    ordered_preview(out.coefficients, "slot", 20).show(truncate=False)
     ordered_preview(out.scored, HOUSE_SPEC.key, 20).show(truncate=False)
     if args.cleanup:
-        catalog.drop_namespace(spark, out.database)
+        clean_up(spark, out)
     return 0
 
 

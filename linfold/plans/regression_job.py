@@ -40,60 +40,63 @@ class JobResult:
     numeric: list[str]
     train: DataFrame
     holdout: DataFrame
-    model: PipelineModel
+    tuned: mdl.Tuned
     model_uri: str
     run_id: str | None = None
     extras: dict = field(default_factory=dict)
 
+    @property
+    def model(self) -> PipelineModel:
+        return self.tuned.model
+
 
 def select_features(df: DataFrame, spec: FeatureSpec, weak: float = 0.1, redundant: float = 0.9) -> Selection:
-    """Label screen then redundancy pruning; two one-pass aggregates over ``df``."""
-    cands = [c for c in spec.correlation_candidates()]
-    shifts = correlate.estimate_shifts(df, [spec.label] + cands)  # one bounded sample for both passes
-    label_corr = correlate.corr_with_label(df, spec.label, cands, shifts=shifts)
-    rows = [(r["column_name"], r["corr"]) for r in label_corr.collect() if r["column_name"] != spec.label]
-    screened = [c for c, r in rows if (r is not None and abs(r) >= weak) or c in spec.keep]
-    if len(screened) > 1:
-        matrix = correlate.corr_matrix(df, screened, shifts=shifts)
-        mrows = [(r["col_a"], r["col_b"], r["corr"]) for r in matrix.collect()]
-    else:
-        matrix = df.sparkSession.createDataFrame([], "col_a string, col_b string, n bigint, corr double")
-        mrows = []
-    kept = correlate.greedy_keep([(c, r) for c, r in rows if c in screened], mrows, redundant, spec.keep)
+    """Label screen then redundancy pruning from one matrix over label and candidates: one scan of ``df``."""
+    spark = df.sparkSession
+    cands = list(spec.correlation_candidates())
+    found = correlate.corr_matrix(df, [spec.label, *cands])
+    rows = found.collect()  # one row for each pair of columns
+    matrix = spark.createDataFrame(rows, found.schema)
+    label_corr = correlate.label_row(matrix, spec.label)
+    to_label = [(r["col_b"], r["corr"]) for r in rows if r["col_a"] == spec.label and r["col_b"] != spec.label]
+    inputs = [(c, r) for c, r in to_label if c not in spec.explored]
+    screened = [c for c, r in inputs if (r is not None and abs(r) >= weak) or c in spec.keep]
+    kept = correlate.greedy_keep([(c, r) for c, r in inputs if c in screened],
+                                 [(r["col_a"], r["col_b"], r["corr"]) for r in rows], redundant, spec.keep)
     return Selection(label_corr, matrix, screened, kept)
 
 
-def fit(df: DataFrame, spec: FeatureSpec, numeric, seed: int = 100, parallelism: int | None = None,
-        weights=(0.7, 0.3), split_method: str = "hash", split_hash: str = "xxhash64", reliable: bool = True,
-        **tuning) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    train, holdout = split.split(df, spec.key, weights, seed=seed, method=split_method, hash_fn=split_hash)
-    pipeline = mdl.tuning_pipeline(numeric, spec.binary, spec.categorical, label=spec.label, seed=seed,
-                                   parallelism=parallelism, **tuning)
-    cols = [c for c in [spec.label, *numeric, *spec.binary, *spec.categorical]]
-    model = mdl.fit_persisted(pipeline, train, cols, categorical=spec.categorical, reliable=reliable)
-    return model, train, holdout
+def fit(df: DataFrame, spec: FeatureSpec, numeric, weights=(0.7, 0.3), split_hash: str = "xxhash64",
+        **tuning) -> tuple[mdl.Tuned, DataFrame, DataFrame]:
+    """Split by key hash and tune on the training side: (tuned, train, holdout)."""
+    if spec.key is None:
+        raise ValueError("tuning needs a row key: its splits are by key hash")
+    train, holdout = split.hash_split(df, spec.key, weights, hash_fn=split_hash)
+    tuned = mdl.tune(train, spec.key, numeric, spec.binary, spec.categorical, label=spec.label,
+                     outer=weights[0] / sum(weights), hash_fn=split_hash, **tuning)
+    return tuned, train, holdout
 
 
-def run(df: DataFrame, spec: FeatureSpec, *, weak: float = 0.1, redundant: float = 0.9, seed: int = 100,
-        parallelism: int | None = None, experiment: str | None = None, runs_table: str | None = None,
+def run(df: DataFrame, spec: FeatureSpec, *, weak: float = 0.1, redundant: float = 0.9, experiment: str | None = None, runs_table: str | None = None,
         database: str | None = None, model_uri: str | None = None, **tuning) -> JobResult:
     """Run every step; ``df`` must already hold the ratios (see ``prepare``)."""
     spark = df.sparkSession
     sel = select_features(df, spec, weak, redundant)
     numeric = [c for c in sel.kept if c not in spec.dependent]
-    model, train, holdout = fit(df, spec, numeric, seed=seed, parallelism=parallelism, **tuning)
+    tuned, train, holdout = fit(df, spec, numeric, **tuning)
+    model = tuned.model
     uri = model_uri or shared_dir(spark, "models", fresh_name("pipeline"))
     save_model(model, uri)
     run_id = None
     if runs_table:
-        best = mdl.tuner(model).bestModel
+        best = mdl.regression(model)
         metrics = mdl.holdout_metrics(model, holdout, spec.label).first().asDict()
         run_id = log_run(spark, runs_table, experiment or "default",
                          {"regParam": best.getRegParam(), "elasticNetParam": best.getElasticNetParam(),
                           "features": ",".join(numeric + list(spec.binary) + list(spec.categorical))},
                          {f"holdout_{k}": v for k, v in metrics.items() if v is not None}, uri, database)
     extras = {"profile": profile.profile_numeric(df, [c for c in profile.numeric_columns(df)])}  # lazy
-    return JobResult(spec, sel, numeric, train, holdout, model, uri, run_id, extras)
+    return JobResult(spec, sel, numeric, train, holdout, tuned, uri, run_id, extras)
 
 
 def prepare(df: DataFrame, spec: FeatureSpec) -> DataFrame:
@@ -115,5 +118,6 @@ def explore(df: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:
         # A screen, so HyperLogLog: one pass, fixed state, no shuffle of distinct values.
         "cardinality": profile.profile_cardinality(
             df, [c for c in df.columns if c in num or c in spec.categorical], exact=False),
+        "times": profile.profile_time(df),
         "label_corr": correlate.corr_with_label(df, spec.label, spec.correlation_candidates()),
     }

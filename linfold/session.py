@@ -70,8 +70,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_name(prefix: str) -> str:
     """A unique, SQL-safe name for scratch objects."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
-
-
-def max_codegen_fields(spark: SparkSession) -> int:
-    """Above this many buffer fields an aggregate leaves whole-stage codegen."""
-    return int(spark.conf.get("spark.sql.codegen.maxFields", "100"))

@@ -30,6 +30,8 @@ class FeatureSpec:
     ignored: tuple[str, ...] = ()
     # Columns that leak the label (known only with it); never model inputs.
     dependent: tuple[str, ...] = ()
+    # Columns whose correlations are shown, but that are never model inputs.
+    explored: tuple[str, ...] = ()
     # Features kept whatever the correlation rules say (analyst's judgement).
     keep: tuple[str, ...] = field(default=())
 
@@ -38,8 +40,8 @@ class FeatureSpec:
         return tuple(r.name for r in self.ratios)
 
     def correlation_candidates(self) -> tuple[str, ...]:
-        """Numeric columns, derived ratios included, that correlation may screen."""
-        return tuple(c for c in self.numeric + self.ratio_names if c not in self.dependent)
+        """Numeric columns, derived ratios and explored columns included, that correlation may screen."""
+        return tuple(c for c in self.numeric + self.ratio_names + self.explored if c not in self.dependent)
 
     def with_numeric(self, cols) -> "FeatureSpec":
         return replace(self, numeric=tuple(cols))
