@@ -133,9 +133,10 @@ def redundant_features(label_corr: DataFrame, matrix: DataFrame, threshold: floa
     ranked = cands.withColumn("rank", F.row_number().over(
         Window.orderBy(F.desc_nulls_last(F.abs("label_corr")), F.col("column_name"))))
     g = ranked.select(F.col("column_name").alias("col_b"), F.col("rank").alias("rank_b"))
+    # One row for each column, or pair of columns, on both sides of the joins: sizes that no data changes.
     strong = matrix.filter((F.col("col_a") != F.col("col_b")) & (F.abs("corr") >= threshold)) \
-        .join(g, "col_b")
-    dom = ranked.alias("f").join(strong.alias("s"), F.col("f.column_name") == F.col("s.col_a"), "left") \
+        .join(F.broadcast(g), "col_b")
+    dom = ranked.alias("f").join(F.broadcast(strong).alias("s"), F.col("f.column_name") == F.col("s.col_a"), "left") \
         .groupBy("f.column_name", "f.label_corr", "f.rank") \
         .agg(F.min_by(F.when(F.col("s.rank_b") < F.col("f.rank"), F.col("s.col_b")),
                       F.when(F.col("s.rank_b") < F.col("f.rank"), F.col("s.rank_b"))).alias("dominated_by"))

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -123,11 +123,11 @@ def tuned(spark):
     from linfold.plans.stand_in import SPEC
 
     df = stand_in.prepared(spark, SF)
-    return regression_job.run(df, SPEC, seed=100, parallelism=2)
+    return regression_job.run(df, SPEC, parallelism=2)
 
 
 def test_tuning_winner_is_grid_minimum(tuned):
-    grid = mdl.grid_metrics(tuned.model).collect()
+    grid = mdl.grid_metrics(tuned.tuned).collect()
     assert len(grid) == 9
     best = [g for g in grid if g["is_best"]]
     assert len(best) >= 1 and best[0]["value"] == min(g["value"] for g in grid)
@@ -137,15 +137,14 @@ def test_tuning_winner_is_grid_minimum(tuned):
 
 
 def test_grid_order_regparam_outer(tuned):
-    grid = mdl.grid_metrics(tuned.model).collect()
+    grid = mdl.grid_metrics(tuned.tuned).collect()
     assert [(g["regParam"], g["elasticNetParam"]) for g in grid] == [
         (r, e) for r in mdl.REG_PARAMS for e in mdl.ELASTIC_NET_PARAMS]
 
 
 def test_holdout_one_pass_equals_evaluate(tuned):
-    best = mdl.tuner(tuned.model).bestModel
-    prepared = mdl.preparation(tuned.model).transform(tuned.holdout)
-    summ = best.evaluate(prepared)
+    prepared = PipelineModel(stages=tuned.model.stages[:-1]).transform(tuned.holdout)
+    summ = mdl.regression(tuned.model).evaluate(prepared)
     ours = mdl.holdout_metrics(tuned.model, tuned.holdout).first()
     assert ours["r2"] == pytest.approx(summ.r2, rel=1e-9)
     assert ours["rmse"] == pytest.approx(summ.rootMeanSquaredError, rel=1e-9)
@@ -179,33 +178,65 @@ def test_batch_score_rebuilds_ratio(spark, tuned):
     assert scored.filter(F.col("prediction").isNull()).count() == 0
 
 
-def test_category_bound_check(spark):
-    df = spark.range(500).withColumn("k", F.col("id") % 3)
-    est = encode.check_category_bounds(df, ["k"])
-    assert est["k"] == 3
+def test_category_bound_only_if_asked(spark):
+    df = spark.range(500).withColumn("k", F.col("id") % 3).withColumn("s", F.col("id").cast("string"))
+    assert encode.check_category_bounds(df, ["k"], 100)["k"] == 3
     with pytest.raises(ValueError):
         encode.check_category_bounds(df, ["id"], max_categories=100)
+    _, indexed = encode.index_categories(df, ["s"])
+    assert indexed.count() == 500
 
 
-def test_spread_for_iterations_only_raises_partition_count(spark):
-    one = spark.range(1000).coalesce(1)
-    assert mdl.spread_for_iterations(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert mdl.spread_for_iterations(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+def test_distributed_ranking_equals_a_plain_one(spark):
+    from pyspark.sql import Window
 
-
-def test_distributed_ranking_equals_window_ranking(spark):
     df = stand_in.prepared(spark, SF).repartition(4)
     cols = ["l_returnflag", "l_linenumber", "l_quantity", "row_key"]
-    win = encode.category_frequencies(df, cols)
-    dist = encode.category_frequencies(df, cols, max_window=0)
-    key = lambda r: (r["column_name"], r["category"])
-    a = sorted((tuple(r) for r in win.collect()), key=lambda t: (t[0], t[1]))
-    b = sorted((tuple(r) for r in dist.collect()), key=lambda t: (t[0], t[1]))
-    assert a == b
-    idx = {c: sorted(r["category_index"] for r in dist.collect() if r["column_name"] == c) for c in cols}
-    for c, values in idx.items():
-        assert values == [float(i) for i in range(len(values))]
+    got = {(r["column_name"], r["category"]): (r["n"], r["category_index"])
+           for r in encode.category_frequencies(df, cols).collect()}
+    want = {}
+    for c in cols:
+        per = df.groupBy(F.col(c).cast("string").alias("v")).count()
+        rank = F.row_number().over(Window.orderBy(F.desc("count"), "v")) - 1
+        want.update({(c, r["v"]): (r["count"], float(r["i"])) for r in per.withColumn("i", rank).collect()})
+    assert got == want
+
+
+def test_tuning_does_not_depend_on_the_layout(spark):
+    from linfold.plans import regression_job
+    from linfold.plans.stand_in import SPEC
+
+    df = stand_in.prepared(spark, SF)
+    one = regression_job.fit(df, SPEC, ["l_extendedprice", "unit_price"])[0]
+    other = regression_job.fit(df.repartition(7, "l_partkey"), SPEC, ["l_extendedprice", "unit_price"])[0]
+    for a, b in zip(one.grid, other.grid):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-8)
+    assert one.best == other.best
+
+
+@pytest.mark.parametrize("missing", ["skip", "mean", "error"])
+def test_missing_features_in_fit_and_score(spark, missing):
+    rows = [(i, None if i % 10 == 0 else float(i), 2.0 * i + 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, x double, label double")
+    if missing == "error":
+        with pytest.raises(Exception, match="null|NaN|Encountered"):
+            mdl.tune(df, "k", ["x"], missing=missing)
+        return
+    tuned = mdl.tune(df, "k", ["x"], missing=missing)
+    scored = tuned.model.transform(df.drop("label")).select("k", "prediction").collect()
+    assert len(scored) == (180 if missing == "skip" else 200)
+    m = mdl.holdout_metrics(tuned.model, df).first()
+    assert m["n"] == len(scored) and m["n_missing"] == 0 and m["rmse"] is not None
+
+
+def test_a_missing_feature_has_no_prediction_and_is_counted(spark):
+    from linfold.operators.metrics import regression_metrics
+
+    df = spark.createDataFrame([(1.0, 3.0), (2.0, 5.0), (3.0, 7.0), (None, 9.0), (float("nan"), 1.0)], "x double, label double")
+    p = mdl.ols_predict(df, "x", keep=["x"])
+    assert [r["prediction"] is None for r in p.collect()] == [False, False, False, True, True]
+    m = regression_metrics(p).first()
+    assert (m["n"], m["n_missing"]) == (3, 2) and m["rmse"] == pytest.approx(0, abs=1e-9)
 
 
 def test_pipeline_scores_a_category_unseen_in_training(spark):
@@ -215,10 +246,8 @@ def test_pipeline_scores_a_category_unseen_in_training(spark):
     df = stand_in.prepared(spark, SF)
     train = df.filter(F.col("l_linenumber") != 7)
     unseen = df.filter(F.col("l_linenumber") == 7)
-    pipe = mdl.tuning_pipeline(["l_extendedprice"], SPEC.binary, SPEC.categorical, parallelism=2,
-                               reg_params=(0.1,), elastic_net_params=(0.0,))
-    model = mdl.fit_persisted(pipe, train, ["label", "l_extendedprice", *SPEC.binary, *SPEC.categorical],
-                              categorical=SPEC.categorical)
+    model = mdl.tune(train, "row_key", ["l_extendedprice"], SPEC.binary, SPEC.categorical,
+                     reg_params=(0.1,), elastic_net_params=(0.0,)).model
     scored = model.transform(unseen)
     assert scored.count() == unseen.count() > 0
     assert scored.filter(F.col("prediction").isNull()).count() == 0
@@ -229,6 +258,6 @@ def test_explore_outputs(spark):
     from linfold.plans.stand_in import SPEC
 
     out = regression_job.explore(stand_in.prepared(spark, SF), SPEC)
-    assert {"profile", "cardinality", "label_corr"} == set(out)
+    assert {"profile", "cardinality", "times", "label_corr"} == set(out)
     assert out["label_corr"].count() == len(SPEC.correlation_candidates()) + 1
     assert out["cardinality"].filter("column_name = 'l_returnflag'").first()["n_distinct"] == 3

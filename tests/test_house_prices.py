@@ -42,13 +42,17 @@ def test_house_workflow_end_to_end(spark):
     assert 0.5 < rep["train_r2"] <= 1.0
     hold = out.holdout_metrics.first()
     assert hold["n"] > 0 and hold["r2"] > 0.3
-    assert "sqft_living" in out.job.numeric
-    assert {"bedrooms", "bathrooms"} <= set(out.job.selection.kept)
+    # The source job's nine inputs: five numeric ones, three encoded categories and a 0/1 flag.
+    assert sorted(out.job.numeric) == ["bathrooms", "bedrooms", "floors", "sqft_above_percentage", "sqft_living"]
+    names = {r["feature"].split("_vector")[0] for r in out.coefficients.collect()}
+    assert names == {*out.job.numeric, "condition", "grade", "zipcode", "waterfront"}
+    shown = {r["column_name"] for r in out.job.selection.label_corr.collect()}
+    assert {"sqft_above", "sqft_basement", "yr_built", "sqft_living15"} <= shown
     assert out.scored.count() == 400
     assert out.scored.filter(F.col("prediction").isNull()).count() == 0
     runs = spark.table(f"{out.database}.{house_prices.RUNS_TABLE}").collect()
     assert len(runs) == 1 and runs[0]["model_uri"] == out.job.model_uri
-    catalog.drop_namespace(spark, out.database)
+    house_prices.clean_up(spark, out)
     assert not catalog.namespace_exists(spark, out.database)
 
 

@@ -1,6 +1,6 @@
 import pytest
 
-from linfold.functions.exprs import hash_bucket, safe_ratio
+from linfold.functions.exprs import key_hash, safe_ratio
 from linfold.operators import profile, split
 from linfold.plans import stand_in
 
@@ -24,10 +24,9 @@ def test_profile_nulls_one_row_empty(spark):
     got = {r["column_name"]: r for r in profile.profile_numeric(df).collect()}
     assert got["b"]["n"] == 1 and got["b"]["n_null"] == 1 and got["b"]["stddev"] is None
     assert got["a"]["mean"] == 2.0
-    for method in ("wide", "long"):
-        empty = profile.profile_numeric(df.limit(0), method=method).collect()
-        assert sorted(r["column_name"] for r in empty) == ["a", "b"]
-        assert all(r["n"] == 0 and r["n_null"] == 0 and r["mean"] is None for r in empty)
+    empty = profile.profile_numeric(df.limit(0)).collect()
+    assert sorted(r["column_name"] for r in empty) == ["a", "b"]
+    assert all(r["n"] == 0 and r["n_null"] == 0 and r["mean"] is None for r in empty)
 
 
 def test_cardinality_exact_and_approx(spark):
@@ -61,13 +60,25 @@ def test_hash_split_is_a_partition_and_layout_independent(spark):
     assert 0.65 < share < 0.75
 
 
-def test_hash_bucket_matches_md5_rule(spark):
+def test_key_hash_matches_md5_rule(spark):
     import hashlib
 
-    df = spark.createDataFrame([("a",), ("1-2-3-4",), ("zz",)], "k string")
-    got = [r[0] for r in df.select(hash_bucket("k", hash_fn="md5")).collect()]
-    exp = [int(hashlib.md5(k.encode()).hexdigest()[:8], 16) % 100 for k in ["a", "1-2-3-4", "zz"]]
-    assert got == exp
+    df = spark.createDataFrame([("a",), ("1-2-3-4",), (None,)], "k string")
+    got = [r[0] for r in df.select(key_hash("k", hash_fn="md5")).collect()]
+    assert got == [int(hashlib.md5(k.encode()).hexdigest()[:8], 16) / 2**32 for k in ["a", "1-2-3-4", ""]]
+
+
+@pytest.mark.parametrize("hash_fn", ["xxhash64", "md5"])
+def test_null_keys_stay_and_any_share_is_met(spark, hash_fn):
+    df = spark.range(100).selectExpr("IF(id < 10, NULL, CAST(id AS STRING)) AS k", "id")
+    sides = split.hash_split(df, "k", hash_fn=hash_fn)
+    n = [x.count() for x in sides]
+    assert sum(n) == 100
+    assert {r["side"]: r["n"] for r in split.split_summary(df, "k", hash_fn=hash_fn).collect()} == dict(enumerate(n))
+    many = spark.range(200_000).selectExpr("CAST(id AS STRING) AS k")
+    small = split.hash_split(many, "k", (0.996, 0.004), hash_fn=hash_fn)[1].count()
+    assert 600 < small < 1000
+    assert abs(split.hash_split(many, "k", (0.875, 0.125), hash_fn=hash_fn)[1].count() - 25_000) < 800
 
 
 def test_three_way_split_and_summary(spark):
@@ -85,17 +96,22 @@ def test_random_split_parity_form(spark):
     assert a.count() + b.count() == df.count()
 
 
-def test_profile_wide_and_long_agree(spark):
-    df = stand_in.prepared(spark, SF)
-    cols = ["l_quantity", "l_extendedprice", "label", "is_open", "unit_price"]
-    wide = {r["column_name"]: r for r in profile.profile_numeric(df, cols, method="wide").collect()}
-    long = {r["column_name"]: r for r in profile.profile_numeric(df, cols, method="long").collect()}
-    assert set(wide) == set(long) == set(cols)
-    for c in cols:
-        for k in ("n", "n_null", "min_value", "max_value"):
-            assert wide[c][k] == long[c][k]
-        assert wide[c]["mean"] == pytest.approx(long[c]["mean"], rel=1e-12)
-        assert wide[c]["stddev"] == pytest.approx(long[c]["stddev"], rel=1e-10)
+def test_missing_and_zero_values_are_typed(spark):
+    """-0.0 is 0.0, NaN is missing: as SQL counts them once NaN is NULL."""
+    rows = [(0.0,), (-0.0,), (float("nan"),), (None,), (1.0,)]
+    df = spark.createDataFrame(rows, "x double")
+    c = profile.profile_cardinality(df).first()
+    assert (c["n"], c["n_distinct"], c["n_null"], c["n_zero"], c["zero_share"]) == (3, 2, 2, 2, 0.4)
+    p = profile.profile_numeric(df).first()
+    assert (p["n"], p["n_null"], p["max_value"]) == (3, 2, 1.0) and p["mean"] == pytest.approx(1 / 3)
+
+
+def test_profile_of_timestamps(spark):
+    df = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2020-01-02 03:04:05', DATE '2021-01-01'), (NULL, NULL), "
+                   "(TIMESTAMP '2019-01-02 00:00:00', DATE '2021-01-01') AS t(a, b)")
+    got = {r["column_name"]: r for r in profile.profile_time(df).collect()}
+    assert (got["a"]["n"], got["a"]["n_null"], got["a"]["n_distinct"]) == (2, 1, 2)
+    assert str(got["a"]["min_value"]) == "2019-01-02 00:00:00" and got["b"]["n_distinct"] == 1
 
 
 def test_profiles_of_no_columns_are_empty_with_schema(spark):

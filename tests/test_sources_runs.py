@@ -72,6 +72,19 @@ def test_run_log_best_and_delete(spark):
     catalog.drop_namespace(spark, db)
 
 
+def test_delete_runs_leaves_other_rows(spark):
+    db = catalog.create_namespace(spark, "t_runs3", location=shared_dir(spark, "ns", "t_runs3"))
+    t = fresh_name("runs")
+    runs.log_runs(spark, t, [(e, {}, {"rmse": 1.0}, None) for e in ("a", "it's", "b")], db)
+    with pytest.raises(ValueError):
+        runs.log_run(spark, t, None, {}, {}, None, db)
+    assert runs.delete_runs(spark, t, "a", db) == 1 and runs.delete_runs(spark, t, "absent", db) == 0
+    assert sorted(r["experiment"] for r in tables.read_table(spark, t, db).collect()) == ["b", "it's"]
+    assert runs.delete_runs(spark, t, "it's", db) == 1
+    assert [r["experiment"] for r in tables.read_table(spark, t, db).collect()] == ["b"]
+    catalog.drop_namespace(spark, db)
+
+
 def test_log_runs_batch(spark):
     db = catalog.create_namespace(spark, "t_runs2", location=shared_dir(spark, "ns", "t_runs2"))
     t = fresh_name("runs")

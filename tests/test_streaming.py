@@ -10,9 +10,9 @@ SF = "/root/testdata/sf0.001"
 
 def test_stream_scores_each_arriving_batch_once(spark):
     df = stand_in.prepared(spark, SF)
-    model, _, _ = regression_job.fit(df, SPEC, ["l_extendedprice", "unit_price"], parallelism=2)
+    tuned, _, _ = regression_job.fit(df, SPEC, ["l_extendedprice", "unit_price"], parallelism=2)
     uri = shared_dir(spark, "models", fresh_name("m"))
-    model.write().overwrite().save(uri)
+    tuned.model.write().overwrite().save(uri)
     unlabelled = stand_in.charges(spark, SF).drop("charge", "l_shipdate")
     src, sink, ckpt = (shared_dir(spark, "stream", fresh_name(p)) for p in ("src", "sink", "ckpt"))
     first, second = unlabelled.randomSplit([0.5, 0.5], seed=1)
@@ -32,9 +32,9 @@ def test_stream_appends_to_a_catalog_table(spark):
     from linfold.sources import catalog
 
     df = stand_in.prepared(spark, SF)
-    model, _, _ = regression_job.fit(df, SPEC, ["l_extendedprice"], parallelism=2)
+    tuned, _, _ = regression_job.fit(df, SPEC, ["l_extendedprice"], parallelism=2)
     uri = shared_dir(spark, "models", fresh_name("m"))
-    model.write().overwrite().save(uri)
+    tuned.model.write().overwrite().save(uri)
     unlabelled = stand_in.charges(spark, SF).drop("charge", "l_shipdate")
     src, ckpt = (shared_dir(spark, "stream", fresh_name(p)) for p in ("src", "ckpt"))
     unlabelled.write.parquet(src)
