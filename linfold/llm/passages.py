@@ -66,15 +66,16 @@ def decide(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     number of distinct segments, ``kinds``.
     """
     places = settled(places, "places")
-    twice = places.groupBy("p").agg(F.count("*").alias("m")).where("m > 1").select("p")
+    # Written before it is joined: a join of two plain scans is one whose hot keys Spark can split.
+    twice = settled(places.groupBy("p").agg(F.count("*").alias("m")).where("m > 1").select("p"), "twice")
     some = settled(places.join(twice, "p"), "candidates")
     contents = settled(some.groupBy("p", "s").agg(
         F.count("*").alias("n"), F.min(F.struct("_k1", "_k2", "first", "last")).alias("rep"),
         F.bool_or("ask").alias("asked")), "contents")
     copied = contents.where("n > 1").select("p", "s")
     repeated = settled(some.where("ask").join(copied, ["p", "s"]).select("_k1", "_k2", "first", "last"), "repeated")
-    mixed = contents.groupBy("p").agg(F.count("*").alias("kinds"), F.bool_or(F.expr("n = 1 AND asked")).alias("alone")) \
-        .where("kinds > 1 AND alone").select("p", "kinds")
+    mixed = settled(contents.groupBy("p").agg(F.count("*").alias("kinds"), F.bool_or(F.expr("n = 1 AND asked")).alias("alone")) \
+        .where("kinds > 1 AND alone").select("p", "kinds"), "mixed")
     unsure = contents.join(mixed, "p").select("rep.*", F.expr("n = 1 AND asked").alias("ask"), "p", "kinds")
     return repeated, unsure
 
