@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.llm import langid, minhash, mixing, substring, tiling
-from linfold.llm.texts import on_workers, read_table, settled
+from linfold.llm.texts import discard, on_workers, read_table, scratch, settled
 
 #: The stages learn models and count whole tables, which SQL cannot express.
 ORACLE_SQL = None
@@ -61,7 +61,13 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = settled(stage(spark, docs, sf_dir), name)
+        done: list[DataFrame] = []
+        with scratch(spark, done):
+            docs = settled(stage(spark, docs, sf_dir), name)
+            done.append(docs)
+        if before is not None:
+            discard(before)
+        before = docs
     return docs

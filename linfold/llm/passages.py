@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm.texts import batch_of, leftmost_minima, settled, signed, spans_hash, windows_hash
+from linfold.llm.texts import batch_of, discard, leftmost_minima, settled, signed, spans_hash, windows_hash
 
 #: piece hash, segment hash (together 128 bits for a segment), text, first and last window, asked or only a witness.
 PLACES = pa.schema([("p", pa.int64()), ("s", pa.int64()), ("_k1", pa.int64()), ("_k2", pa.int64()),
@@ -69,13 +69,15 @@ def decide(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Written before it is joined: a join of two plain scans is one whose hot keys Spark can split.
     twice = settled(places.groupBy("p").agg(F.count("*").alias("m")).where("m > 1").select("p"), "twice")
     some = settled(places.join(twice, "p"), "candidates")
+    discard(places, twice)
     contents = settled(some.groupBy("p", "s").agg(
         F.count("*").alias("n"), F.min(F.struct("_k1", "_k2", "first", "last")).alias("rep"),
         F.bool_or("ask").alias("asked")), "contents")
     copied = contents.where("n > 1").select("p", "s")
     repeated = settled(some.where("ask").join(copied, ["p", "s"]).select("_k1", "_k2", "first", "last"), "repeated")
-    mixed = settled(contents.groupBy("p").agg(F.count("*").alias("kinds"), F.bool_or(F.expr("n = 1 AND asked")).alias("alone")) \
-        .where("kinds > 1 AND alone").select("p", "kinds"), "mixed")
+    discard(some)
+    mixed = settled(contents.groupBy("p").agg(F.count("*").alias("kinds"), F.bool_or(F.expr("n = 1 AND asked")).alias("alone"))
+                    .where("kinds > 1 AND alone").select("p", "kinds"), "mixed")
     unsure = contents.join(mixed, "p").select("rep.*", F.expr("n = 1 AND asked").alias("ask"), "p", "kinds")
     return repeated, unsure
 

@@ -8,6 +8,7 @@ that need certainty take two of them (128 bits) or compare the content itself.
 
 from __future__ import annotations
 
+import contextlib
 import os
 
 import numpy as np
@@ -206,13 +207,50 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders written since each open ``scratch`` began.
+_WRITTEN: list[list[str]] = []
+
+
 def settled(df: DataFrame, what: str = "step") -> DataFrame:
-    """The frame written to the shared folder and read back: lineage is cut, and a lost executor loses nothing."""
+    """The frame written to the shared folder and read back: lineage is cut, and a lost executor loses nothing.
+
+    ``discard`` deletes the files of frames that nothing reads any more; ``scratch`` does so for a whole step.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", fresh_name(what))
+    for made in _WRITTEN:
+        made.append(path)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    back = spark.read.schema(schema).parquet(path)
+    back._settled_at = path
+    return back
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what ``settled`` wrote for these frames."""
+    for df in frames:
+        _delete(df.sparkSession, df._settled_at)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, keep: list[DataFrame]):
+    """Deletes, at the end, what ``settled`` wrote inside, but for the frames in ``keep``."""
+    made: list[str] = []
+    _WRITTEN.append(made)
+    try:
+        yield
+    finally:
+        _WRITTEN.remove(made)
+        kept = {df._settled_at for df in keep}
+        for path in made:
+            if path not in kept:
+                _delete(spark, path)
 
 
 def free_name(df: DataFrame, base: str) -> str:
