@@ -150,36 +150,57 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return settled(both.mapInArrow(_verify, "a long, b long, linked boolean"), "verified")
 
 
-def _compare(group: pd.DataFrame) -> pd.DataFrame:
+_CANDIDATES = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()),
+                         ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
+#: Sketch comparisons made at once.
+_AT_ONCE = 1 << 15
+
+
+def _agreeing(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which coordinates of each x and y agree, and how many; bytes of 0 and 1 are summed eight at a time."""
+    equal = y[None, :, :] == x[:, None, :]
+    words = equal.view(np.uint64).sum(axis=2, dtype=np.uint64)
+    return equal, ((words * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64)
+
+
+def _compare(group: pa.Table) -> pa.Table:
     """Candidate pairs of one task, as two lists, best first: ``minor`` members against ``home`` members."""
-    minor, home = group[group["minor"]], group[~group["minor"]].sort_values(["n", "doc_id"])
+    got = {c: group.column(c).to_numpy() for c in ("doc_id", "comp", "major", "n", "minor")}
+    coords = np.frombuffer(b"".join(group.column("coords").to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
+    band = group.column("band")[0].as_py()
+    minor = np.flatnonzero(got["minor"])
+    home = np.flatnonzero(~got["minor"])
+    minor = minor[np.lexsort((got["doc_id"][minor], got["n"][minor]))]
+    home = home[np.lexsort((got["doc_id"][home], got["n"][home]))]
+    yi, yc, yn, ym = (got[c][home] for c in ("doc_id", "comp", "n", "major"))
+    y, inner = coords[home], yc == ym
     a, b, best = [], [], []
-    if len(minor) and len(home):
-        x = np.frombuffer(b"".join(minor["coords"]), dtype=np.uint16).reshape(len(minor), COORDINATES)
-        y = np.frombuffer(b"".join(home["coords"]), dtype=np.uint16).reshape(len(home), COORDINATES)
-        xi, xc, xn = (minor[c].to_numpy() for c in ("doc_id", "comp", "n"))
-        yi, yc, yn, ym = (home[c].to_numpy() for c in ("doc_id", "comp", "n", "major"))
-        band = int(group["band"].iloc[0])
-        low = np.searchsorted(yn * 100, xn * PERCENT, side="left")
-        high = np.searchsorted(yn * PERCENT, xn * 100, side="right")
-        for k in range(len(xi)):
-            at = slice(low[k], high[k])
-            equal = y[at] == x[k]
-            count = np.count_nonzero(equal, axis=1)
-            # both outside the largest component: they meet twice, one of the two counts
-            fit = np.flatnonzero((count >= LEAST_EQUAL) & (yc[at] != xc[k]) & ((yc[at] == ym[at]) | (yi[at] > xi[k])))
-            if band and len(fit):
-                fit = fit[~equal[fit, :band * ROWS].reshape(len(fit), band, ROWS).all(axis=2).any(axis=1)]
-            a.append(np.full(len(fit), xi[k]))
-            b.append(yi[at][fit])
-            best.append(count[fit])
-    if not a or not sum(map(len, a)):
-        return pd.DataFrame({c: pd.Series([], dtype=t) for c, t in (
-            ("key", "int64"), ("i", "int32"), ("j", "int32"), ("a", object), ("b", object))})
+    step = max(1, _AT_ONCE // max(1, len(home)))
+    for k in range(0, len(minor), step):
+        at = minor[k:k + step]
+        xn = got["n"][at]
+        # sizes alone rule out the others
+        low = int(np.searchsorted(yn * 100, xn[0] * PERCENT, side="left"))
+        high = int(np.searchsorted(yn * PERCENT, xn[-1] * 100, side="right"))
+        if low >= high:
+            continue
+        equal, count = _agreeing(coords[at], y[low:high])
+        # both outside the largest component: they meet twice, one of the two counts
+        fit = ((count >= LEAST_EQUAL) & (yc[low:high][None, :] != got["comp"][at][:, None])
+               & (inner[low:high][None, :] | (yi[low:high][None, :] > got["doc_id"][at][:, None])))
+        r, c = np.nonzero(fit)
+        if band and len(r):
+            earlier = equal[r, c, :band * ROWS].reshape(len(r), band, ROWS).all(axis=2).any(axis=1)
+            r, c = r[~earlier], c[~earlier]
+        a.append(got["doc_id"][at][r])
+        b.append(yi[low:high][c])
+        best.append(count[r, c])
+    if not sum(map(len, a)):
+        return _CANDIDATES.empty_table()
     order = np.argsort(-np.concatenate(best), kind="stable")
-    first = group.iloc[0]
-    return pd.DataFrame({"key": [first["key"]], "i": [first["i"]], "j": [first["j"]],
-                         "a": [np.concatenate(a)[order].tolist()], "b": [np.concatenate(b)[order].tolist()]})
+    one = {c: group.column(c)[0].as_py() for c in ("key", "i", "j")}
+    return pa.Table.from_pydict({**{c: [v] for c, v in one.items()}, "a": [np.concatenate(a)[order]],
+                                 "b": [np.concatenate(b)[order]]}, schema=_CANDIDATES)
 
 
 def _test(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
@@ -218,9 +239,9 @@ def _open_links(members: DataFrame, comps: DataFrame, coords: DataFrame, texts:
     rows = settled(members.join(known, "doc_id", "left").select(
         "key", "band", "doc_id", F.coalesce("c", "doc_id").alias("comp")), "placed")
     per = rows.groupBy("key", "comp").agg(F.count("*").alias("m"))
-    sums = per.groupBy("key").agg(F.count("*").alias("comps"), F.sum("m").alias("m"),
+    sums = settled(per.groupBy("key").agg(F.count("*").alias("comps"), F.sum("m").alias("m"),
                                   F.max(F.struct("m", "comp")).alias("top")).where("comps > 1") \
-        .select("key", "m", F.col("top")["comp"].alias("major"), F.col("top")["m"].alias("majors"))
+        .select("key", "m", F.col("top")["comp"].alias("major"), F.col("top")["m"].alias("majors")), "sums")
     got = rows.join(sums, "key").join(coords, "doc_id")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     minor_blocks = F.ceil((F.col("m") - F.col("majors")) / BLOCK).cast("int")
@@ -231,7 +252,7 @@ def _open_links(members: DataFrame, comps: DataFrame, coords: DataFrame, texts:
                       F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"))
     minor = got.where("comp <> major").select(*columns, F.lit(True).alias("minor"), minor_place.alias("i"),
                                               F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    found = settled(home.unionByName(minor.select(home.columns)).groupBy("key", "i", "j").applyInPandas(
+    found = settled(home.unionByName(minor.select(home.columns)).groupBy("key", "i", "j").applyInArrow(
         _compare, "key long, i int, j int, a array<long>, b array<long>"), "candidates")
     wanted = found.select("key", "i", "j", F.explode(F.array_distinct(F.concat("a", "b"))).alias("doc_id"))
     fetched = wanted.join(texts.select("doc_id", F.col("text").alias("_text")), "doc_id").join(known, "doc_id", "left") \
@@ -252,8 +273,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     reps = sets.where("rep IS NOT NULL").join(
         sketched.select(F.col("doc_id").alias("rep"), "h1", "h2", "n", "bands", "coords"), ["h1", "h2", "n", "rep"])
     banded = reps.select(F.col("rep").alias("doc_id"), F.posexplode("bands").alias("band", "key"))
-    buckets = banded.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("hub")).where("m > 1")
-    members = settled(banded.join(buckets.select("key", "hub"), "key").distinct(), "members")
+    # Written before they are joined: a join of two plain scans is one whose hot keys Spark can split.
+    buckets = settled(banded.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("hub")).where("m > 1")
+                      .select("key", "hub"), "buckets")
+    members = settled(banded.join(buckets, "key").distinct(), "members")
     nodes = members.select("doc_id").distinct()
     texts = settled(rows.select("doc_id", F.col("_text").alias("text")).join(nodes, "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]), "texts")
