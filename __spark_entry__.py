@@ -28,7 +28,7 @@ from linfold.spec import FeatureSpec
 # The text operators are optional: without their subpackage, all other queries still work.
 try:
     from linfold.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if missing.name not in ("linfold.llm", "corpus_pipeline"):
         raise
     llm_queries = None
