@@ -112,8 +112,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{j}") - F.col("target")).alias("miss"), F.lit(j).alias("j"))
                                  for j in range(OFFSETS)]))["j"]
     at = F.col("offset") + best / OFFSETS
-    chosen = ranked.groupBy("key", "target", "offset").agg(*sums).select(
-        "key", F.when(at >= 1, at - 1).otherwise(at).alias("chosen"))
+    chosen = settled(ranked.groupBy("key", "target", "offset").agg(*sums).select(
+        "key", F.when(at >= 1, at - 1).otherwise(at).alias("chosen")), "offsets")
     return ranked.join(chosen, "key").withColumn("copies", crossed(F.col("chosen"))).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies",
         "_k1", "_k2")

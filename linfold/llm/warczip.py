@@ -209,7 +209,8 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha1("html"), "size": F.octet_length("html")})
-    first = rows.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first"))
+    # Written before it is joined: a join of two plain scans is one whose hot payloads Spark can split.
+    first = settled(rows.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first")), "digests")
     same = rows.join(first, "digest", "left")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first"))
     return settled(same.select("page_id", "url", "html", refers.alias("refers_to")).mapInArrow(
