@@ -48,14 +48,12 @@ class LanguageModel:
 
 
 def _grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams inside texts, and the first of each text. A shorter text is padded with nothing: it has none."""
+    """Hashes of the n-grams inside texts, and the first of each text; a text shorter than an n-gram has none."""
     hashes = windows_hash(byte_values(_LETTERS[raw]), GRAM)
-    inside = np.zeros(len(hashes), dtype=bool)
     lengths = np.maximum(np.diff(offsets) - GRAM + 1, 0)
     total = int(lengths.sum())
     places = np.repeat(offsets[:-1] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(total)
-    inside = hashes[places] if total else hashes[:0]
-    return inside, np.concatenate(([0], np.cumsum(lengths)))
+    return hashes[places] if total else hashes[:0], np.concatenate(([0], np.cumsum(lengths)))
 
 
 def _slots(hashes: np.ndarray) -> list[np.ndarray]:

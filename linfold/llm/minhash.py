@@ -27,8 +27,9 @@ Texts are shuffled once, to fetch those of sets that share a bucket with another
 
 Defined results: null and empty texts have no set: n_shingles 0, a component of their own. Repeated
 rows share their set and so their component; both then carry the same id, so both are ``kept`` if
-it is the smallest. An id with several texts is judged by one of them beyond equal sets. Null ids take part in no link unless their set equals one with an id; their
-component is that set's, or null, and they are ``kept`` if it is null. Other columns are not read.
+it is the smallest. An id with several texts is judged by one of them beyond equal sets. Null ids
+take part in no link unless their set equals one with an id; their component is that set's, or null,
+and they are ``kept`` if it is null. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -280,7 +281,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     nodes = members.select("doc_id").distinct()
     texts = settled(rows.select("doc_id", F.col("_text").alias("text")).join(nodes, "doc_id", "left_semi")
                     .dropDuplicates(["doc_id"]), "texts")
-    coords = settled(reps.select(F.col("rep").alias("doc_id"), "n", "coords").dropDuplicates(["doc_id"]).join(nodes, "doc_id", "left_semi"), "coords")
+    coords = settled(reps.select(F.col("rep").alias("doc_id"), "n", "coords").dropDuplicates(["doc_id"])
+                     .join(nodes, "doc_id", "left_semi"), "coords")
     # a) one hub for each member
     shared = members.where("doc_id <> hub").groupBy("doc_id", "hub").agg(F.count("*").alias("n"))
     first = shared.groupBy("doc_id").agg(F.max(F.struct("n", -F.col("hub"))).alias("top")).select(
