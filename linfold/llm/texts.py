@@ -21,7 +21,7 @@ from linfold.session import fresh_name, shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 #: Text bytes worked on at a time; a longer text is one piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
