@@ -9,11 +9,11 @@ shingle; no word, no set). Documents are linked if their sets' Jaccard similarit
    bin each, so after at most twice as many rounds every coordinate is filled, whatever the set's
    size; a set stops when it is full (mostly after one or two rounds). Equal coordinates of two
    sketches estimate the similarity with strong concentration.
-2. *Equal sets* collapse to one representative (its smallest id); copies never make pairs.
+2. *Equal sets* collapse to one node, whatever ids their rows have; copies never make pairs.
 3. *Banding.* ``ROWS`` coordinates make a band; sets that share a band meet in its bucket. A pair at
    the threshold shares none of the bands with a probability of about 2.4e-8.
 4. *Exact verification* on the full sets, without listing a bucket's pairs:
-   a) each set against one hub (the smallest id of a bucket it is in; the hub it shares most bands
+   a) each set against one hub (the smallest node of a bucket it is in; the hub it shares most bands
    with); links give components; b) only buckets that still hold several components are looked at
    again: their members outside the largest component meet all members of other components, in
    tasks of at most ``BLOCK`` x ``BLOCK``, so a bucket of any size is many such tasks. A pair goes on
@@ -23,13 +23,14 @@ shingle; no word, no set). Documents are linked if their sets' Jaccard similarit
    components are joined. Only links that join components leave the task. Links inside a component
    need no test, as they change nothing.
 
-Texts are shuffled once, to fetch those of sets that share a bucket with another; the tests read them from there.
+Texts are shuffled once, to fetch those of sets that share a bucket with another (by the key of a row that has the set);
+the tests read them from there.
 
 Defined results: null and empty texts have no set: n_shingles 0, a component of their own. Repeated
 rows share their set and so their component; both then carry the same id, so both are ``kept`` if
-it is the smallest. An id with several texts is judged by one of them beyond equal sets. Null ids
-take part in no link unless their set equals one with an id; their component is that set's, or null,
-and they are ``kept`` if it is null. Other columns are not read. An empty table gives no rows.
+it is the smallest. Rows without an id are linked like others, by their sets. A component carries
+the smallest id in it; it is null if none of its rows has an id, and ``kept`` then are the row with the
+least key (``row_key``) and its repeats. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.llm.components import components
-from linfold.llm.texts import Words, batch_of, free_name, mix, pieces, settled, signed, spans_hash, windows_hash
+from linfold.llm.texts import (
+    Words, batch_of, free_name, keyed, mix, pieces, row_key, settled, signed, spans_hash, windows_hash)
 
 SHINGLE = 5
 PERCENT = 75
@@ -91,8 +93,8 @@ def sketches(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
     return flat.reshape(rows, t)
 
 
-_SKETCHED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-                       ("bands", pa.list_(pa.int64())), ("coords", pa.binary())])
+_SKETCHED = pa.schema([("_k1", pa.int64()), ("_k2", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()),
+                       ("h2", pa.int64()), ("bands", pa.list_(pa.int64())), ("coords", pa.binary())])
 
 
 def _sketch(batches):
@@ -111,7 +113,7 @@ def _sketch(batches):
         small = mix(flat).astype(np.uint16)
         lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(np.where(n > 0, BANDS, 0)))).astype(np.int32),
                                          pa.array(bands[n > 0].ravel()))
-        yield batch_of(_SKETCHED, part.column(part.schema.get_field_index("doc_id")), n,
+        yield batch_of(_SKETCHED, *(part.column(part.schema.get_field_index(c)) for c in ("_k1", "_k2", "doc_id")), n,
                        signed(sums[cut[1:]] - sums[cut[:-1]]), signed(sums2[cut[1:]] - sums2[cut[:-1]]),
                        lists, [x.tobytes() for x in small])
 
@@ -144,9 +146,9 @@ def _verify(batches):
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked) of distinct pairs; ``texts`` (doc_id, text) holds every id of a pair."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    """(a, b, linked) of distinct pairs; ``texts`` (node, text) holds every id of a pair."""
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return settled(both.mapInArrow(_verify, "a long, b long, linked boolean"), "verified")
 
@@ -166,14 +168,14 @@ def _agreeing(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _compare(group: pa.Table) -> pa.Table:
     """Candidate pairs of one task, as two lists, best first: ``minor`` members against ``home`` members."""
-    got = {c: group.column(c).to_numpy() for c in ("doc_id", "comp", "major", "n", "minor")}
+    got = {c: group.column(c).to_numpy() for c in ("node", "comp", "major", "n", "minor")}
     coords = np.frombuffer(b"".join(group.column("coords").to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
     band = group.column("band")[0].as_py()
     minor = np.flatnonzero(got["minor"])
     home = np.flatnonzero(~got["minor"])
-    minor = minor[np.lexsort((got["doc_id"][minor], got["n"][minor]))]
-    home = home[np.lexsort((got["doc_id"][home], got["n"][home]))]
-    yi, yc, yn, ym = (got[c][home] for c in ("doc_id", "comp", "n", "major"))
+    minor = minor[np.lexsort((got["node"][minor], got["n"][minor]))]
+    home = home[np.lexsort((got["node"][home], got["n"][home]))]
+    yi, yc, yn, ym = (got[c][home] for c in ("node", "comp", "n", "major"))
     y, inner = coords[home], yc == ym
     a, b, best = [], [], []
     step = max(1, _AT_ONCE // max(1, len(home)))
@@ -188,12 +190,12 @@ def _compare(group: pa.Table) -> pa.Table:
         equal, count = _agreeing(coords[at], y[low:high])
         # both outside the largest component: they meet twice, one of the two counts
         fit = ((count >= LEAST_EQUAL) & (yc[low:high][None, :] != got["comp"][at][:, None])
-               & (inner[low:high][None, :] | (yi[low:high][None, :] > got["doc_id"][at][:, None])))
+               & (inner[low:high][None, :] | (yi[low:high][None, :] > got["node"][at][:, None])))
         r, c = np.nonzero(fit)
         if band and len(r):
             earlier = equal[r, c, :band * ROWS].reshape(len(r), band, ROWS).all(axis=2).any(axis=1)
             r, c = r[~earlier], c[~earlier]
-        a.append(got["doc_id"][at][r])
+        a.append(got["node"][at][r])
         b.append(yi[low:high][c])
         best.append(count[r, c])
     if not sum(map(len, a)):
@@ -208,7 +210,7 @@ def _test(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
     """Links of one task that join components, from its pairs (best first) and its members' texts."""
     at, sets, up = {}, [], {}
     batch = pa.RecordBatch.from_pandas(members[["_text"]].reset_index(drop=True), preserve_index=False)
-    for i, (doc, comp) in enumerate(zip(members["doc_id"].tolist(), members["comp"].tolist(), strict=True)):
+    for i, (doc, comp) in enumerate(zip(members["node"].tolist(), members["comp"].tolist(), strict=True)):
         at[doc] = i
         up[comp] = comp
     for part, raw, offsets in pieces([batch]):
@@ -236,84 +238,117 @@ def _test(pairs: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
 
 def _open_links(members: DataFrame, comps: DataFrame, coords: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that join components, from the buckets that hold several."""
-    known = comps.select(F.col("node").alias("doc_id"), F.col("component").alias("c"))
-    rows = settled(members.join(known, "doc_id", "left").select(
-        "key", "band", "doc_id", F.coalesce("c", "doc_id").alias("comp")), "placed")
+    known = comps.select("node", F.col("component").alias("c"))
+    rows = settled(members.join(known, "node", "left").select(
+        "key", "band", "node", F.coalesce("c", "node").alias("comp")), "placed")
     per = rows.groupBy("key", "comp").agg(F.count("*").alias("m"))
     sums = settled(per.groupBy("key").agg(F.count("*").alias("comps"), F.sum("m").alias("m"),
                                   F.max(F.struct("m", "comp")).alias("top")).where("comps > 1") \
         .select("key", "m", F.col("top")["comp"].alias("major"), F.col("top")["m"].alias("majors")), "sums")
-    got = rows.join(sums, "key").join(coords, "doc_id")
+    got = rows.join(sums, "key").join(coords, "node")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     minor_blocks = F.ceil((F.col("m") - F.col("majors")) / BLOCK).cast("int")
-    place = F.pmod(F.xxhash64("doc_id"), blocks.cast("long")).cast("int")
-    minor_place = F.pmod(F.xxhash64("doc_id", F.lit(1)), minor_blocks.cast("long")).cast("int")
-    columns = ("key", "band", "doc_id", "comp", "major", "n", "coords")
+    place = F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int")
+    minor_place = F.pmod(F.xxhash64("node", F.lit(1)), minor_blocks.cast("long")).cast("int")
+    columns = ("key", "band", "node", "comp", "major", "n", "coords")
     home = got.select(*columns, F.lit(False).alias("minor"), place.alias("j"),
                       F.explode(F.sequence(F.lit(0), minor_blocks - 1)).alias("i"))
     minor = got.where("comp <> major").select(*columns, F.lit(True).alias("minor"), minor_place.alias("i"),
                                               F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
     found = settled(home.unionByName(minor.select(home.columns)).groupBy("key", "i", "j").applyInArrow(
         _compare, "key long, i int, j int, a array<long>, b array<long>"), "candidates")
-    wanted = found.select("key", "i", "j", F.explode(F.array_distinct(F.concat("a", "b"))).alias("doc_id"))
-    fetched = wanted.join(texts.select("doc_id", F.col("text").alias("_text")), "doc_id").join(known, "doc_id", "left") \
-        .select(F.col("key").alias("k"), F.col("i").alias("x"), F.col("j").alias("y"), "doc_id",
-                F.coalesce("c", "doc_id").alias("comp"), "_text")
+    wanted = found.select("key", "i", "j", F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
+    fetched = wanted.join(texts.select("node", F.col("text").alias("_text")), "node").join(known, "node", "left") \
+        .select(F.col("key").alias("k"), F.col("i").alias("x"), F.col("j").alias("y"), "node",
+                F.coalesce("c", "node").alias("comp"), "_text")
     return settled(found.groupBy("key", "i", "j").cogroup(fetched.groupBy("k", "x", "y")).applyInPandas(
         lambda p, m: _test(p, m), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    return judged(docs, doc_id, text).drop("_k1", "_k2")
+
+
+def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row, with its row key (_k1, _k2)."""
+    rows = keyed(docs, doc_id, text).select("_k1", "_k2", F.col("_id").cast("long").alias("doc_id"),
+                                            F.coalesce("_text", F.lit("")).alias("_text"))
     sketched = settled(rows.mapInArrow(
-        _sketch, "doc_id long, n long, h1 long, h2 long, bands array<long>, coords binary"), "sketches")
-    sets = settled(sketched.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "sets")
-    # The representative's own row has the sketch.
-    reps = sets.where("rep IS NOT NULL").join(
-        sketched.select(F.col("doc_id").alias("rep"), "h1", "h2", "n", "bands", "coords"), ["h1", "h2", "n", "rep"])
-    banded = reps.select(F.col("rep").alias("doc_id"), F.posexplode("bands").alias("band", "key"))
+        _sketch, "_k1 long, _k2 long, doc_id long, n long, h1 long, h2 long, bands array<long>, coords binary")
+        .withColumn("node", F.monotonically_increasing_id()), "sketches")
+    # A set's node is the number of one of its rows; its first row is the one that stays.
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_k1", "_k2")
+    sets = settled(sketched.where("n > 0").groupBy("h1", "h2", "n").agg(
+        F.min("node").alias("node"), F.min(first).alias("first")), "sets")
+    reps = sketched.select("node", "_k1", "_k2", "n", "bands", "coords").join(sets.select("node"), "node", "left_semi")
+    banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
     # Written before they are joined: a join of two plain scans is one whose hot keys Spark can split.
-    buckets = settled(banded.groupBy("key").agg(F.count("*").alias("m"), F.min("doc_id").alias("hub")).where("m > 1")
+    buckets = settled(banded.groupBy("key").agg(F.count("*").alias("m"), F.min("node").alias("hub")).where("m > 1")
                       .select("key", "hub"), "buckets")
-    members = settled(banded.join(buckets, "key").distinct(), "members")
-    nodes = members.select("doc_id").distinct()
-    texts = settled(rows.select("doc_id", F.col("_text").alias("text")).join(nodes, "doc_id", "left_semi")
-                    .dropDuplicates(["doc_id"]), "texts")
-    coords = settled(reps.select(F.col("rep").alias("doc_id"), "n", "coords").dropDuplicates(["doc_id"])
-                     .join(nodes, "doc_id", "left_semi"), "coords")
+    members = settled(banded.join(buckets, "key"), "members")
+    nodes = members.select("node").distinct()
+    coords = settled(reps.select("node", "_k1", "_k2", "n", "coords").join(nodes, "node", "left_semi"), "coords")
+    texts = settled(rows.select("_k1", "_k2", F.col("_text").alias("text")).join(
+        coords.select("node", "_k1", "_k2"), ["_k1", "_k2"]).select("node", "text"), "texts")
+    if texts.count() > coords.count():  # rows that are repeated, id and text
+        texts = settled(texts.dropDuplicates(["node"]), "texts")
+    coords = coords.drop("_k1", "_k2")
     # a) one hub for each member
-    shared = members.where("doc_id <> hub").groupBy("doc_id", "hub").agg(F.count("*").alias("n"))
-    first = shared.groupBy("doc_id").agg(F.max(F.struct("n", -F.col("hub"))).alias("top")).select(
-        (-F.col("top")["col2"]).alias("a"), F.col("doc_id").alias("b"))
-    links = _verified(first, texts).where("linked").select("a", "b")
+    shared = members.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
+    near = shared.groupBy("node").agg(F.max(F.struct("n", -F.col("hub"))).alias("top")).select(
+        (-F.col("top")["col2"]).alias("a"), F.col("node").alias("b"))
+    links = _verified(near, texts).where("linked").select("a", "b")
     comps = components(links)
     more = _open_links(members, comps, coords, texts)
     if more.limit(1).count():
         comps = components(links.unionByName(more))
-    found = sets.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
-    out = sketched.select("doc_id", "n", "h1", "h2").join(found, ["h1", "h2", "n"], "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()))
+    found = settled(sets.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node")), "found")
+    tops = settled(found.groupBy("component").agg(F.min("first").alias("top")), "tops")
+    verdict = settled(found.join(tops, "component").select("h1", "h2", "n", "top"), "verdict")
+    out = sketched.select("doc_id", "n", "h1", "h2", "_k1", "_k2").join(verdict, ["h1", "h2", "n"], "left")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("top")["doc_id"])
+    stays = F.col("doc_id") == F.col("component_id")
+    alone = F.col("component_id").isNull() & ((F.col("n") == 0) | (
+        (F.col("_k1") == F.col("top")["_k1"]) & (F.col("_k2") == F.col("top")["_k2"])))
+    return out.withColumn("component_id", component).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(stays, alone).alias("kept"), "_k1", "_k2")
 
 
 def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one for each component, the one with its smallest id.
 
-    Rows without an id stay. Of rows that repeat an id, one stays (the first by its text's hash).
+    Of a component without an id, one row stays; texts without a set stay. Of rows that repeat an id, one stays (the
+    first by its text's hash).
     """
-    found = near_duplicates(docs, doc_id, text).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+    verdicts = settled(judged(docs, doc_id, text), "verdicts")
+    found = verdicts.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
     found = settled(found.where("NOT kept OR n > 1"), "gone")
     apart = found.select(F.col("doc_id").alias("_gone"))
-    alone = docs.join(apart, docs[doc_id].cast("long") == apart["_gone"], "left_anti")
+    with_id = docs.where(F.col(doc_id).isNotNull())
+    left = with_id.join(apart, with_id[doc_id].cast("long") == apart["_gone"], "left_anti").unionByName(
+        _one_of_each(docs.where(F.col(doc_id).isNull()), verdicts.where("doc_id IS NULL"), doc_id, text))
     again = found.where("kept").select(F.col("doc_id").alias("_again"))
     if not again.limit(1).count():
-        return alone
+        return left
     order = free_name(docs, "_order")
     first = docs.join(again, docs[doc_id].cast("long") == again["_again"], "left_semi").withColumn(
         order, F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)))
-    return alone.unionByName(first.where(F.col(order) == 1).drop(order))
+    return left.unionByName(first.where(F.col(order) == 1).drop(order))
+
+
+def _one_of_each(docs: DataFrame, verdicts: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows whose key is kept, once for each key; rows without an id and a set are not repeats of each other."""
+    k1, k2 = free_name(docs, "_k1"), free_name(docs, "_k2")
+    rows = docs.withColumns(dict(zip((k1, k2), row_key(doc_id, text), strict=True)))
+    found = settled(verdicts.where("doc_id IS NOT NULL OR n_shingles > 0").groupBy(
+        F.col("_k1").alias(k1), F.col("_k2").alias(k2)).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+        .where("NOT kept OR n > 1"), "gone_keys")
+    alone = rows.join(found.select(k1, k2), [k1, k2], "left_anti").select(*docs.columns)
+    again = found.where("kept").select(k1, k2)
+    if not again.limit(1).count():
+        return alone
+    # Written before it is combined, so that a key of many rows is never gathered.
+    repeated = settled(rows.join(again, [k1, k2], "left_semi"), "repeated")
+    return alone.unionByName(repeated.dropDuplicates([k1, k2]).select(*docs.columns))
