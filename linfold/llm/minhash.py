@@ -26,11 +26,11 @@ shingle; no word, no set). Documents are linked if their sets' Jaccard similarit
 Texts are shuffled once, to fetch those of sets that share a bucket with another (by the key of a row that has the set);
 the tests read them from there.
 
-Defined results: null and empty texts have no set: n_shingles 0, a component of their own. Repeated
-rows share their set and so their component; both then carry the same id, so both are ``kept`` if
-it is the smallest. Rows without an id are linked like others, by their sets. A component carries
-the smallest id in it; it is null if none of its rows has an id, and ``kept`` then are the row with the
-least key (``row_key``) and its repeats. Other columns are not read. An empty table gives no rows.
+Defined results: null and empty texts have no set: n_shingles 0, a component of their own. Rows are
+told apart by id and text (``row_key``): the texts of one id are judged each by itself, and rows without an
+id like others. A component carries the smallest id in it (null if none of its rows has an id);
+``kept`` is the row with that id (of its several texts in the component, the one with the least key) and
+its repeats. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.llm.components import components
@@ -308,43 +308,21 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     verdict = settled(found.join(tops, "component").select("h1", "h2", "n", "top"), "verdict")
     out = sketched.select("doc_id", "n", "h1", "h2", "_k1", "_k2").join(verdict, ["h1", "h2", "n"], "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("top")["doc_id"])
-    stays = F.col("doc_id") == F.col("component_id")
-    alone = F.col("component_id").isNull() & ((F.col("n") == 0) | (
-        (F.col("_k1") == F.col("top")["_k1"]) & (F.col("_k2") == F.col("top")["_k2"])))
-    return out.withColumn("component_id", component).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(stays, alone).alias("kept"), "_k1", "_k2")
+    top = (F.col("_k1") == F.col("top")["_k1"]) & (F.col("_k2") == F.col("top")["_k2"])
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                      ((F.col("n") == 0) | top).alias("kept"), "_k1", "_k2")
 
 
 def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one for each component, the one with its smallest id.
 
-    Of a component without an id, one row stays; texts without a set stay. Of rows that repeat an id, one stays (the
-    first by its text's hash).
+    Texts without a set stay. Of rows that repeat id and text, one stays; without an id and a set, all of them.
     """
-    verdicts = settled(judged(docs, doc_id, text), "verdicts")
-    found = verdicts.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
-    found = settled(found.where("NOT kept OR n > 1"), "gone")
-    apart = found.select(F.col("doc_id").alias("_gone"))
-    with_id = docs.where(F.col(doc_id).isNotNull())
-    left = with_id.join(apart, with_id[doc_id].cast("long") == apart["_gone"], "left_anti").unionByName(
-        _one_of_each(docs.where(F.col(doc_id).isNull()), verdicts.where("doc_id IS NULL"), doc_id, text))
-    again = found.where("kept").select(F.col("doc_id").alias("_again"))
-    if not again.limit(1).count():
-        return left
-    order = free_name(docs, "_order")
-    first = docs.join(again, docs[doc_id].cast("long") == again["_again"], "left_semi").withColumn(
-        order, F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)))
-    return left.unionByName(first.where(F.col(order) == 1).drop(order))
-
-
-def _one_of_each(docs: DataFrame, verdicts: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The rows whose key is kept, once for each key; rows without an id and a set are not repeats of each other."""
     k1, k2 = free_name(docs, "_k1"), free_name(docs, "_k2")
     rows = docs.withColumns(dict(zip((k1, k2), row_key(doc_id, text), strict=True)))
-    found = settled(verdicts.where("doc_id IS NOT NULL OR n_shingles > 0").groupBy(
+    found = settled(judged(docs, doc_id, text).where("doc_id IS NOT NULL OR n_shingles > 0").groupBy(
         F.col("_k1").alias(k1), F.col("_k2").alias(k2)).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
-        .where("NOT kept OR n > 1"), "gone_keys")
+        .where("NOT kept OR n > 1"), "gone")
     alone = rows.join(found.select(k1, k2), [k1, k2], "left_anti").select(*docs.columns)
     again = found.where("kept").select(k1, k2)
     if not again.limit(1).count():
