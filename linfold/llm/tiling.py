@@ -17,7 +17,8 @@ each hit is summed up in its pair.
 Defined results: null or empty documents are clean, with 0 tokens. Items of fewer than ``LEAST``
 tokens (null ones too) are too short to be evidence and match nothing. Items that repeat count
 once (an id with several texts: its best one). Of several items with the same coverage, the smallest
-id is named. Null ids are rows like others; repeated rows give repeated results. An empty benchmark
+id is named, and items without an id last (item_id is null then); each text without an id is an item.
+Null ids are rows like others; repeated rows give repeated results. An empty benchmark
 leaves all documents clean.
 """
 
@@ -79,20 +80,21 @@ def tile(doc_at: np.ndarray, item_at: np.ndarray, least: int, doc_size: int, ite
 
 
 class Seeds:
-    """Sorted running hashes of the items, with the item's number and the place of each."""
+    """Sorted running hashes of the items, with the item's number and the place of each; ``names`` sort unnamed items last."""
 
-    def __init__(self, hashes: np.ndarray, item: np.ndarray, place: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
+    def __init__(self, hashes: np.ndarray, item: np.ndarray, place: np.ndarray, names: list[tuple[bool, int]],
+                 sizes: np.ndarray):
         order = np.lexsort((place, item, hashes))
-        self.hashes, self.item, self.place, self.ids, self.sizes = hashes[order], item[order], place[order], ids, sizes
+        self.hashes, self.item, self.place, self.names, self.sizes = hashes[order], item[order], place[order], names, sizes
 
     @staticmethod
-    def of(items: list[tuple[int, str]], least: int) -> Seeds:
+    def of(items: list[tuple[int | None, str]], least: int) -> Seeds:
         raw = [t.encode() for _, t in items]
         offsets = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
         words, hashes = _tokens(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets)
         at = words.window_starts(least)
         return Seeds(windows_hash(hashes, least)[at] if len(at) else hashes[:0], words.row[at],
-                     at - words.first[words.row[at]], np.array([i for i, _ in items], dtype=np.int64), words.counts)
+                     at - words.first[words.row[at]], [(i is None, k if i is None else i) for k, (i, _) in enumerate(items)], words.counts)
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index into ``hashes``, index of the seed) of each agreement."""
@@ -120,7 +122,7 @@ def _scan(shared, least: int, threshold: float):
         for part, raw, offsets in pieces(batches):
             words, hashes = _tokens(raw, offsets)
             rows = len(offsets) - 1
-            found: list[list[tuple[float, int]]] = [[] for _ in range(rows)]
+            found: list[list[tuple[float, tuple[bool, int]]]] = [[] for _ in range(rows)]
             at = words.window_starts(least)
             if len(at) and len(seeds.hashes):
                 which, seed = seeds.hits(windows_hash(hashes, least)[at])
@@ -137,10 +139,11 @@ def _scan(shared, least: int, threshold: float):
                     first = int(words.first[doc[a]])
                     share = tile(at[which[a:z]] - first, places, least, int(words.counts[doc[a]]), size) / size
                     if share >= threshold:
-                        found[doc[a]].append((-share, int(seeds.ids[item[a]])))
-            best = [min(x) if x else (0.0, None) for x in found]
+                        found[doc[a]].append((-share, seeds.names[item[a]]))
+            best = [min(x) if x else (0.0, (True, 0)) for x in found]
             yield batch_of(_HITS, part.column(part.schema.get_field_index("_id")), words.counts.astype(np.int64),
-                           [len({i for _, i in x}) for x in found], [i for _, i in best], [-s for s, _ in best],
+                           [len({i for _, i in x}) for x in found], [None if no_id else i for _, (no_id, i) in best],
+                           [-s for s, _ in best],
                            *(part.column(part.schema.get_field_index(k)) for k in ("_k1", "_k2")))
     return run
 
@@ -164,7 +167,8 @@ def _seeded(least: int):
     return run
 
 
-_PAIRED = pa.schema([("_k1", pa.int64()), ("_k2", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64())])
+_PAIRED = pa.schema([("_k1", pa.int64()), ("_k2", pa.int64()), ("item", pa.int64()), ("item_id", pa.int64()),
+                     ("coverage", pa.float64())])
 
 
 def _tile_pairs(least: int):
@@ -179,14 +183,15 @@ def _tile_pairs(least: int):
                 at = words.window_starts(least)
                 value = windows_hash(hashes, least) if len(at) else hashes[:0]
                 for r in range(part.num_rows):
-                    seeds = Seeds.of([(item_id[done + r] or 0, item_text[done + r])], least)
+                    seeds = Seeds.of([(item_id[done + r], item_text[done + r])], least)
                     mine = at[(at >= words.first[r]) & (at < words.first[r + 1])]
                     which, seed = seeds.hits(value[mine])
                     size = int(seeds.sizes[0])
                     shares.append(tile(mine[which] - words.first[r], seeds.place[seed], least, int(words.counts[r]),
                                        size) / size if len(which) else 0.0)
                 done += part.num_rows
-            yield batch_of(_PAIRED, batch.column(0), batch.column(1), item_id, shares)
+            yield batch_of(_PAIRED, batch.column(0), batch.column(1), batch.column(batch.schema.get_field_index("item")),
+                           item_id, shares)
     return run
 
 
@@ -199,8 +204,7 @@ def tiled(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
           broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """(doc_id, n_tokens, n_items, item_id, coverage, contaminated) of every row, with its row key (_k1, _k2)."""
     rows = _plain(keyed(docs, doc_id, text)).withColumn("_id", F.col("_id").cast("long"))
-    items = _plain(benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("_text"))) \
-        .where("item_id IS NOT NULL").distinct()
+    items = _plain(benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("_text"))).distinct()
     words = items.agg(F.sum(F.regexp_count("_text", F.lit(TOKEN))).alias("n")).first()["n"] or 0
     if words <= broadcast_seeds:
         index = Seeds.of([(r["item_id"], r["_text"]) for r in items.orderBy("item_id", "_text").collect()], least)
@@ -223,15 +227,18 @@ def _joined(rows: DataFrame, items: DataFrame, least: int, threshold: float) ->
         .where(F.col("n") * least >= F.col("size") * threshold).select("_k1", "_k2", "item")
     texts = rows.select("_k1", "_k2", "_text").join(pairs, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2", "item"])
     both = texts.join(ids.select(F.col("i").alias("item"), "item_id", F.col("_text").alias("item_text")), "item")
-    shares = both.select("_k1", "_k2", "_text", "item_id", "item_text").mapInArrow(
-        _tile_pairs(least), "_k1 long, _k2 long, item_id long, coverage double").where(F.col("coverage") >= threshold)
+    shares = both.select("_k1", "_k2", "item", "_text", "item_id", "item_text").mapInArrow(
+        _tile_pairs(least), "_k1 long, _k2 long, item long, item_id long, coverage double") \
+        .where(F.col("coverage") >= threshold)
+    named = F.col("item_id").isNotNull()
     best = settled(shares.groupBy("_k1", "_k2").agg(
-        F.countDistinct("item_id").alias("n_items"), F.max(F.struct("coverage", -F.col("item_id"))).alias("top")), "tiled")
+        F.countDistinct(named, F.coalesce("item_id", "item")).alias("n_items"),
+        F.max(F.struct("coverage", named.alias("named"), (-F.col("item_id")).alias("id"))).alias("top")), "tiled")
     counted = rows.select("_id", "_k1", "_k2", F.regexp_count(
         "_text", F.lit(TOKEN)).cast("long").alias("n_tokens"))
     return counted.join(best, ["_k1", "_k2"], "left").select(
         F.col("_id").alias("doc_id"), "n_tokens", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        (-F.col("top")["col2"]).alias("item_id"), F.coalesce(F.col("top")["coverage"], F.lit(0.0)).alias("coverage"),
+        (-F.col("top")["id"]).alias("item_id"), F.coalesce(F.col("top")["coverage"], F.lit(0.0)).alias("coverage"),
         "_k1", "_k2")
 
 
