@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from linfold.llm import chat, langid, minhash, mixing, quality, rules, substring, suffix, tiling, twins, warczip
-from linfold.llm.texts import read_table
+from linfold.llm import (chat, crosstok, langid, linededup, minhash, mixing, quality, rules, substring, suffix, tiling,
+                         twins, warczip, whitening)
+from linfold.llm.texts import read_table, scratch, settled
 from linfold.session import fresh_name, shared_dir
 
 
@@ -67,6 +67,26 @@ def op10_tiling(spark, sf_dir) -> DataFrame:
     return tiling.tiled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("_k1", "_k2")
 
 
+def _finished(spark, make) -> DataFrame:
+    """The result written once; everything that was written on the way to it is deleted."""
+    kept: list[DataFrame] = []
+    with scratch(spark, kept):
+        kept.append(settled(make(), "result"))
+    return kept[0]
+
+
+def op11_whitening(spark, sf_dir) -> DataFrame:
+    return _finished(spark, lambda: whitening.components(read_table(spark, sf_dir, "embeddings")))
+
+
+def op12_linededup(spark, sf_dir) -> DataFrame:
+    return _finished(spark, lambda: linededup.digests(read_table(spark, sf_dir, "documents")))
+
+
+def op13_crosstok(spark, sf_dir) -> DataFrame:
+    return _finished(spark, lambda: crosstok.aligned(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_minhash": op2_minhash,
@@ -78,9 +98,9 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_suffix": op9_suffix,
     "op10_tiling": op10_tiling,
-    "pipeline": corpus_pipeline.run,
+    "op11_whitening": op11_whitening,
+    "op12_linededup": op12_linededup,
+    "op13_crosstok": op13_crosstok,
 }
 
 ORACLE_SQL = dict(twins.ORACLE_SQL)
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -155,18 +155,31 @@ def byte_values(raw: np.ndarray, which: int = 0) -> np.ndarray:
 _PLACE_BITS = np.uint64(28)
 
 
+#: Hashes whose minima are sought at a time; a longer text is worked on in blocks that overlap by a window.
+MINIMA_BLOCK = 1 << 24
+
+
 def leftmost_minima(hashes: np.ndarray, width: int) -> np.ndarray:
-    """For each start s, the leftmost place of the least hash in hashes[s:s+width] (block prefix and suffix minima)."""
-    n = len(hashes)
-    out = n - width + 1
+    """For each start s, the leftmost place of the least hash in hashes[s:s+width] (block prefix and suffix minima).
+
+    Any number of hashes: places are packed from the start of a block, and a window never leaves its block.
+    """
+    out = len(hashes) - width + 1
     if out <= 0:
         return np.zeros(0, dtype=np.int64)
-    if n >= 1 << int(_PLACE_BITS):
-        raise ValueError("a single text of more than 2**28 units")
+    if width == 1:
+        return np.arange(out)
+    step = max(MINIMA_BLOCK - width + 1, width)
+    if out <= step:
+        return _minima(hashes, width)
+    return np.concatenate([_minima(hashes[s:s + step + width - 1], width) + s for s in range(0, out, step)])
+
+
+def _minima(hashes: np.ndarray, width: int) -> np.ndarray:
+    n = len(hashes)
+    out = n - width + 1
     keep = np.uint64((1 << int(_PLACE_BITS)) - 1)
     packed = (hashes & ~keep) | np.arange(n, dtype=np.uint64)
-    if width == 1:
-        return np.arange(n)
     blocks = -(-n // width)
     padded = np.full(blocks * width, np.uint64(0xFFFFFFFFFFFFFFFF))
     padded[:n] = packed

@@ -28,7 +28,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.llm.texts import Words, batch_of, free_name, keyed, pieces, row_key, settled, signed, windows_hash
@@ -221,8 +221,18 @@ def _joined(rows: DataFrame, items: DataFrame, least: int, threshold: float) ->
     item_seeds = ids.select(F.col("i").alias("_k1"), F.lit(0).cast("long").alias("_k2"), "_text").mapInArrow(
         _item_seeds(least), "item long, seed long, place int, size int")
     doc_seeds = rows.select("_k1", "_k2", "_text").mapInArrow(_seeded(least), "_k1 long, _k2 long, seed long")
-    hit = doc_seeds.join(item_seeds, "seed")
-    # Distinct places of the item that are seeded bound what tiles can cover: each covers at most ``least`` tokens.
+    item_seeds = settled(item_seeds, "item_seeds")
+    held = settled(doc_seeds.join(item_seeds.select("seed").distinct(), "seed", "left_semi"), "held")
+    # A document that covers enough of an item hits at least ``need`` of its places, for a tile covers at most ``least``
+    # tokens from each place that it hits. So it hits one of the places that are left without the need - 1 whose seeds
+    # are most common, and only those are joined: a phrase that all documents and items share pairs nobody.
+    spread = item_seeds.join(held.groupBy("seed").agg(F.count(F.lit(1)).alias("docs")), "seed")
+    need = F.greatest(F.ceil(F.col("size") * threshold / least - 1e-9), F.lit(1))
+    places = F.greatest(F.col("size") - least + 1, F.lit(1))
+    common = Window.partitionBy("item").orderBy(F.desc("docs"), "place")  # the places of one benchmark item
+    rare = spread.withColumn("nth", F.row_number().over(common)).where(F.col("nth") >= need).where(places >= need)
+    candidates = held.join(settled(rare.select("item", "seed").distinct(), "rare"), "seed").select("_k1", "_k2", "item").distinct()
+    hit = settled(candidates, "candidates").join(item_seeds, "item").join(held, ["_k1", "_k2", "seed"])
     pairs = hit.groupBy("_k1", "_k2", "item").agg(F.countDistinct("place").alias("n"), F.first("size").alias("size")) \
         .where(F.col("n") * least >= F.col("size") * threshold).select("_k1", "_k2", "item")
     texts = rows.select("_k1", "_k2", "_text").join(pairs, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2", "item"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linfold.llm import chat, mixing, rules, substring, suffix
+from linfold.llm import chat, linededup, mixing, rules, substring, suffix
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -49,6 +49,20 @@ b AS (SELECT key, arg_min(j, (miss, j)) AS j FROM m GROUP BY key)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c JOIN b ON b.key = c.key AND b.j = c.j"""
 
 
+def linededup_sql() -> str:
+    key = _ASCII_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d),
+k AS (SELECT *, {key} AS key FROM l),
+h AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= {linededup.MIN_CHARS} GROUP BY key
+      HAVING count(DISTINCT r) >= {linededup.MIN_DOCS}),
+m AS (SELECT k.*, h.key IS NOT NULL AND k.doc_id IS DISTINCT FROM h.keeper AS gone FROM k LEFT JOIN h ON h.key = k.key)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id"""
+
+
 def rules_sql() -> str:
     stops = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
     tests = []
@@ -159,4 +173,5 @@ ORACLE_SQL = {
     "op6_substring": substring_sql(),
     "op7_chat": chat_sql(),
     "op9_suffix": suffix_sql(),
+    "op12_linededup": linededup_sql(),
 }
