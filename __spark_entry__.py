@@ -29,9 +29,15 @@ from linfold.spec import FeatureSpec
 try:
     from linfold.llm import queries as llm_queries
 except ImportError as missing:
-    if missing.name not in ("linfold.llm", "corpus_pipeline"):
+    if missing.name != "linfold.llm":
         raise
     llm_queries = None
+try:
+    import corpus_pipeline
+except ImportError as missing:
+    if missing.name not in ("linfold.llm", "corpus_pipeline"):
+        raise
+    corpus_pipeline = None
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -393,6 +399,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "best_run": q_best_run,
         "runs_after_delete": q_runs_after_delete,
         **(llm_queries.QUERIES if llm_queries else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
