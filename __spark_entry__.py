@@ -181,10 +181,21 @@ def q_select_by_label_corr(spark, sf_dir):
     return correlate.select_by_label_corr(lc, WEAK_CORR).select("column_name", _r("corr", 6), _r("abs_corr", 6))
 
 
-def q_redundant_features(spark, sf_dir):
-    matrix = correlate.corr_matrix(stand_in.prepared(spark, sf_dir), SCREEN).persist()  # a row for each pair of columns
+def _screened(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(screened features, matrix) from one scan; the matrix is a row for each pair of columns."""
+    found = correlate.corr_matrix(stand_in.prepared(spark, sf_dir), SCREEN)
+    matrix = spark.createDataFrame(found.collect(), found.schema)
     screened = correlate.select_by_label_corr(correlate.label_row(matrix, "label"), WEAK_CORR)
-    red = correlate.redundant_features(screened.select("column_name", "corr"), matrix, REDUNDANT_CORR)
+    return screened.select("column_name", "corr"), matrix
+
+
+def q_redundant_features(spark, sf_dir):
+    red = correlate.redundant_features(*_screened(spark, sf_dir), REDUNDANT_CORR)
+    return red.select("column_name", _r("label_corr", 6), "rank", "keep", "dominated_by")
+
+
+def q_redundant_greedy(spark, sf_dir):
+    red = correlate.redundant_greedy(*_screened(spark, sf_dir), REDUNDANT_CORR)
     return red.select("column_name", _r("label_corr", 6), "rank", "keep", "dominated_by")
 
 
@@ -303,7 +314,7 @@ def q_tuned_grid_metrics(spark, sf_dir):
 
 
 def q_model_report(spark, sf_dir):
-    r = mdl.model_report(_tuned(spark, sf_dir)[0].model)
+    r = mdl.model_report(_tuned(spark, sf_dir)[0])
     return r.select(_r("train_r2", 8), _r("train_rmse", 4), "regParam", "elasticNetParam", _r("intercept", 4),
                     "n_features", "n_train")
 
@@ -378,6 +389,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "corr_matrix": q_corr_matrix,
         "select_by_label_corr": q_select_by_label_corr,
         "redundant_features": q_redundant_features,
+        "redundant_greedy": q_redundant_greedy,
         "split_train": q_split_train,
         "split_holdout": q_split_holdout,
         "split_summary": q_split_summary,
@@ -500,6 +512,29 @@ SELECT r.column_name, round(r.corr, 6) AS label_corr, CAST(r.rank AS INTEGER) AS
 FROM r LEFT JOIN d ON d.column_name = r.column_name""")
 
 
+def _sql_redundant_greedy() -> str:
+    pairs = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS corr FROM prepared"
+             for a in SCREEN[1:] for b in SCREEN[1:] if a != b]
+    body = _with(f""", {_sql_label_corr_cte()},
+m AS ({" UNION ALL ".join(pairs)}),
+r AS (SELECT column_name, corr, row_number() OVER (ORDER BY abs(corr) DESC, column_name) AS rank FROM lc
+      WHERE abs(corr) >= {WEAK_CORR}),
+c AS (SELECT r.column_name, r.corr, r.rank, coalesce(list(m.col_b) FILTER (m.col_b IS NOT NULL), []::VARCHAR[]) AS clashes
+      FROM r LEFT JOIN m ON m.col_a = r.column_name AND abs(m.corr) >= {REDUNDANT_CORR}
+      GROUP BY r.column_name, r.corr, r.rank),
+walk AS (SELECT 0::BIGINT AS rank, []::VARCHAR[] AS kept
+         UNION ALL
+         SELECT c.rank, CASE WHEN list_has_any(walk.kept, c.clashes) THEN walk.kept
+                             ELSE list_append(walk.kept, c.column_name) END
+         FROM walk JOIN c ON c.rank = walk.rank + 1)
+SELECT c.column_name, round(c.corr, 6) AS label_corr, CAST(c.rank AS INTEGER) AS rank,
+       list_contains(walk.kept, c.column_name) AS keep,
+       CASE WHEN NOT list_contains(walk.kept, c.column_name)
+            THEN [x FOR x IN walk.kept IF list_contains(c.clashes, x)][1] END AS dominated_by
+FROM c JOIN walk ON walk.rank = c.rank""")
+    return body.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _sql_category_index() -> str:
     parts = [f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS category, CAST(count(*) AS BIGINT) AS n "
              f"FROM prepared WHERE {c} IS NOT NULL GROUP BY {c}" for c in INDEX_COLUMNS]
@@ -637,6 +672,7 @@ def oracle_sql() -> dict[str, str]:
         "corr_matrix": _sql_corr_matrix(),
         "select_by_label_corr": _sql_select_by_label_corr(),
         "redundant_features": _sql_redundant_features(),
+        "redundant_greedy": _sql_redundant_greedy(),
         "split_train": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE share < 0.7::DOUBLE"),
         "split_holdout": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE share >= 0.7::DOUBLE"),
         "split_summary": _with("SELECT CAST(CASE WHEN share < 0.7::DOUBLE THEN 0 ELSE 1 END AS INTEGER) AS side, "

@@ -1,12 +1,9 @@
 """Correlation operators (label screen, all-pairs matrix, weak and redundant feature pruning).
 
-The source job ran one ``stat.corr`` job per pair (11 + 49 jobs). Here all pairs come
-from one scan: each row is unpacked into one row for every ``PAIRS`` pairs, and those
-are summed up by group with the built-in, numerically stable ``regr_sxy``, ``regr_sxx``
-and ``regr_syy`` (running means, merged pairwise), so neither offsets nor missing
-leading rows cost precision. ``PAIRS`` keeps the aggregate's buffer inside whole-stage
-codegen; the number of pairs changes nothing but the number of groups. Partial sums are
-combined map-side: one row per group and task crosses the shuffle.
+The source job ran one ``stat.corr`` job per pair (11 + 49 jobs). Here all pairs come from one
+scan: ``comoments`` keeps a mergeable state for each pair of column blocks, summed as matrix
+products over Arrow batches. Its cost is linear in the pairs, with no row copied and no
+aggregate expression per pair (those overflow generated code at some forty columns).
 
 Missing values: NULL and NaN are missing and are deleted pairwise. An infinite value
 counts, but has no finite mean, so the pair's correlation is NULL. It is NULL too for a
@@ -15,34 +12,44 @@ constant side or fewer than two rows.
 
 from __future__ import annotations
 
-import itertools
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linfold.functions.exprs import lit_str, present, q
+from linfold.operators.comoments import co_moments
 from linfold.operators.profile import numeric_columns
 
 _PAIR_SCHEMA = "col_a string, col_b string, n bigint, corr double"
+_PAIRS = pa.schema([("col_a", pa.string()), ("col_b", pa.string()), ("n", pa.int64()), ("corr", pa.float64())])
+
+#: Columns in a block of the label's strip (one row of cells a block).
+STRIP = 4096
 
-#: Pairs in one aggregate: 11 buffer fields each, below ``spark.sql.codegen.maxFields`` (100).
-PAIRS = 8
 
-# Expressions are built as SQL text and handed over in one ``selectExpr`` call:
-# composing hundreds of Column objects costs one JVM round trip each.
+def _correlations(plan, block, state) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    """Names of a block's sides, and the cells' counts and r (NaN where it is not defined)."""
+    n, _, _, xx, yy, xy = state.cells
+    with np.errstate(invalid="ignore", divide="ignore"):
+        r = np.clip(xy / (np.sqrt(xx) * np.sqrt(yy)), -1.0, 1.0)
+    r[(n < 2) | (xx <= 0) | (yy <= 0)] = np.nan
+    a, b = plan.blocks[block]
+    left, right = [plan.left[i] for i in a], [plan.right[j] for j in b]
+    same = np.array(left, dtype=object)[:, None] == np.array(right, dtype=object)[None, :]
+    r[same & ~np.isnan(r)] = 1.0
+    return left, right, n.astype(np.int64), r
 
 
-def _value(name: str | None) -> str:
-    return "CAST(NULL AS DOUBLE)" if name is None else present(f"CAST({q(name)} AS DOUBLE)")
+def _rows(names_a, names_b, n, r) -> pa.Table:
+    r = np.asarray(r, dtype=float)
+    return pa.table([pa.array(names_a, pa.string()), pa.array(names_b, pa.string()), pa.array(n, pa.int64()),
+                     pa.array(r, pa.float64(), mask=np.isnan(r))], schema=_PAIRS)
 
 
-def _result(a: str, b: str, i: int) -> str:
-    """(col_a, col_b, n, corr) of a pair: from -1 to 1, or NULL where it is not defined."""
-    r = f"try_divide(xy{i}, sqrt(xx{i}) * sqrt(yy{i}))"
-    if a == b:
-        r = f"IF(xx{i} > 0, {r}, NULL)"
-    return (f"named_struct('col_a', {lit_str(a)}, 'col_b', {lit_str(b)}, 'n', n{i}, 'corr', "
-            f"IF(isnan({r}) OR {r} IS NULL OR n{i} < 2, NULL, greatest(-1D, least(1D, {r}))))")
+def _numeric(df: DataFrame, cols) -> None:
+    wrong = sorted(set(cols) - set(numeric_columns(df)))
+    if wrong:
+        raise ValueError(f"correlation needs numeric columns; not numeric: {wrong}")
 
 
 def pair_correlations(df: DataFrame, pairs, mirrored: bool = False) -> DataFrame:
@@ -54,30 +61,21 @@ def pair_correlations(df: DataFrame, pairs, mirrored: bool = False) -> DataFrame
     pairs = [(a, b) for a, b in pairs]
     if not pairs:
         return df.sparkSession.createDataFrame([], _PAIR_SCHEMA)
-    numeric = set(numeric_columns(df))
-    wrong = sorted({c for p in pairs for c in p if c not in numeric})
-    if wrong:
-        raise ValueError(f"correlation needs numeric columns; not numeric: {wrong}")
-    groups = [pairs[i:i + PAIRS] for i in range(0, len(pairs), PAIRS)]
-    unpacked, cases = [], []
-    for g, members in enumerate(groups):
-        sides = [*members, *[(None, None)] * (PAIRS - len(members))]
-        unpacked.append(f"named_struct('g', {g}, " + ", ".join(
-            f"'x{i}', {_value(a)}, 'y{i}', {_value(b)}" for i, (a, b) in enumerate(sides)) + ")")
-        rows = []
-        for i, (a, b) in enumerate(members):
-            rows.append(_result(a, b, i))
-            if mirrored and a != b:
-                rows.append(_result(b, a, i))
-        cases.append(f"WHEN {g} THEN array({', '.join(rows)})")
-    sums = [f"{f}(y{i}, x{i}) AS {name}{i}" for i in range(PAIRS)
-            for f, name in (("regr_count", "n"), ("regr_sxy", "xy"), ("regr_sxx", "xx"), ("regr_syy", "yy"))]
-    per = df.selectExpr(f"inline(array({', '.join(unpacked)}))").groupBy("g").agg(*[F.expr(x) for x in sums])
-    # One row for each group even for an empty input: as many as there are groups of pairs, not of data.
-    every = df.sparkSession.range(len(groups), numPartitions=1).selectExpr("CAST(id AS INT) AS g").join(per, "g", "left")
-    filled = every.selectExpr("g", *[f"coalesce(n{i}, 0L) AS n{i}" for i in range(PAIRS)],
-                              *[f"{c}{i}" for i in range(PAIRS) for c in ("xy", "xx", "yy")])
-    return filled.selectExpr(f"inline(CASE g {' '.join(cases)} END)")
+    _numeric(df, [c for p in pairs for c in p])
+    wanted: dict[str, list[str]] = {}
+    for a, b in pairs:
+        wanted.setdefault(a, []).append(b)
+
+    def finish(plan, block, state):
+        left, right, n, r = _correlations(plan, block, state)
+        at = {c: j for j, c in enumerate(right)}
+        cells = [(i, at[b]) for i, a in enumerate(left) for b in wanted[a] if b in at]
+        cells = [(left[i], right[j], n[i, j], r[i, j]) for i, j in cells]
+        if mirrored:
+            cells += [(b, a, m, x) for a, b, m, x in cells if a != b]
+        return _rows(*(zip(*cells) if cells else ([], [], [], [])))
+    left, right = list(wanted), list(dict.fromkeys(b for _, b in pairs))
+    return co_moments(df, left, right, finish, _PAIR_SCHEMA, block=STRIP if len(left) == 1 else None)
 
 
 def corr_with_label(df: DataFrame, label: str, cols) -> DataFrame:
@@ -86,11 +84,7 @@ def corr_with_label(df: DataFrame, label: str, cols) -> DataFrame:
     The label's own row (r = 1) is kept, as in the source job's loop.
     """
     pairs = [(label, c) for c in cols if c != label] + [(label, label)]
-    return pair_correlations(df, pairs).selectExpr("col_b AS column_name", "n", _unit_diagonal("col_a = col_b"))
-
-
-def _unit_diagonal(same: str) -> str:
-    return f"IF({same} AND corr IS NOT NULL, 1D, corr) AS corr"
+    return pair_correlations(df, pairs).select(F.col("col_b").alias("column_name"), "n", "corr")
 
 
 def corr_matrix(df: DataFrame, cols) -> DataFrame:
@@ -98,9 +92,20 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
 
     Only the k(k+1)/2 distinct pairs are computed; both directions come from the same sums.
     """
-    cols = list(cols)
-    pairs = list(itertools.combinations(cols, 2)) + [(c, c) for c in cols]
-    return pair_correlations(df, pairs, mirrored=True).selectExpr("col_a", "col_b", "n", _unit_diagonal("col_a = col_b"))
+    cols = list(dict.fromkeys(cols))
+    if not cols:
+        return df.sparkSession.createDataFrame([], _PAIR_SCHEMA)
+    _numeric(df, cols)
+
+    def finish(plan, block, state):
+        left, right, n, r = _correlations(plan, block, state)
+        a, b = plan.blocks[block]
+        i, j = np.triu_indices(len(left)) if a == b else map(np.ravel, np.indices(r.shape))
+        other = (np.ones(len(i), dtype=bool) if a != b else i != j)
+        left, right = np.array(left, dtype=object), np.array(right, dtype=object)
+        return _rows([*left[i], *right[j[other]]], [*right[j], *left[i[other]]],
+                     np.concatenate((n[i, j], n[i, j][other])), np.concatenate((r[i, j], r[i, j][other])))
+    return co_moments(df, cols, cols, finish, _PAIR_SCHEMA, same=True)
 
 
 def label_row(matrix: DataFrame, label: str) -> DataFrame:
@@ -147,11 +152,40 @@ def redundant_features(label_corr: DataFrame, matrix: DataFrame, threshold: floa
                       kept.alias("keep"), "dominated_by")
 
 
+def redundant_greedy(label_corr: DataFrame, matrix: DataFrame, threshold: float, label: str = "label", keep=()) -> DataFrame:
+    """The greedy walk-down as a table: (column_name, label_corr, rank, keep, dominated_by).
+
+    Features come in the order of ``redundant_features``; one is dropped when a feature *kept* before it has
+    |r| >= ``threshold`` with it (``dominated_by`` names the first of these), unless it is on the keep-list.
+    The walk is a fold over one row that holds the features and whom each clashes with.
+    """
+    strong = matrix.filter((F.col("col_a") != F.col("col_b")) & (F.abs("corr") >= threshold)) \
+        .groupBy(F.col("col_a").alias("name")).agg(F.collect_set("col_b").alias("clashes"))
+    cands = label_corr.filter(F.col("column_name") != label).select(F.col("column_name").alias("name"), F.col("corr").alias("r"))
+    # Rows are features, not data: they are sorted inside one array.
+    listed = cands.join(strong, "name", "left").select(
+        F.coalesce(-F.abs("r"), F.lit(2.0)).alias("place"), "name", "r", F.coalesce("clashes", F.array().cast("array<string>"))
+        .alias("clashes"), F.col("name").isin(list(keep)).alias("forced")) \
+        .groupBy().agg(F.sort_array(F.collect_list(F.struct("place", "name", "r", "clashes", "forced"))).alias("features"))
+    walk = """aggregate(features,
+        named_struct('kept', CAST(array() AS ARRAY<STRING>),
+                     'told', CAST(array() AS ARRAY<STRUCT<name: STRING, r: DOUBLE, keep: BOOLEAN, by: STRING>>)),
+        (done, f) -> named_struct(
+            'kept', IF(f.forced OR NOT arrays_overlap(done.kept, f.clashes), array_append(done.kept, f.name), done.kept),
+            'told', array_append(done.told, named_struct('name', f.name, 'r', f.r,
+                'keep', f.forced OR NOT arrays_overlap(done.kept, f.clashes),
+                'by', get(array_intersect(done.kept, f.clashes), 0)))),
+        done -> done.told)"""
+    return listed.select(F.posexplode(F.expr(walk)).alias("at", "t")).select(
+        F.col("t.name").alias("column_name"), F.col("t.r").alias("label_corr"), (F.col("at") + 1).alias("rank"),
+        F.col("t.keep").alias("keep"), F.col("t.by").alias("dominated_by"))
+
+
 def greedy_keep(label_corr_rows, matrix_rows, threshold: float, keep=()) -> list[str]:
     """Greedy walk-down form of the rule over already-collected k-sized results.
 
-    ``label_corr_rows``: [(name, r)], ``matrix_rows``: [(a, b, r)]. Used by the
-    end-to-end job to choose model inputs; it sees feature names, never data rows.
+    ``label_corr_rows``: [(name, r)], ``matrix_rows``: [(a, b, r)]; the plain form that
+    ``redundant_greedy`` is checked against.
     """
     r = {(a, b): v for a, b, v in matrix_rows}
     order = sorted(label_corr_rows, key=lambda t: (-(abs(t[1]) if t[1] is not None else -1.0), t[0]))

@@ -1,19 +1,23 @@
 """Linear regression, grid tuning, reports, holdout evaluation and scoring (Spark ML).
 
-Fitting stays in MLlib: X'X (normal equations) or gradient aggregates are summed on
-the executors, only a features x features matrix reaches the driver.
+Tuning reads the rows once: ``sufficient`` sums means and co-moments of features and label for both inner
+sides on the executors, and every grid point, its validation error and the refit follow from these matrices of
+features x features. MLlib's own fits remain for widths beyond ``STATS_WIDTH`` and for an absolute error.
 """
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import Imputer
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 from linfold.functions.exprs import present, q
 from linfold.operators.encode import (category_indexer, feature_assembler, index_name, one_hot_encoder, vector_name,
                                       vector_size, vector_slot_names)
+from linfold.operators import sufficient
 from linfold.operators.metrics import regression_metrics
 from linfold.operators.split import side_of
 
@@ -89,6 +94,9 @@ def model_inputs(numeric, binary, categorical) -> list[str]:
 #: What to do with a missing numeric value: fail, leave the row out, or put the training mean in its place.
 MISSING = ("error", "skip", "mean")
 
+#: Up to this many features tuning works from sums; a task's state is then 2 MB a side.
+STATS_WIDTH = 512
+
 #: Above this many features MLlib's automatic solver changes from normal equations to iterations.
 NORMAL_SOLVER_FEATURES = 4096
 
@@ -120,6 +128,10 @@ class Tuned:
     model: PipelineModel
     grid: list[tuple[float, float, float]]
     metric: str
+    #: Training rows, R2 and RMSE of the winner.
+    n_train: int | None = None
+    train_r2: float | None = None
+    train_rmse: float | None = None
 
     @property
     def best(self) -> int:
@@ -144,26 +156,64 @@ def _validate(models, valid: DataFrame, label: str, metric: str) -> list[float]:
     return [value(i) for i in range(len(models))]
 
 
+def _fitted(solution, reg: float, elastic: float, label: str) -> LinearRegressionModel:
+    """MLlib's model with these coefficients, so that pipelines save, load and score it like one of its own fits."""
+    spark = _session()
+    uid = f"LinearRegression_{uuid.uuid4().hex[:12]}"
+    made = LinearRegressionModel(spark._jvm.org.apache.spark.ml.regression.LinearRegressionModel(
+        uid, _py2java(spark.sparkContext, Vectors.dense(solution.coefficients)), float(solution.intercept)))
+    made._resetUid(uid)
+    for param, value in ((made.regParam, reg), (made.elasticNetParam, elastic), (made.labelCol, label)):
+        made.set(param, value)
+    return made
+
+
+def _tune_from_sums(rows: DataFrame, label: str, steps: PipelineModel, points, metric: str) -> Tuned:
+    """One scan: the sums of both sides, from which all else follows."""
+    sides = sufficient.sums(rows, label)
+    if 0 not in sides:
+        raise ValueError("no rows to fit on: the training side is too small")
+    if 1 not in sides:
+        raise ValueError("no validation rows: the training side is too small to tune on")
+    fit_side, valid = sides[0], sides[1]
+    fits = sufficient.elastic_net_path(fit_side, points)
+    values = [sufficient.score(valid, f, metric) for f in fits]
+    found = Tuned(steps, [(r, e, v) for (r, e), v in zip(points, values)], metric)
+    reg, elastic = points[found.best]
+    whole = fit_side.merge(valid)
+    winner = sufficient.elastic_net_path(whole, [(reg, elastic)])[0]
+    return Tuned(PipelineModel(stages=[*steps.stages, _fitted(winner, reg, elastic, label)]), found.grid, metric,
+                 int(whole.n), sufficient.score(whole, winner, "r2"), sufficient.score(whole, winner, "rmse"))
+
+
 def tune(train: DataFrame, key: str, numeric, binary=(), categorical=(), label: str = "label",
          outer: float = 0.7, train_ratio: float = TRAIN_RATIO, hash_fn: str = "xxhash64", reg_params=REG_PARAMS,
          elastic_net_params=ELASTIC_NET_PARAMS, metric: str = "rmse", missing: str = "error",
-         parallelism: int = 3) -> Tuned:
+         parallelism: int = 3, solver: str = "auto") -> Tuned:
     """Grid search on an inner split by key hash, then a refit of the winner on all of ``train``.
 
     ``train`` is the side of a key-hash split below ``outer``; its rows below ``outer * train_ratio``
     fit the grid points, the others validate them. A row's part depends on its key alone, so
     partitions, cores and executors do not change the result (but for summation order).
     Categories and means are learned once on all of ``train``, so validation rows meet none unseen.
-    The pruned, assembled rows are persisted while the fits read them; if an executor is lost they
-    are computed again from the source, with the same result.
+
+    ``solver``: "sums" fits, validates and refits from one scan's sums; "mllib" fits each point by MLlib
+    on persisted rows; "auto" takes sums for up to ``STATS_WIDTH`` features and every metric but "mae",
+    whose value no sums give. Both minimise the same function. If an executor is lost, its part is computed
+    again from the source, with the same result.
     """
+    if solver not in ("auto", "sums", "mllib"):
+        raise ValueError(f"unknown solver {solver!r}")
     inner = side_of(key, (outer * train_ratio, outer * (1 - train_ratio), 1 - outer), hash_fn)
     columns = dict.fromkeys([label, *numeric, *binary, *categorical])
     raw = train.select(*columns, inner.alias("_side"))
     steps = preparation(numeric, binary, categorical, missing).fit(raw)
-    data = steps.transform(raw).select(label, "features", "_side").persist(StorageLevel.MEMORY_AND_DISK)
+    data = steps.transform(raw).select(label, "features", "_side")
+    width = vector_size(data, "features")
+    if solver == "sums" or (solver == "auto" and width <= STATS_WIDTH and metric != "mae"):
+        return _tune_from_sums(data, label, steps, [(float(r), float(e)) for r in reg_params for e in elastic_net_params], metric)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        width = vector_size(data, "features")
         if width > NORMAL_SOLVER_FEATURES:
             warnings.warn(f"{width} features: the solver iterates instead of solving normal equations", stacklevel=2)
         lr = linear_regression(label)
@@ -175,7 +225,9 @@ def tune(train: DataFrame, key: str, numeric, binary=(), categorical=(), label:
         points = [(float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(v)) for pm, v in zip(grid, values)]
         tuned = Tuned(steps, points, metric)
         winner = lr.fit(data, grid[tuned.best])
-        return Tuned(PipelineModel(stages=[*steps.stages, winner]), points, metric)
+        s = winner.summary
+        return Tuned(PipelineModel(stages=[*steps.stages, winner]), points, metric, int(s.numInstances), float(s.r2),
+                     float(s.rootMeanSquaredError))
     finally:
         data.unpersist()
 
@@ -196,14 +248,15 @@ def grid_metrics(tuned: Tuned) -> DataFrame:
                                     "is_best boolean")
 
 
-def model_report(model: PipelineModel) -> DataFrame:
+def model_report(model: Tuned | PipelineModel) -> DataFrame:
     """The winner's training R2/RMSE, its parameters, intercept and width: one row."""
-    best = regression(model)
-    # A reloaded model has no training summary (metrics are kept in the run log).
-    s = best.summary if best.hasSummary else None
-    return _session().createDataFrame([(float(s.r2) if s else None, float(s.rootMeanSquaredError) if s else None,
-                                float(best.getRegParam()), float(best.getElasticNetParam()), float(best.intercept),
-                                int(best.numFeatures), int(s.numInstances) if s else None)],
+    tuned = model if isinstance(model, Tuned) else Tuned(model, [], "")
+    best = regression(tuned.model)
+    told = (tuned.train_r2, tuned.train_rmse, tuned.n_train)
+    if told[0] is None and best.hasSummary:  # a reloaded model has none (metrics are kept in the run log)
+        told = (float(best.summary.r2), float(best.summary.rootMeanSquaredError), int(best.summary.numInstances))
+    return _session().createDataFrame([(told[0], told[1], float(best.getRegParam()), float(best.getElasticNetParam()),
+                                float(best.intercept), int(best.numFeatures), told[2])],
                               "train_r2 double, train_rmse double, regParam double, elasticNetParam double, "
                               "intercept double, n_features int, n_train bigint")
 

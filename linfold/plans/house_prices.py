@@ -77,7 +77,7 @@ def run(spark: SparkSession, csv_path: str, user: str, experiment: str = "house-
     job = regression_job.run(prepared(spark, db), HOUSE_SPEC, experiment=experiment, runs_table=RUNS_TABLE,
                              database=db, **job_options)
     scored = regression_job.score(job.model_uri, tables.read_table(spark, UNLABELLED_TABLE, db), HOUSE_SPEC)
-    return HouseRun(db, job, mdl.model_report(job.model), mdl.model_coefficients(job.model, job.holdout),
+    return HouseRun(db, job, mdl.model_report(job.tuned), mdl.model_coefficients(job.model, job.holdout),
                       mdl.holdout_metrics(job.model, job.holdout), scored)
 
 

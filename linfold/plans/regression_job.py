@@ -61,8 +61,9 @@ def select_features(df: DataFrame, spec: FeatureSpec, weak: float = 0.1, redunda
     to_label = [(r["col_b"], r["corr"]) for r in rows if r["col_a"] == spec.label and r["col_b"] != spec.label]
     inputs = [(c, r) for c, r in to_label if c not in spec.explored]
     screened = [c for c, r in inputs if (r is not None and abs(r) >= weak) or c in spec.keep]
-    kept = correlate.greedy_keep([(c, r) for c, r in inputs if c in screened],
-                                 [(r["col_a"], r["col_b"], r["corr"]) for r in rows], redundant, spec.keep)
+    walked = correlate.redundant_greedy(label_corr.filter(F.col("column_name").isin(screened)), matrix, redundant, spec.label,
+                                        spec.keep).filter("keep").orderBy("rank").collect()
+    kept = [r["column_name"] for r in walked]
     return Selection(label_corr, matrix, screened, kept)
 
 

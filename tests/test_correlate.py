@@ -160,3 +160,90 @@ def test_many_columns_match_numpy(spark):
     assert len(got) == k * k
     for i, j in itertools.product(range(k), range(k)):
         assert got[cols[i], cols[j]] == pytest.approx(truth[i, j], abs=1e-9)
+
+
+def _numpy_pair(x, y):
+    m = ~(np.isnan(x) | np.isnan(y))
+    return int(m.sum()), (np.corrcoef(x[m], y[m])[0, 1] if m.sum() > 1 else np.nan)
+
+
+def test_blocks_and_batches_change_nothing(spark, monkeypatch):
+    """Tiny blocks, batches and merges of tasks, with nulls, offsets and rows in few partitions: equal to numpy."""
+    from linfold.operators import comoments
+
+    rng = np.random.default_rng(21)
+    k, n = 9, 500
+    x = rng.normal(size=(n, k)) @ rng.normal(size=(k, k)) + np.array([0, 1e9, -5, 0, 1e6, 3, 0, 0, 2])
+    x[rng.random((n, k)) < 0.2] = np.nan
+    x[:, 3] = 4.25  # constant
+    x[:300, 5] = np.nan  # begins late
+    cols = [f"c{i}" for i in range(k)]
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(11)
+    for block, cells, fan, state in ((64, 1 << 21, 256, 256 << 20), (2, 40, 2, 1), (3, 9, 3, 4000)):
+        monkeypatch.setattr(comoments, "BLOCK", block)
+        monkeypatch.setattr(comoments, "CELLS", cells)
+        monkeypatch.setattr(comoments, "FAN_IN", fan)
+        monkeypatch.setattr(comoments, "STATE_BYTES", state)  # 1: every pair of blocks has a scan of its own
+        got = {(r["col_a"], r["col_b"]): (r["n"], r["corr"]) for r in correlate.corr_matrix(df, cols).collect()}
+        assert len(got) == k * k
+        for i, a in enumerate(cols):
+            for j, b in enumerate(cols):
+                m, r = _numpy_pair(x[:, i], x[:, j])
+                assert got[a, b][0] == m
+                if 3 in (i, j):
+                    assert got[a, b][1] is None
+                else:
+                    assert got[a, b][1] == pytest.approx(r, abs=1e-6 if 1 in (i, j) else 1e-10)
+
+
+def test_infinite_values_spoil_their_own_pairs_only(spark):
+    rows = [(float(i), float(i * i), float(-i), None if i == 4 else float(i % 3)) for i in range(12)]
+    rows[4] = (float("inf"), *rows[4][1:])
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    got = {(r["col_a"], r["col_b"]): (r["n"], r["corr"]) for r in correlate.corr_matrix(df, ["a", "b", "c", "d"]).collect()}
+    assert got["a", "b"] == (12, None) and got["a", "a"] == (12, None)
+    assert got["b", "c"][1] is not None
+    x = np.array([r[0] for r in rows if r[3] is not None])
+    y = np.array([r[3] for r in rows if r[3] is not None])
+    assert got["a", "d"] == (11, pytest.approx(np.corrcoef(x, y)[0, 1]))  # d is missing where a is infinite
+
+
+def test_a_column_constant_where_the_other_is_present(spark):
+    rows = [(0.1 if i % 2 else float(i) / 3, float(i) if i % 2 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(7)
+    got = correlate.pair_correlations(df, [("a", "b")]).first()
+    assert (got["n"], got["corr"]) == (20, None)
+
+
+def test_three_hundred_columns(spark):
+    """Wide frames: no expression for a pair, no row copied, one scan."""
+    df = spark.range(2000, numPartitions=4).select(
+        *[(F.rand(i) + (F.col("id") / 2000 if i % 3 == 0 else F.lit(0.0))).alias(f"c{i}") for i in range(300)]).persist()
+    try:
+        got = {(r["col_a"], r["col_b"]): r["corr"] for r in correlate.corr_matrix(df, df.columns).collect()}
+        want = np.corrcoef(np.array(df.collect()).T)
+        assert len(got) == 90000
+        for i, j in itertools.product(range(0, 300, 7), range(0, 300, 11)):
+            assert got[f"c{i}", f"c{j}"] == pytest.approx(want[i, j], abs=1e-12)
+    finally:
+        df.unpersist()
+
+
+@pytest.mark.parametrize("keep", [(), ("f3", "f7")])
+def test_greedy_table_is_the_walk(spark, keep):
+    rng = np.random.default_rng(17)
+    names = [f"f{i}" for i in range(14)]
+    r = {n: round(float(v), 1) for n, v in zip(names, rng.uniform(-1, 1, 14))}  # ties
+    r["f5"] = None
+    m = [(a, b, float(abs(hash((min(a, b), max(a, b))) % 100) / 100)) for a in names for b in names if a != b]
+    lc = spark.createDataFrame([("label", 1.0), *r.items()], "column_name string, corr double")
+    matrix = spark.createDataFrame(m, "col_a string, col_b string, corr double")
+    got = correlate.redundant_greedy(lc, matrix, 0.7, keep=keep).orderBy("rank").collect()
+    kept = [x["column_name"] for x in got if x["keep"]]
+    assert kept == correlate.greedy_keep(list(r.items()), m, 0.7, keep)
+    clash = {(a, b) for a, b, v in m if v >= 0.7}
+    for x in got:
+        before = [k for k in kept if kept.index(k) < len(kept) and (x["column_name"], k) in clash
+                  and [y["column_name"] for y in got].index(k) < x["rank"] - 1]
+        assert x["dominated_by"] == (before[0] if before else None)
