@@ -20,7 +20,7 @@ from linfold.operators.runs import best_run, delete_runs, log_runs
 from linfold.plans import regression_job, stand_in
 from linfold.plans.stand_in import SPEC
 from linfold.session import fresh_name, shared_dir
-from linfold.sources import catalog, csv, tables
+from linfold.sources import catalog, csv, tables, versions
 from linfold.sources.preview import ordered_preview
 from linfold.sources.models import load_model, save_model
 from linfold.spec import FeatureSpec
@@ -119,6 +119,37 @@ def q_unlabeled_ctas(spark, sf_dir):
     return _told(tables.read_table(spark, _unlabelled_table(spark, sf_dir), WORK_DB))
 
 
+def q_table_replace(spark, sf_dir):
+    """A table replaced by a version of other columns that reads the version before it."""
+    name, db = fresh_name("charges_versions"), _work_db(spark)
+    versions.replace_table(stand_in.charges(spark, sf_dir).withColumn("extra", F.lit(1)), name, db)
+    current = versions.replace_table(tables.read_table(spark, name, db).drop("extra"), name, db)
+    versions.remove_old(spark, name, current, db)
+    return _told(tables.read_table(spark, name, db))
+
+
+INFERRED = ("row_key", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate", "charge")
+
+
+def _csv_lines(spark, sf_dir) -> str:
+    """Charges as lines of CSV, and a malformed line (too short) for each first line of an order."""
+    src = _told(stand_in.charges(spark, sf_dir))
+    lines = src.select(F.concat_ws(",", *[F.col(c).cast("string") for c in INFERRED]).alias("value"))
+    bad = src.where("l_linenumber = 1").select(F.concat_ws(",", F.lit("broken"), "row_key").alias("value"))
+    path = shared_dir(spark, "csv", fresh_name("lines"))
+    lines.unionByName(bad).write.text(path)
+    return path
+
+
+def q_csv_infer(spark, sf_dir):
+    good, _ = csv.read_csv_inferred(spark, _csv_lines(spark, sf_dir), names=INFERRED, header=False)
+    return good.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_csv_malformed(spark, sf_dir):
+    return csv.read_csv_inferred(spark, _csv_lines(spark, sf_dir), names=INFERRED, header=False)[1]
+
+
 def q_table_scan(spark, sf_dir):
     return _told(spark.sql(f"SELECT * FROM {WORK_DB}.{_labelled_table(spark, sf_dir)}"))
 
@@ -166,6 +197,13 @@ def q_profile_cardinality(spark, sf_dir):
     return p.select("column_name", "n", "n_distinct", "n_null", "n_zero", _r("null_share", 6), _r("zero_share", 6))
 
 
+def q_profile_ranges(spark, sf_dir):
+    """Counts and ranges of merged states: one for the first lines of orders, one for the others."""
+    df = stand_in.prepared(spark, sf_dir)
+    parts = [profile.profile_state(df.where(c), PROFILE_NUMERIC) for c in ("l_linenumber = 1", "l_linenumber <> 1")]
+    return profile.profile_ranges(profile.merge_states(*parts)).select("column_name", "n", "n_null", "n_zero", "min_value", "max_value")
+
+
 def q_corr_with_label(spark, sf_dir):
     r = correlate.corr_with_label(stand_in.prepared(spark, sf_dir), "label", SCREEN[1:])
     return r.select("column_name", "n", _r("corr", 6))
@@ -220,11 +258,42 @@ def q_split_holdout(spark, sf_dir):
     return _told(split.hash_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[1])
 
 
+def q_split_exact(spark, sf_dir):
+    """The larger side of a split of exact size."""
+    return _told(split.exact_split(stand_in.prepared(spark, sf_dir), "row_key", hash_fn=PORTABLE)[0])
+
+
 def q_split_summary(spark, sf_dir):
     s = split.split_summary(stand_in.prepared(spark, sf_dir), "row_key", "label", hash_fn=PORTABLE)
     return s.select("side", "n", _r("mean_label", 6))
 
 
+def q_split_default_check(spark, sf_dir):
+    """The default hash (xxhash64, which no other engine has): its sides are disjoint, complete and near their shares."""
+    df = stand_in.prepared(spark, sf_dir)
+    sides = split.hash_split(df, "row_key")
+    keys = [s.select("row_key", F.lit(i).alias("side")) for i, s in enumerate(sides)]
+    told = keys[0].unionByName(keys[1]).groupBy("row_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("side").alias("sides"), F.min("side").alias("side"))
+    return told.agg(F.sum("rows").alias("n_rows"), F.count_if(F.col("sides") > 1).alias("n_on_two_sides"),
+                    (F.abs(F.avg("side") - 0.3) < 0.02).alias("near_share"))
+
+
+def q_namespace_lifecycle(spark, sf_dir):
+    """A namespace of a user's name, a table in it, then drop both."""
+    user = catalog.namespace_for(fresh_name("Some.User@"))
+    db = catalog.create_namespace(spark, user, location=shared_dir(spark, "warehouse", fresh_name("db")))
+    tables.create_table(stand_in.charges(spark, sf_dir), "charges", db)
+    n = tables.read_table(spark, "charges", db).count()
+    made = spark.catalog.tableExists(f"{db}.charges")
+    tables.drop_table(spark, "charges", db)
+    left = spark.catalog.tableExists(f"{db}.charges")
+    tables.create_table(stand_in.charges(spark, sf_dir), "charges", db)  # the cascade takes this one along
+    catalog.drop_namespace(spark, db)
+    return spark.createDataFrame([(n, made, left, spark.catalog.databaseExists(db))],
+                                 "n_rows bigint, made boolean, left_after_drop boolean, namespace_left boolean")
+
+
 # --- categorical encodings ------------------------------------------------------------------
 
 def q_category_index(spark, sf_dir):
@@ -237,6 +306,15 @@ def q_category_index_apply(spark, sf_dir):
     return indexed
 
 
+ENCODED = ("l_partkey", "l_returnflag")
+
+
+def q_category_encode(spark, sf_dir):
+    """Dictionary encoding: the 1,024 most frequent parts broadcast, the others looked up through a shuffle."""
+    df = stand_in.prepared(spark, sf_dir).select("row_key", *ENCODED)
+    return encode.encode_categories(df, ENCODED, heavy=2048)
+
+
 def _one_hot_frame(spark, sf_dir):
     df = stand_in.prepared(spark, sf_dir)
     # The source job's indexer default: an unseen value is an error, so k categories
@@ -343,6 +421,47 @@ def q_batch_score(spark, sf_dir):
     return regression_job.score(uri, new, TUNE_SPEC).select("row_key", _r("prediction", 2))
 
 
+# The whole set of inputs: numbers, a derived ratio, a 0/1 column and three one-hot categories. Ridge penalties,
+# whose solution SQL can state as normal equations.
+FULL_NUMERIC = ("l_extendedprice", "l_quantity", "l_discount", "l_tax", "unit_price")
+RIDGE = {"elastic_net_params": (0.0,)}
+
+
+def _full(spark, sf_dir):
+    return regression_job.fit(stand_in.prepared(spark, sf_dir), SPEC, FULL_NUMERIC, split_hash=PORTABLE, **RIDGE)
+
+
+def q_full_grid_metrics(spark, sf_dir):
+    return mdl.grid_metrics(_full(spark, sf_dir)[0]).select("regParam", "elasticNetParam", _r("value", 5), "is_best")
+
+
+def q_full_coefficients(spark, sf_dir):
+    """Named coefficients of every slot of the winner."""
+    tuned, _, holdout = _full(spark, sf_dir)
+    return mdl.model_coefficients(tuned.model, holdout).select("slot", "feature", _r("coefficient", 4))
+
+
+def q_full_report(spark, sf_dir):
+    r = mdl.model_report(_full(spark, sf_dir)[0])
+    return r.select(_r("train_r2", 8), _r("train_rmse", 4), "regParam", "elasticNetParam", _r("intercept", 3),
+                    "n_features", "n_train")
+
+
+def q_full_holdout_metrics(spark, sf_dir):
+    tuned, _, holdout = _full(spark, sf_dir)
+    m = mdl.holdout_metrics(tuned.model, holdout)
+    return m.select("n", _r("rmse", 4), _r("mae", 4), _r("r2", 8), "n_missing")
+
+
+def q_full_batch_score(spark, sf_dir):
+    """Unlabelled rows scored by the reloaded model; their ratio column is derived again."""
+    tuned, _, _ = _full(spark, sf_dir)
+    uri = save_model(tuned.model, shared_dir(spark, "models", fresh_name("pipeline")))
+    unlabelled = tables.read_table(spark, _unlabelled_table(spark, sf_dir), WORK_DB)
+    new = split.hash_split(unlabelled, "row_key", hash_fn=PORTABLE)[1]
+    return regression_job.score(uri, new, SPEC).select("row_key", _r("prediction", 2))
+
+
 def _logged(spark, sf_dir, experiments) -> str:
     """The grid points of a fit as runs of each experiment, in a run log of its own."""
     tuned = _tuned(spark, sf_dir)[0]
@@ -376,6 +495,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_ctas": q_table_ctas,
         "unlabeled_ctas": q_unlabeled_ctas,
         "table_scan": q_table_scan,
+        "table_replace": q_table_replace,
+        "csv_infer": q_csv_infer,
+        "csv_malformed": q_csv_malformed,
         "preview_topk": q_preview_topk,
         "label_rename": q_label_rename,
         "drop_columns": q_drop_columns,
@@ -384,6 +506,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_numeric": q_profile_numeric,
         "profile_string": q_profile_string,
         "profile_cardinality": q_profile_cardinality,
+        "profile_ranges": q_profile_ranges,
         "profile_time": q_profile_time,
         "corr_with_label": q_corr_with_label,
         "corr_matrix": q_corr_matrix,
@@ -393,8 +516,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_train": q_split_train,
         "split_holdout": q_split_holdout,
         "split_summary": q_split_summary,
+        "split_exact": q_split_exact,
         "category_index": q_category_index,
         "category_index_apply": q_category_index_apply,
+        "category_encode": q_category_encode,
         "one_hot": q_one_hot,
         "assembled_features": q_assembled_features,
         "ols_simple": q_ols_simple,
@@ -408,6 +533,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "holdout_metrics": q_holdout_metrics,
         "scored_after_reload": q_scored_after_reload,
         "batch_score": q_batch_score,
+        "full_grid_metrics": q_full_grid_metrics,
+        "full_coefficients": q_full_coefficients,
+        "full_report": q_full_report,
+        "full_holdout_metrics": q_full_holdout_metrics,
+        "full_batch_score": q_full_batch_score,
+        "split_default_check": q_split_default_check,
+        "namespace_lifecycle": q_namespace_lifecycle,
         "best_run": q_best_run,
         "runs_after_delete": q_runs_after_delete,
         **(llm_queries.QUERIES if llm_queries else {}),
@@ -645,6 +777,58 @@ def _sql_model(body: str) -> str:
     return _with(f"{_sql_tuned()}\n{body}")
 
 
+# Category counts of the model's columns in the driver's lineitem table.
+FULL_SIZES = {"l_returnflag": 3, "l_linestatus": 2, "l_linenumber": 7}
+
+
+def _sql_full(body: str) -> str:
+    """Ridge over all inputs by normal equations of standardised columns, solved by Gauss-Jordan steps."""
+    inner = split.cuts((0.7 * mdl.TRAIN_RATIO, 0.7 * (1 - mdl.TRAIN_RATIO), 1 - 0.7))[0]
+    index = ", ".join(f"i_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS idx "
+                      f"FROM sides WHERE side < 2 GROUP BY {c})" for c in FULL_SIZES)
+    columns = [f"CAST({c} AS DOUBLE)" for c in (*FULL_NUMERIC, "is_open")]
+    names = [f"'{c}'" for c in (*FULL_NUMERIC, "is_open")]
+    for c, size in FULL_SIZES.items():
+        columns += [f"CAST(coalesce(i_{c}.idx, -1) = {i} AS INTEGER)::DOUBLE" for i in range(size)]
+        names += [f"(SELECT '{c}_vector_' || v FROM i_{c} WHERE idx = {i})" for i in range(size)]
+    k = range(len(columns))
+    x = ", ".join(f"{e} AS f{i}" for i, e in enumerate(columns))
+    joins = " ".join(f"LEFT JOIN i_{c} ON i_{c}.v = sides.{c}" for c in FULL_SIZES)
+    gram = "[" + ", ".join("[" + ", ".join("1::DOUBLE" if i == j else f"corr(f{min(i, j)}, f{max(i, j)})" for j in k) + "]"
+                           for i in k) + "]"
+    state = f"""{gram} AS r, [{", ".join(f"corr(f{i}, label)" for i in k)}] AS rho, [{", ".join(f"stddev_pop(f{i})" for i in k)}] AS sd,
+        [{", ".join(f"avg(f{i})" for i in k)}] AS mu, stddev_pop(label) AS sy, avg(label) AS my"""
+    full = f"[{', '.join(f'f{i}' for i in k)}]"
+
+    def solved(tag: str, source: str) -> str:
+        return f"""
+s{tag} AS (SELECT l, sd, mu, sy, my, [list_concat([r[i][j] + CASE WHEN i = j THEN l / sy ELSE 0 END FOR j IN range(1, len(r) + 1)],
+        [rho[i]]) FOR i IN range(1, len(r) + 1)] AS m FROM {source}),
+g{tag} AS (SELECT l, 0 AS k, m FROM s{tag} UNION ALL
+      SELECT l, k + 1, [CASE WHEN i = k + 1 THEN [x / m[k + 1][k + 1] FOR x IN m[k + 1]]
+                        ELSE [m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1] FOR j IN range(1, len(m[i]) + 1)] END
+                        FOR i IN range(1, len(m) + 1)] FROM g{tag} WHERE k < len(m)),
+w{tag} AS (SELECT s{tag}.l, [g{tag}.m[i][len(g{tag}.m) + 1] * sy / sd[i] FOR i IN range(1, len(sd) + 1)] AS c, mu, my
+      FROM g{tag} JOIN s{tag} ON s{tag}.l = g{tag}.l WHERE g{tag}.k = len(g{tag}.m)),
+fit{tag} AS (SELECT l, c, my - list_dot_product(c, mu) AS intercept FROM w{tag})"""
+
+    grid = ", ".join(f"({r}::DOUBLE)" for r in mdl.REG_PARAMS)
+    text = f""",
+sides AS (SELECT *, CASE WHEN share < {inner!r}::DOUBLE THEN 0 WHEN share < 0.7::DOUBLE THEN 1 ELSE 2 END AS side FROM bucketed),
+{index},
+x AS (SELECT row_key, side, label, {x} FROM sides {joins}),
+grid(l) AS (VALUES {grid}),
+m0 AS (SELECT * FROM (SELECT {state} FROM x WHERE side = 0), grid),{solved("0", "m0")},
+points AS (SELECT l, sqrt(avg((label - intercept - list_dot_product(c, {full})) * (label - intercept - list_dot_product(c, {full})))) AS v
+           FROM x, fit0 WHERE side = 1 GROUP BY l),
+best AS (SELECT l FROM points ORDER BY v, l LIMIT 1),
+m1 AS (SELECT * FROM (SELECT {state} FROM x WHERE side < 2), best),{solved("1", "m1")},
+names AS (SELECT [{", ".join(names)}] AS names),
+scored AS (SELECT row_key, side, label, intercept + list_dot_product(c, {full}) AS prediction FROM x, fit1)
+{body}"""
+    return _with(text).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 _SQL_RUNS = "SELECT '{0}' AS experiment, l AS regParam, a AS elasticNetParam, round(v, 5) AS rmse FROM points"
 
 _ALL_CHARGE_COLS = ", ".join(CHARGE_COLS)
@@ -658,6 +842,10 @@ def oracle_sql() -> dict[str, str]:
         "table_ctas": _with(f"SELECT {_ALL_CHARGE_COLS} FROM charges"),
         "unlabeled_ctas": _with(f"SELECT {_ALL_CHARGE_COLS.replace(', charge', '')} FROM charges"),
         "table_scan": _with(f"SELECT {_ALL_CHARGE_COLS} FROM charges"),
+        "table_replace": _with(f"SELECT {_ALL_CHARGE_COLS} FROM charges"),
+        "csv_infer": _with(f"SELECT row_key, CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, "
+                           "l_quantity, l_returnflag, l_shipdate, charge FROM charges"),
+        "csv_malformed": _with("SELECT 'broken,' || row_key AS line FROM charges WHERE l_linenumber = 1"),
         "preview_topk": _with(f"SELECT {_PREPARED_COLS} FROM prepared ORDER BY row_key LIMIT 20"),
         "label_rename": _with(f"SELECT {_LABELLED_COLS} FROM labelled"),
         "drop_columns": _with("SELECT * EXCLUDE (l_orderkey, l_partkey, l_suppkey, l_shipdate) FROM labelled"),
@@ -668,6 +856,10 @@ def oracle_sql() -> dict[str, str]:
         "profile_numeric": _sql_profile_numeric(),
         "profile_string": _sql_profile_string(),
         "profile_cardinality": _sql_profile_cardinality(),
+        "profile_ranges": _with("\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n, CAST(count(*) - count({c}) AS BIGINT) AS n_null, "
+            f"CAST(count(*) FILTER ({c} = 0) AS BIGINT) AS n_zero, CAST(min({c}) AS DOUBLE) AS min_value, "
+            f"CAST(max({c}) AS DOUBLE) AS max_value FROM prepared" for c in PROFILE_NUMERIC)),
         "corr_with_label": _sql_corr_with_label(),
         "corr_matrix": _sql_corr_matrix(),
         "select_by_label_corr": _sql_select_by_label_corr(),
@@ -675,11 +867,19 @@ def oracle_sql() -> dict[str, str]:
         "redundant_greedy": _sql_redundant_greedy(),
         "split_train": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE share < 0.7::DOUBLE"),
         "split_holdout": _with(f"SELECT {_PREPARED_COLS} FROM bucketed WHERE share >= 0.7::DOUBLE"),
+        "split_exact": _with(
+            f"SELECT {_PREPARED_COLS} FROM (SELECT *, row_number() OVER (ORDER BY share, row_key) AS nth FROM bucketed) "
+            "WHERE nth <= (SELECT CAST(floor(count(*) * 0.7::DOUBLE + 0.5) AS BIGINT) FROM bucketed)"),
         "split_summary": _with("SELECT CAST(CASE WHEN share < 0.7::DOUBLE THEN 0 ELSE 1 END AS INTEGER) AS side, "
                                "CAST(count(*) AS BIGINT) AS n, round(avg(label), 6) AS mean_label FROM bucketed "
                                "GROUP BY 1"),
         "category_index": _sql_category_index(),
         "category_index_apply": _sql_category_index_apply(),
+        "category_encode": _with(
+            ", " + ", ".join(f"i_{c} AS (SELECT {c} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 "
+                             f"AS DOUBLE) AS idx FROM prepared GROUP BY {c})" for c in ENCODED)
+            + "\nSELECT row_key, l_partkey, l_returnflag, i_l_partkey.idx AS l_partkey_index, i_l_returnflag.idx AS l_returnflag_index "
+            "FROM prepared LEFT JOIN i_l_partkey ON i_l_partkey.v = l_partkey LEFT JOIN i_l_returnflag ON i_l_returnflag.v = l_returnflag"),
         "one_hot": _sql_one_hot(),
         "assembled_features": _sql_assembled(),
         "ols_simple": _sql_ols_simple(),
@@ -709,6 +909,26 @@ def oracle_sql() -> dict[str, str]:
             "CAST(0 AS BIGINT) AS n_missing FROM scored WHERE side = 2"),
         "scored_after_reload": _sql_model("SELECT row_key, round(prediction, 2) AS prediction FROM scored WHERE side = 2"),
         "batch_score": _sql_model("SELECT row_key, round(prediction, 2) AS prediction FROM scored WHERE side = 2"),
+        "full_grid_metrics": _sql_full("SELECT l AS regParam, 0::DOUBLE AS elasticNetParam, round(v, 5) AS value, "
+                                       "l = (SELECT l FROM best) AS is_best FROM points"),
+        "full_coefficients": _sql_full(
+            "SELECT CAST(i - 1 AS INTEGER) AS slot, names[i] AS feature, round(c[i], 4) AS coefficient "
+            "FROM fit1, names, (SELECT unnest(range(1, 19)) AS i)"),
+        "full_report": _sql_full(
+            "SELECT round(1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(*)), 8) AS train_r2, "
+            "round(sqrt(avg((label - prediction) * (label - prediction))), 4) AS train_rmse, any_value(l) AS regParam, "
+            "0::DOUBLE AS elasticNetParam, round(any_value(intercept), 3) AS intercept, CAST(any_value(len(c)) AS INTEGER) AS "
+            "n_features, CAST(count(*) AS BIGINT) AS n_train FROM scored, fit1 WHERE side < 2"),
+        "full_holdout_metrics": _sql_full(
+            "SELECT CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((label - prediction) * (label - prediction))), 4) AS rmse, "
+            "round(avg(abs(label - prediction)), 4) AS mae, "
+            "round(1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(*)), 8) AS r2, "
+            "CAST(0 AS BIGINT) AS n_missing FROM scored WHERE side = 2"),
+        "full_batch_score": _sql_full("SELECT row_key, round(prediction, 2) AS prediction FROM scored WHERE side = 2"),
+        "split_default_check": _with("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_on_two_sides, "
+                                     "true AS near_share FROM prepared"),
+        "namespace_lifecycle": _with("SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS made, false AS left_after_drop, "
+                                     "false AS namespace_left FROM charges"),
         "best_run": _sql_model(_SQL_RUNS.format("grid") + " ORDER BY v, l, a LIMIT 1"),
         "runs_after_delete": _sql_model(_SQL_RUNS.format("kept")),
         **(llm_queries.ORACLE_SQL if llm_queries else {}),

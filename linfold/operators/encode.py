@@ -1,4 +1,4 @@
-"""Categorical indexing, one-hot encoding and vector assembly.
+"""Categorical indexing, dictionary encoding, one-hot encoding and vector assembly.
 
 The source job fitted one ``StringIndexer`` per categorical column (three passes);
 here one multi-column estimator fits them all in one pass. Indexing, encoding and
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import lit_str, q
-from linfold.session import shared_dir
+from linfold.session import fresh_name, shared_dir
 
 
 def index_name(c: str) -> str:
@@ -104,11 +104,68 @@ def feature_assembler(cols, output: str = "features", handle_invalid: str = "err
     return VectorAssembler(inputCols=list(cols), outputCol=output, handleInvalid=handle_invalid)
 
 
+#: Categories of all columns that encoding broadcasts, the most frequent ones; the others are joined through a shuffle.
+HEAVY = 1 << 16
+#: Ways in which rows that need no lookup are dealt out in that shuffle.
+SALTS = 4096
+
+
+def encode_categories(df: DataFrame, cols, vocabulary: DataFrame | None = None, handle_invalid: str = "keep",
+                      heavy: int = HEAVY) -> DataFrame:
+    """``df`` with ``{c}_index`` for each column, from a vocabulary as ``category_frequencies`` gives it (by default its own).
+
+    No vocabulary reaches the driver or a task as a whole. The ``heavy`` most frequent categories are
+    broadcast: they are the only hot keys, and most rows. Columns with more categories look the others up by a
+    shuffle join on the value, in which no key has more rows than the least frequent broadcast category; rows that
+    need no lookup are dealt out evenly there. The plan has one scan of ``df``.
+
+    A NULL or unseen value gets the index after the last one ("keep"), fails the job ("error") or drops its row
+    ("skip"), as with ``category_indexer``.
+    """
+    if handle_invalid not in ("keep", "error", "skip"):
+        raise ValueError(f"unknown handle_invalid {handle_invalid!r}")
+    cols = list(cols)
+    known = vocabulary if vocabulary is not None else category_frequencies(df, cols)
+    spark = df.sparkSession
+    path = shared_dir(spark, "vocabulary", fresh_name("ranked"))
+    known.select("column_name", "category", "n", "category_index").write.parquet(path)
+    known = spark.read.parquet(path)
+    sizes = {r["column_name"]: r["k"] for r in known.groupBy("column_name").agg(F.count(F.lit(1)).alias("k")).collect()}
+    # By rank, so that ties of counts do not matter: the first ``each`` categories of a column, ``heavy`` in all.
+    each = max(1, heavy // max(1, len(cols)))
+    out = df
+    for i, c in enumerate(cols):
+        mine = known.filter(F.col("column_name") == c).select(F.col("category").alias("_v"), F.col("category_index").alias("_i"))
+        value = F.col(q(c)).cast("string")
+        top = F.broadcast(mine.filter(F.col("_i") < each).select(F.col("_v").alias(f"_hv{i}"), F.col("_i").alias(f"_hi{i}")))
+        out = out.join(top, value == F.col(f"_hv{i}"), "left").drop(f"_hv{i}")
+        if sizes.get(c, 0) > each:
+            tail = mine.filter(F.col("_i") >= each).select(F.col("_v").alias(f"_tv{i}"), F.col("_i").alias(f"_ti{i}"),
+                                                           F.lit(0).cast("long").alias(f"_ts{i}"))
+            done = F.col(f"_hi{i}").isNotNull() | F.col(q(c)).isNull()
+            out = out.withColumn(f"_key{i}", F.when(~done, value)) \
+                .withColumn(f"_salt{i}", F.when(done, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) + 1).otherwise(0)) \
+                .join(tail.hint("shuffle_hash"), (F.col(f"_key{i}") == F.col(f"_tv{i}")) & (F.col(f"_salt{i}") == F.col(f"_ts{i}")),
+                      "left").drop(f"_key{i}", f"_salt{i}", f"_tv{i}", f"_ts{i}")
+            index = F.coalesce(f"_hi{i}", f"_ti{i}")
+        else:
+            index = F.col(f"_hi{i}")
+        if handle_invalid == "keep":
+            index = F.coalesce(index, F.lit(float(sizes.get(c, 0))))
+        elif handle_invalid == "error":
+            unseen = F.concat(F.lit(f"column {c} has a value that the vocabulary lacks: "), F.coalesce(value, F.lit("NULL")))
+            index = F.coalesce(index, F.raise_error(unseen).cast("double"))
+        out = out.withColumn(index_name(c), index).drop(f"_hi{i}", f"_ti{i}")
+        if handle_invalid == "skip":
+            out = out.filter(F.col(q(index_name(c))).isNotNull())
+    return out
+
+
 def index_categories(df: DataFrame, cols, handle_invalid: str = "keep", max_categories: int | None = None):
-    """Fit one indexer over ``cols`` and apply it: returns (model, indexed frame).
+    """Fit MLlib's indexer over ``cols`` and apply it: returns (model, indexed frame).
 
-    The fit collects the vocabulary and the model ships it to every task; a caller who wants
-    a bound gives ``max_categories`` (checked on exact counts).
+    The form that pipelines save. Its fit collects the vocabulary and the model ships it to every task; a caller
+    who wants a bound gives ``max_categories`` (checked on exact counts). ``encode_categories`` has no such limit.
     """
     if max_categories is not None:
         check_category_bounds(df, cols, max_categories)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from linfold.functions.exprs import q
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, header: bool = True,
              delimiter: str = ",", infer_schema: bool = False, **options) -> DataFrame:
@@ -24,3 +26,50 @@ def write_csv(df: DataFrame, path: str, header: bool = True, delimiter: str = ",
     """Write one CSV part per partition (parallel, no funnel through one task)."""
     df.write.mode(mode).option("header", str(header).lower()).option("delimiter", delimiter).csv(path)
     return path
+
+
+#: Types from narrow to wide, each with the test that a text must pass (``{v}``: the trimmed text).
+LATTICE = (("int", "try_cast({v} AS INT) IS NOT NULL"), ("bigint", "try_cast({v} AS BIGINT) IS NOT NULL"),
+           ("double", "try_cast({v} AS DOUBLE) IS NOT NULL"), ("boolean", "lower({v}) IN ('true', 'false')"),
+           ("date", "{v} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' AND try_cast({v} AS DATE) IS NOT NULL"),
+           ("timestamp", "{v} RLIKE '^[0-9]{{4}}-' AND try_cast({v} AS TIMESTAMP) IS NOT NULL"))
+_BAD = "_malformed"
+
+
+def _text_columns(spark: SparkSession, path: str, names, header: bool, delimiter: str, options: dict) -> DataFrame:
+    """Every field as text, and the line itself where it has not as many fields as there are columns."""
+    schema = ", ".join(f"{q(c)} string" for c in names) + f", {_BAD} string"
+    return read_csv(spark, path, schema, header, delimiter, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD,
+                    columnPruning="false", enforceSchema="true", **options)
+
+
+def infer_types(texts: DataFrame, names) -> dict[str, str]:
+    """The narrowest type of each text column, from one aggregate: whether all values pass a type's test is a state
+    that merges, so each task sends one row. A column without a value is text."""
+    tests = [f"bool_and({test.format(v=f'trim({q(c)})')}) AS t{i}_{j}"
+             for i, c in enumerate(names) for j, (_, test) in enumerate(LATTICE)]
+    row = texts.where(f"{_BAD} IS NULL").selectExpr(*tests).first()
+    return {c: next((kind for j, (kind, _) in enumerate(LATTICE) if row[f"t{i}_{j}"]), "string") for i, c in enumerate(names)}
+
+
+def read_csv_inferred(spark: SparkSession, path: str, names=None, header: bool = True, delimiter: str = ",",
+                      **options) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, malformed lines): CSV from any Hadoop path with types inferred from all its rows.
+
+    Lines with too few or too many fields take no part in the types and are set aside as (``line``), so that rows
+    and malformed lines together are all lines. Without ``names`` the header of the first file names the columns.
+    Empty fields are NULL.
+    """
+    if names is None:
+        if not header:
+            raise ValueError("without a header the columns need names")
+        names = read_csv(spark, path, header=True, delimiter=delimiter, **options).columns
+    if _BAD in names:
+        raise ValueError(f"a column cannot be called {_BAD}")
+    texts = _text_columns(spark, path, names, header, delimiter, options)
+    types = infer_types(texts, names)
+    # Spark reads malformed lines only along with another column, whatever the caller selects later.
+    too = f"length(coalesce({q(names[0])}, '')) >= 0"
+    good = texts.where(f"{_BAD} IS NULL AND {too}").selectExpr(*[
+        q(c) if types[c] == "string" else f"CAST(trim({q(c)}) AS {types[c]}) AS {q(c)}" for c in names])
+    return good, texts.where(f"{_BAD} IS NOT NULL AND {too}").selectExpr(f"{_BAD} AS line")
