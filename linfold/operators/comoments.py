@@ -4,9 +4,9 @@ Columns are cut into blocks, and the state of a pair of blocks holds, for each p
 over the rows where both are present: the number of rows, the means of a and b, and the sums of squares and
 products of their deviations. Tasks work on Arrow batches as matrices, so a batch costs a few matrix products
 whatever the number of pairs; rows are never copied. States merge by Chan's rule (each is centred before
-anything is multiplied, so offsets cost no precision), first inside a task, then ``FAN_IN`` tasks at a time, then
-all, each pair of blocks by itself. What crosses a shuffle depends on the columns and the tasks, not on the rows;
-a hundred thousand tasks leave some 80 MB for each of the last merges.
+anything is multiplied, so offsets cost no precision), first inside a task, then all tasks' states of a pair of
+blocks; where the states of ``TASKS`` tasks would not fit ``MERGE_BYTES``, ``FAN_IN`` tasks at a time before that.
+What crosses a shuffle depends on the columns and the tasks, not on the rows.
 
 A task's states take at most ``STATE_BYTES``; beyond that many pairs, the pairs of blocks are spread over
 several scans (some two thousand columns fit in one).
@@ -27,6 +27,7 @@ from linfold.functions.exprs import q
 BLOCK = 64
 STATE_BYTES = 256 << 20
 FAN_IN = 256
+TASKS, MERGE_BYTES = 100_000, 256 << 20
 #: Cells of a batch that are worked on at a time.
 CELLS = 1 << 21
 
@@ -136,12 +137,15 @@ class Plan:
         a, b = self.blocks[block]
         return len(a), len(b)
 
+    def bytes(self, block: int) -> int:
+        rows, cols = self.shape(block)
+        return 8 * (6 * rows * cols + rows + cols)
+
     def scans(self) -> list[list[int]]:
         """Blocks by scan, so that a task's states fit their bound."""
         out, size = [[]], 0
         for i in range(len(self.blocks)):
-            rows, cols = self.shape(i)
-            cost = 8 * (6 * rows * cols + rows + cols)
+            cost = self.bytes(i)
             if out[-1] and size + cost > STATE_BYTES:
                 out.append([])
                 size = 0
@@ -231,5 +235,6 @@ def co_moments(df: DataFrame, left, right, finish, ddl: str, same: bool = False,
     def last(table: pa.Table) -> pa.Table:
         b, _, one = _met(plan, table, 1)
         return finish(plan, b, one)
-    merged = states.groupBy("block", F.floor(F.col("part") / FAN_IN).alias("bucket")).applyInArrow(some, _STATE_DDL)
-    return merged.groupBy("block").applyInArrow(last, ddl)
+    if any(plan.bytes(i) * TASKS > MERGE_BYTES for i in range(len(plan.blocks))):  # a matter of the columns alone
+        states = states.groupBy("block", F.floor(F.col("part") / FAN_IN).alias("bucket")).applyInArrow(some, _STATE_DDL)
+    return states.groupBy("block").applyInArrow(last, ddl)

@@ -170,7 +170,7 @@ def _fitted(solution, reg: float, elastic: float, label: str) -> LinearRegressio
 
 def _tune_from_sums(rows: DataFrame, label: str, steps: PipelineModel, points, metric: str) -> Tuned:
     """One scan: the sums of both sides, from which all else follows."""
-    sides = sufficient.sums(rows, label)
+    sides = sufficient.sums(rows, label, vector_size(rows, "features"))
     if 0 not in sides:
         raise ValueError("no rows to fit on: the training side is too small")
     if 1 not in sides:

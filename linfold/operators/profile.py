@@ -104,8 +104,8 @@ def profile_time(df: DataFrame, cols=None) -> DataFrame:
 
 #: Distinct values that a task holds before it hands them on.
 _HELD = 1 << 18
-_VALUES = pa.schema([("i", pa.int32()), ("v", pa.string())])
-#: Types whose values Arrow writes as text one to one.
+_VALUES = pa.schema([("i", pa.int32()), ("x", pa.int64()), ("v", pa.string())])
+#: Types whose values are whole numbers, bits or text one to one.
 _PLAIN = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -117,11 +117,23 @@ def _distinct_of_task(batches):
     def told():
         for i, parts in held.items():
             values = pc.unique(pa.chunked_array(parts))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), i, dtype=np.int32)), values], schema=_VALUES)
+            number = pa.types.is_int64(values.type)
+            none = pa.nulls(len(values), pa.string() if number else pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), i, dtype=np.int32)),
+                                              *((values, none) if number else (none, values))], schema=_VALUES)
 
     for batch in batches:
         for i, column in enumerate(batch.columns):
-            values = pc.unique(column).drop_null().cast(pa.string())
+            values = pc.unique(column).drop_null()
+            kind = values.type
+            if pa.types.is_floating(kind):  # a double by its bits
+                values = pa.array(values.cast(pa.float64()).to_numpy(zero_copy_only=False).view(np.int64))
+            elif pa.types.is_date(kind) or pa.types.is_timestamp(kind):
+                values = values.cast(pa.timestamp("us")).cast(pa.int64())
+            elif pa.types.is_integer(kind) or pa.types.is_boolean(kind):
+                values = values.cast(pa.int64())
+            else:
+                values = values.cast(pa.string())
             held.setdefault(i, []).append(values)
             size += len(values)
         if size > _HELD:
@@ -141,7 +153,7 @@ def _distinct_counts(df: DataFrame, cols) -> DataFrame:
     if plain:
         at = F.element_at(F.array(*[F.lit(i) for i, _ in plain]), F.col("i") + 1).alias("i")
         told = df.selectExpr(*[f"{_one_zero(c, types[c])} AS c{i}" for i, c in plain]) \
-            .mapInArrow(_distinct_of_task, "i int, v string").groupBy("i", "v").agg(F.lit(1).alias("one")) \
+            .mapInArrow(_distinct_of_task, "i int, x long, v string").groupBy("i", "x", "v").agg(F.lit(1).alias("one")) \
             .groupBy("i").agg(F.count(F.lit(1)).alias("d")).select(at, "d")
     for i, c in enumerate(cols):
         if not isinstance(types[c], _PLAIN):  # nested and binary values: one aggregate each

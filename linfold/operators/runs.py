@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import lit_str
+from linfold.session import fresh_name, shared_dir
 from linfold.sources.tables import qualified
 
 RUN_SCHEMA = ("experiment string, run_id string, started timestamp, params map<string,string>, "
@@ -69,3 +70,22 @@ def delete_runs(spark: SparkSession, table: str, experiment: str, database: str
     if removed:
         spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION (experiment = {lit_str(experiment)})")
     return removed
+
+
+def compact_runs(spark: SparkSession, table: str, experiment: str, database: str | None = None) -> int:
+    """Rewrites the runs of ``experiment``, a file for each run until then, as one file; returns how many files there were.
+
+    The new file is written to a folder of its own and then named as the partition's place by one change in the
+    catalog, so readers see the old files or the new one. Meant for an experiment that nobody is logging to: a run
+    logged between the two steps would stay behind in the old folder.
+    """
+    full = qualified(table, database)
+    rows = spark.table(full).filter(F.col("experiment") == experiment)
+    files = len(rows.select("run_id").inputFiles())
+    if files < 2:
+        return files
+    path = shared_dir(spark, "runs", fresh_name("compact"))
+    rows.drop("experiment").coalesce(1).write.parquet(path)  # one row for each run: a log, not data
+    spark.sql(f"ALTER TABLE {full} PARTITION (experiment = {lit_str(experiment)}) SET LOCATION {lit_str(path)}")
+    spark.catalog.refreshTable(full)
+    return files

@@ -17,7 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FAN_IN, LEVELS = 64, 2
+#: Tasks whose states meet at a time, where those of ``TASKS`` tasks would not fit ``MERGE_BYTES``.
+FAN_IN, TASKS, MERGE_BYTES = 64, 100_000, 256 << 20
 _DDL = "side int, part long, state binary"
 _SCHEMA = pa.schema([("side", pa.int32()), ("part", pa.int64()), ("state", pa.binary())])
 #: A solution's conditions hold to this (for standardised columns); sweeps of a round, and rounds at most.
@@ -85,15 +86,14 @@ def _met(table: pa.Table) -> pa.Table:
     return _rows({table.column("side")[0].as_py(): one}, table.column("part")[0].as_py() // FAN_IN)
 
 
-def sums(rows: DataFrame, label: str) -> dict[int, Sums]:
+def sums(rows: DataFrame, label: str, width: int) -> dict[int, Sums]:
     """The state of each ``_side`` of rows (label, features, _side); nothing else reaches the driver."""
     told = rows.select("_side", F.col(label).cast("double"), vector_to_array("features")).mapInArrow(_task, _DDL)
-    for _ in range(LEVELS):
+    size = 8 * TASKS * (width + 1) * (width + 2)
+    while size > MERGE_BYTES:  # a matter of the features alone
         told = told.groupBy("side", F.floor(F.col("part") / FAN_IN).alias("bucket")).applyInArrow(_met, _DDL)
-    out: dict[int, Sums] = {}
-    for r in told.orderBy("part").collect():  # a state for each side and some four thousand tasks
-        out[r["side"]] = out[r["side"]].merge(Sums.load(r["state"])) if r["side"] in out else Sums.load(r["state"])
-    return out
+        size //= FAN_IN
+    return {r["side"]: Sums.load(r["state"]) for r in told.groupBy("side").applyInArrow(_met, _DDL).collect()}
 
 
 @dataclass

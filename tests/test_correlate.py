@@ -184,6 +184,7 @@ def test_blocks_and_batches_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(comoments, "BLOCK", block)
         monkeypatch.setattr(comoments, "CELLS", cells)
         monkeypatch.setattr(comoments, "FAN_IN", fan)
+        monkeypatch.setattr(comoments, "MERGE_BYTES", state)  # small: tasks' states meet a few at a time first
         monkeypatch.setattr(comoments, "STATE_BYTES", state)  # 1: every pair of blocks has a scan of its own
         got = {(r["col_a"], r["col_b"]): (r["n"], r["corr"]) for r in correlate.corr_matrix(df, cols).collect()}
         assert len(got) == k * k

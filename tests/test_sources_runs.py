@@ -92,3 +92,21 @@ def test_log_runs_batch(spark):
     assert len(set(ids)) == 2
     assert runs.best_run(tables.read_table(spark, t, db), "rmse", "e").first()["model_uri"] == "u2"
     catalog.drop_namespace(spark, db)
+
+
+def test_compacted_runs_are_the_same_runs(spark):
+    db = catalog.create_namespace(spark, "t_runs4", location=shared_dir(spark, "ns", "t_runs4"))
+    t = fresh_name("runs")
+    for i in range(4):
+        runs.log_run(spark, t, "it's", {"p": i}, {"rmse": float(i)}, f"u{i}", db)
+    runs.log_run(spark, t, "other", {}, {"rmse": 9.0}, "v", db)
+
+    def told():
+        return sorted((r["experiment"], r["run_id"], r["metrics"]["rmse"]) for r in tables.read_table(spark, t, db).collect())
+    before = told()
+    assert runs.compact_runs(spark, t, "it's", db) == 4
+    assert told() == before
+    assert runs.compact_runs(spark, t, "it's", db) == 1 and runs.compact_runs(spark, t, "absent", db) == 0
+    runs.log_run(spark, t, "it's", {"p": 9}, {"rmse": -1.0}, "u9", db)
+    assert runs.best_run(tables.read_table(spark, t, db), "rmse", "it's").first()["model_uri"] == "u9"
+    assert runs.delete_runs(spark, t, "it's", db) == 5 and told() == [x for x in before if x[0] == "other"]
