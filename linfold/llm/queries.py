@@ -22,7 +22,8 @@ def op1_quality(spark, sf_dir) -> DataFrame:
 
 
 def op2_minhash(spark, sf_dir) -> DataFrame:
-    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def op3_mixing(spark, sf_dir) -> DataFrame:
