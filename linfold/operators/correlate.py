@@ -162,8 +162,8 @@ def redundant_greedy(label_corr: DataFrame, matrix: DataFrame, threshold: float,
     strong = matrix.filter((F.col("col_a") != F.col("col_b")) & (F.abs("corr") >= threshold)) \
         .groupBy(F.col("col_a").alias("name")).agg(F.collect_set("col_b").alias("clashes"))
     cands = label_corr.filter(F.col("column_name") != label).select(F.col("column_name").alias("name"), F.col("corr").alias("r"))
-    # Rows are features, not data: they are sorted inside one array.
-    listed = cands.join(strong, "name", "left").select(
+    # Rows are features, not data: broadcast a row for each column, and sorted inside one array.
+    listed = cands.join(F.broadcast(strong), "name", "left").select(
         F.coalesce(-F.abs("r"), F.lit(2.0)).alias("place"), "name", "r", F.coalesce("clashes", F.array().cast("array<string>"))
         .alias("clashes"), F.col("name").isin(list(keep)).alias("forced")) \
         .groupBy().agg(F.sort_array(F.collect_list(F.struct("place", "name", "r", "clashes", "forced"))).alias("features"))

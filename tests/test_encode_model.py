@@ -131,7 +131,7 @@ def test_tuning_winner_is_grid_minimum(tuned):
     assert len(grid) == 9
     best = [g for g in grid if g["is_best"]]
     assert len(best) >= 1 and best[0]["value"] == min(g["value"] for g in grid)
-    report = mdl.model_report(tuned).first()
+    report = mdl.model_report(tuned.tuned).first()
     assert report["regParam"] == best[0]["regParam"]
     assert report["elasticNetParam"] == best[0]["elasticNetParam"]
 
@@ -158,7 +158,7 @@ def test_save_reload_predicts_identically(tuned):
     b = reloaded.transform(tuned.holdout).agg(F.sum("prediction")).first()[0]
     assert a == b
     rep = mdl.model_report(reloaded).first()  # no training summary after a reload
-    assert rep["train_r2"] is None and rep["regParam"] == mdl.model_report(tuned).first()["regParam"]
+    assert rep["train_r2"] is None and rep["regParam"] == mdl.model_report(tuned.tuned).first()["regParam"]
 
 
 def test_coefficient_names_from_metadata(tuned):
