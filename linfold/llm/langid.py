@@ -1,16 +1,19 @@
 """Language identification with one bit-sliced Bloom filter that answers for every language at once.
 
-Each slot of the filter holds a bitmask with one bit for each language. An n-gram belongs to
-every language in which it is at least ``share`` times as frequent as where it is most frequent;
-its slots get those bits. A lookup ANDs the masks of ``HASHES`` slots, so one probe returns all
-languages that contain the n-gram. For a text, the hits of each language are counted over all
-its n-grams (whole texts, repeats included), and the hits that the filter's false-positive rate
-for that language explains are taken off:  (hits / n - fpr) / (1 - fpr).  The highest share
-wins; ``score`` is its part of the sum of shares.
+Each slot of the filter holds a bitmask with one bit for each language, and an n-gram sets the bit of
+every language in which it was seen at all. A lookup ANDs the masks of ``HASHES`` slots, so one probe
+returns all languages that contain the n-gram (and, rarely, one that does not). For a text, the hits of
+each language are counted over all its n-grams (whole texts, repeats included), and the hits that the
+filter's false-positive rate for that language explains are taken off:  (hits / n - fpr) / (1 - fpr).
+The highest corrected share wins and is the ``score``. N-grams without any letter are not counted.
 
 Learning may use a bounded sample: about ``docs_per_language`` labelled texts of each language,
 chosen by a hash of the row (all of them while there are fewer). The counting runs in Spark; the
-driver gets one row for each used slot, at most ``SLOTS``, whatever the input's size.
+driver gets one row for each language and for each used slot, at most ``SLOTS``, whatever the input's
+size: that is the model.
+
+``accepted`` keeps texts whose score is ``LEAST_SHARE`` or more, and texts with a letter that are too
+short to judge (fewer than ``FEW`` n-grams).
 
 Defined results: null text or no letter: ``und``, score 0. A text with letters but no known
 n-gram: the language with most training rows, score 0. No labelled row: ``und`` for all. Null
@@ -33,6 +36,10 @@ GRAM = 4
 SLOTS = 1 << 20
 HASHES = 3
 UNKNOWN = "und"
+#: A kept text has at least this share of its n-grams (corrected) in one language ...
+LEAST_SHARE = 0.3
+#: ... or fewer n-grams than this, which say too little either way.
+FEW = 24
 
 #: ASCII that is no letter counts as a space; bytes over 127 belong to letters.
 _LETTERS = np.arange(256, dtype=np.uint8)
@@ -48,12 +55,18 @@ class LanguageModel:
 
 
 def _grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams inside texts, and the first of each text; a text shorter than an n-gram has none."""
-    hashes = windows_hash(byte_values(_LETTERS[raw]), GRAM)
-    lengths = np.maximum(np.diff(offsets) - GRAM + 1, 0)
-    total = int(lengths.sum())
-    places = np.repeat(offsets[:-1] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(total)
-    return hashes[places] if total else hashes[:0], np.concatenate(([0], np.cumsum(lengths)))
+    """Hashes of the n-grams inside texts that hold a letter, and the first of each text."""
+    plain = _LETTERS[raw]
+    hashes = windows_hash(byte_values(plain), GRAM)
+    if not len(hashes):
+        return hashes, np.zeros(len(offsets), dtype=np.int64)
+    letters = np.concatenate(([0], np.cumsum(plain != 32)))
+    use = letters[GRAM:] > letters[:-GRAM]
+    for back in range(1, GRAM):  # windows that begin before a text's start and end after it
+        cut = offsets[1:-1] - back
+        use[cut[(cut >= 0) & (cut < len(use))]] = False
+    before = np.concatenate(([0], np.cumsum(use)))
+    return hashes[use], before[np.minimum(offsets, len(use))]
 
 
 def _slots(hashes: np.ndarray) -> list[np.ndarray]:
@@ -66,79 +79,63 @@ def _spaced(text: Column) -> Column:
     return F.concat(F.lit("  "), F.lower(text), F.lit("  "))
 
 
-_COUNTED = pa.schema([("lang", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
+_SEEN = pa.schema([("lang", pa.int32()), ("gram", pa.int64())])
 
 
-def _count(batches):
+def _seen(batches):
     for part, raw, offsets in pieces(batches, max_bytes=1 << 22):
         hashes, first = _grams(raw, offsets)
-        codes = part.column(part.schema.get_field_index("_lang")).to_numpy(zero_copy_only=False)
+        codes = part.column(part.schema.get_field_index("_code")).to_numpy(zero_copy_only=False)
         owner = np.repeat(codes, np.diff(first))
         for code in np.unique(codes):
-            values, counts = np.unique(hashes[owner == code], return_counts=True)
-            yield batch_of(_COUNTED, np.full(len(values), code, dtype=np.int32), signed(values), counts)
+            values = np.unique(hashes[owner == code])
+            yield batch_of(_SEEN, np.full(len(values), code, dtype=np.int32), signed(values))
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", order: str = "doc_id",
-        docs_per_language: int = 1500, share: float = 0.5) -> LanguageModel:
+        docs_per_language: int = 1500) -> LanguageModel:
     """Learn from every row with a language (see the module for the bound on the sample)."""
     rows = docs.select(F.col(text).cast("string").alias("_text"), F.col(lang).cast("string").alias("_lang"),
                        F.col(order).cast("string").alias("_order")).where("_text IS NOT NULL AND _lang IS NOT NULL")
     counts = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
     languages = tuple(sorted(counts))
     planes = max(1, -(-len(languages) // 63))
-    empty = np.zeros((SLOTS, planes), dtype=np.int64)
+    filled = np.zeros((SLOTS, planes), dtype=np.int64)
     if not languages:
-        return LanguageModel((), None, empty, np.zeros(0))
-    code = {name: i for i, name in enumerate(languages)}
+        return LanguageModel((), None, filled, np.zeros(0))
+    # One row for each language, as in the model itself: its number and the share of its rows that is read.
+    part = docs.sparkSession.createDataFrame(
+        [(x, i, min(1_000_000, -(-1_000_000 * docs_per_language // counts[x]))) for i, x in enumerate(languages)],
+        "_lang string, _code int, _part int")
     draw = F.pmod(F.xxhash64("_order", F.lit("langid")), F.lit(1_000_000))
-    keep, number = F.lit(None).cast("long"), F.lit(None).cast("int")
-    for name, n in counts.items():
-        part = min(1_000_000, -(-1_000_000 * docs_per_language // n))
-        keep = F.when(F.col("_lang") == name, F.lit(part)).otherwise(keep)
-        number = F.when(F.col("_lang") == name, F.lit(code[name])).otherwise(number)
-    chosen = rows.where(draw < keep).select(_spaced(F.col("_text")).alias("_text"), number.alias("_lang"))
-    grams = chosen.mapInArrow(_count, "lang int, gram long, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    totals = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    total = F.lit(None).cast("double")
-    for lang_code, n in totals.items():
-        total = F.when(F.col("lang") == lang_code, F.lit(float(n))).otherwise(total)
-    rates = grams.withColumn("rate", F.col("n") / total)
-    each = rates.groupBy("gram").agg(F.max("rate").alias("most"), F.sum("n").alias("all"),
-                                     F.collect_list(F.struct("lang", "rate")).alias("rates")) \
-        .where("all > 1").select("gram", F.filter("rates", lambda r: r["rate"] >= share * F.col("most")).alias("has"))
-    bits = [F.expr(f"aggregate(has, 0L, (acc, r) -> acc | if(r.lang div 63 = {p}, shiftleft(1L, r.lang % 63), 0L))")
-            .alias(f"b{p}") for p in range(planes)]
-    slots = each.select("gram", *bits).mapInArrow(_place(planes), "slot int, " + ", ".join(
-        f"b{p} long" for p in range(planes))).groupBy("slot").agg(
-        *[F.expr(f"bit_or(b{p})").alias(f"b{p}") for p in range(planes)])
-    filled = empty
-    for r in slots.collect():  # at most SLOTS rows
-        filled[r["slot"]] = [r[f"b{p}"] for p in range(planes)]
+    chosen = rows.join(F.broadcast(part), "_lang").where(draw < F.col("_part")) \
+        .select(_spaced(F.col("_text")).alias("_text"), "_code")
+    slots = chosen.mapInArrow(_seen, "lang int, gram long").distinct().mapInArrow(
+        _place, "slot int, plane int, bit long").groupBy("slot", "plane").agg(F.bit_or("bit").alias("bits"))
+    for r in slots.collect():  # at most SLOTS rows for each 63 languages
+        filled[r["slot"], r["plane"]] = r["bits"]
     rate = np.array([((filled[:, i // 63] >> (i % 63)) & 1).mean() for i in range(len(languages))]) ** HASHES
     most = min(languages, key=lambda x: (-counts[x], x))
     return LanguageModel(languages, most, filled, rate)
 
 
-def _place(planes: int):
-    schema = pa.schema([("slot", pa.int32())] + [(f"b{p}", pa.int64()) for p in range(planes)])
+_PLACED = pa.schema([("slot", pa.int32()), ("plane", pa.int32()), ("bit", pa.int64())])
 
-    def run(batches):
-        for b in batches:
-            grams = b.column(0).to_numpy().view(np.uint64)
-            masks = [b.column(1 + p) for p in range(planes)]
-            for slot in _slots(grams):
-                yield batch_of(schema, slot.astype(np.int32), *masks)
-    return run
+
+def _place(batches):
+    for b in batches:
+        lang = b.column(0).to_numpy().astype(np.int64)
+        for slot in _slots(b.column(1).to_numpy().view(np.uint64)):
+            yield batch_of(_PLACED, slot.astype(np.int32), (lang // 63).astype(np.int32), np.int64(1) << (lang % 63))
 
 
 def _judge(part: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray, model: LanguageModel, table: np.ndarray,
-           letter: str) -> tuple[np.ndarray, np.ndarray]:
-    """Language (its number; one past the last: none) and score of each row of a piece."""
+           letter: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language (its number; one past the last: none), score and number of n-grams of each row of a piece."""
     has_letter = part.column(part.schema.get_field_index(letter)).to_numpy(zero_copy_only=False)
     rows, size = len(has_letter), len(model.languages)
     if not size:
-        return np.zeros(rows, dtype=np.int64), np.zeros(rows)
+        return np.zeros(rows, dtype=np.int64), np.zeros(rows), np.zeros(rows, dtype=np.int64)
     hashes, first = _grams(raw, offsets)
     n = np.diff(first)
     masks = None
@@ -151,10 +148,9 @@ def _judge(part: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray, model: La
         hits = total[first[1:]] - total[first[:-1]]
         rate = model.false_positive[i]
         shares[:, i] = np.clip((hits / np.maximum(n, 1) - rate) / max(1 - rate, 1e-9), 0, 1)
-    sums = shares.sum(axis=1)
-    best = np.where(sums > 0, shares.argmax(axis=1), model.languages.index(model.fallback))
-    score = np.where(sums > 0, shares.max(axis=1) / np.where(sums > 0, sums, 1), 0.0)
-    return np.where(has_letter, best, size), np.where(has_letter, score, 0.0)
+    score = shares.max(axis=1)
+    best = np.where(score > 0, shares.argmax(axis=1), model.languages.index(model.fallback))
+    return np.where(has_letter, best, size), np.where(has_letter, score, 0.0), np.where(has_letter, n, 0)
 
 
 def _table(model: LanguageModel) -> np.ndarray:
@@ -170,7 +166,7 @@ def _predict(shared):
         model = shared.value
         table, names = _table(model), [*model.languages, UNKNOWN]
         for part, raw, offsets in pieces(batches):
-            best, score = _judge(part, raw, offsets, model, table, "_letter")
+            best, score, _ = _judge(part, raw, offsets, model, table, "_letter")
             yield batch_of(_PREDICTED, part.column(part.schema.get_field_index("doc_id")),
                            [names[i] for i in best], score)
     return run
@@ -185,8 +181,9 @@ def predict(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text:
     return rows.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language: a letter, and an n-gram that some language has. No shuffle."""
+def accepted(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = LEAST_SHARE,
+             few: int = FEW) -> DataFrame:
+    """The rows of ``docs`` in a learned language, or with too few letters to tell (see the module). No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     body, letter = free_name(docs, "_text"), free_name(docs, "_letter")
     plain = F.col(text).cast("string")
@@ -196,8 +193,9 @@ def accepted(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     def run(batches):
         table = _table(shared.value)
         for part, raw, offsets in pieces(batches, body):
-            _, score = _judge(part, raw, offsets, shared.value, table, letter)
-            yield part.select(names).filter(pa.array(score > 0))
+            has = part.column(part.schema.get_field_index(letter)).to_numpy(zero_copy_only=False)
+            _, score, n = _judge(part, raw, offsets, shared.value, table, letter)
+            yield part.select(names).filter(pa.array(has & ((score >= least) | (n < few))))
     return rows.mapInArrow(run, docs.schema)
 
 

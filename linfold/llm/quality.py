@@ -1,20 +1,24 @@
 """Quality classifier: supervised subword embeddings, averaged per document, with a softmax output.
 
-A document's features are its words, its byte n-grams of ``GRAM`` bytes, each hashed to one of
-``BUCKETS`` learned vectors, and one more vector for a word that repeats its predecessor. Their average goes through a softmax layer; both are trained together
-by stochastic gradient descent in numpy. As the output is linear in the average, scoring needs
-just one number for each bucket (its vector times the difference of the two output rows), so a
-text is scored with one table lookup for each feature, over its whole length.
+A document's features are its words and the character n-grams of its words: ``SIZES`` code points of
+the word between two boundary marks, A-Z in lower case. Each is hashed to one of ``BUCKETS`` learned
+vectors. One feature is not part of the method: a word equal to the one before it has a vector of its
+own, whatever the word, because an average has no order and misses texts that say one ordinary word
+again and again (the README has the figures without it). The features' average goes through a softmax layer, and both are trained together by stochastic
+gradient descent in numpy. As the output is linear in the average, scoring needs just one number for
+each bucket (its vector times the difference of the two output rows), so a text is scored with one
+table lookup for each feature, over its whole length.
 
 Fitting uses a bounded sample: about ``max_docs`` labelled rows, chosen by a hash of the id (all
 of them while there are fewer). The sample's ids are broadcast (bounded), so texts are not
-shuffled; the sampled texts are hashed where they lie, and a single task trains on the bounded
-feature counts and returns the model (``BUCKETS`` numbers).
+shuffled; the sampled texts are hashed where they lie, and a single task trains on their feature
+counts (at most ``BUCKETS`` for each text, however long) and returns the model (``BUCKETS`` numbers).
 
 Defined results: null or empty texts score as the average features of nothing, i.e. the output's
 bias alone. Null labels are not used; several labels of an id count as the lowest. Without usable
 labels every score is 0.5; with one class only, the score is near that class. Repeated rows score
-alike. Labels, language, source and id are never inputs of a score.
+alike. Very long texts are worked on whole, one at a time. Only id and text are read, so other
+columns may have any name. Labels, language, source and id are never inputs of a score.
 """
 
 from __future__ import annotations
@@ -27,14 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm.texts import Words, batch_of, byte_values, pieces, windows_hash
+from linfold.llm.texts import Words, batch_of, mix, pieces, windows_hash
 
-GRAM = 4
-BUCKETS = 1 << 16
-DIMENSION = 12
-#: The feature of a word that repeats the one before it has a bucket of its own.
+SIZES = (3, 4, 5)
+BUCKETS = 1 << 17
+#: The bucket of a word that repeats the one before it.
 REPEAT = BUCKETS
+DIMENSION = 12
 MAX_DOCS = 4000
+EPOCHS = 8
+RATE = 2.0
+#: Code points that no word has: before its first and after its last character.
+_BEGIN, _END = 0x20, 0x0A
 
 
 @dataclass(frozen=True)
@@ -43,17 +51,36 @@ class QualityModel:
     bias: float
 
 
+def _characters(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words, each between its two marks, and the word that each belongs to."""
+    raw = words.raw
+    points = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
+    number = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))  # code points before each byte
+    starts, ends = number[words.starts], number[words.ends]
+    sizes = ends - starts + 2
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(begin[-1]) - begin[owner] + starts[owner] - 1
+    out = points[np.clip(place, 0, max(len(points) - 1, 0))]
+    out = np.where((out >= 65) & (out <= 90), out + 32, out)
+    out[begin[:-1]], out[begin[1:] - 1] = _BEGIN, _END
+    return out, owner
+
+
 def _features(raw: np.ndarray, offsets: np.ndarray):
-    """(row, bucket) of every word, n-gram and word that repeats the one before it."""
+    """(row, bucket) of every word, character n-gram inside a marked word, and word that repeats its predecessor."""
     words = Words(raw, offsets)
-    hashes = words.hashes(lower=True)
-    mine = hashes % np.uint64(BUCKETS)
-    again = np.flatnonzero((hashes[1:] == hashes[:-1]) & (words.row[1:] == words.row[:-1])) + 1
-    grams = windows_hash(byte_values(raw, 1), GRAM, 1) % np.uint64(BUCKETS)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    inside = row[:len(grams)] == row[GRAM - 1:] if len(grams) else np.zeros(0, dtype=bool)
-    return (np.concatenate((words.row, words.row[again], row[:len(grams)][inside])),
-            np.concatenate((mine, np.full(len(again), REPEAT, dtype=np.uint64), grams[inside])).astype(np.int64))
+    rows, hashes = [words.row], [words.hashes(lower=True)]
+    again = np.flatnonzero((hashes[0][1:] == hashes[0][:-1]) & (words.row[1:] == words.row[:-1])) + 1
+    if len(words):
+        points, owner = _characters(words)
+        values = mix(points.astype(np.uint64) + np.uint64(1))
+        for size in SIZES:
+            inside = owner[:-(size - 1)] == owner[size - 1:]
+            hashes.append(mix(windows_hash(values, size)[inside] + np.uint64(size)))
+            rows.append(words.row[owner[:len(inside)][inside]])
+    buckets = (np.concatenate(hashes) % np.uint64(BUCKETS)).astype(np.int64)
+    return np.concatenate((*rows, words.row[again])), np.concatenate((buckets, np.full(len(again), REPEAT)))
 
 
 _COUNTED = pa.schema([("label", pa.int32()), ("key", pa.int64()), ("bucket", pa.list_(pa.int32())),
@@ -73,8 +100,8 @@ def _vectorise(batches):
                        [(counts[a:b] / t).astype(np.float32) for a, b, t in zip(cut, cut[1:], totals)])
 
 
-def train(buckets: list[np.ndarray], parts: list[np.ndarray], labels: np.ndarray, epochs: int = 5,
-          rate: float = 0.5, seed: int = 7) -> QualityModel:
+def train(buckets: list[np.ndarray], parts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS,
+          rate: float = RATE, seed: int = 7) -> QualityModel:
     """SGD over one document at a time; the rate falls linearly. ``parts`` are the features' shares of a document."""
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / DIMENSION, 1 / DIMENSION, (BUCKETS + 1, DIMENSION))
@@ -91,9 +118,8 @@ def train(buckets: list[np.ndarray], parts: list[np.ndarray], labels: np.ndarray
             error[labels[i]] -= 1
             back = error @ output
             output -= now * np.outer(error, hidden)
-            bias -= 0.1 * now * error
-            # features of a document share its gradient; scaled up, as each holds a small share
-            vectors[buckets[i]] -= now * np.outer(np.minimum(parts[i] * 50, 1), back)
+            bias -= now * error
+            vectors[buckets[i]] -= now * np.outer(parts[i], back)
     return QualityModel(vectors @ (output[1] - output[0]), float(bias[1] - bias[0]))
 
 

@@ -27,7 +27,7 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.doc_id = d.doc_id"""
 
 
 def mixing_sql() -> str:
-    tries = ", ".join(f"{j} / {mixing.OFFSETS}.0::DOUBLE" for j in range(mixing.OFFSETS))
+    at = f"CAST(ceil((1 - ({{0}} - floor({{0}}))) * {mixing.OFFSETS} - u) AS BIGINT)"
     return f"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), {_WORD})) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, coalesce('s' || source, 'n') AS key, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -42,11 +42,15 @@ g AS (SELECT key, source_size, CASE WHEN ratio <= level THEN cap
 k AS (SELECT d.*, g.*, row_number() OVER (PARTITION BY g.key ORDER BY size, doc_id) - 1 AS r,
         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
       FROM d JOIN g ON g.key = coalesce('s' || d.source, 'n')),
-f AS (SELECT *, j.j, CASE WHEN u + j.j >= 1 THEN u + j.j - 1 ELSE u + j.j END AS x FROM k, (SELECT unnest([{tries}]) AS j) j),
-c AS (SELECT *, CAST(floor(x + (r + 1) * rate) - floor(x + r * rate) AS BIGINT) AS copies FROM f),
-m AS (SELECT key, j, abs(sum(copies * size) - any_value(target)) AS miss FROM c GROUP BY key, j),
-b AS (SELECT key, arg_min(j, (miss, j)) AS j FROM m GROUP BY key)
-SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM c JOIN b ON b.key = c.key AND b.j = c.j"""
+x AS (SELECT *, r * rate AS x1, (r + 1) * rate AS x2 FROM k),
+c AS (SELECT *, CAST(floor(x2) - floor(x1) AS BIGINT) AS whole, {at.format("x2")} AS more, {at.format("x1")} AS less FROM x),
+i AS (SELECT key, target, 0 AS b, whole * size AS d FROM c UNION ALL SELECT key, target, more, size FROM c
+      UNION ALL SELECT key, target, less, -size FROM c),
+t AS (SELECT key, target, b, sum(d) AS d FROM i WHERE b < {mixing.OFFSETS} GROUP BY ALL),
+m AS (SELECT key, b, abs(sum(d) OVER (PARTITION BY key ORDER BY b) - target) AS miss FROM t),
+b AS (SELECT key, arg_min(b, (miss, b)) AS b FROM m GROUP BY key),
+z AS (SELECT c.*, whole + CAST(b.b >= more AS BIGINT) - CAST(b.b >= less AS BIGINT) AS copies FROM c JOIN b ON b.key = c.key)
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM z"""
 
 
 def linededup_sql() -> str:
