@@ -1,22 +1,29 @@
 """WARC records in ZIP packages, read in place.
 
-A package is a ZIP file whose members are stored, not compressed: ``archive/data.warc.gz``, in which
-each WARC record is a gzip member of its own, and ``indexes/index.cdxj``, a line for each record with
-its offset and length. Readers find the members through the ZIP directories and read byte ranges:
+A package is a ZIP file whose members are stored, not compressed: any number of ``archive/*.warc.gz``, in
+which each WARC record is a gzip member of its own, and of ``indexes/*.cdxj``, a line for each record with
+its file, offset and length. Members elsewhere in the package are not read. Readers find the members
+through the ZIP directories and read byte ranges (the indexes of one package must fit a task):
 
 1. the file's end for the end-of-directory record, or its ZIP64 form (sizes and places of 64 bits);
 2. the central directory, with the ZIP64 extra fields, for place and method of each member;
-3. each member's local header, for where its data starts; then the index, by range;
+3. each member's local header, for where its data starts; then the indexes, by range;
 4. runs of records of at most ``SPLIT_BYTES``, which are dealt to tasks and read by range.
 
-Nothing is extracted, and a package of any size is many tasks. A member that is compressed, or an
-archive without an index, raises an error that names it.
+Nothing is extracted, and a package of any size is many tasks. An error that names the member is raised
+where one is compressed, an index names no archive or two archives could be meant, or bytes of an archive
+are in no record of the indexes or in two: no record is left out in silence. A record that several
+indexes list is read once.
+
+Files are opened through pyarrow by their full URI (the session's default file system completes a plain
+path); a scheme that it does not know is an error, never a local path.
 
 Writing: pages with equal payloads (of ``min_bytes`` or more) are one response, that with the
 smallest page_id, and revisits that refer to it (one shuffle by digest; the side with the digests
 has one row each, so a hot payload can be split). Each task writes packages of about
 ``PACKAGE_BYTES`` to the shared folder and returns their paths; only paths that a finished task
-returned are read, so a lost or repeated task leaves files that nobody lists.
+returned are read, so a lost or repeated task leaves files that nobody lists. Only the id, URL and
+payload columns are read, so others may have any name; a very long payload is a package of its own.
 
 Defined results: null payloads are empty. Null page ids are written, but nothing refers to them:
 pages whose payload no page with an id has are responses. Rows that repeat with the smallest id are
@@ -43,7 +50,7 @@ from pyspark.sql import functions as F
 
 from linfold.llm.texts import batch_of, settled
 
-ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVES, INDEXES, FILE = "archive/", "indexes/", "data.warc.gz"
 PACKAGE_BYTES = 1 << 24
 SPLIT_BYTES = 1 << 22
 #: Fixed values of the formats.
@@ -54,10 +61,19 @@ _MANY16, _MANY32 = 0xFFFF, 0xFFFFFFFF
 
 
 def _files(path: str):
-    """File system and path of a URI (``file:/x`` and plain paths too)."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), re.sub("^file:/*", "/", path)
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    """File system and path of a URI; a path without a scheme is local."""
+    scheme = re.match(r"([A-Za-z][A-Za-z0-9+.\-]*):", path)
+    if scheme is None or scheme[1].lower() == "file":
+        return fs.LocalFileSystem(), re.sub("^file:/*", "/", path, flags=re.IGNORECASE)
+    if not path.startswith(scheme[0] + "//"):
+        raise ValueError(f"no file system is known for {path}")
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))  # Hadoop's names of one scheme
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's full URI, so that tasks mean the file system that the session means."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
 # --- ZIP -----------------------------------------------------------------------------------------
@@ -181,7 +197,7 @@ def _write(folder: str, package_bytes: int, date: str):
         def flush():
             nonlocal data, index, number
             name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}-{number:04d}.zip"
-            body = zip_bytes([(ARCHIVE, bytes(data)), (INDEX, "".join(json.dumps(x) + "\n" for x in index).encode())])
+            body = zip_bytes([(ARCHIVES + FILE, bytes(data)), (INDEXES + "index.cdxj", "".join(json.dumps(x) + "\n" for x in index).encode())])
             with files.open_output_stream(f"{base}/{name}") as out:
                 out.write(body)
             told = batch_of(_PACKAGES, [f"{folder}/{name}"], [len(index)], [len(body)])
@@ -194,7 +210,7 @@ def _write(folder: str, package_bytes: int, date: str):
                 payload = (html.as_py() or "").encode()
                 digest = sha1_base32(payload)
                 made = record(page_id.as_py(), url.as_py(), payload, digest, refers.as_py(), date)
-                index.append({"urn": _uri(page_id.as_py()), "digest": digest, "offset": len(data), "length": len(made)})
+                index.append({"urn": _uri(page_id.as_py()), "digest": digest, "filename": FILE, "offset": len(data), "length": len(made)})
                 data += made
                 if len(data) >= package_bytes:
                     yield flush()
@@ -214,7 +230,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
     same = rows.join(first, "digest", "left")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first"))
     return settled(same.select("page_id", "url", "html", refers.alias("refers_to")).mapInArrow(
-        _write(folder, package_bytes, date), "path string, records long, bytes long"), "packages")
+        _write(_qualified(pages.sparkSession, folder), package_bytes, date), "path string, records long, bytes long"), "packages")
 
 
 # --- reading ---------------------------------------------------------------------------------------
@@ -222,31 +238,52 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
 _SPLITS = pa.schema([("path", pa.string()), ("start", pa.int64()), ("lengths", pa.list_(pa.int64()))])
 
 
+def _listed(file, path: str) -> dict[str, tuple[int, list[tuple[int, int]]]]:
+    """Archive -> (start of its data, its records' offsets and lengths in order), which cover it without a gap."""
+    found = members(file, file.size())
+    archives = {n: m for n, m in found.items() if n.startswith(ARCHIVES) and not n.endswith("/")}
+    indexes = {n: m for n, m in found.items() if n.startswith(INDEXES) and n.endswith(".cdxj")}
+    for name, (method, _, _) in [*archives.items(), *indexes.items()]:
+        if method != 0 or name in archives and not name.endswith(".warc.gz"):
+            raise ValueError(f"{path}: {name} is not a stored member of gzipped records")
+    records: dict[str, set[tuple[int, int]]] = {n: set() for n in archives}
+    for name, (_, at, size) in indexes.items():
+        for line in file.read_at(size, at).splitlines():
+            if not line.strip() or line.startswith(b"!"):  # a header line
+                continue
+            entry = json.loads(line[line.index(b"{"):])  # after the sort key and time, where they are given
+            target = ARCHIVES + entry["filename"] if "filename" in entry else next(iter(archives), None)
+            if target not in archives or ("filename" not in entry and len(archives) > 1):
+                raise ValueError(f"{path}: {name} lists a record of no known archive")
+            records[target].add((int(entry["offset"]), int(entry["length"])))
+    out = {}
+    for name, (_, at, size) in archives.items():
+        end, ordered = 0, sorted(records[name])
+        for offset, length in [*ordered, (size, 0)]:
+            if offset != end:
+                raise ValueError(f"{path}: the indexes do not cover {name} at byte {min(offset, end)}")
+            end = offset + length
+        out[name] = at, ordered
+    return out
+
+
 def _splits(split_bytes: int):
-    """Runs of neighbouring records, from the directories and the index of each package."""
+    """Runs of neighbouring records, from the directories and the indexes of each package."""
     def run(batches):
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 files, place = _files(path)
                 with files.open_input_file(place) as file:
-                    found = members(file, file.size())
-                    for name in (ARCHIVE, INDEX):
-                        if name not in found or found[name][0] != 0:
-                            raise ValueError(f"{path} has no stored member {name}")
-                    _, at, size = found[INDEX]
-                    entries = [json.loads(x) for x in file.read_at(size, at).splitlines()]
-                base = found[ARCHIVE][1]
-                begin, end, lengths = None, None, []
-                for e in sorted(entries, key=lambda e: e["offset"]):
-                    if lengths and (e["offset"] != end or end - begin >= split_bytes):
+                    listed = _listed(file, path)
+                for base, records in listed.values():
+                    begin, lengths = 0, []
+                    for offset, length in records:
+                        if lengths and offset - begin >= split_bytes:
+                            yield batch_of(_SPLITS, [path], [base + begin], [lengths])
+                            begin, lengths = offset, []
+                        lengths.append(length)
+                    if lengths:
                         yield batch_of(_SPLITS, [path], [base + begin], [lengths])
-                        lengths = []
-                    if not lengths:
-                        begin = e["offset"]
-                    lengths.append(e["length"])
-                    end = e["offset"] + e["length"]
-                if lengths:
-                    yield batch_of(_SPLITS, [path], [base + begin], [lengths])
     return run
 
 
