@@ -5,8 +5,8 @@ input (the last adds the number of each copy). ``run`` writes every stage's rows
 shared folder and reads them again for the next, so a stage's lineage ends where the next begins
 and its decisions are made once.
 
-Stages, and what they do to rows: ``language`` drops texts without a letter or without any known
-n-gram; ``near_duplicates`` keeps the smallest id of each group; ``passages`` cuts words that
+Stages, and what they do to rows: ``language`` drops texts without a letter and texts of which no
+learned language explains a fair share (short ones stay); ``near_duplicates`` keeps the smallest id of each group; ``passages`` cuts words that
 repeated 35-word passages cover out of the text (``n_chars`` follows); ``decontamination`` drops
 documents that hold a benchmark item; ``mixing`` emits each document as often as its source's
 weight asks.
