@@ -7,10 +7,12 @@ windows mostly choose the same piece: such a run of windows is a *segment*, know
 the piece's distance. So a table of places, one row for each segment (about two in ``window - length``
 units), says for all windows at once:
 
-* the piece occurs once: none of the segment's windows is repeated;
+* the piece occurs once: none of the segment's windows is repeated (``candidates`` leaves them out);
 * the segment's content occurs twice or more: all of them are;
-* other segments have the same piece: some may be. Then one representative of each distinct content
-  goes on to a finer test; copies are decided already and never go on.
+* other segments have the same piece: some may be.
+
+Words (``decide``) take copies as decided by 128 bits and send one representative of each other
+content to a finer test; bytes send two representatives of each copied content to their sort as well.
 
 Counts are combined before they are shuffled. Joins that carry verdicts back have a hot key on one
 side only, with one row on the other, so Spark can split them.
@@ -59,17 +61,23 @@ def places_of(part: pa.RecordBatch, one: np.ndarray, two: np.ndarray, begins: np
                     np.ones(len(new), dtype=bool) if ask is None else ask[new])
 
 
+def candidates(places: DataFrame) -> DataFrame:
+    """The segments whose piece occurs twice or more; no window of the others is repeated."""
+    places = settled(places, "places")
+    # Written before it is joined: a join of two plain scans is one whose hot keys Spark can split.
+    twice = settled(places.groupBy("p").agg(F.count("*").alias("m")).where("m > 1").select("p"), "twice")
+    some = settled(places.join(twice, "p"), "candidates")
+    discard(places, twice)
+    return some
+
+
 def decide(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeated, open): runs of windows known to be repeated, and representatives that a finer test must tell apart.
 
     Both are (_k1, _k2, first, last); ``open`` also says which are asked about, and the piece ``p`` with its
     number of distinct segments, ``kinds``.
     """
-    places = settled(places, "places")
-    # Written before it is joined: a join of two plain scans is one whose hot keys Spark can split.
-    twice = settled(places.groupBy("p").agg(F.count("*").alias("m")).where("m > 1").select("p"), "twice")
-    some = settled(places.join(twice, "p"), "candidates")
-    discard(places, twice)
+    some = candidates(places)
     contents = settled(some.groupBy("p", "s").agg(
         F.count("*").alias("n"), F.min(F.struct("_k1", "_k2", "first", "last")).alias("rep"),
         F.bool_or("ask").alias("asked")), "contents")

@@ -15,6 +15,14 @@ from linfold.llm.texts import read_table, scratch, settled
 from linfold.session import fresh_name, shared_dir
 
 
+def _finished(spark, make) -> DataFrame:
+    """The result written once; everything that was written on the way to it is deleted."""
+    kept: list[DataFrame] = []
+    with scratch(spark, kept):
+        kept.append(settled(make(), "result"))
+    return kept[0]
+
+
 def op1_quality(spark, sf_dir) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(~langid.held_out()))
@@ -22,8 +30,8 @@ def op1_quality(spark, sf_dir) -> DataFrame:
 
 
 def op2_minhash(spark, sf_dir) -> DataFrame:
-    found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return _finished(spark, lambda: minhash.near_duplicates(read_table(spark, sf_dir, "documents")).withColumn(
+        "kept", F.col("doc_id") == F.col("component_id")))
 
 
 def op3_mixing(spark, sf_dir) -> DataFrame:
@@ -43,7 +51,7 @@ def op5_warc(spark, sf_dir) -> DataFrame:
 
 
 def op6_substring(spark, sf_dir) -> DataFrame:
-    return substring.digests(read_table(spark, sf_dir, "documents"))
+    return _finished(spark, lambda: substring.digests(read_table(spark, sf_dir, "documents")))
 
 
 def op7_chat(spark, sf_dir) -> DataFrame:
@@ -61,21 +69,13 @@ def op8_langid(spark, sf_dir) -> DataFrame:
 
 
 def op9_suffix(spark, sf_dir) -> DataFrame:
-    return suffix.digests(read_table(spark, sf_dir, "documents"))
+    return _finished(spark, lambda: suffix.digests(read_table(spark, sf_dir, "documents")))
 
 
 def op10_tiling(spark, sf_dir) -> DataFrame:
     return tiling.tiled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("_k1", "_k2")
 
 
-def _finished(spark, make) -> DataFrame:
-    """The result written once; everything that was written on the way to it is deleted."""
-    kept: list[DataFrame] = []
-    with scratch(spark, kept):
-        kept.append(settled(make(), "result"))
-    return kept[0]
-
-
 def op11_whitening(spark, sf_dir) -> DataFrame:
     return _finished(spark, lambda: whitening.components(read_table(spark, sf_dir, "embeddings")))
 

@@ -7,7 +7,7 @@ import pytest
 from helpers import cut_units, frame, near_components, odd_documents, sha, vocabulary, words
 
 from linfold.llm import components, minhash, passages, substring, suffix
-from linfold.llm.texts import Words, leftmost_minima, on_workers
+from linfold.llm.texts import Words, keyed, leftmost_minima, on_workers
 
 
 def test_words_of_a_piece_do_not_cross_rows():
@@ -145,6 +145,24 @@ def test_passages_of_bytes(spark, window, token, hot, bucket, monkeypatch):
     assert got == sorted(want)
 
 
+def test_no_byte_goes_without_the_sort(spark, monkeypatch):
+    rows = [(i, vocabulary(40, 120), "en", "a") for i in range(6)]  # copies
+    assert {r["n_removed"] for r in suffix.digests(frame(spark, rows)).collect()} == {len(rows[0][1])}
+    monkeypatch.setattr(suffix, "_sorted", lambda window: lambda batches: (b for b in batches if False))
+    assert {r["n_removed"] for r in suffix.digests(frame(spark, rows)).collect()} == {0}
+
+
+def test_hot_copies_across_buckets(spark):
+    """Suffixes of a hot token are dealt one by one; those whose copy is in another bucket are found at its edge."""
+    rows = keyed(frame(spark, [(i, vocabulary(41, 40) + f" {i % 3}", "en", "a") for i in range(9)]), "doc_id", "text")
+
+    def windows(**parameters):
+        got = suffix.repeated_runs(rows, 30, 12, **parameters).collect()
+        return {(r["_k2"], i) for r in got for a, z in zip(r["firsts"], r["lasts"]) for i in range(a, z + 1)}
+    whole = windows()
+    assert whole == windows(hot=1, bucket_bytes=1 << 10) and len({k for k, _ in whole}) == 9
+
+
 def test_multikey_sort_finds_all_ties():
     draw = np.random.default_rng(3)
     text = draw.integers(97, 99, 3000).astype(np.uint8)
