@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import time
 from collections import Counter
 
 import numpy as np
@@ -182,6 +183,36 @@ def test_inferred_charges_equal_the_table(spark):
     assert csv.read_csv_inferred(spark, none, names=src.columns)[0].count() == 0
 
 
+def test_type_tests_agree_with_the_casts(spark):
+    texts = ["0", "+7", "-1", "-", "007", "2147483647", "2147483648", "-2147483648", "-2147483649", "9223372036854775807", "9223372036854775808",
+             "-9223372036854775808", "-9223372036854775809", "0000000000000000000009", "18446744073709551615", "\t5\n", "5\x7f", "1.", ".5", ".",
+             "1e3", "1e", "1.5f", "2D", "0x1p3", "0x1", "NaN", "-inf", "Infinity", "infinit", "31521-6-9346-437", "4136-6-155-59", "1234-5",
+             "2024-02-29", "2023-02-29", "2024-04-31", "0000-00-00", "2024-1-2", "2024-01-02T", "2024-01-02 3", "2024-01-02 03:04:05.123456789",
+             "2024-01-02 24:00:00", "2024-01-02 03:04:05 UTC+01:00", "2024-01-02T03:04:05Z", "2024-01-02 03:04:05 INFO x", "2024-01-02 03:04:05 PST",
+             "2024-01-02 03:04 UTC", "2024-01", "2024-", "20141013T000000", "true", "N", "\uff11\uff12", "1\u2028", ""]
+    df = spark.createDataFrame([(v,) for v in [*texts, None]], "v string")
+    begins = {"date": "v RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$' AND ", "timestamp": "v RLIKE '^[0-9]{4}-' AND "}
+    for kind, shape, test in csv.LATTICE:
+        cast = "lower(v) IN ('true', 'false')" if kind == "boolean" else f"{begins.get(kind, '')}try_cast(v AS {kind}) IS NOT NULL"
+        assert df.where(f"NOT (({cast}) <=> ({csv.type_test('v', shape, test)}))").collect() == [], kind
+
+
+def test_text_is_inferred_as_fast_as_numbers(spark):
+    def took(value):
+        path = shared_dir(spark, "csv", fresh_name("pace"))
+        spark.range(0, 100_000, 1, 4).select(F.concat_ws(",", *[F.expr(value).cast("string")] * 4).alias("value")).write.text(path)
+        texts = csv._text_columns(spark, path, list("abcd"), False, ",", {})
+        seconds = []
+        for _ in range(3):
+            begin = time.perf_counter()
+            kinds = csv.infer_types(texts, list("abcd"))
+            seconds.append(time.perf_counter() - begin)
+        return min(seconds), kinds["a"]
+    numbers, texts = took("id"), took("concat('key-', id)")
+    assert (numbers[1], texts[1]) == ("int", "string")
+    assert texts[0] < 4 * numbers[0] + 0.5  # a failed try_cast throws, which costs many times what a number does
+
+
 # --- versions ----------------------------------------------------------------------------------------------------
 
 def test_a_failed_write_leaves_the_old_version(spark):
