@@ -49,6 +49,16 @@ LATTICE = (
     ("date", f"^[0-9]{{4}}-{_MONTH_DAY}$", "try_cast({v} AS DATE) IS NOT NULL"),
     ("timestamp", rf"^[0-9]{{4}}-(0?[1-9]|1[0-2])(-(0?[1-9]|[12][0-9]|3[01])([ T]{_CLOCK})?)?{_PAD}\z",
      "try_cast({v} AS TIMESTAMP) IS NOT NULL"))
+#: Texts in the plainest form of a type: a condition that costs less than a shape, the shape, and all types that such a text
+#: is of. Every other text (a sign +, an exponent, the 29th of February, ...) goes through all tests of the lattice.
+_PLAIN_DAY = _MONTH_DAY.replace("02-(0[1-9]|[12][0-9])", "02-(0[1-9]|1[0-9]|2[0-8])")
+PLAIN = (
+    ("octet_length({v}) < 10 AND NOT contains({v}, '.')", r"^-?[0-9]+\z", ("int", "bigint", "double")),
+    ("contains({v}, '.')", r"^-?[0-9]+\.[0-9]+\z", ("double",)),
+    ("octet_length({v}) = 10", rf"^[0-9]{{4}}-{_PLAIN_DAY}\z", ("date", "timestamp")),
+    ("octet_length({v}) = 19", rf"^[0-9]{{4}}-{_PLAIN_DAY} ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]\z", ("timestamp",)))
+#: Lines that may rule a type out before all lines are tested for the types that are left.
+FIRST_LINES = 100
 _BAD = "_malformed"
 
 
@@ -68,17 +78,42 @@ def type_test(value: str, shape: str | None, test: str) -> str:
     return checked if shape is None else f"CASE WHEN {value} RLIKE {lit_str(shape)} THEN {checked} ELSE false END"
 
 
-def infer_types(texts: DataFrame, names) -> dict[str, str]:
-    """The narrowest type of each text column, from one aggregate: whether all values pass a type's test is a state
-    that merges, so each task sends one row a column. A column without a value is text.
+def types_of(value: str, kinds) -> str:
+    """SQL: the types of a text among ``kinds`` as one number, a bit for each type of the lattice (a NULL: see `type_test`)."""
+    bit = {kind: 1 << j for j, (kind, *_) in enumerate(LATTICE)}
+    tested = " | ".join(f"CASE WHEN coalesce({type_test(value, shape, test)}, true) THEN {bit[kind]} ELSE 0 END"
+                        for kind, shape, test in LATTICE if kind in kinds)
+    plain = " ".join(f"WHEN {cheap.format(v=value)} AND {value} RLIKE {lit_str(shape)} THEN {sum(bit[k] for k in of if k in kinds)}"
+                     for cheap, shape, of in PLAIN if not kinds.isdisjoint(of))
+    return f"CASE {plain} ELSE {tested} END" if plain else tested
+
+
+def _types_of_all(cells: DataFrame, left: dict[str, set[str]]) -> dict[str, tuple[set[str], bool]]:
+    """For each column, which of the types that are left for it all its values are of, and whether it has a value: a state
+    that merges, so each task sends one row a column.
 
     Columns become rows first, so that the code of the tests does not grow with the number of columns.
     """
+    if not left:
+        return {}
+    tested = cells.unpivot([], [F.col(f"`{i}`") for i in left], "i", "v").selectExpr(
+        "i", "v IS NOT NULL AS has", f"{types_of('v', set().union(*left.values()))} AS types")
+    found = tested.groupBy("i").agg(F.bit_and("types").alias("types"), F.bool_or("has").alias("has")).collect()
+    return {r["i"]: ({kind for j, (kind, *_) in enumerate(LATTICE) if r["types"] >> j & 1} & left[r["i"]], r["has"]) for r in found}
+
+
+def infer_types(texts: DataFrame, names) -> dict[str, str]:
+    """The narrowest type that all values of a text column are of; text, where there is none.
+
+    A value that is not of a type rules it out for the column, whatever the others are. So a few lines come first, and
+    all lines are tested for the types left by these. The first lines only rule types out: a type that is
+    returned has passed on every line, and the result does not depend on which lines come first.
+    """
     cells = texts.where(f"{_BAD} IS NULL").selectExpr(*[f"trim({q(c)}) AS `{i}`" for i, c in enumerate(names)])
-    tests = [F.expr(f"bool_and({type_test('v', shape, test)})").alias(kind) for kind, shape, test in LATTICE]
-    passed = {r["i"]: r for r in cells.unpivot([], cells.columns, "i", "v").groupBy("i").agg(*tests).collect()}
-    return {c: next((kind for kind, *_ in LATTICE if str(i) in passed and passed[str(i)][kind]), "string")
-            for i, c in enumerate(names)}
+    every = {str(i): {kind for kind, *_ in LATTICE} for i in range(len(names))}
+    left = {i: kinds for i, (kinds, _) in _types_of_all(cells.limit(FIRST_LINES), every).items() if kinds}
+    passed = {i: kinds for i, (kinds, has) in _types_of_all(cells, left).items() if has}
+    return {c: next((kind for kind, *_ in LATTICE if kind in passed.get(str(i), ())), "string") for i, c in enumerate(names)}
 
 
 def read_csv_inferred(spark: SparkSession, path: str, names=None, header: bool = True, delimiter: str = ",",

@@ -213,6 +213,90 @@ def test_text_is_inferred_as_fast_as_numbers(spark):
     assert texts[0] < 4 * numbers[0] + 0.5  # a failed try_cast throws, which costs many times what a number does
 
 
+def _by_casts(rows, names, spark):
+    """The narrowest type of each column, from casts of all values alone (a NULL is of no type but boolean, as in the lattice)."""
+    df, kinds = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names)), {}
+    ok = {"boolean": "lower(trim({c})) IN ('true', 'false')",
+          "date": "trim({c}) RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' AND try_cast(trim({c}) AS DATE) IS NOT NULL",
+          "timestamp": "trim({c}) RLIKE '^[0-9]{{4}}-' AND try_cast(trim({c}) AS TIMESTAMP) IS NOT NULL"}
+    for c in names:
+        tests = [f"bool_and({ok.get(k, f'try_cast(trim({{c}}) AS {k}) IS NOT NULL').format(c=c)}) AS {k}" for k, *_ in csv.LATTICE]
+        row = df.selectExpr(*tests).first()
+        kinds[c] = next((k for k, *_ in csv.LATTICE if row[k]), "string")
+    return kinds
+
+
+def test_plain_texts_are_of_the_types_that_the_tests_give(spark):
+    texts = ["0", "-0", "7", "-7", "007", "999999999", "-99999999", "-999999999", "9999999999", "-", "", "5\n", "1.", ".5", "1.5", "-0.0", "00.50",
+             "1.5\n", "1.2.3", "-1-2.3", "9" * 400 + ".0", "0." + "0" * 400 + "1", "1.5f", "12345.1e3", "2024-02-28", "2024-02-29", "2023-02-29",
+             "2024-04-30", "2024-04-31", "2024-12-31", "2024-13-01", "2024-00-10", "2024-01-00", "0000-01-01", "0001-01-01", "9999-12-31", "2024-01-02\n",
+             "2024-01-02 03:04:05", "2024-02-29 03:04:05", "2023-02-29 03:04:05", "2024-04-31 03:04:05", "2024-01-02 24:00:00", "2024-01-02 23:59:60",
+             "2024-01-02T03:04:05", "0000-01-01 00:00:00", "9999-12-31 23:59:59", "2024-03-31 02:30:00", "31234.5678900000019", "1234567890123456789",
+             "true", "FALSE", "N", "nan", "\uff11\uff12", "2024-1-2", "2024-01", "+7"]
+    df = spark.createDataFrame([(v,) for v in [*texts, None]], "v string")
+    for kinds in ({k for k, *_ in csv.LATTICE}, {"int", "double"}, {"date"}, {"boolean", "timestamp"}):
+        each = [f"CASE WHEN coalesce({csv.type_test('v', shape, test)}, true) THEN {1 << j} ELSE 0 END"
+                for j, (kind, shape, test) in enumerate(csv.LATTICE) if kind in kinds]
+        assert df.selectExpr("v", f"{csv.types_of('v', kinds)} AS got", f"{' | '.join(each)} AS due").where("got <> due").collect() == []
+
+
+def test_late_values_and_late_nulls_rule_types_out(spark):
+    """What the first lines leave open is decided by all lines, wherever a value stands."""
+    names, n = list("abcdefghij"), 3 * csv.FIRST_LINES
+    usual = {"a": "1", "b": "1", "c": "1", "d": "2024-01-02", "e": "2024-01-02 03:04:05", "f": None, "g": None, "h": "0.5", "i": "key", "j": "true"}
+    late = {"b": "9000000000", "c": "1e3", "d": "2024-01-02 00:00:00", "e": "2024-02-30 00:00:00", "f": "TRUE", "h": None, "i": "1", "j": None}
+    rows = [tuple(usual[c] for c in names)] * n
+    rows[-1] = tuple(late.get(c, usual[c]) for c in names)
+    due = {"a": "int", "b": "bigint", "c": "double", "d": "timestamp", "e": "string", "f": "boolean", "g": "string", "h": "string", "i": "string",
+           "j": "boolean"}
+    assert _by_casts(rows, names, spark) == due
+    for parts in (1, 5):
+        path = shared_dir(spark, "csv", fresh_name("late"))
+        lines = [(",".join(v or "" for v in r),) for r in rows] + [("too,few",)]
+        spark.createDataFrame(lines, "value string").coalesce(1).repartition(parts).write.text(path)
+        good, bad = csv.read_csv_inferred(spark, path, names=names, header=False)
+        assert dict(good.dtypes) == due and good.count() == n and [r["line"] for r in bad.collect()] == ["too,few"]
+    # A file without a line that has all columns: every column is text.
+    path = shared_dir(spark, "csv", fresh_name("few"))
+    spark.createDataFrame([("1,2",)] * 9, "value string").write.text(path)
+    good, bad = csv.read_csv_inferred(spark, path, names=names, header=False)
+    assert {k for _, k in good.dtypes} == {"string"} and (good.count(), bad.count()) == (0, 9)
+
+
+def test_all_lines_are_tested_only_for_types_left_open(spark, monkeypatch):
+    seen, types_of_all = [], csv._types_of_all
+
+    def watched(cells, left):
+        seen.append((left, cells.agg(F.count("1")).first()[0]))
+        return types_of_all(cells, left)
+    monkeypatch.setattr(csv, "_types_of_all", watched)
+    path = shared_dir(spark, "csv", fresh_name("open"))
+    n = 20 * csv.FIRST_LINES
+    spark.range(0, n, 1, 3).selectExpr("concat_ws(',', concat(id, '-', id), id, id / 8, 'N', date'2024-01-01' + CAST(id AS INT)) AS value").write.text(path)
+    good, _ = csv.read_csv_inferred(spark, path, names=list("abcde"), header=False)
+    assert [k for _, k in good.dtypes] == ["string", "int", "double", "string", "date"]
+    assert seen[0][1] == csv.FIRST_LINES and seen[1] == ({"1": {"int", "bigint", "double"}, "2": {"double"}, "4": {"date", "timestamp"}}, n)
+
+
+def test_types_cost_little_more_than_reading(spark):
+    path, names = shared_dir(spark, "csv", fresh_name("cost")), list("abcdef")
+    spark.range(0, 1_000_000, 1, 8).selectExpr("concat_ws(',', concat_ws('-', id, id % 7, id), id, concat_ws('.', id, id, id), substr('ANR', 1 + id % 3, 1), "
+                                               "date_format(timestamp_seconds(id * 977), 'yyyy-MM-dd HH:mm:ss'), concat(id, ' pieces')) AS value").write.text(path)
+    texts = csv._text_columns(spark, path, names, False, ",", {})
+
+    def took(act):
+        seconds = []
+        for _ in range(3):
+            begin = time.perf_counter()
+            out = act()
+            seconds.append(time.perf_counter() - begin)
+        return min(seconds), out
+    reading, _ = took(lambda: texts.selectExpr(*[f"sum(length({c})) AS {c}" for c in names]).first())
+    inferring, kinds = took(lambda: csv.infer_types(texts, names))
+    assert list(kinds.values()) == ["string", "int", "string", "string", "timestamp", "string"]
+    assert inferring < 3 * reading + 0.3, (inferring, reading)  # with every test on every value it is more than four times the reading
+
+
 # --- versions ----------------------------------------------------------------------------------------------------
 
 def test_a_failed_write_leaves_the_old_version(spark):
